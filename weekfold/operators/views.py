@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weekfold.operators.lifecycle import packed_text
+
 
 def catalog_summary(frames: dict[str, DataFrame]) -> DataFrame:
     """Row count and column list of every table, one row per table."""
@@ -39,16 +41,15 @@ def current_players(stats: DataFrame) -> DataFrame:
 
 
 def latest_rosters(stats: DataFrame) -> DataFrame:
-    """Players per team and position in the last season, names in order.
+    """Player names per team and position in the last season, in order.
 
-    The name list is part of the result; a roster is bounded by the people who
-    can belong to one team, not by the number of fact rows (distinct first).
+    Long lists continue on further parts (see ``packed_text``).
     """
     people = latest_season(stats).select("team", "position", "player_id", "player_name").distinct()
-    return people.groupBy("team", "position").agg(
-        F.count(F.lit(1)).alias("player_count"),
-        F.array_join(F.array_sort(F.collect_list("player_name")), ", ").alias("players"),
+    listed = packed_text(
+        people, ["team", "position"], "player_name", F.substring("player_name", 1, 14), "players"
     )
+    return listed.withColumnRenamed("values", "player_count")
 
 
 def season_summary(stats: DataFrame) -> DataFrame:

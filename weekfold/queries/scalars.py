@@ -48,11 +48,10 @@ def p03(spark, root):
 
 
 @query("p04_pattern_filter", """
-SELECT doc_id, lang FROM documents WHERE text LIKE '%win%' OR text LIKE '%loss%' OR text LIKE '%final%'
-  OR text LIKE '%result%' OR text LIKE '%outcome%'""")
+SELECT page_id, url FROM pages WHERE url LIKE '%win%' OR url LIKE '%loss%' OR url LIKE '%final%'
+  OR url LIKE '%result%' OR url LIKE '%outcome%'""")
 def p04(spark, root):
-    docs = src.table(spark, root, "documents")
-    return docs.filter(fx.leaks_outcome("text")).select("doc_id", "lang")
+    return src.table(spark, root, "pages").filter(fx.leaks_outcome("url")).select("page_id", "url")
 
 
 @query("p05_optional_filters", """
