@@ -19,7 +19,8 @@ _AMOUNTS = (
 TABLES: dict[str, tuple[tuple[str, ...], str]] = {
     "order_periods": ((), """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
-       CAST(year(o_orderdate) AS INTEGER) AS season, CAST(month(o_orderdate) AS INTEGER) AS week
+       CAST(year(o_orderdate) AS INTEGER) AS season, CAST(month(o_orderdate) AS INTEGER) AS week,
+       CAST(floor(o_totalprice / 1000) AS BIGINT) AS pts
 FROM orders"""),
     "order_lines": ((), """
 SELECT l_orderkey,
@@ -30,17 +31,17 @@ SELECT l_orderkey,
   coalesce(sum(l_quantity) FILTER (l_returnflag <> 'R'), 0.0) AS passing_yards,
   count(*) FILTER (l_returnflag <> 'R' AND l_quantity > 45) AS passing_tds,
   count(*) FILTER (l_returnflag <> 'R' AND l_suppkey % 20 = 0) AS passing_interceptions,
-  coalesce(sum((l_discount - 0.05) * 20) FILTER (l_returnflag <> 'R'), 0.0) AS passing_epa,
+  coalesce(sum((round(l_discount * 100) - 5) / 4) FILTER (l_returnflag <> 'R'), 0.0) AS passing_epa,
   count(*) FILTER (l_returnflag <> 'R' AND round(l_discount * 100) = 10) AS sacks_suffered,
   count(*) FILTER (l_returnflag = 'R') AS carries,
   coalesce(sum(l_quantity) FILTER (l_returnflag = 'R'), 0.0) AS rushing_yards,
   count(*) FILTER (l_returnflag = 'R' AND l_quantity > 45) AS rushing_tds,
-  coalesce(sum((l_discount - 0.05) * 20) FILTER (l_returnflag = 'R'), 0.0) AS rushing_epa,
+  coalesce(sum((round(l_discount * 100) - 5) / 4) FILTER (l_returnflag = 'R'), 0.0) AS rushing_epa,
   count(*) FILTER (l_returnflag = 'N') AS targets,
   count(*) FILTER (l_returnflag = 'N' AND l_linestatus = 'O') AS receptions,
   coalesce(sum(l_quantity) FILTER (l_returnflag = 'N' AND l_linestatus = 'O'), 0.0) AS receiving_yards,
   count(*) FILTER (l_returnflag = 'N' AND l_linestatus = 'O' AND l_quantity > 45) AS receiving_tds,
-  coalesce(sum((l_discount - 0.05) * 20) FILTER (l_returnflag = 'N'), 0.0) AS receiving_epa,
+  coalesce(sum((round(l_discount * 100) - 5) / 4) FILTER (l_returnflag = 'N'), 0.0) AS receiving_epa,
   count(*) FILTER (l_partkey % 3 = 0) AS fg_att,
   count(*) FILTER (l_partkey % 3 = 0 AND l_linestatus = 'O') AS fg_made,
   count(*) FILTER (l_partkey % 4 = 0) AS pat_att,
@@ -48,7 +49,7 @@ SELECT l_orderkey,
   count(*) FILTER (l_suppkey % 2 = 0) AS def_tackles_solo
 FROM lineitem GROUP BY l_orderkey"""),
     "player_totals": (("order_periods", "order_lines"), """
-SELECT o_custkey, season, week, sum(o_totalprice) AS spend, count(*) AS orders,
+SELECT o_custkey, season, week, sum(o_totalprice) AS spend, CAST(sum(pts) AS DOUBLE) AS fantasy_points, count(*) AS orders,
 """ + ",\n".join(f"  CAST(coalesce(sum({c}), 0) AS BIGINT) AS {c}" for c in _COUNTS) + ",\n"
         + ",\n".join(f"  CAST(coalesce(sum({c}), 0.0) AS DOUBLE) AS {c}" for c in _AMOUNTS) + """
 FROM order_periods LEFT JOIN order_lines ON o_orderkey = l_orderkey
@@ -62,15 +63,15 @@ SELECT o_custkey AS player_id, c_name AS player_name, {_POSITION} AS position, s
   CASE WHEN fg_att <> 0 THEN fg_made / CAST(fg_att AS DOUBLE) END AS fg_pct,
   CASE WHEN lines <> 0 THEN targets / CAST(lines AS DOUBLE) END AS target_share,
   CASE WHEN quantity <> 0 THEN receiving_yards / quantity END AS air_yards_share,
-  spend / 10000.0 AS fantasy_points
+  fantasy_points
 FROM player_totals JOIN customer ON o_custkey = c_custkey)
 WHERE opponent_team <> team"""),
     "order_games": (("order_periods",), f"""
 SELECT o_custkey AS player_id, c_name AS player_name, {_POSITION} AS position, season, week,
   CASE WHEN week = 12 THEN 'POST' ELSE 'REG' END AS season_type,
   c_nationkey AS team, {_OPP.format(t='c_nationkey')} AS opponent_team,
-  orders, spend, first_status, spend / 10000.0 AS fantasy_points
-FROM (SELECT o_custkey, season, week, sum(o_totalprice) AS spend, count(*) AS orders,
+  orders, spend, first_status, fantasy_points
+FROM (SELECT o_custkey, season, week, sum(o_totalprice) AS spend, CAST(sum(pts) AS DOUBLE) AS fantasy_points, count(*) AS orders,
              min(o_orderstatus) AS first_status
       FROM order_periods GROUP BY o_custkey, season, week)
 JOIN customer ON o_custkey = c_custkey"""),
@@ -116,7 +117,7 @@ SELECT season || '_' || week || '_' || least(posteam, defteam) || '_' || greates
   l_orderkey AS drive, drive_play_count,
   CAST(l_orderkey % 8 AS VARCHAR) || ':' || lpad(CAST(l_orderkey % 60 AS VARCHAR), 2, '0') AS drive_time_of_possession,
   l_linenumber AS down, l_quantity AS yards_gained, l_quantity AS yardline_100,
-  (l_discount - 0.05) * 20 AS epa,
+  (round(l_discount * 100) - 5) / 4 AS epa,
   CAST(l_linestatus = 'O' AS INTEGER) AS success,
   CAST(l_returnflag = 'R' AS INTEGER) AS touchdown,
   CASE WHEN l_returnflag = 'R' THEN 'run' ELSE 'pass' END AS play_type, 1 AS play,

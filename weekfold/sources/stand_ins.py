@@ -44,12 +44,19 @@ def opponent(team: str = "team", week: str = "week") -> Column:
     return F.pmod(F.col(week) - F.col(team), F.lit(TEAMS))
 
 
+def _epa() -> Column:
+    """Quarters between -1.25 and 1.25, so that sums are exact in any order."""
+    return (F.round(F.col("l_discount") * 100) - 5) / 4
+
+
 def order_periods(spark: SparkSession, root: str) -> DataFrame:
     o = table(spark, root, "orders")
     return o.select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
         F.year("o_orderdate").cast("int").alias("season"),
         F.month("o_orderdate").cast("int").alias("week"),
+        # whole thousands: sums of them are exact in any order
+        F.floor(F.col("o_totalprice") / 1000).alias("points"),
     )
 
 
@@ -60,7 +67,7 @@ def _line_measures() -> list[Column]:
     open_ = F.col("l_linestatus") == "O"
     qty = F.col("l_quantity")
     big = qty > 45
-    epa = (F.col("l_discount") - 0.05) * 20
+    epa = _epa()
     tenth = F.round(F.col("l_discount") * 100) == 10
     kick = F.col("l_partkey") % 3 == 0
     pat = F.col("l_partkey") % 4 == 0
@@ -121,6 +128,7 @@ def player_games(spark: SparkSession, root: str) -> DataFrame:
         .groupBy("o_custkey", "season", "week")
         .agg(
             F.sum("o_totalprice").alias("spend"),
+            F.sum("points").cast("double").alias("fantasy_points"),
             F.count(F.lit(1)).alias("orders"),
             *[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in COUNTS],
             *[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in AMOUNTS],
@@ -135,7 +143,6 @@ def player_games(spark: SparkSession, root: str) -> DataFrame:
     joined = games.join(people, games.o_custkey == people.c_custkey).withColumn(
         "opponent_team", opponent()
     )
-    fantasy = F.col("spend") / 10000.0
     return joined.filter(F.col("opponent_team") != F.col("team")).select(
         F.col("o_custkey").alias("player_id"),
         "player_name", "position", "season", "week",
@@ -145,8 +152,8 @@ def player_games(spark: SparkSession, root: str) -> DataFrame:
         (F.col("fg_made") / F.nullif(F.col("fg_att"), F.lit(0))).alias("fg_pct"),
         (F.col("targets") / F.nullif(F.col("lines"), F.lit(0))).alias("target_share"),
         F.try_divide("receiving_yards", F.nullif(F.col("quantity"), F.lit(0.0))).alias("air_yards_share"),
-        fantasy.alias("fantasy_points"),
-        (fantasy + F.col("receptions")).alias("fantasy_points_ppr"),
+        "fantasy_points",
+        (F.col("fantasy_points") + F.col("receptions")).alias("fantasy_points_ppr"),
     )
 
 
@@ -154,6 +161,7 @@ def order_games(spark: SparkSession, root: str) -> DataFrame:
     """``player_games`` without line statistics: one row per player and period."""
     games = order_periods(spark, root).groupBy("o_custkey", "season", "week").agg(
         F.sum("o_totalprice").alias("spend"),
+        F.sum("points").cast("double").alias("fantasy_points"),
         F.count(F.lit(1)).alias("orders"),
         F.min("o_orderstatus").alias("first_status"),
     )
@@ -170,8 +178,7 @@ def order_games(spark: SparkSession, root: str) -> DataFrame:
         F.col("o_custkey").alias("player_id"),
         "player_name", "position", "season", "week",
         _season_type().alias("season_type"),
-        "team", "opponent_team", "orders", "spend", "first_status",
-        (F.col("spend") / 10000.0).alias("fantasy_points"),
+        "team", "opponent_team", "orders", "spend", "first_status", "fantasy_points",
     )
 
 
@@ -277,7 +284,7 @@ def plays(spark: SparkSession, root: str) -> DataFrame:
         F.col("l_linenumber").alias("down"),
         F.col("l_quantity").alias("yards_gained"),
         F.col("l_quantity").alias("yardline_100"),
-        ((F.col("l_discount") - 0.05) * 20).alias("epa"),
+        _epa().alias("epa"),
         success.alias("success"),
         ran.cast("int").alias("touchdown"),
         F.when(ran, F.lit("run")).otherwise(F.lit("pass")).alias("play_type"),
