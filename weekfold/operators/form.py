@@ -86,7 +86,11 @@ def _share(df: DataFrame, spec) -> Column:
 
 
 def composite_trends(df: DataFrame) -> DataFrame:
-    """performance, usage and target-share trends from the five-game slopes."""
+    """performance, usage and target-share trends from the five-game slopes.
+
+    Rounded to nine places: the slope of a flat series is 0, not the 1e-17 that
+    accumulates in floating point and would count as a present value later.
+    """
     out = {}
     for name, build in (
         ("performance_trend", _performance), ("usage_trend", _usage), ("target_share_trend", _share)
@@ -94,7 +98,7 @@ def composite_trends(df: DataFrame) -> DataFrame:
         chosen = F
         for position, spec in config.TREND_WEIGHTS.items():
             chosen = chosen.when(F.col("position") == position, build(df, spec))
-        out[name] = chosen.otherwise(F.lit(None).cast("double"))
+        out[name] = F.round(chosen.otherwise(F.lit(None).cast("double")), 9)
     return df.withColumns(out)
 
 

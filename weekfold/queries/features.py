@@ -180,7 +180,7 @@ TREND_SQL = {
     "target_share_trend": "CASE WHEN position IN ('RB', 'WR', 'TE') THEN target_share_trend_5 END",
 }
 add_table("trends", ("form_trends",), "SELECT player_id, position, season, week, "
-          + ", ".join(f"{e} AS {n}" for n, e in TREND_SQL.items()) + " FROM form_trends")
+          + ", ".join(f"round({e}, 9) AS {n}" for n, e in TREND_SQL.items()) + " FROM form_trends")
 
 
 @query("p10_composite_trends", """

@@ -1 +1,225 @@
-"""Placeholder."""
+"""Sources, sinks and idempotent loading: s01-s08, i01-i08."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from weekfold import config, schemas
+from weekfold.operators import ingest as ing
+from weekfold.queries.features import rounded
+from weekfold.queries.registry import query
+from weekfold.session import scratch_path
+from weekfold.sources import feeds, sinks
+from weekfold.sources import stand_ins as src
+from weekfold.streaming import incremental as stream
+
+
+def _write_feed(spark, root, feed, df, fmt="parquet"):
+    """Lay a feed out by season the way load_feeds expects it; returns the feed root."""
+    base = scratch_path(spark, "feeds")
+    writer = df.write.partitionBy("season") if "season" in df.columns else df.write
+    writer = writer.option("header", "true") if fmt == "csv" else writer
+    writer.format(fmt).save(f"{base}/{feed}")
+    return base
+
+
+def _stats_feed(spark, root):
+    ids = src.order_games(spark, root)
+    return sinks.align(
+        ids.withColumn("season", F.col("season") + 25), schemas.RAW["raw_player_stats"]
+    )
+
+
+@query("s01_seasonal_feed_scan", """
+SELECT CAST(player_id AS VARCHAR) AS player_id, season + 25 AS season, week, season_type, fantasy_points FROM order_games WHERE season + 25 IN (2021, 2023)""",
+       ["order_games"])
+def s01(spark, root):
+    base = _write_feed(spark, root, "player_stats", _stats_feed(spark, root))
+    loaded = feeds.load_feeds(spark, base, [2021, 2023], feeds=["player_stats"])["raw_player_stats"]
+    return loaded.select("player_id", "season", "week", "season_type", "fantasy_points")
+
+
+@query("s01_csv_feed_scan", """
+SELECT CAST(player_id AS VARCHAR) AS player_id, season + 25 AS season, week, team, fantasy_points FROM order_games WHERE season + 25 IN (2022)""",
+       ["order_games"])
+def s01_csv(spark, root):
+    named = _stats_feed(spark, root)
+    base = _write_feed(spark, root, "player_stats", named, "csv")
+    loaded = feeds.load_feeds(spark, base, [2022], feeds=["player_stats"], fmt="csv")["raw_player_stats"]
+    return loaded.select("player_id", "season", "week", F.col("team").cast("int").alias("team"), "fantasy_points")
+
+
+def _gate_sql():
+    rows = []
+    for feed, (first, last, once) in config.FEED_SEASONS.items():
+        test = "season = (SELECT min(season) FROM s)" if once else " AND ".join(
+            [*([f"season >= {first}"] if first else []), *([f"season <= {last}"] if last else [])]
+        ) or "true"
+        rows.append(f"SELECT season, '{feed}' AS feed, {test} AS available FROM s")
+    return "WITH s AS (SELECT DISTINCT season + 25 AS season FROM order_periods)\n" + "\nUNION ALL ".join(rows)
+
+
+@query("s02_season_gate", _gate_sql(), ["order_periods"])
+def s02(spark, root):
+    seasons = src.order_periods(spark, root).select((F.col("season") + 25).alias("season"))
+    return feeds.availability(seasons)
+
+
+@query("s03_typed_schema", """
+SELECT CAST(player_id AS VARCHAR) AS player_id, player_name, season, week, CAST(carries AS INTEGER) AS carries, CAST(rushing_yards AS INTEGER) AS rushing_yards,
+  round(fg_pct, 6) AS fg_pct FROM player_games""", ["player_games"])
+def s03(spark, root):
+    typed = sinks.align(src.player_games(spark, root), schemas.RAW["raw_player_stats"])
+    return typed.select("player_id", "player_name", "season", "week", "carries", "rushing_yards",
+                        F.round("fg_pct", 6).alias("fg_pct"))
+
+
+@query("s04_season_filter", """
+SELECT game_id, season, week FROM schedule WHERE season IN (1996, 1999)""", ["schedule"])
+def s04(spark, root):
+    return feeds.season_filter(src.schedule(spark, root), [1996, 1999]).select("game_id", "season", "week")
+
+
+@query("s05_derived_key", "SELECT gsis_id, espn_id, gsis_id AS player_id FROM players", ["players"])
+def s05(spark, root):
+    return feeds.with_entity_key(src.players(spark, root).select("gsis_id", "espn_id"))
+
+
+@query("s06_aligned_append", """
+SELECT n_nationkey, n_name, n_regionkey FROM nation
+UNION ALL SELECT CAST(s_suppkey AS INTEGER), s_name, NULL FROM supplier""")
+def s06(spark, root):
+    target = src.table(spark, root, "nation")
+    extra = src.table(spark, root, "supplier").select(
+        F.col("s_name").alias("n_name"), "s_acctbal", F.col("s_suppkey").alias("n_nationkey")
+    )
+    return sinks.append_aligned(target, extra)
+
+
+@query("s07_write_modes", """
+SELECT season, count(*) * 2 AS row_count FROM order_periods WHERE season >= 1998 GROUP BY season
+UNION ALL SELECT season, count(*) FROM order_periods WHERE season < 1998 GROUP BY season""", ["order_periods"])
+def s07(spark, root):
+    rows = src.order_periods(spark, root).select("o_orderkey", "season")
+    schema = rows.schema
+    path = scratch_path(spark, "modes")
+    sinks.write_aligned(rows, path, schema, "fail")  # empty target: allowed
+    sinks.write_aligned(rows, path, schema, "replace")
+    sinks.write_aligned(rows.filter(F.col("season") >= 1998), path, schema, "append")
+    return spark.read.schema(schema).parquet(path).groupBy("season").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@query("s08_full_refresh", """
+SELECT player_id, season, week, orders FROM order_games""", ["order_games"])
+def s08(spark, root):
+    rows = src.order_games(spark, root).select("player_id", "season", "week", "orders")
+    path = scratch_path(spark, "refresh")
+    sinks.refresh(rows, path)
+    return sinks.refresh(rows, path)  # rebuilding replaces, never doubles
+
+
+# --- loading --------------------------------------------------------------------------
+_KEY_SQL = """md5('{"season": ' || season || ', "season_type": "' || season_type || '", "week": ' || week || '}')"""
+
+
+@query("i01_row_key_hash", """
+SELECT o_orderkey, o_custkey, md5('{' || CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE '"o_custkey": ' || o_custkey || ', ' END
+  || '"o_orderkey": ' || o_orderkey || ', "o_orderstatus": "' || o_orderstatus || '"}') AS row_hash FROM orders""")
+def i01(spark, root):
+    o = src.table(spark, root, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    holed = o.withColumn("o_custkey_set", F.col("o_custkey")).withColumn(
+        "o_custkey", F.when(F.col("o_orderkey") % 7 != 0, F.col("o_custkey"))
+    )
+    hashed = ing.with_key_hash(holed, ["o_orderstatus", "o_orderkey", "o_custkey"])
+    return hashed.select("o_orderkey", F.col("o_custkey_set").alias("o_custkey"), "row_hash")
+
+
+@query("i02_key_selection", """
+SELECT player_id, season, week, md5('{"player_id": ' || player_id || ', "season": ' || season || ', "season_type": "' || season_type || '", "week": ' || week || '}') AS by_table,
+  md5('{"player_id": ' || player_id || ', "season": ' || season || ', "week": ' || week || '}') AS by_default FROM order_games""", ["order_games"])
+def i02(spark, root):
+    g = src.order_games(spark, root).select("player_id", "season", "week", "season_type")
+    first = ing.with_key_hash(g, ing.key_columns(g, "raw_player_stats")).withColumnRenamed("row_hash", "by_table")
+    both = ing.with_key_hash(first, ing.key_columns(first, "no_such_table")).withColumnRenamed("row_hash", "by_default")
+    return both.select("player_id", "season", "week", "by_table", "by_default")
+
+
+def _batches(spark, root):
+    """Orders before 1999 are stored; the batch brings 1998 again and 1999."""
+    o = src.order_periods(spark, root).select("o_orderkey", "o_custkey", "season", "week")
+    hashed = ing.with_key_hash(o, ["o_custkey", "season", "week"])
+    return hashed.filter(F.col("season") < 1999), hashed.filter(F.col("season").between(1998, 1999))
+
+
+@query("i03_new_row_filter", """
+SELECT o_orderkey, season, week FROM order_periods WHERE season BETWEEN 1998 AND 1999
+  AND (o_custkey, season, week) NOT IN (SELECT (o_custkey, season, week) FROM order_periods WHERE season < 1999)""", ["order_periods"])
+def i03(spark, root):
+    stored, batch = _batches(spark, root)
+    return ing.new_rows(batch, stored).select("o_orderkey", "season", "week")
+
+
+@query("i04_batch_fingerprint", """
+SELECT substr(sha256('(' || count(*) || ', 6)[''o_orderkey'', ''o_custkey'', ''o_orderstatus'', ''o_totalprice'', ''o_orderdate'', ''o_orderpriority'']' || count(*) * 6), 1, 16) AS batch_hash,
+  count(*) AS row_count FROM orders""")
+def i04(spark, root):
+    return ing.fingerprint(src.table(spark, root, "orders")).withColumnRenamed("rows", "row_count")
+
+
+_COUNTERS = """
+SELECT '{t}' AS table_name, count(*) AS total_rows, count(*) FILTER (season = 1999) AS new_rows, 0::BIGINT AS updated_rows,
+  count(*) FILTER (season = 1998) AS skipped_rows, round(100.0 * count(*) FILTER (season = 1999) / count(*), 6) AS efficiency
+FROM order_periods WHERE season BETWEEN 1998 AND 1999"""
+
+
+@query("i05_ingest_counters", _COUNTERS.format(t="orders"), ["order_periods"])
+def i05(spark, root):
+    stored, batch = _batches(spark, root)
+    return rounded(ing.counters(ing.split_batch(batch, stored), "orders"))
+
+
+@query("i05_incremental_append", """
+SELECT season, count(*) AS row_count FROM order_periods WHERE season <= 1999 GROUP BY season""", ["order_periods"])
+def i05_append(spark, root):
+    o = src.order_periods(spark, root).select("o_orderkey", "o_custkey", "season", "week")
+    path, keys = scratch_path(spark, "append"), ["o_orderkey", "season"]
+    for batch in (o.filter(F.col("season") < 1999), o.filter(F.col("season").between(1998, 1999)), o.filter(F.col("season") == 1999)):
+        table, _ = ing.incremental_append(batch, path, "orders", keys, partition_by=["season"], scope=["season"])
+    return table.groupBy("season").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@query("i06_hash_coverage", """
+SELECT count(*) AS total_rows, count(DISTINCT (o_custkey, season, week)) AS unique_hashes,
+  round(100.0 * count(DISTINCT (o_custkey, season, week)) / count(*), 6) AS hash_coverage FROM order_periods""", ["order_periods"])
+def i06(spark, root):
+    o = src.order_periods(spark, root).select("o_custkey", "season", "week")
+    return rounded(ing.hash_coverage(ing.with_key_hash(o, ["o_custkey", "season", "week"])))
+
+
+@query("i07_run_summary", """
+SELECT count(*) AS total_operations, CAST(sum(t) AS BIGINT) AS total_rows_processed, CAST(sum(n) AS BIGINT) AS total_new_rows, 0::BIGINT AS total_updated_rows,
+  CAST(sum(t - n) AS BIGINT) AS total_skipped_rows, round(100.0 * sum(n) / sum(t), 6) AS overall_efficiency
+FROM (SELECT count(*) AS t, count(*) FILTER (season = 1999) AS n FROM order_periods WHERE season BETWEEN 1998 AND 1999
+      UNION ALL SELECT count(*), count(*) FROM customer)""", ["order_periods"])
+def i07(spark, root):
+    stored, batch = _batches(spark, root)
+    people = ing.with_key_hash(src.table(spark, root, "customer").select("c_custkey"), ["c_custkey"])
+    loads = ing.counters(ing.split_batch(batch, stored), "orders").unionByName(
+        ing.counters(ing.split_batch(people, None), "customer")
+    )
+    return rounded(ing.run_summary(loads))
+
+
+@query("i08_continuous_load", """
+SELECT count(*) AS row_count, count(*) AS unique_hashes FROM orders""")
+def i08(spark, root):
+    keys = ["o_orderkey", "o_custkey"]
+    schema = schemas.STAR["orders"]
+    target = scratch_path(spark, "stream-table")
+    # two independent runs over the same files: the second finds every key stored
+    for run in range(2):
+        stream.incremental_stream(
+            spark, f"{root}/orders*.parquet", schema, target, keys, scratch_path(spark, f"stream-state-{run}")
+        ).awaitTermination()
+    return stream.load_counts(stream.stored_rows(spark, target, schema)).withColumnRenamed("rows", "row_count")

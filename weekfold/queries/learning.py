@@ -1 +1,231 @@
-"""Placeholder."""
+"""Training, metrics and the model table: l06-l16."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from weekfold.operators import registry as reg
+from weekfold.operators import temporal
+from weekfold.operators import training as tr
+from weekfold.queries import stages
+from weekfold.queries.base_sql import add_table
+from weekfold.queries.dataset import with_outcomes
+from weekfold.queries.features import rounded
+from weekfold.queries.registry import query
+from weekfold.session import scratch_path
+from weekfold.sources import stand_ins as src
+
+# small trees keep the registered runs short; the library defaults are the full size
+SMALL = {"maxIter": 5, "maxDepth": 3}
+
+
+def _training_rows(spark, root):
+    return stages.stage(
+        spark, root, "training", lambda: temporal.temporal_split(with_outcomes(spark, root))
+    )
+
+
+def _frame(spark, root, position="RB", target="fantasy_points_ppr"):
+    rows = _training_rows(spark, root)
+    return tr.to_ml_frame(rows.filter(F.col("position") == position), target)
+
+
+@query("l06_boosted_regression")
+def l06(spark, root):
+    df = _frame(spark, root)
+    model = tr.fit(df.filter(F.col("split") == "train"), **SMALL)
+    return tr.score(model, df).select("feature_id", "split", "label", "prediction")
+
+
+def _labelled_vectors(spark, root):
+    e = src.table(spark, root, "embeddings")
+    return e.select(
+        "vec_id", tr.array_to_vector("embedding").alias("features"),
+        (F.col("label") % 2).cast("double").alias("label"),
+    )
+
+
+@query("l07_boosted_classification")
+def l07(spark, root):
+    df = _labelled_vectors(spark, root)
+    return tr.score(tr.fit(df, "classification", **SMALL), df).select("vec_id", "label", "prediction")
+
+
+# predictions whose value is known in both engines: last month's count
+add_table("naive_forecast", ("order_games",), """
+SELECT player_id, season, week, CAST(fantasy_points AS DOUBLE) AS label, CAST(lag(fantasy_points) OVER (PARTITION BY player_id ORDER BY season, week) AS DOUBLE) AS prediction
+FROM order_games""")
+
+
+def naive_forecast(spark, root):
+    w = Window.partitionBy("player_id").orderBy("season", "week")
+    return src.order_games(spark, root).select(
+        "player_id", "season", "week", F.col("fantasy_points").alias("label"),
+        F.lag("fantasy_points").over(w).alias("prediction"),
+    ).dropna()
+
+
+@query("l08_regression_metrics", """
+SELECT CAST(season AS BIGINT) AS season, count(*) AS n, round(sqrt(avg((label - prediction) ** 2)), 6) AS rmse, round(avg(abs(label - prediction)), 6) AS mae,
+  round(avg((label - prediction) ** 2), 6) AS mse, round(1 - sum((label - prediction) ** 2) / (var_pop(label) * count(*)), 6) AS r2
+FROM naive_forecast WHERE prediction IS NOT NULL GROUP BY season""", ["naive_forecast"])
+def l08(spark, root):
+    return rounded(tr.regression_metrics(naive_forecast(spark, root), group=["season"]))
+
+
+_CLASSES = """(SELECT CAST(label > 250 AS INTEGER) + CAST(label > 400 AS INTEGER) AS label,
+  CAST(prediction > 250 AS INTEGER) + CAST(prediction > 400 AS INTEGER) AS prediction FROM naive_forecast WHERE prediction IS NOT NULL)"""
+
+
+@query("l09_classification_metrics", f"""
+WITH c AS {_CLASSES},
+k AS (SELECT x.c, (SELECT count(*) FROM c WHERE label = x.c) AS support, (SELECT count(*) FROM c WHERE prediction = x.c) AS called,
+  (SELECT count(*) FROM c WHERE prediction = x.c AND label = x.c) AS hits FROM (SELECT unnest([0, 1, 2]) AS c) x),
+m AS (SELECT *, coalesce(hits / nullif(CAST(called AS DOUBLE), 0), 0) AS p, coalesce(hits / nullif(CAST(support AS DOUBLE), 0), 0) AS r FROM k)
+SELECT (SELECT count(*) FROM c) AS n, round((SELECT avg(CAST(label = prediction AS INTEGER)) FROM c), 6) AS accuracy,
+  round(max(p) FILTER (c = 1), 6) AS precision, round(max(r) FILTER (c = 1), 6) AS recall,
+  round(sum(p * support) / sum(support), 6) AS weighted_precision, round(sum(r * support) / sum(support), 6) AS weighted_recall,
+  round(sum(coalesce(2 * p * r / nullif(p + r, 0), 0) * support) / sum(support), 6) AS weighted_f1 FROM m""", ["naive_forecast"])
+def l09(spark, root):
+    def klass(c):
+        return (F.col(c) > 250).cast("int") + (F.col(c) > 400).cast("int")
+
+    rows = naive_forecast(spark, root).select(klass("label").alias("label"), klass("prediction").alias("prediction"))
+    return rounded(tr.classification_metrics(rows))
+
+
+@query("l09_area_under_roc", """
+SELECT season, round(sum(CASE WHEN p.prediction > q.prediction THEN 1.0 WHEN p.prediction = q.prediction THEN 0.5 ELSE 0.0 END) / count(*), 6) AS auc
+FROM (SELECT CAST(season AS BIGINT) AS season, prediction FROM naive_forecast WHERE prediction IS NOT NULL AND label > 300) p
+JOIN (SELECT CAST(season AS BIGINT) AS season, prediction FROM naive_forecast WHERE prediction IS NOT NULL AND label <= 300) q USING (season)
+GROUP BY season""", ["naive_forecast"])
+def l09_auc(spark, root):
+    rows = naive_forecast(spark, root).withColumn("label", (F.col("label") > 300).cast("int"))
+    return rounded(tr.area_under_roc(rows, score_col="prediction", group=["season"]))
+
+
+@query("l10_batch_score")
+def l10(spark, root):
+    from pyspark.ml.functions import vector_to_array
+
+    df = _labelled_vectors(spark, root)
+    scored = tr.score(tr.fit(df, "classification", **SMALL), df)
+    return scored.select("vec_id", "prediction", vector_to_array("probability")[1].alias("probability"))
+
+
+@query("l11_feature_importance")
+def l11(spark, root):
+    from weekfold import config
+
+    model = tr.fit(_frame(spark, root), **SMALL)
+    return tr.importance(model, config.vector_names("RB")).limit(10)
+
+
+@query("l12_hyperparameter_search")
+def l12(spark, root):
+    df = _frame(spark, root)
+    found = tr.tune(df, trials=2, depth=(2, 3), trees=(2, 3))
+    best = found.bestModel
+    return spark.createDataFrame(
+        [(best.getMaxDepth(), best.getNumTrees, float(min(found.validationMetrics)))],
+        "max_depth int, trees int, rmse double",
+    )
+
+
+@query("l13_cross_validation")
+def l13(spark, root):
+    return tr.cross_validate(_frame(spark, root), folds=3, maxIter=2, maxDepth=2)
+
+
+@query("l14_training_summary")
+def l14(spark, root):
+    pairs = [("QB", "passing_yards"), ("RB", "rushing_yards"), ("K", "fg_made")]
+    return tr.train_all(_training_rows(spark, root), pairs, maxIter=2, maxDepth=2)
+
+
+@query("l15_model_round_trip")
+def l15(spark, root):
+    from weekfold import config
+
+    df = _frame(spark, root)
+    path = scratch_path(spark, "model")
+    tr.save(tr.fit(df, maxIter=2, maxDepth=2), path, config.vector_names("RB"))
+    model, names = tr.load(spark, path)
+    return tr.score(model, df).select("feature_id", "prediction", F.lit(len(names)).alias("features"))
+
+
+# --- the model table: one "model" per part brand, one version per part --------------------
+add_table("models", (), """
+SELECT p_partkey AS model_id, p_brand AS model_name, '1.' || (p_size % 3) || '.' || (p_partkey % 40) AS version,
+  CASE WHEN p_partkey % 2 = 0 THEN 'regression' ELSE 'classification' END AS model_type,
+  CASE WHEN p_size % 5 = 0 THEN 'archived' ELSE 'active' END AS status,
+  CASE WHEN p_partkey % 2 = 0 THEN CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE CAST(p_size AS DOUBLE) END END AS rmse,
+  CASE WHEN p_partkey % 2 = 0 THEN CAST(p_size * p_size AS DOUBLE) END AS mse,
+  CASE WHEN p_partkey % 2 = 1 THEN p_size / 100.0 END AS f1,
+  p_partkey % 365 AS created_at
+FROM part""")
+_PRIMARY = "CASE model_type WHEN 'regression' THEN coalesce(rmse, mse, 0.0) ELSE coalesce(f1, 0.0) END"
+
+
+def models(spark, root):
+    p = src.table(spark, root, "part")
+    key, size = F.col("p_partkey"), F.col("p_size").cast("double")
+    even = key % 2 == 0
+    metrics = F.to_json(F.struct(
+        F.when(even & (key % 3 != 0), size).alias("rmse"), F.when(even, size * size).alias("mse"),
+        F.when(~even, size / 100.0).alias("f1"),
+    ))
+    base = p.select(
+        key.alias("model_id"), F.col("p_brand").alias("model_name"),
+        F.concat(F.lit("1."), (F.col("p_size") % 3).cast("string"), F.lit("."), (key % 40).cast("string")).alias("version"),
+        F.when(even, F.lit("regression")).otherwise(F.lit("classification")).alias("model_type"),
+        F.when(F.col("p_size") % 5 == 0, F.lit("archived")).otherwise(F.lit("active")).alias("status"),
+        metrics.alias("metrics"), (key % 365).alias("created_at"),
+    )
+    return base.withColumn("primary_metric", reg.primary_metric())
+
+
+@query("l16_latest_version", """
+SELECT model_name, model_id, version FROM (SELECT *, row_number() OVER (PARTITION BY model_name ORDER BY created_at DESC, model_id DESC) AS r FROM models)
+WHERE r = 1""", ["models"])
+def l16_latest(spark, root):
+    return reg.latest_per_key(models(spark, root), ["model_id", "version"])
+
+
+@query("l16_best_model", f"""
+SELECT model_name, model_id, primary_metric FROM (SELECT *, row_number() OVER (PARTITION BY model_name ORDER BY primary_metric, model_id) AS r
+  FROM (SELECT *, CAST({_PRIMARY} AS DOUBLE) AS primary_metric FROM models WHERE status = 'active' AND model_type = 'regression')) WHERE r = 1""", ["models"])
+def l16_best(spark, root):
+    rows = models(spark, root).filter(F.col("model_type") == "regression")
+    return reg.best_per_metric(rows, ["model_id", "primary_metric"], higher_is_better=False)
+
+
+@query("l16_list_models", """
+SELECT model_id, model_name, version, created_at FROM models WHERE status = 'active' AND model_type = 'classification'
+ORDER BY created_at DESC, model_id DESC LIMIT 100""", ["models"])
+def l16_list(spark, root):
+    return reg.list_models(models(spark, root), model_type="classification").select(
+        "model_id", "model_name", "version", "created_at"
+    )
+
+
+@query("l16_compare_models", f"""
+SELECT model_id, model_name, version, model_type, CAST({_PRIMARY} AS DOUBLE) AS primary_metric, CAST(rmse AS DOUBLE) AS rmse, CAST(f1 AS DOUBLE) AS f1
+FROM models""", ["models"])
+def l16_compare(spark, root):
+    from weekfold.functions.nested import widen_metrics
+
+    rows = models(spark, root).select("model_id", "model_name", "version", "model_type", "metrics", "primary_metric")
+    return widen_metrics(rows, "metrics", ["rmse", "f1"]).drop("metrics")
+
+
+@query("l16_next_version", """
+SELECT n.model_name, coalesce(split_part(m.version, '.', 1) || '.' || split_part(m.version, '.', 2) || '.' || (CAST(split_part(m.version, '.', 3) AS INTEGER) + 1), '1.0.0') AS version
+FROM (SELECT DISTINCT p_brand AS model_name FROM part UNION SELECT DISTINCT p_type FROM part) n
+LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY model_name ORDER BY created_at DESC, model_id DESC) AS r FROM models) WHERE r = 1) m
+  ON m.model_name = n.model_name""", ["models"])
+def l16_next(spark, root):
+    p = src.table(spark, root, "part")
+    names = p.select(F.col("p_brand").alias("model_name")).union(p.select("p_type")).distinct()
+    return reg.next_version(models(spark, root), names)
