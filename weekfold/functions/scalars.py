@@ -52,12 +52,16 @@ def parse_period(df: DataFrame, ts_col: str = "dt", fmt: str = "yyyy-MM-dd'T'HH:
     return df.withColumn("dt_timestamp", parsed).withColumn("week", week)
 
 
-def clock_minutes(text: ColumnLike) -> Column:
-    """``"MM:SS"`` -> minutes as a double; empty, null or malformed -> null."""
+def clock_seconds(text: ColumnLike) -> Column:
+    """``"MM:SS"`` -> whole seconds; empty, null or malformed -> null."""
     text = as_col(text)
     minutes = F.split_part(text, F.lit(":"), F.lit(1)).try_cast("int")
     seconds = F.split_part(text, F.lit(":"), F.lit(2)).try_cast("int")
-    return F.when(F.length(text) > 0, minutes + seconds / F.lit(60.0))
+    return F.when(F.length(text) > 0, minutes * 60 + seconds)
+
+
+def clock_minutes(text: ColumnLike) -> Column:
+    return clock_seconds(text) / F.lit(60.0)
 
 
 # --- arithmetic ---------------------------------------------------------------

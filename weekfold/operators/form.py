@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weekfold import config
-from weekfold.functions.nested import sparse_json
 from weekfold.functions.scalars import existing
 from weekfold.operators.windows import MEASURES, column_name, rolling
 
@@ -23,10 +22,13 @@ def masked_stats(df: DataFrame, stats, shared=("fantasy_points",)) -> DataFrame:
     Position then needs no loop: one window pass serves every position, and
     what does not apply stays null.
     """
-    return df.withColumns({
-        s: F.when(F.col("position").isin(*relevant_positions(s)), F.col(s))
-        for s in stats if s not in shared
-    })
+    def text(c: str) -> str:
+        if c not in stats or c in shared:
+            return f"`{c}`"
+        inside = ", ".join(f"'{p}'" for p in relevant_positions(c))
+        return f"CASE WHEN position IN ({inside}) THEN `{c}` END AS `{c}`"
+
+    return df.selectExpr(*[text(c) for c in df.columns])
 
 
 def rolling_features(
@@ -47,8 +49,8 @@ def rolling_features(
     games = stats.dropna(subset=["player_id"])
     if season_type is not None:
         games = games.filter(F.col("season_type") == season_type)
-    games = masked_stats(games, wanted, shared)
     keep = existing(games, IDENTITY)
+    games = masked_stats(games.select(*dict.fromkeys([*keep, *wanted])), wanted, shared)
     return rolling(
         games, stats=wanted, windows=windows, measures=measures, keep=keep,
         drop_first_before=drop_first_before,
@@ -111,12 +113,13 @@ def documents(df: DataFrame, windows=config.ROLLING_WINDOWS, measures=MEASURES)
         s for s in [*config.all_stats(), "fantasy_points"]
         if column_name(s, measures[0], windows[0]) in df.columns
     ]
-    docs = {}
+    docs = []
     for n in windows:
-        fields = {"window_size": F.lit(n), "games_in_window": F.col(f"games_in_window_{n}")}
-        fields |= {f"{s}_{m}": F.col(column_name(s, m, n)) for s in stats for m in measures}
+        fields = [f"{n}D AS window_size", f"cast(games_in_window_{n} AS double) AS games_in_window"]
+        fields += [f"`{column_name(s, m, n)}` AS `{s}_{m}`" for s in stats for m in measures]
         name = "stats_season_avg" if n == max(windows) else f"stats_last{n}_games"
-        docs[name] = sparse_json(fields)
+        # to_json leaves null fields out, which makes the document sparse
+        docs.append(f"to_json(struct({', '.join(fields)})) AS {name}")
     keep = ["player_id", "season", "week", "position"]
     trends = existing(df, ["performance_trend", "usage_trend", "target_share_trend"])
-    return df.select(*keep, *[c.alias(n) for n, c in docs.items()], *trends)
+    return df.selectExpr(*keep, *docs, *trends)

@@ -69,23 +69,16 @@ def since_last_season(weekly: DataFrame, group, sums) -> DataFrame:
     """Per (group, season, week): totals over earlier weeks back to the season before.
 
     ``weekly`` has one row per (group, season, week). The lower bound moves
-    with the season, which no fixed frame expresses, so the previous season's
-    total (an equi join of season totals) is added to the running total of the
-    current one.
+    with the season, which no single frame expresses: it is the running total
+    inside the season plus the whole season before, a range frame of exactly
+    one season back. Both windows share one exchange on the group.
     """
-    group = list(group)
-    so_far = Window.partitionBy(*group, "season").orderBy("week").rangeBetween(
-        Window.unboundedPreceding, -1
-    )
-    last = weekly.groupBy(*group, "season").agg(*[F.sum(c).alias(f"_last_{c}") for c in sums])
-    last = last.withColumn("season", F.col("season") + 1)
-    running = weekly.select(
-        *group, "season", "week", *[F.sum(c).over(so_far).alias(f"_now_{c}") for c in sums]
-    )
-    zero = F.lit(0)
-    return running.join(last, [*group, "season"], "left").select(
+    by = ", ".join(group)
+    now = f"OVER (PARTITION BY {by}, season ORDER BY week RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    last = f"OVER (PARTITION BY {by} ORDER BY season RANGE BETWEEN 1 PRECEDING AND 1 PRECEDING)"
+    return weekly.selectExpr(
         *group, "season", "week",
-        *[(F.coalesce(f"_now_{c}", zero) + F.coalesce(f"_last_{c}", zero)).alias(c) for c in sums],
+        *[f"coalesce(sum(`{c}`) {now}, 0) + coalesce(sum(`{c}`) {last}, 0) AS `{c}`" for c in sums],
     )
 
 

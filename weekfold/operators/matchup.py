@@ -98,19 +98,17 @@ def defence_allowed(stats: DataFrame) -> DataFrame:
     group = ["opponent_team", "position"]
     weekly = stats.groupBy(*group, "season", "week").agg(
         F.count(F.lit(1)).cast("double").alias("_n"),
-        *[F.sum(F.coalesce(F.col(s).cast("double"), F.lit(0.0))).alias(s) for s in union],
+        *[F.expr(f"sum(coalesce(cast(`{s}` AS double), 0D)) AS `{s}`") for s in union],
     )
     totals = since_last_season(weekly, group, ["_n", *union])
-    packed = F
-    for p, names in per_position.items():
-        if not names:
-            continue
-        means = F.map_from_arrays(
-            F.array(*[F.lit(s) for s in names]),
-            F.array(*[F.when(F.col("_n") > 0, F.col(s) / F.col("_n")).otherwise(F.lit(0.0)) for s in names]),
-        )
-        packed = packed.when(F.col("position") == p, means)
-    return totals.select(*group, "season", "week", packed.otherwise(F.lit(None)).alias("opp_allowed"))
+
+    def means(names) -> str:
+        pairs = ", ".join(f"'{s}', if(_n > 0, `{s}` / _n, 0D)" for s in names)
+        return f"map({pairs})"
+
+    cases = " ".join(f"WHEN '{p}' THEN {means(n)}" for p, n in per_position.items() if n)
+    packed = F.expr(f"CASE position {cases} END")
+    return totals.select(*group, "season", "week", packed.alias("opp_allowed"))
 
 
 def with_opponent(df: DataFrame, stats: DataFrame, team_stats: DataFrame) -> DataFrame:

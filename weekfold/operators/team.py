@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weekfold import config
-from weekfold.functions.scalars import clock_minutes, safe_divide
+from weekfold.functions.scalars import clock_seconds
 from weekfold.operators.windows import spread_forward
 
 GAME_DRIVE = ("game_id", "drive")
@@ -26,75 +26,73 @@ _DEF_SUMS = (
     "def_plays", "def_epa", "def_epa_plays", "def_stops", "qb_hits", "sacks", "def_passes",
     "interceptions", "fumbles",
 )
-_OFF_DRIVE_SUMS = ("rz_drives", "rz_scores", "paces", "pace_plays", "clocks", "clock_minutes")
+_OFF_DRIVE_SUMS = ("rz_drives", "rz_scores", "paces", "pace_plays", "clocks", "clock_seconds")
 _DEF_DRIVE_SUMS = ("def_drives",)
 
 
-def _one_if(test: Column) -> Column:
-    return F.sum(F.when(test, F.lit(1)).otherwise(F.lit(0)))
+# --- conditions on a play ---------------------------------------------------------
+_SCRIMMAGE = "play_type IN ('pass', 'run') AND play = 1"
+_OFFENCE = f"{_SCRIMMAGE} AND epa IS NOT NULL"
+_THIRD = f"{_OFFENCE} AND down = 3"
+_NEUTRAL = (
+    "score_differential BETWEEN -7 AND 7 AND quarter_seconds_remaining > 120 "
+    "AND down IN (1, 2) AND play = 1"
+)
+_PLAY_SUMS = {
+    "off_plays": f"count_if({_OFFENCE})",
+    "off_epa": f"sum(epa) FILTER (WHERE {_OFFENCE})",
+    "off_success": f"count_if({_OFFENCE} AND success = 1)",
+    "off_long": f"count_if({_OFFENCE} AND yards_gained > 10)",
+    "third_converted": f"sum(third_down_converted) FILTER (WHERE {_THIRD})",
+    "third_failed": f"sum(third_down_failed) FILTER (WHERE {_THIRD})",
+    "neutral_pass": f"sum(pass_attempt) FILTER (WHERE {_NEUTRAL})",
+    "neutral_rush": f"sum(rush_attempt) FILTER (WHERE {_NEUTRAL})",
+    "reg_plays": "count_if(season_type = 'REG')",
+    "in_red": "max(1) FILTER (WHERE yardline_100 <= 20)",
+    "red_score": "max(touchdown) FILTER (WHERE yardline_100 <= 20)",
+    "def_plays": f"count_if({_SCRIMMAGE})",
+    "def_epa": f"sum(epa) FILTER (WHERE {_SCRIMMAGE})",
+    "def_epa_plays": f"count_if({_OFFENCE})",
+    "def_stops": f"count_if({_SCRIMMAGE} AND success = 0)",
+    "qb_hits": f"sum(qb_hit) FILTER (WHERE {_SCRIMMAGE})",
+    "sacks": f"sum(sack) FILTER (WHERE {_SCRIMMAGE})",
+    "def_passes": f"sum(pass_attempt) FILTER (WHERE {_SCRIMMAGE})",
+    "interceptions": f"sum(interception) FILTER (WHERE {_SCRIMMAGE})",
+    "fumbles": f"sum(fumble_lost) FILTER (WHERE {_SCRIMMAGE})",
+}
+_PACED = "drive IS NOT NULL AND drive_play_count IS NOT NULL"
+# what one drive adds, whatever number of (play count, clock) records it has
+_DRIVE_SUMS = {
+    "rz_drives": "max(in_red) FILTER (WHERE drive IS NOT NULL)",
+    "rz_scores": "max(red_score) FILTER (WHERE drive IS NOT NULL)",
+    "paces": f"count_if({_PACED})",
+    "pace_plays": f"sum(drive_play_count) FILTER (WHERE {_PACED})",
+    "clocks": f"count(seconds) FILTER (WHERE {_PACED})",
+    "clock_seconds": f"sum(seconds) FILTER (WHERE {_PACED})",
+    "def_drives": "max(1) FILTER (WHERE drive IS NOT NULL AND def_plays > 0)",
+}
+
+
+def _named(exprs: dict[str, str], names=None) -> list[Column]:
+    return [F.expr(f"{sql} AS {n}") for n, sql in exprs.items() if names is None or n in names]
 
 
 def drive_facts(plays: DataFrame) -> DataFrame:
     """One row per drive (and per recorded play count and clock of it)."""
-    scrimmage = F.col("play_type").isin("pass", "run") & (F.col("play") == 1)
-    offence = scrimmage & F.col("epa").isNotNull()
-    third = offence & (F.col("down") == 3)
-    neutral = (
-        F.col("score_differential").between(-7, 7) & (F.col("quarter_seconds_remaining") > 120)
-        & F.col("down").isin(1, 2) & (F.col("play") == 1)
-    )
-    red = F.col("yardline_100") <= 20
     keys = ["posteam", "defteam", "season", "week", *GAME_DRIVE, *_TUPLE]
+    return plays.groupBy(*keys).agg(*_named(_PLAY_SUMS))
 
-    def total(test: Column, name: str) -> Column:
-        return F.sum(F.when(test, F.col(name)))
-
-    return plays.groupBy(*keys).agg(
-        _one_if(offence).alias("off_plays"),
-        total(offence, "epa").alias("off_epa"),
-        _one_if(offence & (F.col("success") == 1)).alias("off_success"),
-        _one_if(offence & (F.col("yards_gained") > 10)).alias("off_long"),
-        total(third, "third_down_converted").alias("third_converted"),
-        total(third, "third_down_failed").alias("third_failed"),
-        total(neutral, "pass_attempt").alias("neutral_pass"),
-        total(neutral, "rush_attempt").alias("neutral_rush"),
-        _one_if(F.col("season_type") == "REG").alias("reg_plays"),
-        F.max(F.when(red, F.lit(1))).alias("in_red"),
-        F.max(F.when(red, F.col("touchdown"))).alias("red_score"),
-        _one_if(scrimmage).alias("def_plays"),
-        total(scrimmage, "epa").alias("def_epa"),
-        _one_if(offence).alias("def_epa_plays"),
-        _one_if(scrimmage & (F.col("success") == 0)).alias("def_stops"),
-        total(scrimmage, "qb_hit").alias("qb_hits"),
-        total(scrimmage, "sack").alias("sacks"),
-        total(scrimmage, "pass_attempt").alias("def_passes"),
-        total(scrimmage, "interception").alias("interceptions"),
-        total(scrimmage, "fumble_lost").alias("fumbles"),
-    )
+
+def _fold_drives(facts: DataFrame, keys, columns) -> DataFrame:
+    """Drive facts folded to one row per drive, keeping the given columns."""
+    timed = facts.withColumn("seconds", clock_seconds("drive_time_of_possession"))
+    sums = {c: f"sum({c})" for c in columns if c in _PLAY_SUMS}
+    return timed.groupBy(*keys).agg(*_named(sums), *_named(_DRIVE_SUMS, set(columns)))
 
 
 def _drives(facts: DataFrame, team: str, period, drive_key) -> DataFrame:
-    """Drive facts of one side folded to one row per drive."""
-    known = F.col("drive").isNotNull()
-    paced = known & F.col("drive_play_count").isNotNull()
-    minutes = F.when(paced, clock_minutes("drive_time_of_possession"))
-    return facts.filter(F.col(team).isNotNull()).groupBy(
-        F.col(team).alias("team"), *period, *drive_key
-    ).agg(
-        *[F.sum(c).alias(c) for c in (_OFF_SUMS if team == "posteam" else _DEF_SUMS)],
-        *(
-            [
-                F.max(F.when(known, F.col("in_red"))).alias("rz_drives"),
-                F.max(F.when(known, F.col("red_score"))).alias("rz_scores"),
-                _one_if(paced).alias("paces"),
-                F.sum(F.when(paced, F.col("drive_play_count"))).alias("pace_plays"),
-                F.count(minutes).alias("clocks"),
-                F.sum(minutes).alias("clock_minutes"),
-            ]
-            if team == "posteam"
-            else [F.max(F.when(known & (F.col("def_plays") > 0), F.lit(1))).alias("def_drives")]
-        ),
-    )
+    known = facts.filter(F.col(team).isNotNull()).withColumn("team", F.col(team))
+    return _fold_drives(known, ["team", *period, *drive_key], _columns(team))
 
 
 def _columns(team: str):
@@ -102,7 +100,7 @@ def _columns(team: str):
 
 
 def _fold(df: DataFrame, columns, keys) -> DataFrame:
-    return df.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in columns])
+    return df.groupBy(*keys).agg(*[F.expr(f"sum({c}) AS {c}") for c in columns])
 
 
 def _side(plays: DataFrame, team: str, drive_key=GAME_DRIVE) -> DataFrame:
@@ -117,24 +115,32 @@ def _side(plays: DataFrame, team: str, drive_key=GAME_DRIVE) -> DataFrame:
     return _fold(spread, columns, ["team", "season", "target_week"])
 
 
+# metric: (numerator, denominator) over three-week totals
+_RATIOS = {
+    "off_epa_per_play_last3": ("off_epa", "off_plays"),
+    "off_success_rate_last3": ("off_success", "off_plays"),
+    "off_explosive_play_rate": ("off_long", "off_plays"),
+    "off_red_zone_efficiency": ("rz_scores", "rz_drives"),
+    "off_third_down_conv": ("third_converted", "third_converted + third_failed"),
+    "def_epa_per_play_last3": ("def_epa", "def_epa_plays"),
+    "def_success_rate_last3": ("def_stops", "def_plays"),
+    "def_pressure_rate": ("qb_hits + sacks", "def_passes"),
+    "def_turnover_rate": ("interceptions + fumbles", "def_drives"),
+    "pass_rate_neutral": ("neutral_pass", "neutral_pass + neutral_rush"),
+    "pace_of_play": ("pace_plays", "paces"),
+    "time_of_possession_avg": ("clock_seconds", "clocks * 60"),
+}
+
+
 def _metrics(names) -> list[Column]:
     """Metric columns from three-week totals, defaults filled in."""
-    d = config.TEAM_METRICS
-    over = {
-        "off_epa_per_play_last3": ("off_epa", "off_plays"),
-        "off_success_rate_last3": ("off_success", "off_plays"),
-        "off_explosive_play_rate": ("off_long", "off_plays"),
-        "off_red_zone_efficiency": ("rz_scores", "rz_drives"),
-        "off_third_down_conv": ("third_converted", F.col("third_converted") + F.col("third_failed")),
-        "def_epa_per_play_last3": ("def_epa", "def_epa_plays"),
-        "def_success_rate_last3": ("def_stops", "def_plays"),
-        "def_pressure_rate": (F.col("qb_hits") + F.col("sacks"), "def_passes"),
-        "def_turnover_rate": (F.col("interceptions") + F.col("fumbles"), "def_drives"),
-        "pass_rate_neutral": ("neutral_pass", F.col("neutral_pass") + F.col("neutral_rush")),
-        "pace_of_play": ("pace_plays", "paces"),
-        "time_of_possession_avg": ("clock_minutes", "clocks"),
-    }
-    return [safe_divide(*over[n], default=d[n]).alias(n) for n in names]
+    return [
+        F.expr(
+            f"coalesce(cast({_RATIOS[n][0]} AS double) / nullif(cast({_RATIOS[n][1]} AS double), 0D), "
+            f"{float(config.TEAM_METRICS[n])}D) AS {n}"
+        )
+        for n in names
+    ]
 
 
 def _select(df: DataFrame, names) -> DataFrame:
@@ -170,42 +176,21 @@ def pace(plays: DataFrame, drive_key=GAME_DRIVE) -> DataFrame:
 
 def _both_sides(plays: DataFrame) -> DataFrame:
     """Weekly totals with offence and defence side by side, from one drive table."""
-    facts = drive_facts(plays)
-    known = F.col("drive").isNotNull()
-    paced = known & F.col("drive_play_count").isNotNull()
-    minutes = F.when(paced, clock_minutes("drive_time_of_possession"))
     off_cols, def_cols = _columns("posteam"), _columns("defteam")
-    drives = facts.groupBy("posteam", "defteam", "season", "week", *GAME_DRIVE).agg(
-        *[F.sum(c).alias(c) for c in (*_OFF_SUMS, *_DEF_SUMS)],
-        F.max(F.when(known, F.col("in_red"))).alias("rz_drives"),
-        F.max(F.when(known, F.col("red_score"))).alias("rz_scores"),
-        _one_if(paced).alias("paces"),
-        F.sum(F.when(paced, F.col("drive_play_count"))).alias("pace_plays"),
-        F.count(minutes).alias("clocks"),
-        F.sum(minutes).alias("clock_minutes"),
-        F.max(F.when(known & (F.col("def_plays") > 0), F.lit(1))).alias("def_drives"),
+    drives = _fold_drives(
+        drive_facts(plays), ["posteam", "defteam", "season", "week", *GAME_DRIVE], (*off_cols, *def_cols)
     )
     # totals per pairing first, then each pairing counts for both of its teams
     pairs = _fold(drives, (*off_cols, *def_cols), ["posteam", "defteam", "season", "week"])
-    types = dict(pairs.dtypes)
-
-    def as_side(team: str, mine, other) -> Column:
-        return F.struct(
-            F.col(team).alias("team"), *[F.col(c).alias(c) for c in mine],
-            *[F.lit(None).cast(types[c]).alias(c) for c in other],
-        )
-
     order = sorted((*off_cols, *def_cols))
 
-    def ordered(side: Column) -> Column:
-        return F.struct(side.team.alias("team"), *[side[c].alias(c) for c in order])
+    def side(team: str, mine) -> str:
+        fields = ", ".join(f"if({'true' if c in mine else 'false'}, {c}, NULL) AS {c}" for c in order)
+        return f"struct({team} AS team, {fields})"
 
-    sides = pairs.select(
+    sides = pairs.selectExpr(
         "season", "week",
-        F.explode(F.array(
-            ordered(as_side("posteam", off_cols, def_cols)),
-            ordered(as_side("defteam", def_cols, off_cols)),
-        )).alias("side"),
+        f"explode(array({side('posteam', off_cols)}, {side('defteam', def_cols)})) AS side",
     ).select("season", "week", "side.*")
     return _fold(sides.filter(F.col("team").isNotNull()), order, ["team", "season", "week"])
 

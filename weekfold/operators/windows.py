@@ -22,20 +22,15 @@ from weekfold.functions.scalars import as_col, existing, ordinal
 MEASURES = ("avg", "stddev", "trend", "min", "max")
 
 
-def measure_over(measure: str, stat: str, position: str, frame) -> Column:
-    """One rolling measure of ``stat`` over a window frame."""
-    value = F.col(stat).cast("double")
-    if measure == "avg":
-        return F.avg(value).over(frame)
-    if measure == "stddev":
-        return F.stddev_samp(value).over(frame)
-    if measure == "trend":
-        return F.regr_slope(value, F.col(position).cast("double")).over(frame)
-    if measure == "min":
-        return F.min(value).over(frame)
-    if measure == "max":
-        return F.max(value).over(frame)
-    raise ValueError(f"unknown measure {measure}")
+# SQL text rather than Column objects: a wide table needs hundreds of these, and
+# text crosses to the JVM in one call each
+_MEASURE_SQL = {
+    "avg": "avg(cast({v} AS double))",
+    "stddev": "stddev_samp(cast({v} AS double))",
+    "trend": "regr_slope(cast({v} AS double), cast({x} AS double))",
+    "min": "min(cast({v} AS double))",
+    "max": "max(cast({v} AS double))",
+}
 
 
 def column_name(stat: str, measure: str, window: int) -> str:
@@ -47,16 +42,21 @@ def game_number(df: DataFrame, entity=("player_id",), order=("season", "week"),
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*entity).orderBy(*order)))
 
 
-def _all_measures(stats, windows, measures, w, position) -> list[Column]:
+def _all_measures(stats, windows, measures, partition, order, position) -> list[str]:
+    """Every measure of every statistic over every window, and the window sizes."""
+    unknown = set(measures) - set(_MEASURE_SQL)
+    if unknown:
+        raise ValueError(f"unknown measures {sorted(unknown)}")
+    by = f"PARTITION BY {', '.join(partition)} ORDER BY {', '.join(order)}"
     out = []
     for n in windows:
-        frame = w.rowsBetween(-n, -1)
+        frame = f"OVER ({by} ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)"
         for stat in stats:
             out += [
-                measure_over(m, stat, position, frame).alias(column_name(stat, m, n))
+                f"{_MEASURE_SQL[m].format(v=f'`{stat}`', x=position)} {frame} AS `{column_name(stat, m, n)}`"
                 for m in measures
             ]
-        out.append(F.count(F.lit(1)).over(frame).alias(f"games_in_window_{n}"))
+        out.append(f"count(1) {frame} AS games_in_window_{n}")
     return out
 
 
@@ -79,12 +79,12 @@ def rolling(
     stats = existing(df, stats)
     keep = list(keep) if keep is not None else [c for c in df.columns if c not in stats]
     keep = [c for c in keep if c != "game_number"]
-    w = Window.partitionBy(*entity).orderBy(*order)
     numbered = game_number(df.select(*dict.fromkeys([*entity, *order, *keep, *stats])), entity, order)
     if drop_first_before:
         numbered = numbered.filter(F.col("game_number") > 1)
-    return numbered.select(
-        *keep, "game_number", *_all_measures(stats, windows, measures, w, "game_number")
+    return numbered.selectExpr(
+        *[f"`{c}`" for c in keep], "game_number",
+        *_all_measures(stats, windows, measures, entity, order, "game_number"),
     )
 
 
@@ -145,10 +145,9 @@ def rolling_events(
             F.when(at >= block_rows - reach, F.array(block, block + 1)).otherwise(F.array(block))
         ),
     )
-    w = Window.partitionBy(*entity, "_block").orderBy("event_number")
-    wide = spread.select(
-        "_own", "_block", "event_number", *keep,
-        *_all_measures(stats, windows, measures, w, "event_number"),
+    wide = spread.selectExpr(
+        "_own", "_block", "event_number", *[f"`{c}`" for c in keep],
+        *_all_measures(stats, windows, measures, [*entity, "_block"], ["event_number"], "event_number"),
     )
     return wide.filter(F.col("_own") == F.col("_block")).drop("_own", "_block")
 

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weekfold import config
-from weekfold.functions import nested as nx
 from weekfold.functions import scalars as fx
 from weekfold.operators.joins import lag_period, team_games
 from weekfold.operators.windows import column_name
@@ -20,39 +19,36 @@ def vector_stats() -> list[str]:
     return list(dict.fromkeys(s for slots in config.VECTOR_STATS.values() for s, _ in slots if s))
 
 
-def _known(df: DataFrame, name: str | None) -> Column:
-    if name is None or name not in df.columns:
-        return F.lit(0.0)
-    return F.coalesce(F.col(name).cast("double"), F.lit(0.0))
+def _known(columns, name: str | None) -> str:
+    return f"coalesce(cast(`{name}` AS double), 0D)" if name in columns else "0D"
 
 
-def _by_position(build, other: Column) -> Column:
-    out = F
-    for position in config.VECTOR_STATS:
-        out = out.when(F.col("position") == position, build(position))
-    return out.otherwise(other)
+def _by_position(build, other: str) -> str:
+    cases = " ".join(f"WHEN '{p}' THEN {build(p)}" for p in config.VECTOR_STATS)
+    return f"CASE position {cases} ELSE {other} END"
 
 
 def numerical_vector(df: DataFrame) -> Column:
     """17 shared values, then ten per window chosen by position; nulls are 0."""
-    shared = F.array(*[_known(df, n) for n in config.VECTOR_UNIVERSAL])
-    zeros = F.array(*[F.lit(0.0)] * 10)
+    columns = set(df.columns)
+    shared = ", ".join(_known(columns, n) for n in config.VECTOR_UNIVERSAL)
 
-    def window(n: int) -> Column:
-        return _by_position(
-            lambda p: F.array(*[
-                _known(df, column_name(s, "avg", n) if s else None) for s, _ in config.VECTOR_STATS[p]
-            ]),
-            zeros,
-        )
+    def window(n: int) -> str:
+        def slots(p: str) -> str:
+            names = [column_name(s, "avg", n) if s else None for s, _ in config.VECTOR_STATS[p]]
+            return "array(" + ", ".join(_known(columns, c) for c in names) + ")"
 
-    return nx.concat_all([shared, *[window(n) for n in config.VECTOR_WINDOWS.values()]])
+        return _by_position(slots, "array_repeat(0D, 10)")
+
+    windows = ", ".join(window(n) for n in config.VECTOR_WINDOWS.values())
+    return F.expr(f"concat(array({shared}), {windows})")
 
 
 def vector_labels() -> Column:
-    return _by_position(
-        lambda p: nx.text_array(config.vector_names(p)), F.lit(None).cast("array<string>")
-    )
+    def names(p: str) -> str:
+        return "array(" + ", ".join(f"'{n}'" for n in config.vector_names(p)) + ")"
+
+    return F.expr(_by_position(names, "cast(NULL AS array<string>)"))
 
 
 def assemble(

@@ -16,9 +16,9 @@ PLAYS_FROM = 1998  # the stand-in seasons 1998 on count as having plays
 def rounded(df, places: int = 6):
     """Doubles rounded, counts widened: the form results are compared in."""
     widen = {"int", "smallint", "tinyint"}
-    return df.select(*[
-        F.round(c, places).alias(c) if t == "double"
-        else F.col(c).cast("bigint").alias(c) if t in widen else F.col(c)
+    return df.selectExpr(*[
+        f"round(`{c}`, {places}) AS `{c}`" if t == "double"
+        else f"cast(`{c}` AS bigint) AS `{c}`" if t in widen else f"`{c}`"
         for c, t in df.dtypes
     ])
 
@@ -323,13 +323,13 @@ add_table("allowed", ("player_games",), _ALLOWED_BASE)
 
 
 @query("f08_opponent_allowed", f"""
-SELECT player_id, CAST(season AS BIGINT) AS season, CAST(week AS BIGINT) AS week, stat, round(value, 6) AS value
+SELECT player_id, CAST(season AS BIGINT) AS season, CAST(week AS BIGINT) AS week, stat, round(value, 8) AS value
 FROM ({_ALLOWED_LONG})""", ["allowed"])
 def f08(spark, root):
     stats = src.player_games(spark, root)
     on = ["opponent_team", "position", "season", "week"]
     allowed = stats.select("player_id", *on).join(matchup.defence_allowed(stats), on, "left")
-    return rounded(allowed.select("player_id", "season", "week", F.explode("opp_allowed").alias("stat", "value")))
+    return rounded(allowed.select("player_id", "season", "week", F.explode("opp_allowed").alias("stat", "value")), 8)
 
 
 @query("f08_matchup_features", """
@@ -387,7 +387,8 @@ FROM (SELECT posteam, season, week + k AS n, {keys}, {inner} FROM plays, (SELECT
 _RZ = "coalesce(sum(scored) / nullif(CAST(count(scored) AS DOUBLE), 0), 0.5) AS off_red_zone_efficiency"
 _RZ_INNER = "max(touchdown) FILTER (yardline_100 <= 20) AS scored"
 _PACE_SELECT = """coalesce(avg(drive_play_count), 65.0) AS pace_of_play,
-  coalesce(avg(CAST(split_part(drive_time_of_possession, ':', 1) AS INTEGER) + CAST(split_part(drive_time_of_possession, ':', 2) AS INTEGER) / 60.0), 30.0) AS time_of_possession_avg"""
+  coalesce(sum(CAST(split_part(drive_time_of_possession, ':', 1) AS INTEGER) * 60 + CAST(split_part(drive_time_of_possession, ':', 2) AS INTEGER))
+    / nullif(CAST(60 * count(*) AS DOUBLE), 0), 30.0) AS time_of_possession_avg"""
 
 
 def _rounding(sql, names):

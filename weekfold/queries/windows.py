@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from weekfold.operators import windows as win
+from weekfold.queries.features import rounded
 from weekfold.queries.registry import query
 from weekfold.sources import stand_ins as src
 
@@ -42,17 +43,10 @@ SELECT event_id, user_id, n AS event_number, {', '.join(cols)}
 FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events)"""
 
 
-def _rounded(df):
-    return df.select(*[
-        F.round(c, 6).alias(c) if t == "double" else F.col(c).cast("bigint").alias(c)
-        for c, t in df.dtypes
-    ])
-
-
 def _register(name, measures):
     @query(name, _events_sql(measures))
     def run(spark, root):
-        return _rounded(_events(spark, root, measures))
+        return rounded(_events(spark, root, measures))
 
 
 _register("w00_rolling_all", list(win.MEASURES))

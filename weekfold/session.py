@@ -24,6 +24,9 @@ def build_session(app: str = "weekfold", master: str | None = None, **conf) -> S
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.ui.enabled": "false",
+        # plans here are built from generated columns; recording a Python call
+        # site for each of them costs more than planning does
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     for key, value in settings.items():

@@ -44,11 +44,6 @@ def opponent(team: str = "team", week: str = "week") -> Column:
     return F.pmod(F.col(week) - F.col(team), F.lit(TEAMS))
 
 
-def _epa() -> Column:
-    """Quarters between -1.25 and 1.25, so that sums are exact in any order."""
-    return (F.round(F.col("l_discount") * 100) - 5) / 4
-
-
 def order_periods(spark: SparkSession, root: str) -> DataFrame:
     o = table(spark, root, "orders")
     return o.select(
@@ -60,60 +55,41 @@ def order_periods(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def _line_measures() -> list[Column]:
-    ran = F.col("l_returnflag") == "R"
-    passed = ~ran
-    thrown = F.col("l_returnflag") == "N"
-    open_ = F.col("l_linestatus") == "O"
-    qty = F.col("l_quantity")
-    big = qty > 45
-    epa = _epa()
-    tenth = F.round(F.col("l_discount") * 100) == 10
-    kick = F.col("l_partkey") % 3 == 0
-    pat = F.col("l_partkey") % 4 == 0
-
-    def n(test, name):
-        return F.sum(test.cast("int")).alias(name)
-
-    def total(test, value, name):
-        return F.sum(F.when(test, value).otherwise(F.lit(0.0))).alias(name)
-
-    return [
-        F.count(F.lit(1)).alias("lines"),
-        F.sum(qty).alias("quantity"),
-        n(passed, "attempts"),
-        n(passed & open_, "completions"),
-        total(passed, qty, "passing_yards"),
-        n(passed & big, "passing_tds"),
-        n(passed & (F.col("l_suppkey") % 20 == 0), "passing_interceptions"),
-        total(passed, epa, "passing_epa"),
-        n(passed & tenth, "sacks_suffered"),
-        n(ran, "carries"),
-        total(ran, qty, "rushing_yards"),
-        n(ran & big, "rushing_tds"),
-        total(ran, epa, "rushing_epa"),
-        n(thrown, "targets"),
-        n(thrown & open_, "receptions"),
-        total(thrown & open_, qty, "receiving_yards"),
-        n(thrown & open_ & big, "receiving_tds"),
-        total(thrown, epa, "receiving_epa"),
-        n(kick, "fg_att"),
-        n(kick & open_, "fg_made"),
-        n(pat, "pat_att"),
-        n(pat & ~open_, "pat_made"),
-        n(F.col("l_suppkey") % 2 == 0, "def_tackles_solo"),
-    ]
-
-
-COUNTS = [
-    "lines", "attempts", "completions", "passing_tds", "passing_interceptions",
-    "sacks_suffered", "carries", "rushing_tds", "targets", "receptions",
-    "receiving_tds", "fg_att", "fg_made", "pat_att", "pat_made", "def_tackles_solo",
-]
+# quarters between -1.25 and 1.25, so that sums are exact in any order
+_EPA = "(round(l_discount * 100) - 5) / 4"
+# per order: name -> aggregate over its lines
+_LINE_MEASURES = {
+    "lines": "count(1)",
+    "quantity": "sum(l_quantity)",
+    "attempts": "count_if(l_returnflag <> 'R')",
+    "completions": "count_if(l_returnflag <> 'R' AND l_linestatus = 'O')",
+    "passing_yards": "sum(if(l_returnflag <> 'R', l_quantity, 0D))",
+    "passing_tds": "count_if(l_returnflag <> 'R' AND l_quantity > 45)",
+    "passing_interceptions": "count_if(l_returnflag <> 'R' AND l_suppkey % 20 = 0)",
+    "passing_epa": f"sum(if(l_returnflag <> 'R', {_EPA}, 0D))",
+    "sacks_suffered": "count_if(l_returnflag <> 'R' AND round(l_discount * 100) = 10)",
+    "carries": "count_if(l_returnflag = 'R')",
+    "rushing_yards": "sum(if(l_returnflag = 'R', l_quantity, 0D))",
+    "rushing_tds": "count_if(l_returnflag = 'R' AND l_quantity > 45)",
+    "rushing_epa": f"sum(if(l_returnflag = 'R', {_EPA}, 0D))",
+    "targets": "count_if(l_returnflag = 'N')",
+    "receptions": "count_if(l_returnflag = 'N' AND l_linestatus = 'O')",
+    "receiving_yards": "sum(if(l_returnflag = 'N' AND l_linestatus = 'O', l_quantity, 0D))",
+    "receiving_tds": "count_if(l_returnflag = 'N' AND l_linestatus = 'O' AND l_quantity > 45)",
+    "receiving_epa": f"sum(if(l_returnflag = 'N', {_EPA}, 0D))",
+    "fg_att": "count_if(l_partkey % 3 = 0)",
+    "fg_made": "count_if(l_partkey % 3 = 0 AND l_linestatus = 'O')",
+    "pat_att": "count_if(l_partkey % 4 = 0)",
+    "pat_made": "count_if(l_partkey % 4 = 0 AND l_linestatus <> 'O')",
+    "def_tackles_solo": "count_if(l_suppkey % 2 = 0)",
+}
+
+
 AMOUNTS = [
     "quantity", "passing_yards", "passing_epa", "rushing_yards", "rushing_epa",
     "receiving_yards", "receiving_epa",
 ]
+COUNTS = [m for m in _LINE_MEASURES if m not in AMOUNTS]
 RATES = ["fg_pct", "target_share", "air_yards_share"]
 # the statistics of player_games that the position lists ask for
 STATS = [c for c in COUNTS if c != "lines"] + [c for c in AMOUNTS if c != "quantity"] + RATES
@@ -121,7 +97,9 @@ STATS = [c for c in COUNTS if c != "lines"] + [c for c in AMOUNTS if c != "quant
 
 def player_games(spark: SparkSession, root: str) -> DataFrame:
     """One row per (player, season, week) with all game statistics; byes dropped."""
-    lines = table(spark, root, "lineitem").groupBy("l_orderkey").agg(*_line_measures())
+    lines = table(spark, root, "lineitem").groupBy("l_orderkey").agg(
+        *[F.expr(f"{sql} AS {name}") for name, sql in _LINE_MEASURES.items()]
+    )
     orders = order_periods(spark, root)
     games = (
         orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left")
@@ -130,8 +108,8 @@ def player_games(spark: SparkSession, root: str) -> DataFrame:
             F.sum("o_totalprice").alias("spend"),
             F.sum("points").cast("double").alias("fantasy_points"),
             F.count(F.lit(1)).alias("orders"),
-            *[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in COUNTS],
-            *[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in AMOUNTS],
+            *[F.expr(f"coalesce(sum({c}), 0L) AS {c}") for c in COUNTS],
+            *[F.expr(f"coalesce(sum({c}), 0D) AS {c}") for c in AMOUNTS],
         )
     )
     people = table(spark, root, "customer").select(
@@ -187,8 +165,7 @@ def team_stats(spark: SparkSession, root: str) -> DataFrame:
     return player_games(spark, root).groupBy(
         "team", "season", "week", "season_type", "opponent_team"
     ).agg(
-        *[F.sum(c).cast("bigint").alias(c) for c in COUNTS if c != "lines"],
-        *[F.sum(c).alias(c) for c in AMOUNTS if c != "quantity"],
+        *[F.expr(f"sum({c}) AS {c}") for c in [*COUNTS, *AMOUNTS] if c not in ("lines", "quantity")],
         F.sum("fantasy_points").alias("fantasy_points"),
     )
 
@@ -284,7 +261,7 @@ def plays(spark: SparkSession, root: str) -> DataFrame:
         F.col("l_linenumber").alias("down"),
         F.col("l_quantity").alias("yards_gained"),
         F.col("l_quantity").alias("yardline_100"),
-        _epa().alias("epa"),
+        F.expr(_EPA).alias("epa"),
         success.alias("success"),
         ran.cast("int").alias("touchdown"),
         F.when(ran, F.lit("run")).otherwise(F.lit("pass")).alias("play_type"),
