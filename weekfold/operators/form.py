@@ -12,6 +12,15 @@ from weekfold.operators.windows import MEASURES, column_name, rolling
 IDENTITY = ("player_id", "player_name", "position", "season", "week", "team")
 
 
+def trend_stats() -> list[str]:
+    """Statistics whose slope enters a composite trend."""
+    names = []
+    for spec in config.TREND_WEIGHTS.values():
+        names += [s for s, _, _ in spec["terms"] or []]
+        names += [spec["fallback"], *spec["usage"], spec["share"]]
+    return list(dict.fromkeys(n for n in names if n))
+
+
 def relevant_positions(stat: str) -> list[str]:
     return [p for p in config.POSITION_STATS if stat in config.position_stats(p)]
 
@@ -39,9 +48,13 @@ def rolling_features(
     shared=("fantasy_points",),
     season_type: str | None = "REG",
     drop_first_before: bool = False,
+    trends_only: bool = False,
 ) -> DataFrame:
     """Rolling measures of all configured statistics the table has.
 
+    With ``trends_only`` slopes are computed just where the composite trends
+    read them, on top of ``measures``.
+
     Regular season only. Each (player, season, week) is unique, so partitions
     are bounded by the calendar and (season, week) is a complete order.
     """
@@ -51,9 +64,10 @@ def rolling_features(
         games = games.filter(F.col("season_type") == season_type)
     keep = existing(games, IDENTITY)
     games = masked_stats(games.select(*dict.fromkeys([*keep, *wanted])), wanted, shared)
+    extra = [(s, "trend", config.TREND_WINDOW) for s in wanted if s in trend_stats()]
     return rolling(
         games, stats=wanted, windows=windows, measures=measures, keep=keep,
-        drop_first_before=drop_first_before,
+        drop_first_before=drop_first_before, extra=extra if trends_only else (),
     )
 
 

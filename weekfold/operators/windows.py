@@ -42,22 +42,25 @@ def game_number(df: DataFrame, entity=("player_id",), order=("season", "week"),
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*entity).orderBy(*order)))
 
 
-def _all_measures(stats, windows, measures, partition, order, position) -> list[str]:
-    """Every measure of every statistic over every window, and the window sizes."""
-    unknown = set(measures) - set(_MEASURE_SQL)
+def _all_measures(stats, windows, measures, partition, order, position, extra=()) -> list[str]:
+    """Every measure of every statistic over every window, and the window sizes.
+
+    ``extra`` lists further (statistic, measure, window) triples.
+    """
+    unknown = {*measures, *(m for _, m, _ in extra)} - set(_MEASURE_SQL)
     if unknown:
         raise ValueError(f"unknown measures {sorted(unknown)}")
     by = f"PARTITION BY {', '.join(partition)} ORDER BY {', '.join(order)}"
-    out = []
-    for n in windows:
-        frame = f"OVER ({by} ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)"
-        for stat in stats:
-            out += [
-                f"{_MEASURE_SQL[m].format(v=f'`{stat}`', x=position)} {frame} AS `{column_name(stat, m, n)}`"
-                for m in measures
-            ]
-        out.append(f"count(1) {frame} AS games_in_window_{n}")
-    return out
+
+    def frame(n: int) -> str:
+        return f"OVER ({by} ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)"
+
+    triples = [(s, m, n) for n in windows for s in stats for m in measures]
+    triples += [t for t in extra if t not in triples]
+    return [
+        f"{_MEASURE_SQL[m].format(v=f'`{s}`', x=position)} {frame(n)} AS `{column_name(s, m, n)}`"
+        for s, m, n in triples
+    ] + [f"count(1) {frame(n)} AS games_in_window_{n}" for n in windows]
 
 
 def rolling(
@@ -69,6 +72,7 @@ def rolling(
     measures=MEASURES,
     keep=None,
     drop_first_before: bool = False,
+    extra=(),
 ) -> DataFrame:
     """Rolling measures over the previous n rows, current row excluded.
 
@@ -84,7 +88,7 @@ def rolling(
         numbered = numbered.filter(F.col("game_number") > 1)
     return numbered.selectExpr(
         *[f"`{c}`" for c in keep], "game_number",
-        *_all_measures(stats, windows, measures, entity, order, "game_number"),
+        *_all_measures(stats, windows, measures, entity, order, "game_number", extra),
     )
 
 

@@ -12,10 +12,6 @@ from weekfold.session import settle
 from weekfold.sources import stand_ins as src
 
 PLAYS_FROM = 1998
-TREND_STATS = (
-    "passing_yards passing_tds rushing_yards attempts receiving_yards targets carries "
-    "target_share fg_pct fg_att"
-).split()
 _built: dict = {}
 
 
@@ -41,9 +37,9 @@ def team_stats(spark, root):
 def player_features(spark, root):
     """Rolling form, composite trends and matchup context."""
     stats = games(spark, root)
-    wanted = list(dict.fromkeys([*dataset.vector_stats(), *TREND_STATS]))
+    wanted = list(dict.fromkeys([*dataset.vector_stats(), *form.trend_stats()]))
     rolled = form.composite_trends(
-        form.rolling_features(stats, wanted, measures=("avg", "trend"))
+        form.rolling_features(stats, wanted, measures=("avg",), trends_only=True)
     )
     averages = [c for c in rolled.columns if "_trend_" not in c]
     return matchup.matchup(rolled.select(*averages), stats, schedule(spark, root), team_stats(spark, root))

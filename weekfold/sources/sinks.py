@@ -39,11 +39,12 @@ def write_aligned(
     schema: T.StructType | None = None,
     mode: str = "append",
     partition_by=(),
+    only_present: bool = False,
 ) -> None:
     """Write by column name. ``mode`` is ``append``, ``replace`` or ``fail``.
 
-    ``replace`` empties the table first; with ``partition_by`` and dynamic
-    partition overwrite only the partitions present in ``df`` are rewritten.
+    ``replace`` empties the table first; with ``only_present`` just the
+    partitions that ``df`` has rows for are replaced and the others stay.
     ``fail`` refuses to touch a table that already holds rows.
     """
     spark = df.sparkSession
@@ -54,7 +55,9 @@ def write_aligned(
         mode = "append"
     writer = out.write.mode({"append": "append", "replace": "overwrite"}[mode])
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
+        writer = writer.partitionBy(*partition_by).option(
+            "partitionOverwriteMode", "dynamic" if only_present else "static"
+        )
     writer.parquet(path)
 
 
@@ -62,4 +65,4 @@ def refresh(df: DataFrame, path: str, partition_by=("season",)) -> DataFrame:
     """Rebuild a stage table and read it back, so later stages start from files."""
     cols = [c for c in partition_by if c in df.columns]
     write_aligned(df, path, mode="replace", partition_by=cols)
-    return df.sparkSession.read.parquet(path).select(*df.columns)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
