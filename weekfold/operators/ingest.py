@@ -37,6 +37,24 @@ def known_hashes(target: DataFrame) -> DataFrame:
     return target.select("row_hash").filter(F.col("row_hash").isNotNull()).distinct()
 
 
+def stored_near(batch: DataFrame, stored: DataFrame, scope, limit: int = 1000) -> DataFrame:
+    """The stored rows that can share a key with the batch.
+
+    ``scope`` names partition columns that belong to the key. Their distinct
+    values in a batch (a few seasons) become a static partition filter; if
+    there are more than ``limit`` the whole table stays in play.
+    """
+    scope = [c for c in scope if c in batch.columns]
+    if not scope:
+        return stored
+    values = batch.select(*scope).distinct().limit(limit + 1).collect()
+    if len(values) > limit:
+        return stored
+    for c in scope:
+        stored = stored.filter(F.col(c).isin(sorted({v[c] for v in values if v[c] is not None})))
+    return stored
+
+
 def new_rows(hashed: DataFrame, target: DataFrame) -> DataFrame:
     """Rows whose hash the target does not hold yet; copies inside a batch all stay."""
     return hashed.join(known_hashes(target), "row_hash", "left_anti")
@@ -95,21 +113,17 @@ def incremental_append(
 ) -> tuple[DataFrame, DataFrame]:
     """Append the rows of ``df`` that ``path`` does not hold, and count what happened.
 
-    ``scope`` names partition columns that are part of the key: the stored side
-    is then joined on them as well, so dynamic partition pruning reads only the
-    partitions the batch touches instead of the whole table's hashes.
-    Returns (the table, one counters row).
+    ``scope`` names partition columns that are part of the key, so only the
+    partitions a batch touches are searched (``stored_near``). Returns (the table, one counters row).
     """
     spark = df.sparkSession
     hashed = with_key_hash(df, key_columns(df, table, keys))
     # dropping the stale listing first makes repeated loads see earlier files
     stored = spark.read.schema(hashed.schema).parquet(path) if path_exists(spark, path) else None
     if stored is None:
-        fresh, known = hashed, None
+        fresh = hashed
     else:
-        on = ["row_hash", *[c for c in scope if c in df.columns]]
-        known = stored.select(*on).distinct()
-        fresh = hashed.join(known, on, "left_anti")
+        fresh = new_rows(hashed, stored_near(hashed, stored, scope)).select(*hashed.columns)
     before = 0 if stored is None else stored.count()
     total = df.count()
     write_aligned(fresh, path, hashed.schema, "append", partition_by)

@@ -96,8 +96,12 @@ def with_prefix(df: DataFrame, prefix: str, columns, rename: dict | None = None)
 
 
 def with_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach an aggregate that is a single row by construction."""
-    return df.join(F.broadcast(one_row))
+    """Attach the columns of a global aggregate.
+
+    Each is a scalar subquery, so there is no join: Spark evaluates the
+    aggregate once and inserts its values as constants.
+    """
+    return df.select("*", *[one_row.select(c).scalar().alias(c) for c in one_row.columns])
 
 
 def last_meetings(df: DataFrame, keys, fields: dict, n: int = config.HISTORY_MEETINGS, name: str = "history") -> DataFrame:

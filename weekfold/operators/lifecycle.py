@@ -50,18 +50,17 @@ def lifecycle(players: DataFrame, rosters: DataFrame, stats: DataFrame) -> DataF
     """
     from_rosters = career(rosters, "gsis_id", "r").withColumnRenamed("gsis_id", "_gsis")
     from_stats = career(stats, "player_id", "s").withColumnRenamed("player_id", "_player")
-    newest = stats.agg(F.max("season").alias("_newest"))
+    newest = stats.agg(F.max("season")).scalar()
     last = F.coalesce("r_last", "s_last")
     status = (
         F.when(F.col("status") == "RET", F.lit("retired"))
-        .when(last < F.col("_newest") - 1, F.lit("inactive"))
+        .when(last < newest - 1, F.lit("inactive"))
         .otherwise(F.lit("active"))
     )
     return (
         players.dropna(subset=["player_id"])
         .join(from_rosters, F.col("gsis_id") == F.col("_gsis"), "left")
         .join(from_stats, F.col("player_id") == F.col("_player"), "left")
-        .join(F.broadcast(newest))
         .select(
             "player_id", "gsis_id", "espn_id",
             F.coalesce("r_first", "s_first").alias("first_season"),

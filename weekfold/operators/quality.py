@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from weekfold import config
 from weekfold.functions.nested import count_matching, set_flags
 from weekfold.functions.scalars import as_col, stepped, weeks_ago, z_score
+from weekfold.operators.joins import with_one_row
 
 
 # --- audits ---------------------------------------------------------------------
@@ -24,7 +25,7 @@ def distinct_per_group(df: DataFrame, group, *columns: str) -> DataFrame:
         df.select(*group, c).distinct().groupBy(*group).agg(F.count(c).alias(c)) for c in columns
     ]
     if not group:
-        return reduce(lambda a, b: a.join(F.broadcast(b)), counted)
+        return reduce(with_one_row, counted)
     return reduce(lambda a, b: a.join(b, group), counted)
 
 
@@ -45,14 +46,14 @@ def completeness(df: DataFrame) -> DataFrame:
         F.min("season").alias("earliest_season"), F.max("season").alias("latest_season"),
     )
     players = per_player.select("player_id").distinct().agg(F.count("player_id").alias("unique_players"))
-    return totals.join(F.broadcast(players))
+    return with_one_row(totals, players)
 
 
 def zscore_outliers(df: DataFrame, column: str, threshold: float = 3.0, limit: int = 100, tiebreak=()) -> DataFrame:
     """Rows more than ``threshold`` deviations from the mean, furthest first."""
     known = df.filter(F.col(column).isNotNull())
     stats = known.agg(F.avg(column).alias("_mean"), F.stddev_samp(column).alias("_std"))
-    scored = known.join(F.broadcast(stats)).withColumn("z_score", z_score(column, "_mean", "_std"))
+    scored = with_one_row(known, stats).withColumn("z_score", z_score(column, "_mean", "_std"))
     return (
         scored.filter(F.col("z_score") > threshold).drop("_mean", "_std")
         .orderBy(F.desc("z_score"), *tiebreak).limit(limit)
@@ -85,7 +86,7 @@ def _violations(df: DataFrame, checks: dict[str, Column], duplicate_of=()) -> Da
     if duplicate_of:
         sizes = df.groupBy(*duplicate_of).agg(F.count(F.lit(1)).alias("n"))
         dups = sizes.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_keys"))
-        wide = wide.join(F.broadcast(dups))
+        wide = with_one_row(wide, dups)
     return wide.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("check_name"), F.col(c).cast("bigint").alias("violations"))
         for c in wide.columns
@@ -188,12 +189,14 @@ def score_quality(
     team: str = "team",
     opponent: str = "opponent_team",
 ) -> DataFrame:
-    """Add ``quality``, its parts, and ``flags``. One projection, no joins but
-    the single row holding the newest season and week (independent maxima)."""
+    """Add ``quality``, its parts, and ``flags``: one projection, no joins.
+
+    The newest season and week (independent maxima) are scalar subqueries.
+    """
     newest = df.agg(F.max("season").alias("_s"), F.max("week").alias("_w"))
     w = config.QUALITY_WEIGHTS
     age = weeks_ago("season", "week", "_s", "_w")
-    parts = df.join(F.broadcast(newest)).select(
+    parts = with_one_row(df, newest).select(
         *df.columns,
         completeness_ratio(vector).alias("completeness_ratio"),
         completeness_score(vector).alias("completeness_score"),

@@ -10,10 +10,11 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvalu
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weekfold import config
+from weekfold.operators.joins import with_one_row
 
 
 # --- reading -------------------------------------------------------------------------
@@ -148,7 +149,7 @@ def classification_metrics(df: DataFrame, label: str = "label", prediction: str
         (F.sum(v * F.col("support")) / F.sum("support")).alias(name)
         for name, v in (("weighted_precision", p), ("weighted_recall", r), ("weighted_f1", f1))
     ])
-    joined = overall.join(weighted, list(group)) if group else overall.join(F.broadcast(weighted))
+    joined = overall.join(weighted, list(group)) if group else with_one_row(overall, weighted)
     zero = F.lit(0)
     return joined.select(
         *group, "n",
@@ -162,16 +163,24 @@ def classification_metrics(df: DataFrame, label: str = "label", prediction: str
 def area_under_roc(df: DataFrame, label: str = "label", score_col: str = "score", group=()) -> DataFrame:
     """Area under the ROC curve from counts per distinct score.
 
-    Negatives below a score plus half of those at it, summed over positives;
-    the running count covers distinct scores, pre-aggregated, not rows.
+    Negatives below a score plus half of those at it, summed over positives.
+    Scores are counted first, then cut into slices of their range: only slice
+    totals are accumulated over a group, and scores inside their slice, so even
+    all-distinct scores of one group are spread over many tasks.
     """
     per_score = df.groupBy(*group, F.col(score_col).alias("s")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")
+    ).withColumn("_slice", F.floor(F.atan("s") * 10_000))
+    before = Window.orderBy("_slice") if not group else Window.partitionBy(*group).orderBy("_slice")
+    totals = per_score.groupBy(*group, "_slice").agg(F.sum("neg").alias("_neg"))
+    starts = totals.select(
+        *group, "_slice",
+        F.coalesce(F.sum("_neg").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start"),
+    )
+    inside = Window.partitionBy(*group, "_slice").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = per_score.join(starts, [*group, "_slice"]).withColumn(
+        "under", F.col("_start") + F.coalesce(F.sum("neg").over(inside), F.lit(0))
     )
-    from pyspark.sql import Window
-
-    below = Window.partitionBy(*group).orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = per_score.withColumn("under", F.coalesce(F.sum("neg").over(below), F.lit(0)))
     wins = F.sum(F.col("pos") * (F.col("under") + F.col("neg") / 2.0))
     pairs = F.sum("pos").cast("double") * F.sum("neg")
     return ranked.groupBy(*group).agg((wins / F.nullif(pairs, F.lit(0.0))).alias("auc"))

@@ -23,13 +23,9 @@ def catalog_summary(frames: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, rows)
 
 
-def _latest(df: DataFrame) -> DataFrame:
-    return df.agg(F.max("season").alias("season"))
-
-
 def latest_season(df: DataFrame) -> DataFrame:
-    """Rows of the last season; the other side of the join is a single row."""
-    return df.join(F.broadcast(_latest(df)), "season")
+    """Rows of the last season; the scalar subquery also prunes partitions."""
+    return df.filter(F.col("season") == df.agg(F.max("season")).scalar())
 
 
 def current_players(stats: DataFrame) -> DataFrame:

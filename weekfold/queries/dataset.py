@@ -12,6 +12,7 @@ from weekfold.queries import stages
 from weekfold.queries.base_sql import add_table
 from weekfold.queries.features import TREND_STATS, rolling_sql, rounded
 from weekfold.queries.registry import query
+from weekfold.queries.stages import scored, with_outcomes
 
 # --- the DuckDB counterpart of the assembled vectors -----------------------------------
 _VECTOR_STATS = dataset.vector_stats()
@@ -126,10 +127,6 @@ FROM (SELECT *, {_RATIO} AS completeness_ratio, {_EXTREME} AS extreme_values,
   ((SELECT max(season) FROM features) - season) * 18 + ((SELECT max(week) FROM features) - week) AS weeks_ago FROM features))""")
 
 
-def scored(spark, root):
-    return quality.score_quality(stages.features(spark, root))
-
-
 def _score_query(name, columns, sql_columns):
     @query(name, f"SELECT feature_id, {sql_columns} FROM scored", ["scored"])
     def run(spark, root):
@@ -188,14 +185,6 @@ def _outcome_sql():
 add_table("outcome_rows", ("features", "player_games", "team_games"), _outcome_sql())
 
 
-def with_outcomes(spark, root, played=None):
-    """Scored features with their targets; ``played`` limits which are known."""
-    rows = scored(spark, root)
-    known = rows if played is None else rows.filter(played)
-    found = targets.targets(known, stages.games(spark, root), stages.schedule(spark, root))
-    return targets.with_targets(rows, found)
-
-
 @query("g01_prediction_targets", """
 SELECT feature_id, target, round(value, 6) AS value,
   CASE position WHEN 'QB' THEN 'passing_yards' WHEN 'RB' THEN 'rushing_yards' WHEN 'WR' THEN 'receiving_yards' WHEN 'TE' THEN 'receiving_yards' WHEN 'K' THEN 'fg_made' ELSE 'fantasy_points_ppr' END AS prediction_target
@@ -230,13 +219,9 @@ FROM features f JOIN (SELECT season, week, row_number() OVER (ORDER BY season, w
   FROM (SELECT DISTINCT season, week FROM features)) USING (season, week)""")
 
 
-def split_rows(spark, root):
-    return temporal.temporal_split(with_outcomes(spark, root))
-
-
 @query("v01_first_period_check", "SELECT count(*) FILTER (week = 1) AS violations FROM features", ["features"])
 def v01(spark, root):
-    log = temporal.leak_checks(split_rows(spark, root))
+    log = temporal.leak_checks(stages.training(spark, root))
     return log.filter(F.col("check_name") == "week_1_features").select("violations")
 
 
@@ -273,7 +258,7 @@ UNION ALL SELECT 'future_outcome_leakage', true, 0
 UNION ALL SELECT 'split_temporal_order', true, 0
 UNION ALL SELECT 'data_completeness', true, 0""", ["features"])
 def v06(spark, root):
-    return temporal.leak_checks(split_rows(spark, root)).select("check_name", "passed", "violations")
+    return temporal.leak_checks(stages.training(spark, root)).select("check_name", "passed", "violations")
 
 
 # --- training frame -------------------------------------------------------------------

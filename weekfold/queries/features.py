@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from weekfold import config
 from weekfold.operators import form, lifecycle, matchup, quality, team
+from weekfold.queries import stages
 from weekfold.queries.base_sql import add_table
 from weekfold.queries.registry import query
 from weekfold.sources import stand_ins as src
@@ -343,9 +344,9 @@ LEFT JOIN team_games t ON t.team = g.team AND t.season = g.season AND t.week = g
 LEFT JOIN defence_ranks r ON r.team = g.opponent_team AND r.season = g.season AND r.week = g.week AND r.position = g.position
 WHERE g.season_type = 'REG'""", ["player_games", "team_games", "defence_ranks"])
 def f08_matchup(spark, root):
-    stats, games = games_of(spark, root)
+    stats, games = stages.games(spark, root), stages.schedule(spark, root)
     features = form.rolling_features(stats, ["fantasy_points"], windows=(3,), measures=("avg",))
-    out = matchup.matchup(features.select("player_id", "season", "week"), stats, games, src.team_stats(spark, root))
+    out = matchup.matchup(features.select("player_id", "season", "week"), stats, games, stages.team_stats(spark, root))
     return rounded(out.select(
         "player_id", "season", "week", "rest_days", "opp_rank_vs_position",
         F.coalesce(F.size("opp_history"), F.lit(0)).alias("meetings"),

@@ -6,11 +6,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from weekfold.operators import registry as reg
-from weekfold.operators import temporal
 from weekfold.operators import training as tr
 from weekfold.queries import stages
 from weekfold.queries.base_sql import add_table
-from weekfold.queries.dataset import with_outcomes
 from weekfold.queries.features import rounded
 from weekfold.queries.registry import query
 from weekfold.session import scratch_path
@@ -20,14 +18,8 @@ from weekfold.sources import stand_ins as src
 SMALL = {"maxIter": 5, "maxDepth": 3}
 
 
-def _training_rows(spark, root):
-    return stages.stage(
-        spark, root, "training", lambda: temporal.temporal_split(with_outcomes(spark, root))
-    )
-
-
 def _frame(spark, root, position="RB", target="fantasy_points_ppr"):
-    rows = _training_rows(spark, root)
+    rows = stages.training(spark, root)
     return tr.to_ml_frame(rows.filter(F.col("position") == position), target)
 
 
@@ -141,7 +133,7 @@ def l13(spark, root):
 @query("l14_training_summary")
 def l14(spark, root):
     pairs = [("QB", "passing_yards"), ("RB", "rushing_yards"), ("K", "fg_made")]
-    return tr.train_all(_training_rows(spark, root), pairs, maxIter=2, maxDepth=2)
+    return tr.train_all(stages.training(spark, root), pairs, maxIter=2, maxDepth=2)
 
 
 @query("l15_model_round_trip")

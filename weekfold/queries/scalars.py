@@ -8,6 +8,7 @@ from weekfold import config
 from weekfold.functions import nested as nx
 from weekfold.functions import scalars as fx
 from weekfold.operators import views
+from weekfold.operators.joins import with_one_row
 from weekfold.queries.registry import query
 from weekfold.sources import stand_ins as src
 
@@ -230,7 +231,7 @@ FROM orders, (SELECT avg(o_totalprice) AS m, stddev_samp(o_totalprice) AS s FROM
 def p18(spark, root):
     o = src.table(spark, root, "orders").select("o_orderkey", "o_totalprice")
     stats = o.agg(F.avg("o_totalprice").alias("mean"), F.stddev_samp("o_totalprice").alias("std"))
-    return o.join(F.broadcast(stats)).select(
+    return with_one_row(o, stats).select(
         "o_orderkey", F.round(fx.z_score("o_totalprice", "mean", "std"), 6).alias("z_score")
     )
 

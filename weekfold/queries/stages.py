@@ -6,7 +6,9 @@ way a scheduled run hands one stage's table to the next.
 
 from __future__ import annotations
 
-from weekfold.operators import form, lifecycle, matchup, team
+from pyspark.sql import DataFrame
+
+from weekfold.operators import form, lifecycle, matchup, quality, targets, team, temporal
 from weekfold.plans import dataset
 from weekfold.session import settle
 from weekfold.sources import stand_ins as src
@@ -31,7 +33,7 @@ def schedule(spark, root):
 
 
 def team_stats(spark, root):
-    return src.team_stats(spark, root)
+    return src.team_totals(games(spark, root))
 
 
 def player_features(spark, root):
@@ -57,3 +59,19 @@ def features(spark, root):
         )
 
     return stage(spark, root, "features", build)
+
+
+def scored(spark, root):
+    return quality.score_quality(features(spark, root))
+
+
+def with_outcomes(spark, root, played=None) -> DataFrame:
+    """Scored features with their targets; ``played`` limits which are known."""
+    rows = scored(spark, root)
+    known = rows if played is None else rows.filter(played)
+    return targets.with_targets(rows, targets.targets(known, games(spark, root), schedule(spark, root)))
+
+
+def training(spark, root):
+    """Scored features with targets and split, as stored for training."""
+    return stage(spark, root, "training", lambda: temporal.temporal_split(with_outcomes(spark, root)))

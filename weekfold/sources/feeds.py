@@ -26,12 +26,12 @@ def availability(df: DataFrame, feeds=None) -> DataFrame:
     """
     feeds = list(feeds or config.FEED_SEASONS)
     seasons = df.select(F.col("season").cast("int").alias("season")).distinct()
-    first_loaded = seasons.agg(F.min("season").alias("first_loaded"))
+    first_loaded = seasons.agg(F.min("season")).scalar()
 
     def gate(feed: str) -> Column:
         first, last, once = config.FEED_SEASONS[feed]
         if once:
-            return F.col("season") == F.col("first_loaded")
+            return F.col("season") == first_loaded
         ok = F.lit(True)
         if first is not None:
             ok = ok & (F.col("season") >= first)
@@ -39,10 +39,8 @@ def availability(df: DataFrame, feeds=None) -> DataFrame:
             ok = ok & (F.col("season") <= last)
         return ok
 
-    # one-row side: the smallest season
     return (
-        seasons.join(F.broadcast(first_loaded))
-        .select(
+        seasons.select(
             "season",
             F.explode(
                 F.array(*[F.struct(F.lit(f).alias("feed"), gate(f).alias("available")) for f in feeds])

@@ -161,8 +161,12 @@ def order_games(spark: SparkSession, root: str) -> DataFrame:
 
 
 def team_stats(spark: SparkSession, root: str) -> DataFrame:
+    return team_totals(player_games(spark, root))
+
+
+def team_totals(games: DataFrame) -> DataFrame:
     """player_games summed per (team, season, week)."""
-    return player_games(spark, root).groupBy(
+    return games.groupBy(
         "team", "season", "week", "season_type", "opponent_team"
     ).agg(
         *[F.expr(f"sum({c}) AS {c}") for c in [*COUNTS, *AMOUNTS] if c not in ("lines", "quantity")],

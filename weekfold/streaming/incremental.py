@@ -6,20 +6,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weekfold.operators.ingest import with_key_hash
+from weekfold.operators.ingest import new_rows, stored_near, with_key_hash
 from weekfold.sources.sinks import path_exists
 
 
-def append_unseen(batch: DataFrame, path: str, keys) -> None:
-    """Append the batch's rows whose key hash is not in the table yet."""
+def append_unseen(batch: DataFrame, path: str, keys, partition_by=()) -> None:
+    """Append the batch's rows whose key hash is not in the table yet.
+
+    With ``partition_by`` columns that are part of the key, each batch searches
+    only the partitions it touches, so its cost does not grow with the table.
+    """
     spark = batch.sparkSession
     hashed = with_key_hash(batch, keys)
     if path_exists(spark, path):
         stored = spark.read.schema(hashed.schema).parquet(path)
-        hashed = hashed.join(stored.select("row_hash").distinct(), "row_hash", "left_anti").select(
-            *hashed.columns
-        )
-    hashed.write.mode("append").parquet(path)
+        near = stored_near(hashed, stored, [c for c in partition_by if c in keys])
+        hashed = new_rows(hashed, near).select(*hashed.columns)
+    hashed.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
 def incremental_stream(
@@ -31,6 +34,7 @@ def incremental_stream(
     checkpoint: str,
     max_files: int = 1000,
     transform=None,
+    partition_by=(),
 ):
     """Drain the files waiting at ``source`` into ``target`` and stop.
 
@@ -46,7 +50,7 @@ def incremental_stream(
     return (
         stream.writeStream.trigger(availableNow=True)
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda batch, _: append_unseen(batch, target, keys))
+        .foreachBatch(lambda batch, _: append_unseen(batch, target, keys, partition_by))
         .start()
     )
 
