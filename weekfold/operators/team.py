@@ -208,16 +208,19 @@ def team_aggregates(
     """
     weekly = _both_sides(plays.filter(F.col("season") >= first_play_season))
     columns = [c for c in weekly.columns if c not in ("team", "season", "week")]
-    window = _fold(
-        spread_forward(weekly).select("team", "season", F.col("target_week").alias("week"), *columns),
-        columns, ["team", "season", "week"],
-    ).select("team", "season", "week", *_metrics(config.TEAM_METRICS))
-    targets = weekly.select(
-        "team", "season", "week", (F.coalesce("reg_plays", F.lit(0)) > 0).alias("eligible")
-    )
-    from_plays = targets.join(window, ["team", "season", "week"], "left").select(
-        "team", "season", "week", "eligible", F.lit(1).alias("path"),
-        *[F.coalesce(m, F.lit(v)).alias(m) for m, v in config.TEAM_METRICS.items()],
+    # every week counts for the three after it (k = 1..3) and marks itself (k = 0)
+    marked = weekly.withColumn(
+        "k", F.explode(F.array(*[F.lit(k) for k in range(config.TEAM_LOOKBACK_WEEKS + 1)]))
+    ).withColumn("target_week", F.col("week") + F.col("k"))
+    from_plays = (
+        marked.groupBy("team", "season", F.col("target_week").alias("week"))
+        .agg(
+            F.expr("count_if(k = 0) AS played"),
+            F.expr("coalesce(sum(reg_plays) FILTER (WHERE k = 0), 0) > 0 AS eligible"),
+            *[F.expr(f"sum({c}) FILTER (WHERE k > 0) AS {c}") for c in columns],
+        )
+        .filter(F.col("played") > 0)
+        .select("team", "season", "week", "eligible", F.lit(1).alias("path"), *_metrics(config.TEAM_METRICS))
     )
     constants = team_stats.select(
         "team", "season", "week", F.lit(True).alias("eligible"), F.lit(0).alias("path"),

@@ -392,8 +392,15 @@ _PACE_SELECT = """coalesce(avg(drive_play_count), 65.0) AS pace_of_play,
     / nullif(CAST(60 * count(*) AS DOUBLE), 0), 30.0) AS time_of_possession_avg"""
 
 
-def _rounding(sql, names):
-    return f"SELECT team, season, week, {', '.join(f'round({n}, 6) AS {n}' for n in names)} FROM ({sql})"
+# team metrics are ratios of exact sums, so they are compared unrounded
+def _exact(df):
+    return df.selectExpr(*[
+        f"cast(`{c}` AS bigint) AS `{c}`" if t == "int" else f"`{c}`" for c, t in df.dtypes
+    ])
+
+
+def _picked(sql, names):
+    return f"SELECT team, season, week, {', '.join(names)} FROM ({sql})"
 
 
 add_table("team_offence", ("plays",), _window_sql("posteam", _OFF_SELECT))
@@ -403,36 +410,36 @@ add_table("team_red_zone", ("plays",), _drive_sql(("game_id", "drive"), _RZ, _RZ
 add_table("team_pace", ("plays",), _drive_sql(("game_id", "drive", "drive_play_count", "drive_time_of_possession"), _PACE_SELECT, "count(*) AS plays"))
 
 
-@query("f09_offence_last3", _rounding("SELECT * FROM team_offence", team.OFFENCE), ["team_offence"])
+@query("f09_offence_last3", _picked("SELECT * FROM team_offence", team.OFFENCE), ["team_offence"])
 def f09(spark, root):
-    return rounded(team.offence(src.plays(spark, root)))
+    return _exact(team.offence(src.plays(spark, root)))
 
 
-@query("f10_red_zone", _rounding("SELECT * FROM team_red_zone", team.RED_ZONE), ["team_red_zone"])
+@query("f10_red_zone", _picked("SELECT * FROM team_red_zone", team.RED_ZONE), ["team_red_zone"])
 def f10(spark, root):
-    return rounded(team.red_zone(src.plays(spark, root)))
+    return _exact(team.red_zone(src.plays(spark, root)))
 
 
-@query("f10_red_zone_shared_drive_ids", _rounding(_drive_sql(("drive % 50 AS d",), _RZ, _RZ_INNER), team.RED_ZONE), ["plays"])
+@query("f10_red_zone_shared_drive_ids", _picked(_drive_sql(("drive % 50 AS d",), _RZ, _RZ_INNER), team.RED_ZONE), ["plays"])
 def f10_shared(spark, root):
     # drive numbers that repeat between games, keyed by the number alone
     shared = src.plays(spark, root).withColumn("drive", F.col("drive") % 50)
-    return rounded(team.red_zone(shared, drive_key=("drive",)))
+    return _exact(team.red_zone(shared, drive_key=("drive",)))
 
 
-@query("f11_defence_last3", _rounding("SELECT * FROM team_defence", team.DEFENCE), ["team_defence"])
+@query("f11_defence_last3", _picked("SELECT * FROM team_defence", team.DEFENCE), ["team_defence"])
 def f11(spark, root):
-    return rounded(team.defence(src.plays(spark, root)))
+    return _exact(team.defence(src.plays(spark, root)))
 
 
-@query("f12_neutral_pass_rate", _rounding("SELECT * FROM team_neutral", team.NEUTRAL), ["team_neutral"])
+@query("f12_neutral_pass_rate", _picked("SELECT * FROM team_neutral", team.NEUTRAL), ["team_neutral"])
 def f12(spark, root):
-    return rounded(team.neutral_pass_rate(src.plays(spark, root)))
+    return _exact(team.neutral_pass_rate(src.plays(spark, root)))
 
 
-@query("f13_pace", _rounding("SELECT * FROM team_pace", team.PACE), ["team_pace"])
+@query("f13_pace", _picked("SELECT * FROM team_pace", team.PACE), ["team_pace"])
 def f13(spark, root):
-    return rounded(team.pace(src.plays(spark, root)))
+    return _exact(team.pace(src.plays(spark, root)))
 
 
 _TEAM_COLS = ", ".join(
@@ -457,9 +464,9 @@ def team_features(spark, root):
     return team.team_aggregates(src.plays(spark, root), src.team_stats(spark, root), PLAYS_FROM)
 
 
-@query("f14_team_aggregates", _rounding("SELECT * FROM team_features", config.TEAM_METRICS), ["team_features"])
+@query("f14_team_aggregates", _picked("SELECT * FROM team_features", config.TEAM_METRICS), ["team_features"])
 def f14(spark, root):
-    return rounded(team_features(spark, root))
+    return _exact(team_features(spark, root))
 
 
 @query("q09_team_validation", """

@@ -245,23 +245,26 @@ def plays(spark: SparkSession, root: str) -> DataFrame:
         .withColumn("defteam", opponent("posteam"))
         .filter(F.col("defteam") != F.col("posteam"))
         .join(sizes.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey")
-        .select("o_orderkey", "season", "week", "posteam", "defteam", "drive_play_count")
+        # text that only depends on the order is built once per order, not per line
+        .select(
+            "o_orderkey", "season", "week", _season_type().alias("season_type"), "posteam", "defteam",
+            "drive_play_count",
+            F.concat_ws(
+                "_", "season", "week", F.least("posteam", "defteam"), F.greatest("posteam", "defteam")
+            ).alias("game_id"),
+            F.concat(
+                (F.col("o_orderkey") % 8).cast("string"), F.lit(":"),
+                F.lpad((F.col("o_orderkey") % 60).cast("string"), 2, "0"),
+            ).alias("drive_time_of_possession"),
+        )
     )
     ran = F.col("l_returnflag") == "R"
     success = (F.col("l_linestatus") == "O").cast("int")
     cents = F.round(F.col("l_discount") * 100).cast("int")
     third = F.col("l_linenumber") == 3
     return lines.join(drives, lines.l_orderkey == drives.o_orderkey).select(
-        F.concat_ws(
-            "_", "season", "week", F.least("posteam", "defteam"), F.greatest("posteam", "defteam")
-        ).alias("game_id"),
-        "season", "week", _season_type().alias("season_type"), "posteam", "defteam",
-        F.col("l_orderkey").alias("drive"),
-        "drive_play_count",
-        F.concat(
-            (F.col("l_orderkey") % 8).cast("string"), F.lit(":"),
-            F.lpad((F.col("l_orderkey") % 60).cast("string"), 2, "0"),
-        ).alias("drive_time_of_possession"),
+        "game_id", "season", "week", "season_type", "posteam", "defteam",
+        F.col("l_orderkey").alias("drive"), "drive_play_count", "drive_time_of_possession",
         F.col("l_linenumber").alias("down"),
         F.col("l_quantity").alias("yards_gained"),
         F.col("l_quantity").alias("yardline_100"),
