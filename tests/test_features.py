@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from weekfold import config
 from weekfold.operators import joins as jn
-from weekfold.operators import matchup, team
+from weekfold.operators import form, matchup, team
+from weekfold.plans.player import player_features
 
 PLAY = {
     "game_id": "g1", "season": 2023, "week": 1, "season_type": "REG", "posteam": "KC", "defteam": "BUF",
@@ -182,6 +183,26 @@ def test_context_ignores_the_future(spark, rows):
     assert rows(whole.drop("opp_allowed")) == rows(past.drop("opp_allowed"))
 
 
+def test_one_flow_equals_the_join(spark):
+    stats, schedule, *_ = league(spark)
+    stats = stats.withColumn("season_type", F.when(F.col("week") < 7, "REG").otherwise("POST"))
+    team_stats = stats.select("team", "season", "week").distinct()
+    joined = matchup.matchup(form.composite_trends(form.rolling_features(stats)), stats, schedule, team_stats)
+    flow = player_features(stats, schedule, team_stats)
+    assert set(flow.columns) == set(joined.columns)
+
+    def values(df):
+        order = sorted(df.columns)
+        return {
+            (r.player_id, r.season, r.week): [round(r[c], 6) if isinstance(r[c], float) else r[c] for c in order if c != "opp_allowed"]
+            for r in df.collect()
+        }
+
+    assert values(flow) == values(joined)
+    plan = flow._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") < joined._jdf.queryExecution().optimizedPlan().toString().count("Join")
+
+
 def test_update_delete_and_lag(spark, rows):
     base = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     new = spark.createDataFrame([(1, "z"), (2, None), (3, "q")], "k int, v string")

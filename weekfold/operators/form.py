@@ -49,11 +49,12 @@ def rolling_features(
     season_type: str | None = "REG",
     drop_first_before: bool = False,
     trends_only: bool = False,
+    keep=(),
 ) -> DataFrame:
     """Rolling measures of all configured statistics the table has.
 
     With ``trends_only`` slopes are computed just where the composite trends
-    read them, on top of ``measures``.
+    read them, on top of ``measures``. ``keep`` names further columns to carry.
 
     Regular season only. Each (player, season, week) is unique, so partitions
     are bounded by the calendar and (season, week) is a complete order.
@@ -62,7 +63,7 @@ def rolling_features(
     games = stats.dropna(subset=["player_id"])
     if season_type is not None:
         games = games.filter(F.col("season_type") == season_type)
-    keep = existing(games, IDENTITY)
+    keep = existing(games, dict.fromkeys([*IDENTITY, *keep]))
     games = masked_stats(games.select(*dict.fromkeys([*keep, *wanted])), wanted, shared)
     extra = [(s, "trend", config.TREND_WINDOW) for s in wanted if s in trend_stats()]
     return rolling(

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weekfold import config
-from weekfold.operators import form, lifecycle, matchup, quality, targets, team, temporal
+from weekfold.operators import lifecycle, quality, targets, team, temporal
 from weekfold.plans import dataset
+from weekfold.plans.player import player_features
 from weekfold.sources.sinks import refresh, write_aligned
 
 REQUIRED = ("players", "rosters", "depth", "stats", "schedule", "team_stats", "plays")
@@ -42,8 +43,7 @@ def feature_stages(
     tables: dict[str, DataFrame], out: str, first_play_season: int = config.PLAYS_FIRST_SEASON
 ) -> dict[str, DataFrame]:
     """Rolling player form with matchup context, and team form."""
-    rolled = form.composite_trends(form.rolling_features(tables["stats"]))
-    players = matchup.matchup(rolled, tables["stats"], tables["schedule"], tables["team_stats"])
+    players = player_features(tables["stats"], tables["schedule"], tables["team_stats"])
     return {
         "player_rolling": refresh(players, f"{out}/player_rolling"),
         "team_rolling": refresh(

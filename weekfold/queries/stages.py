@@ -8,8 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from weekfold.operators import form, lifecycle, matchup, quality, targets, team, temporal
-from weekfold.plans import dataset
+from weekfold.operators import form, lifecycle, quality, targets, team, temporal
+from weekfold.plans import dataset, player
 from weekfold.session import settle
 from weekfold.sources import stand_ins as src
 
@@ -38,13 +38,12 @@ def team_stats(spark, root):
 
 def player_features(spark, root):
     """Rolling form, composite trends and matchup context."""
-    stats = games(spark, root)
     wanted = list(dict.fromkeys([*dataset.vector_stats(), *form.trend_stats()]))
-    rolled = form.composite_trends(
-        form.rolling_features(stats, wanted, measures=("avg",), trends_only=True)
+    built = player.player_features(
+        games(spark, root), schedule(spark, root), team_stats(spark, root),
+        wanted, measures=("avg",), trends_only=True,
     )
-    averages = [c for c in rolled.columns if "_trend_" not in c]
-    return matchup.matchup(rolled.select(*averages), stats, schedule(spark, root), team_stats(spark, root))
+    return built.select(*[c for c in built.columns if "_trend_" not in c])
 
 
 def features(spark, root):

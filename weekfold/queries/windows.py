@@ -17,7 +17,7 @@ def _events(spark, root, measures):
     return win.rolling_events(
         src.table(spark, root, "events").select("event_id", "user_id", "ts", "value"),
         entity=["user_id"], order=["ts", "event_id"], stats=["value"],
-        slice_by=F.date_trunc("hour", "ts"), measures=measures, keep=["event_id", "user_id"],
+        slice_by=F.date_trunc("minute", "ts"), measures=measures, keep=["event_id", "user_id"],
     )
 
 
@@ -66,7 +66,7 @@ SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, e
 FROM events""")
 def w01(spark, root):
     e = src.table(spark, root, "events").select("event_id", "user_id", "ts")
-    numbered = win.number_events(e, ["user_id"], ["ts", "event_id"], F.date_trunc("hour", "ts"))
+    numbered = win.number_events(e, ["user_id"], ["ts", "event_id"], F.date_trunc("minute", "ts"))
     return numbered.select("event_id", "user_id", F.col("event_number").cast("bigint").alias("event_number"))
 
 
