@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from weekfold.functions import nested as nx
 from weekfold.functions import scalars as fx
 from weekfold.operators import lifecycle
+from weekfold import schemas
 from weekfold.sources import feeds, sinks
 
 
@@ -160,3 +161,27 @@ def test_refresh_drops_stale_partitions(spark, tmp_path):
     assert sinks.refresh(df.filter("season = 2021"), path).count() == 1
     sinks.write_aligned(df.filter("season = 2020"), path, mode="replace", partition_by=["season"], only_present=True)
     assert spark.read.parquet(path).count() == 2
+
+
+def test_play_schema_follows_names(spark, tmp_path):
+    kinds = {f.name: f.dataType.simpleString() for f in schemas.play_schema(
+        "play_id qtr epa wpa home_wp_post air_yards drive_quarter_end drive_end_transition result "
+        "field_goal_result end_yard_line spread_line penalty_yards xyac_mean_yardage".split())}
+    assert kinds == {
+        "play_id": "string", "qtr": "int", "epa": "double", "wpa": "double", "home_wp_post": "double",
+        "air_yards": "double", "drive_quarter_end": "int", "drive_end_transition": "string", "result": "int",
+        "field_goal_result": "string", "end_yard_line": "string", "spread_line": "double",
+        "penalty_yards": "int", "xyac_mean_yardage": "double",
+    }
+    spark.createDataFrame([(2023, "g", 1, 0.5)], "season int, game_id string, qtr int, epa double").write.partitionBy(
+        "season").parquet(str(tmp_path / "pbp"))
+    got = feeds.load_feeds(spark, str(tmp_path), [2023], ["pbp"], play_columns=["season", "game_id", "qtr"])["raw_pbp"]
+    assert got.first().asDict() == {"season": 2023, "game_id": "g", "qtr": 1}
+
+
+def test_availability_rows(spark):
+    seasons = spark.createDataFrame([(2015,), (2015,), (2022,)], "season int")
+    got = {(r.season, r.feed): r.available for r in feeds.availability(seasons).collect()}
+    assert got[(2015, "players")] and not got[(2022, "players")]
+    assert not got[(2015, "pbp")] and got[(2022, "pbp")] and got[(2015, "snap_counts")]
+    assert len(got) == 30

@@ -74,11 +74,17 @@ def with_stamped_weeks(df: DataFrame, ts_col: str = "dt") -> DataFrame:
     return stamped.withColumn("week", F.when(from_text, F.col("week")).otherwise(given)).drop("_week")
 
 
-def read_feed(spark: SparkSession, root: str, feed: str, fmt: str = "parquet") -> DataFrame:
-    """One feed with its declared schema; CSV files are read with a header row."""
+def read_feed(
+    spark: SparkSession, root: str, feed: str, fmt: str = "parquet", columns=None
+) -> DataFrame:
+    """One feed with its declared schema; CSV files are read with a header row.
+
+    ``columns`` asks for other columns of the play feed than the ones the team
+    metrics read; for CSV it must list the file's columns in order.
+    """
     table = f"raw_{feed}"
     path = f"{root.rstrip('/')}/{feed}"
-    schema = schemas.RAW[table]
+    schema = schemas.play_schema(columns) if feed == "pbp" and columns else schemas.RAW[table]
     if feed == "depth_charts":
         schema = T.StructType([*schema.fields, T.StructField("dt", T.StringType())])
     reader = spark.read.schema(schema)
@@ -88,7 +94,7 @@ def read_feed(spark: SparkSession, root: str, feed: str, fmt: str = "parquet") -
 
 
 def load_feeds(
-    spark: SparkSession, root: str, seasons, feeds=None, fmt: str = "parquet"
+    spark: SparkSession, root: str, seasons, feeds=None, fmt: str = "parquet", play_columns=None
 ) -> dict[str, DataFrame]:
     """The raw tables of the given seasons, each restricted to when it exists.
 
@@ -101,7 +107,7 @@ def load_feeds(
         wanted = [s for s in seasons if feed_available(feed, s, seasons[0])]
         if not wanted:
             continue
-        df = read_feed(spark, root, feed, fmt)
+        df = read_feed(spark, root, feed, fmt, play_columns)
         if not config.FEED_SEASONS[feed][2] and "season" in df.columns:
             df = season_filter(df, wanted)
         if feed == "players":
