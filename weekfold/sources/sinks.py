@@ -65,4 +65,5 @@ def refresh(df: DataFrame, path: str, partition_by=("season",)) -> DataFrame:
     """Rebuild a stage table and read it back, so later stages start from files."""
     cols = [c for c in partition_by if c in df.columns]
     write_aligned(df, path, mode="replace", partition_by=cols)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    # partition columns come back last; keep the caller's order
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
