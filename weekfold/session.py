@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+_shipped: set[str] = set()
+
 
 def build_session(app: str = "weekfold", master: str | None = None, **conf) -> SparkSession:
     """A session with the settings the library is tuned for.
@@ -58,6 +62,26 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Hand this package to the Python workers, once per application.
+
+    Spark distributes the archive itself, so executors need no installation.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    home = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="weekfold-"), "weekfold.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(home):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(home)))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
 def settle(df: DataFrame, label: str) -> DataFrame:
     """Cut lineage by writing ``df`` to the shared folder and reading it back.
 
