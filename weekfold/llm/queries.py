@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekfold.llm import bpe, exact_dedup, mixing, secret_scan, token_counts, topk
+from weekfold.llm import bpe, exact_dedup, minhash, mixing, secret_scan, token_counts, topk
 from weekfold.llm.tables import table
 
 QUERIES: dict = {}
@@ -106,6 +106,11 @@ def round_trip(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+@query("op8_minhash")
+def near(spark: SparkSession, root: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, root, "documents"), words=2)
+
+
 MIXTURE_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,

@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weekfold.session import ship_package
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
