@@ -294,7 +294,7 @@ def _encoded(path: str, pattern: str):
     return run
 
 
-def _digests(path: str, pattern: str):
+def _digests(path: str, pattern: str, with_ids: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = Encoder(path, pattern)
         for batch in batches:
@@ -302,8 +302,10 @@ def _digests(path: str, pattern: str):
             for part in _slices(texts):
                 flat = encoder.encode(texts[part])
                 decoded = [encoder.decode(np.frombuffer(b, dtype="<u4")) for b in flat]
+                ids = {"ids": [np.frombuffer(b, dtype="<i4") for b in flat]} if with_ids else {}
                 yield pd.DataFrame({
                     "doc_id": batch["doc_id"].iloc[part].array,
+                    **ids,
                     "n_tokens": [len(b) // 4 for b in flat],
                     "ids_sha256": [hashlib.sha256(b).hexdigest() for b in flat],
                     "decoded_sha256": [hashlib.sha256(d).hexdigest() for d in decoded],
@@ -336,13 +338,17 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInPandas(run, "doc_id long, bytes binary")
 
 
-def round_trip(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+def round_trip(
+    docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text", with_ids: bool = False,
+) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): digests of ids and of what they decode to.
 
-    As ``decode(encode(docs))``, in one pass without writing the ids. Nulls,
-    empty texts and repeated rows as in ``encode``.
+    As ``decode(encode(docs))``, in one pass; ``with_ids`` adds the ids
+    themselves as ``ids array<int>``. Nulls, empty texts and repeated rows as in
+    ``encode``.
     """
     return narrow(docs, key, text).mapInPandas(
-        _digests(path, pattern),
-        "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string",
+        _digests(path, pattern, with_ids),
+        f"doc_id long, {'ids array<int>, ' if with_ids else ''}"
+        "n_tokens long, ids_sha256 string, decoded_sha256 string",
     )

@@ -250,3 +250,17 @@ def near_duplicates(
             F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"),
         )
     )
+
+
+def without_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` that ``near_duplicates`` keeps, with all their columns.
+
+    An id goes if none of its rows is kept; rows without an id stay.
+    """
+    report = near_duplicates(docs, key=key, text=text, **options)
+    gone = settle(
+        report.groupBy("doc_id").agg(F.bool_or("kept").alias("any_kept")).where("not any_kept")
+        .select(F.col("doc_id").alias("gone_id")),
+        "gone",
+    )
+    return docs.join(gone, docs[key] == gone["gone_id"], "left_anti")

@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekfold.llm import bpe, exact_dedup, minhash, mixing, secret_scan, token_counts, topk
+from weekfold.llm import (
+    bpe, exact_dedup, minhash, mixing, quality, secret_scan, token_counts, topk, toxicity,
+)
 from weekfold.llm.tables import table
 
 QUERIES: dict = {}
@@ -106,6 +108,16 @@ def round_trip(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+@query("op5_toxicity")
+def toxic(spark: SparkSession, root: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, root, "documents"), table(spark, root, "labels"))
+
+
+@query("op6_quality")
+def graded(spark: SparkSession, root: str) -> DataFrame:
+    return quality.quality(table(spark, root, "documents"))
+
+
 @query("op8_minhash")
 def near(spark: SparkSession, root: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, root, "documents"), words=2)
