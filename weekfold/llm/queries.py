@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weekfold.llm import (
-    bpe, exact_dedup, minhash, mixing, quality, secret_scan, token_counts, topk, toxicity,
+    bpe, exact_dedup, html_text, minhash, mixing, quality, secret_scan, token_counts, topk, toxicity,
 )
 from weekfold.llm.tables import table
 
@@ -118,6 +118,11 @@ def graded(spark: SparkSession, root: str) -> DataFrame:
     return quality.quality(table(spark, root, "documents"))
 
 
+@query("op7_main_text")
+def extracted(spark: SparkSession, root: str) -> DataFrame:
+    return html_text.main_text(table(spark, root, "pages"))
+
+
 @query("op8_minhash")
 def near(spark: SparkSession, root: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, root, "documents"), words=2)
