@@ -27,15 +27,15 @@ from pyspark.sql import functions as F
 from weekfold.llm.html_blocks import Block, blocks
 from weekfold.llm.linear import sigmoid
 
-TRAINING_PAGES = 240
-DRESSINGS = 3
+TRAINING_PAGES = 400
+DRESSINGS = 2
 PATH_WIDTH = 192
 WORD_WIDTH = 96
 SIZES = 11
 WIDTH = PATH_WIDTH + WORD_WIDTH + SIZES
 INNER = 32
 HIDDEN = 24
-EPOCHS = 8
+EPOCHS = 10
 STRIP = 64  # blocks of a training sequence
 GROUP_BLOCKS = 16_384  # blocks labelled together, padding included
 
@@ -310,7 +310,7 @@ def train(pages: list[str], seed: int = 7, epochs: int = EPOCHS, dressings: int
         order = sorted(range(len(examples)), key=lambda i: (len(examples[i][0]), rng.random()))
         groups = [order[at:at + 32] for at in range(0, len(order), 32)]
         rng.shuffle(groups)
-        rate = 0.01 if epoch < epochs - 2 else 0.003
+        rate = (0.01, 0.01, 0.01, 0.003, 0.001)[5 * epoch // epochs]
         for own in groups:
             x, mask = _stacked([examples[i][0] for i in own])
             y = _stacked([examples[i][1][:, None] for i in own])[0][..., 0]

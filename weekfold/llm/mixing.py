@@ -93,7 +93,7 @@ def _with_plan(rows: DataFrame, plan: DataFrame) -> DataFrame:
 
 def _odds_ratio() -> Column:
     """The Pareto ranking number: odds of the random number over odds of inclusion."""
-    chance = F.col("missing") / F.col("source_size") * F.col("mix_weight") / F.col("mean_weight")
+    chance = F.try_divide(F.try_divide(F.col("missing"), F.col("source_size")) * F.col("mix_weight"), F.col("mean_weight"))
     chance = F.least(F.greatest(F.coalesce(chance, F.lit(0.0)), F.lit(1e-12)), F.lit(1 - 1e-12))
     return F.col("mix_u") / (1 - F.col("mix_u")) / (chance / (1 - chance))
 
@@ -108,9 +108,9 @@ def sampling_plan(
     """One row per source: its target, whole copies, missing words, and the place of the last row drawn."""
     plain = rows.select(F.col("mix_source").alias("source"), F.col("mix_size").alias("size"), "mix_weight")
     mean = plain.groupBy("source").agg(
-        F.coalesce(F.sum(F.col("size") * F.col("mix_weight")) / F.sum("size"), F.lit(0.0)).alias("mean_weight")
+        F.coalesce(F.try_divide(F.sum(F.col("size") * F.col("mix_weight")), F.sum("size")), F.lit(0.0)).alias("mean_weight")
     ).withColumnRenamed("source", "source_")
-    whole = F.floor(F.col("target") / F.col("source_size"))
+    whole = F.floor(F.try_divide(F.col("target"), F.col("source_size")))
     goal = settle(
         targets(plain, weights, share, most)
         .withColumn("whole", F.when(F.col("source_size") > 0, whole).otherwise(0).cast("long"))
