@@ -3,6 +3,10 @@
 import hashlib
 import json
 
+import pytest
+from pyspark.sql import functions as F
+
+from weekfold import config, schemas
 from weekfold.operators import ingest as ing
 from weekfold.streaming import incremental as stream
 
@@ -23,10 +27,71 @@ def test_hash_is_md5_of_sorted_json_without_nulls(spark):
 
 def test_key_selection(spark):
     df = batch(spark, [])
-    assert ing.key_columns(df, "raw_player_stats") == ["player_id", "season", "week"]
     assert ing.key_columns(df, "unknown") == ["player_id", "season", "week"]
-    assert ing.key_columns(df.select("v", "week"), "raw_combine") == ["v", "week"]
-    assert ing.key_columns(df.withColumnRenamed("player_id", "gsis_id"), "raw_rosters_weekly") == ["gsis_id", "season", "week"]
+    full = df.withColumns({"season_type": F.lit("REG")})
+    assert ing.key_columns(full, "raw_player_stats") == ["player_id", "season", "week", "season_type"]
+    for frame, table in ((df, "raw_player_stats"), (df.select("v", "week"), "raw_combine")):
+        with pytest.raises(ValueError):
+            ing.key_columns(frame, table)
+    assert ing.key_columns(df.select("v", "week"), "raw_combine", partial=True) == ["v", "week"]
+
+
+@pytest.mark.parametrize("table", [t for t in config.KEY_COLUMNS if t in schemas.RAW])
+def test_keys_exist_in_their_feed(table):
+    optional = config.OPTIONAL_KEY_COLUMNS.get(table, [])
+    assert set(config.KEY_COLUMNS[table]) <= {*schemas.RAW[table].fieldNames(), *optional}
+
+
+def raw_rows(spark, table, rows):
+    schema = schemas.RAW[table]
+    return spark.createDataFrame([tuple(r.get(f.name) for f in schema) for r in rows], schema)
+
+
+def test_depth_chart_of_a_second_week_is_loaded(spark, tmp_path):
+    rows = [
+        {"season": 2023, "club_code": "KC", "week": w, "gsis_id": "1", "position": "QB", "depth_team": "1"} for w in (1, 2)
+    ]
+    path = str(tmp_path / "depth")
+    for r in rows:
+        table, c = ing.incremental_append(raw_rows(spark, "raw_depth_charts", [r]), path, "raw_depth_charts")
+        assert c.first().new_rows == 1
+    assert table.count() == 2
+
+
+@pytest.mark.parametrize("table", ["raw_nextgen_passing", "raw_nextgen_rushing", "raw_nextgen_receiving"])
+def test_second_player_of_a_loaded_week_is_loaded(spark, tmp_path, table):
+    path = str(tmp_path / "nextgen")
+    for player in ("1", "2"):
+        row = {"season": 2023, "week": 1, "season_type": "REG", "player_gsis_id": player}
+        stored, c = ing.incremental_append(raw_rows(spark, table, [row]), path, table)
+        assert c.first().new_rows == 1
+    assert stored.count() == 2
+
+
+def test_null_partition_keys_are_loaded_once(spark, tmp_path):
+    rows = batch(spark, [("a", None, 1, 1.0), ("a", 2023, 1, 1.0)])
+    path, keys = str(tmp_path / "t"), ["player_id", "season", "week"]
+    for want in (2, 0):
+        table, c = ing.incremental_append(rows, path, "t", keys, partition_by=["season"])
+        assert c.first().new_rows == want
+    assert table.count() == 2
+    stream.append_unseen(rows, path, keys, ["season"])
+    assert spark.read.schema(table.schema).parquet(path).count() == 2
+
+
+def test_scope_outside_the_key_is_refused(spark, tmp_path):
+    rows, path = batch(spark, [("a", 2023, 1, 1.0)]), str(tmp_path / "t")
+    ing.incremental_append(rows, path, "t", ["player_id"])
+    with pytest.raises(ValueError):
+        ing.incremental_append(rows, path, "t", ["player_id"], scope=["season"])
+
+
+def test_content_fingerprint_ignores_order_only(spark):
+    one = batch(spark, [("a", 1, 1, 1.0), ("b", 2, 2, None), ("b", 2, 2, None)])
+    first = ing.content_fingerprint(one).first().content_hash
+    assert ing.content_fingerprint(one.orderBy(F.desc("player_id")).repartition(3)).first().content_hash == first
+    assert ing.content_fingerprint(one.distinct()).first().content_hash != first
+    assert ing.content_fingerprint(one.withColumn("week", F.lit(3))).first().content_hash != first
 
 
 def test_fingerprint_depends_on_shape_only(spark):
@@ -41,24 +106,25 @@ def test_fingerprint_depends_on_shape_only(spark):
 def test_loading_twice_adds_nothing(spark, tmp_path):
     path = str(tmp_path / "t")
     first = batch(spark, [("a", 2023, 1, 1.0), ("a", 2023, 1, 2.0), ("b", 2023, 1, 3.0)])
-    table, c = ing.incremental_append(first, path, "raw_player_stats", partition_by=["season"], scope=["season"])
+    table, c = ing.incremental_append(first, path, "t", ["player_id", "season", "week"], partition_by=["season"])
     assert table.count() == 3  # copies inside one batch are all kept
     assert (c.first().new_rows, c.first().skipped_rows) == (3, 0)
     second = batch(spark, [("a", 2023, 1, 9.0), ("c", 2024, 1, 4.0)])
-    table, c = ing.incremental_append(second, path, "raw_player_stats", partition_by=["season"], scope=["season"])
+    table, c = ing.incremental_append(second, path, "t", ["player_id", "season", "week"], partition_by=["season"])
     assert (c.first().total_rows, c.first().new_rows, c.first().skipped_rows) == (2, 1, 1)
     assert table.count() == 4 and table.filter("v = 9.0").count() == 0  # skipped, never updated
-    table, c = ing.incremental_append(second, path, "raw_player_stats", partition_by=["season"], scope=["season"])
+    table, c = ing.incremental_append(second, path, "t", ["player_id", "season", "week"], partition_by=["season"])
     assert table.count() == 4 and c.first().efficiency == 0
 
 
 def test_counters_coverage_summary(spark):
     stored = ing.with_key_hash(batch(spark, [("a", 2023, 1, 1.0)]), ["player_id"])
     new = ing.with_key_hash(batch(spark, [("a", 2023, 1, 1.0), ("b", 2023, 1, 1.0)]), ["player_id"])
-    c = ing.counters(ing.split_batch(new, stored), "t")
+    c = ing.counters(ing.split_batch(new, stored), "t", 1.0)
     assert c.first().new_rows == 1 and c.first().efficiency == 50
-    total = ing.run_summary(c.unionByName(ing.counters(ing.split_batch(new, None), "u"))).first()
+    total = ing.run_summary(c.unionByName(ing.counters(ing.split_batch(new, None), "u", 3.0))).first()
     assert (total.total_operations, total.total_new_rows, total.overall_efficiency) == (2, 3, 75)
+    assert (total.total_seconds, total.operations_per_second) == (4.0, 0.5)
     cover = ing.hash_coverage(stored.unionByName(new)).first()
     assert (cover.total_rows, cover.unique_hashes) == (3, 2)
 

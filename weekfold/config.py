@@ -68,13 +68,13 @@ DEPTH_TIMESTAMP_FIRST_SEASON = 2025
 KEY_COLUMNS = {
     "raw_player_stats": ["player_id", "season", "week", "season_type"],
     "raw_team_stats": ["team", "season", "week", "season_type"],
-    "raw_depth_charts": ["team", "season", "gsis_id", "pos_name"],
-    # gsis_id is part of the roster key: the weekly feed carries no player_id
-    "raw_rosters_weekly": ["player_id", "gsis_id", "team", "season", "week"],
+    # one player stands on several places of a chart, and charts from 2025 on carry a timestamp
+    "raw_depth_charts": ["season", "week", "club_code", "gsis_id", "position", "formation", "depth_team", "dt"],
+    "raw_rosters_weekly": ["gsis_id", "team", "season", "week"],
     "raw_schedules": ["game_id"],
-    "raw_nextgen_passing": ["player_id", "season", "week", "season_type"],
-    "raw_nextgen_rushing": ["player_id", "season", "week", "season_type"],
-    "raw_nextgen_receiving": ["player_id", "season", "week", "season_type"],
+    "raw_nextgen_passing": ["player_gsis_id", "season", "week", "season_type"],
+    "raw_nextgen_rushing": ["player_gsis_id", "season", "week", "season_type"],
+    "raw_nextgen_receiving": ["player_gsis_id", "season", "week", "season_type"],
     "raw_snap_counts": ["pfr_player_id", "season", "week"],
     "raw_pbp": ["play_id", "game_id"],
     "raw_players": ["player_id"],
@@ -84,6 +84,8 @@ KEY_COLUMNS = {
     "raw_combine": ["season", "pfr_id"],
 }
 DEFAULT_KEY = ["player_id", "season", "week"]
+#: Key columns that a feed carries in some years only.
+OPTIONAL_KEY_COLUMNS = {"raw_depth_charts": ["dt"]}
 
 # --- fixed values: statistics per position ------------------------------------
 _RUSHING = (

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import time
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from weekfold import config
@@ -11,10 +15,21 @@ from weekfold.functions.scalars import existing
 from weekfold.sources.sinks import path_exists, write_aligned
 
 
-def key_columns(df: DataFrame, table: str | None = None, keys=None) -> list[str]:
-    """Identity columns: the table's keys the frame has, else its first three."""
-    wanted = keys or config.KEY_COLUMNS.get(table, config.DEFAULT_KEY)
-    return existing(df, wanted) or df.columns[:3]
+def key_columns(df: DataFrame, table: str | None = None, keys=None, partial: bool = False) -> list[str]:
+    """Identity columns of a table: ``keys``, or those configured for it.
+
+    A key column that the frame lacks is an error, since rows that differ only
+    in it would be taken for the same. With ``partial`` the caller accepts what
+    is there, or else the first three columns.
+    """
+    wanted = list(keys or config.KEY_COLUMNS.get(table, config.DEFAULT_KEY))
+    have = existing(df, wanted)
+    if partial:
+        return have or df.columns[:3]
+    missing = set(wanted) - set(have) - set(config.OPTIONAL_KEY_COLUMNS.get(table, ()))
+    if missing or not have:
+        raise ValueError(f"key columns {sorted(missing or wanted)} of {table} are missing")
+    return have
 
 
 def with_key_hash(df: DataFrame, keys) -> DataFrame:
@@ -37,22 +52,34 @@ def known_hashes(target: DataFrame) -> DataFrame:
     return target.select("row_hash").filter(F.col("row_hash").isNotNull()).distinct()
 
 
-def stored_near(batch: DataFrame, stored: DataFrame, scope, limit: int = 1000) -> DataFrame:
-    """The stored rows that can share a key with the batch.
+def content_fingerprint(df: DataFrame, columns=None) -> DataFrame:
+    """One-row batch fingerprint of the content: equal for equal rows in any order.
+
+    Every row's JSON text is hashed and the hashes are summed, so it takes one
+    pass and no sort; repeated rows count as often as they occur.
+    """
+    digest = F.conv(F.substring(F.md5(spaced_json(list(columns or df.columns))), 1, 12), 16, 10)
+    n, total = F.count(F.lit(1)), F.coalesce(F.sum(digest.cast("decimal(38,0)")), F.lit(0))
+    text = F.concat(n.cast("string"), F.lit(":"), total.cast("decimal(38,0)").cast("string"))
+    return df.agg(F.substring(F.sha2(text, 256), 1, 16).alias("content_hash"), n.alias("rows"))
+
 
-    ``scope`` names partition columns that belong to the key. Their distinct
-    values in a batch (a few seasons) become a static partition filter; if
-    there are more than ``limit`` the whole table stays in play.
+def stored_near(batch: DataFrame, stored: DataFrame, scope, keys) -> DataFrame:
+    """The stored rows that can share a key with the batch, and perhaps some more.
+
+    ``scope`` names partition columns that belong to the key. The semi join
+    with their values in the batch prunes partitions at run time; rows with a
+    null in the scope, a partition of their own, stay in play.
     """
+    outside = set(scope) - set(keys)
+    if outside:
+        raise ValueError(f"{sorted(outside)} is no part of the key: its values cannot tell where a key is stored")
     scope = [c for c in scope if c in batch.columns]
     if not scope:
         return stored
-    values = batch.select(*scope).distinct().limit(limit + 1).collect()
-    if len(values) > limit:
-        return stored
-    for c in scope:
-        stored = stored.filter(F.col(c).isin(sorted({v[c] for v in values if v[c] is not None})))
-    return stored
+    open_scope = reduce(or_, (F.col(c).isNull() for c in scope))
+    values = batch.select(*scope).distinct()
+    return stored.join(values, scope, "left_semi").unionByName(stored.filter(open_scope))
 
 
 def new_rows(hashed: DataFrame, target: DataFrame) -> DataFrame:
@@ -70,8 +97,8 @@ def split_batch(hashed: DataFrame, target: DataFrame | None) -> DataFrame:
     ).drop("_known")
 
 
-def counters(flagged: DataFrame, table: str) -> DataFrame:
-    """total / new / updated / skipped rows and efficiency of one load."""
+def counters(flagged: DataFrame, table: str, seconds: float | None = None) -> DataFrame:
+    """total / new / updated / skipped rows and efficiency of one load, and how long it took."""
     total = F.count(F.lit(1))
     new = F.count_if("is_new")
     return flagged.agg(
@@ -80,13 +107,15 @@ def counters(flagged: DataFrame, table: str) -> DataFrame:
         F.lit(0).cast("bigint").alias("updated_rows"),
         (total - new).alias("skipped_rows"),
         F.when(total > 0, new * 100.0 / total).otherwise(F.lit(0.0)).alias("efficiency"),
-    ).withColumn("table_name", F.lit(table))
+    ).withColumns({
+        "table_name": F.lit(table), "seconds": F.lit(seconds).cast("double"),
+    })
 
 
 def run_summary(loads: DataFrame) -> DataFrame:
     """Totals over several loads (rows of ``counters``)."""
     total, new = F.sum("total_rows"), F.sum("new_rows")
-    updated = F.sum("updated_rows")
+    updated, seconds = F.sum("updated_rows"), F.sum("seconds")
     return loads.agg(
         F.count(F.lit(1)).alias("total_operations"),
         total.alias("total_rows_processed"),
@@ -94,6 +123,8 @@ def run_summary(loads: DataFrame) -> DataFrame:
         updated.alias("total_updated_rows"),
         F.sum("skipped_rows").alias("total_skipped_rows"),
         F.when(total > 0, (new + updated) * 100.0 / total).otherwise(F.lit(0.0)).alias("overall_efficiency"),
+        seconds.alias("total_seconds"),
+        F.when(seconds > 0, F.count(F.lit(1)) / seconds).alias("operations_per_second"),
     )
 
 
@@ -109,26 +140,31 @@ def hash_coverage(df: DataFrame) -> DataFrame:
 
 
 def incremental_append(
-    df: DataFrame, path: str, table: str, keys=None, partition_by=(), scope=()
+    df: DataFrame, path: str, table: str, keys=None, partition_by=(), scope=None
 ) -> tuple[DataFrame, DataFrame]:
     """Append the rows of ``df`` that ``path`` does not hold, and count what happened.
 
     ``scope`` names partition columns that are part of the key, so only the
-    partitions a batch touches are searched (``stored_near``). Returns (the table, one counters row).
+    partitions a batch touches are searched (``stored_near``); by default all
+    partition columns that are. The batch is read once: its rows and the new
+    ones among them are counted while they are written. Returns (the table, one
+    counters row).
     """
-    spark = df.sparkSession
-    hashed = with_key_hash(df, key_columns(df, table, keys))
+    spark, begun = df.sparkSession, time.perf_counter()
+    keys = key_columns(df, table, keys)
+    scope = [c for c in partition_by if c in keys] if scope is None else scope
+    hashed = with_key_hash(df, keys)
+    read, written = Observation(), Observation()
+    batch = hashed.observe(read, F.count(F.lit(1)).alias("rows"))
     # dropping the stale listing first makes repeated loads see earlier files
-    stored = spark.read.schema(hashed.schema).parquet(path) if path_exists(spark, path) else None
-    if stored is None:
-        fresh = hashed
+    if path_exists(spark, path):
+        stored = spark.read.schema(hashed.schema).parquet(path)
+        flagged = split_batch(batch, stored_near(hashed, stored, scope, keys))
     else:
-        fresh = new_rows(hashed, stored_near(hashed, stored, scope)).select(*hashed.columns)
-    before = 0 if stored is None else stored.count()
-    total = df.count()
+        flagged = split_batch(batch, None)
+    fresh = flagged.filter("is_new").select(*hashed.columns).observe(written, F.count(F.lit(1)).alias("rows"))
     write_aligned(fresh, path, hashed.schema, "append", partition_by)
-    table_now = spark.read.schema(hashed.schema).parquet(path)
-    added = table_now.count() - before
+    total, added = read.get.get("rows", 0), written.get.get("rows", 0)
     counted = spark.range(1).select(
         F.lit(table).alias("table_name"),
         F.lit(total).cast("bigint").alias("total_rows"),
@@ -136,5 +172,6 @@ def incremental_append(
         F.lit(0).cast("bigint").alias("updated_rows"),
         F.lit(total - added).cast("bigint").alias("skipped_rows"),
         F.lit(100.0 * added / total if total else 0.0).alias("efficiency"),
+        F.lit(time.perf_counter() - begun).alias("seconds"),
     )
-    return table_now, counted
+    return spark.read.schema(hashed.schema).parquet(path), counted

@@ -20,7 +20,7 @@ def append_unseen(batch: DataFrame, path: str, keys, partition_by=()) -> None:
     hashed = with_key_hash(batch, keys)
     if path_exists(spark, path):
         stored = spark.read.schema(hashed.schema).parquet(path)
-        near = stored_near(hashed, stored, [c for c in partition_by if c in keys])
+        near = stored_near(hashed, stored, [c for c in partition_by if c in keys], keys)
         hashed = new_rows(hashed, near).select(*hashed.columns)
     hashed.write.mode("append").partitionBy(*partition_by).parquet(path)
 
