@@ -17,11 +17,23 @@ PLAYS_FROM = 1998
 _built: dict = {}
 
 
+def stamp(spark, root) -> tuple:
+    """Names, sizes and times of the tables in a folder: another value once one of them has changed."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return tuple(sorted(
+        (s.getPath().getName(), fs.getContentSummary(s.getPath()).getLength(), s.getModificationTime())
+        for s in fs.listStatus(path)
+    ))
+
+
 def stage(spark, root, name, build):
+    """A stage table of the tables in ``root``, built again when they have changed."""
     key = (spark.sparkContext.applicationId, root, name)
-    if key not in _built:
-        _built[key] = settle(build(), name)
-    return _built[key]
+    now = stamp(spark, root)
+    if key not in _built or _built[key][0] != now:
+        _built[key] = now, settle(build(), name)
+    return _built[key][1]
 
 
 def games(spark, root):

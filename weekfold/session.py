@@ -38,23 +38,40 @@ def build_session(app: str = "weekfold", master: str | None = None, **conf) -> S
     return builder.getOrCreate()
 
 
+def refuse_unshared(path: str, master: str, default_fs: str, vouched: bool) -> None:
+    """Raise if executors on other machines could not see ``path``.
+
+    A folder of a plain file system is shared only if somebody mounted it
+    everywhere; ``spark.weekfold.sharedFiles=true`` vouches for that.
+    """
+    if master.startswith("local") or vouched:
+        return
+    scheme = path.split(":", 1)[0] if "://" in path or path.startswith("file:") else default_fs.split(":", 1)[0]
+    if scheme == "file":
+        raise ValueError(
+            f"{path} is on each machine's own disk: name a shared folder in spark.checkpoint.dir, or set "
+            "spark.weekfold.sharedFiles=true if it is mounted on every machine"
+        )
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder of the cluster, from ``spark.checkpoint.dir``.
 
-    A folder of our own is set only where the cluster names none, which is the
-    case in local tests.
+    A folder of our own is set only where none is named and the master is
+    local, which is the case in tests; on a cluster that is an error.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None
-    )
-    if named:
-        return named
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current.rsplit("/", 1)[0]
-    fresh = tempfile.mkdtemp(prefix="weekfold-")
-    spark.sparkContext.setCheckpointDir(fresh)
-    return fresh
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
+    if not named and context.getCheckpointDir():
+        named = context.getCheckpointDir().rsplit("/", 1)[0]
+    default_fs = context._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+    vouched = spark.conf.get("spark.weekfold.sharedFiles", "false") == "true"
+    if not named:
+        refuse_unshared("file:/tmp", context.master, default_fs, False)
+        named = tempfile.mkdtemp(prefix="weekfold-")
+        context.setCheckpointDir(named)
+    refuse_unshared(named, context.master, default_fs, vouched)
+    return named
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
