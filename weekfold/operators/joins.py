@@ -105,17 +105,18 @@ def with_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
 
 
 def last_meetings(df: DataFrame, keys, fields: dict, n: int = config.HISTORY_MEETINGS, name: str = "history") -> DataFrame:
-    """The last ``n`` earlier rows of the same keys, newest first, as a list.
+    """The last ``n`` rows of the same keys from strictly earlier periods, newest first, as a list.
 
-    A bounded row frame over (entity, opponent) yields them without a self
-    join; null when there are none.
+    A range frame on the period yields them without a self join, so rows of one
+    period never see each other; it holds the meetings of one pair, as many as
+    the calendar has. Rows of one earlier period come in the order of their
+    fields. Null when there are none.
     """
-    w = Window.partitionBy(*keys).orderBy("season", "week").rowsBetween(-n, -1)
-    entry = F.struct(*[c.alias(f) for f, c in fields.items()])
-    newest_first = F.reverse(F.collect_list(entry).over(w))
-    return df.withColumn(name, newest_first).withColumn(
-        name, F.when(F.size(name) > 0, F.col(name))
-    )
+    w = Window.partitionBy(*keys).orderBy(ordinal()).rangeBetween(Window.unboundedPreceding, -1)
+    entry = F.struct(ordinal().alias("_at"), *[c.alias(f) for f, c in fields.items()])
+    newest_first = F.slice(F.sort_array(F.collect_list(entry).over(w), asc=False), 1, n)
+    found = F.transform(newest_first, lambda e: F.struct(*[e[f].alias(f) for f in fields]))
+    return df.withColumn(name, found).withColumn(name, F.when(F.size(name) > 0, F.col(name)))
 
 
 def update_from(df: DataFrame, changes: DataFrame, on, columns) -> DataFrame:

@@ -14,16 +14,28 @@ SPLITS = ("train", "validation", "test")
 
 
 def temporal_split(df: DataFrame, train: float = 0.7, validation: float = 0.2) -> DataFrame:
-    """Label rows by the rank of their period among all distinct periods."""
-    ranks = period_rank(df)
-    total = F.col("total_periods")
+    """Label rows by the rank of their period among all distinct periods.
+
+    The first period of each later split is a scalar, so rows are labelled where
+    they are, without a join. Rows without a period are dropped.
+    """
+    ranks, total = period_rank(df), F.col("total_periods")
+
+    def first_after(share: float):
+        return F.min(F.when(F.col("time_rank") > total * share, ordinal()))
+
+    borders = ranks.agg(F.struct(
+        first_after(train).alias("validation"), first_after(train + validation).alias("test")
+    ).alias("borders"))
     label = (
-        F.when(F.col("time_rank") > total * (train + validation), F.lit("test"))
-        .when(F.col("time_rank") > total * train, F.lit("validation"))
+        F.when(ordinal() >= F.col("_borders.test"), F.lit("test"))
+        .when(ordinal() >= F.col("_borders.validation"), F.lit("validation"))
         .otherwise(F.lit("train"))
     )
-    # the label table has one row per period; it is planned as a broadcast when small
-    return df.drop("split").join(ranks.select("season", "week", label.alias("split")), ["season", "week"])
+    return (
+        df.drop("split").filter(ordinal().isNotNull())
+        .withColumn("_borders", borders.scalar()).withColumn("split", label).drop("_borders")
+    )
 
 
 def ratio_split(
@@ -33,36 +45,57 @@ def ratio_split(
 ) -> DataFrame:
     """Label rows by their position in time order: first 70 %, next 20 %, rest.
 
-    Only per-period counts are accumulated. Periods that lie inside one split
-    are labelled as a whole; rows are numbered only in the (at most two)
-    periods a boundary falls into, in the order of ``md5(key)`` and sliced by
-    its first digits, so no task sorts a whole period.
+    Only per-period counts are accumulated; what follows from them, the last
+    whole period of each split and the (at most two) periods a boundary falls
+    into, is a scalar, so whole periods are labelled without a join or a
+    shuffle. Rows are numbered only in those two periods, in the order of
+    ``md5(key)`` and sliced by its first digits, so no task sorts a whole period.
     """
     if abs(sum(ratios) - 1.0) > 1e-6:
         raise ValueError("ratios must sum to 1")
     counts = df.groupBy("season", "week").agg(F.count(F.lit(1)).alias("_n"))
     everything = Window.partitionBy()
-    upto = Window.orderBy("season", "week").rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.orderBy("season", "week").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     total = F.sum("_n").over(everything)
     first_cut = F.floor(total * F.lit(ratios[0]))
-    periods = counts.select(
-        "season", "week", "_n", F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_before"),
+    end, cut1, cut2 = F.col("_end"), F.col("_cut1"), F.col("_cut2")
+    periods = counts.filter(ordinal().isNotNull()).select(
+        ordinal().alias("_at"), "_n", F.sum("_n").over(upto).alias("_end"),
         first_cut.alias("_cut1"), (first_cut + F.floor(total * F.lit(ratios[1]))).alias("_cut2"),
     )
 
-    def label(at):
-        return (
-            F.when(at <= F.col("_cut1"), F.lit("train"))
-            .when(at <= F.col("_cut2"), F.lit("validation"))
-            .otherwise(F.lit("test"))
-        )
-
-    first, last = label(F.col("_before") + 1), label(F.col("_before") + F.col("_n"))
-    placed = df.join(periods.withColumns({"_first": first, "_last": last}), ["season", "week"])
-    whole = placed.filter(F.col("_first") == F.col("_last")).withColumn("split", F.col("_first"))
-    cut = placed.filter(F.col("_first") != F.col("_last")).withColumn("_md5", F.md5(F.col(key)))
-    numbered = number_events(cut, ["season", "week"], ["_md5"], F.substring("_md5", 1, 4), "_at")
-    inside = numbered.withColumn("split", label(F.col("_before") + F.col("_at")))
+    def divided(cut):
+        """The period in which a boundary falls, and the rows before it."""
+        inside = (end - F.col("_n") < cut) & (cut < end)
+        return F.max(F.when(inside, F.struct(F.col("_at").alias("at"), (end - F.col("_n")).alias("before"))))
+
+    found = periods.agg(F.struct(
+        F.max(F.when(end <= cut1, F.col("_at"))).alias("train_to"),
+        F.max(F.when(end <= cut2, F.col("_at"))).alias("validation_to"),
+        divided(cut1).alias("first"), divided(cut2).alias("second"),
+        F.max(cut1).alias("cut1"), F.max(cut2).alias("cut2"),
+    ).alias("borders"))
+    b = "_borders."
+    placed = df.filter(ordinal().isNotNull()).withColumn("_borders", found.scalar())
+    cut_here = F.coalesce(ordinal() == F.col(b + "first.at"), F.lit(False)) | F.coalesce(
+        ordinal() == F.col(b + "second.at"), F.lit(False)
+    )
+    whole = placed.filter(~cut_here).withColumn(
+        "split",
+        F.when(ordinal() <= F.col(b + "train_to"), F.lit("train"))
+        .when(ordinal() <= F.col(b + "validation_to"), F.lit("validation"))
+        .otherwise(F.lit("test")),
+    )
+    cut = placed.filter(cut_here).withColumn("_md5", F.md5(F.col(key)))
+    numbered = number_events(cut, ["season", "week"], ["_md5"], F.substring("_md5", 1, 4), "_nth")
+    before = F.when(ordinal() == F.col(b + "first.at"), F.col(b + "first.before")).otherwise(F.col(b + "second.before"))
+    at = before + F.col("_nth")
+    inside = numbered.withColumn(
+        "split",
+        F.when(at <= F.col(b + "cut1"), F.lit("train"))
+        .when(at <= F.col(b + "cut2"), F.lit("validation"))
+        .otherwise(F.lit("test")),
+    )
     return whole.select(*df.columns, "split").unionByName(inside.select(*df.columns, "split"))
 
 

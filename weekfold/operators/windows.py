@@ -76,7 +76,8 @@ def rolling(
 ) -> DataFrame:
     """Rolling measures over the previous n rows, current row excluded.
 
-    ``order`` must be unique within an entity. ``drop_first_before`` removes
+    Two rows of an entity with the same ``order`` raise an error: which of them
+    is the earlier one would be left to chance. ``drop_first_before`` removes
     the first row of every entity *before* the windows see it, reproducing a
     filter that SQL applies ahead of window evaluation.
     """
@@ -84,6 +85,13 @@ def rolling(
     keep = list(keep) if keep is not None else [c for c in df.columns if c not in stats]
     keep = [c for c in keep if c != "game_number"]
     numbered = game_number(df.select(*dict.fromkeys([*entity, *order, *keep, *stats])), entity, order)
+    # over the same window as the numbers, so it takes no further sort
+    place = F.struct(*order)
+    again = F.lag(place).over(Window.partitionBy(*entity).orderBy(*order)) == place
+    refused = F.raise_error(F.lit(f"two rows of one entity share {list(order)}"))
+    numbered = numbered.withColumn("_again", again).filter(
+        F.when(F.col("_again"), refused.cast("boolean")).otherwise(F.lit(True))
+    ).drop("_again")
     if drop_first_before:
         numbered = numbered.filter(F.col("game_number") > 1)
     return numbered.selectExpr(
