@@ -6,9 +6,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from weekfold import config
+from weekfold import config, schemas
 from weekfold.operators import form, quality, targets, temporal
 from weekfold.plans import build, dataset
+from weekfold.sources import sinks
 
 
 def vectors(spark, data):
@@ -210,8 +211,31 @@ def test_dataset_does_not_depend_on_the_future(spark, run, tmp_path):
 
 
 def test_missing_inputs_are_refused(spark, tmp_path):
-    with pytest.raises(ValueError, match="plays"):
-        build.build({**tables(spark, 2, (2023,)), "plays": None}, str(tmp_path))
+    with pytest.raises(ValueError, match="rosters"):
+        build.build({**tables(spark, 2, (2023,)), "rosters": None}, str(tmp_path))
+
+
+@pytest.mark.parametrize("season", [2021, 2022])
+def test_from_feed_files_to_the_dataset(spark, tmp_path, season):
+    """Plays exist from 2022 on; a second run over the same files loads nothing."""
+    made = tables(spark, 7, (season - 1, season))
+    for key, table in build.RAW_INPUTS.items():
+        if key == "plays" and season < 2022:
+            continue
+        feed = sinks.align(made[key], schemas.RAW[table])
+        writer = feed.write.partitionBy("season") if "season" in feed.columns else feed.write
+        writer.parquet(str(tmp_path / "feeds" / table.removeprefix("raw_")))
+    folders = [str(tmp_path / n) for n in ("feeds", "raw", "out")]
+    stages, counts = build.build_from_feeds(spark, folders[0], [season - 1, season], *folders[1:])
+    assert stages["ml_features"].count() > 0
+    assert stages["snapshot_depth"].count() == made["depth"].count()
+    first = {r.table_name: r for r in counts.collect()}
+    assert ("raw_pbp" in first) == (season >= 2022)
+    assert first["raw_player_stats"].new_rows == made["stats"].count()
+    form = stages["team_rolling"].filter("week > 3").collect()
+    assert form and (season < 2022) == all(r.pace_of_play == 65.0 for r in form)
+    _, again = build.build_from_feeds(spark, folders[0], [season - 1, season], *folders[1:])
+    assert all(r.new_rows == 0 for r in again.collect())
 
 
 def test_documents_pass_the_structure_check(spark, run):

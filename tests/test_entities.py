@@ -79,16 +79,6 @@ def test_snapshots_and_changes(spark):
     for k, r in packed.items():
         assert (index[k].members, index[k].depth_entries) == (len(r.members), len(r.depth_chart))
         assert (index[k].new_players, index[k].removed_players) == (len(r.new_players), len(r.removed_players))
-    with pytest.raises(ValueError):
-        lifecycle.snapshots(rosters(spark), schedule, depth, max_members=1)
-
-
-def test_packed_text_continues_on_further_parts(spark):
-    people = spark.createDataFrame([("KC", f"n{i:03d}") for i in range(25)], "team string, name string")
-    out = lifecycle.packed_text(people, ["team"], "name", F.substring("name", 1, 2), "names", per_row=10)
-    parts = {r.part: r for r in out.collect()}
-    assert [parts[i]["values"] for i in range(3)] == [10, 10, 5]
-    assert ", ".join(parts[i].names for i in range(3)).split(", ") == [f"n{i:03d}" for i in range(25)]
 
 
 def test_parse_period(spark):
@@ -163,19 +153,12 @@ def test_refresh_drops_stale_partitions(spark, tmp_path):
     assert spark.read.parquet(path).count() == 2
 
 
-def test_play_schema_follows_names(spark, tmp_path):
-    kinds = {f.name: f.dataType.simpleString() for f in schemas.play_schema(
-        "play_id qtr epa wpa home_wp_post air_yards drive_quarter_end drive_end_transition result "
-        "field_goal_result end_yard_line spread_line penalty_yards xyac_mean_yardage".split())}
-    assert kinds == {
-        "play_id": "string", "qtr": "int", "epa": "double", "wpa": "double", "home_wp_post": "double",
-        "air_yards": "double", "drive_quarter_end": "int", "drive_end_transition": "string", "result": "int",
-        "field_goal_result": "string", "end_yard_line": "string", "spread_line": "double",
-        "penalty_yards": "int", "xyac_mean_yardage": "double",
-    }
+def test_play_feed_with_another_schema(spark, tmp_path):
+    assert schemas.RAW["raw_pbp"]["epa"].dataType.simpleString() == "double"
     spark.createDataFrame([(2023, "g", 1, 0.5)], "season int, game_id string, qtr int, epa double").write.partitionBy(
         "season").parquet(str(tmp_path / "pbp"))
-    got = feeds.load_feeds(spark, str(tmp_path), [2023], ["pbp"], play_columns=["season", "game_id", "qtr"])["raw_pbp"]
+    wanted = schemas.declared("season int, game_id string, qtr int")
+    got = feeds.load_feeds(spark, str(tmp_path), [2023], ["pbp"], play_schema=wanted)["raw_pbp"]
     assert got.first().asDict() == {"season": 2023, "game_id": "g", "qtr": 1}
 
 

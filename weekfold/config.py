@@ -88,80 +88,105 @@ DEFAULT_KEY = ["player_id", "season", "week"]
 OPTIONAL_KEY_COLUMNS = {"raw_depth_charts": ["dt"]}
 
 # --- fixed values: statistics per position ------------------------------------
-_RUSHING = (
-    "carries rushing_yards rushing_tds rushing_fumbles rushing_fumbles_lost "
-    "rushing_first_downs rushing_epa rushing_2pt_conversions"
-)
-_RECEIVING = (
-    "targets receptions receiving_yards receiving_tds receiving_fumbles "
-    "receiving_fumbles_lost receiving_air_yards receiving_yards_after_catch "
-    "receiving_first_downs receiving_epa racr target_share air_yards_share wopr "
-    "receiving_2pt_conversions"
-)
-_OWN_RECOVERY = "fumble_recovery_own fumble_recovery_yards_own fumble_recovery_tds"
-_UNIVERSAL = "misc_yards penalties penalty_yards"
-_KICK_RETURNS = "kickoff_returns kickoff_return_yards special_teams_tds"
-_ALL_RETURNS = "punt_returns punt_return_yards " + _KICK_RETURNS
-
 POSITION_STATS = {
-    position: {category: names.split() for category, names in categories.items()}
-    for position, categories in {
-        "QB": {
-            "passing": "attempts completions passing_yards passing_tds "
-            "passing_interceptions passing_first_downs passing_air_yards "
-            "passing_yards_after_catch passing_epa passing_cpoe pacr "
-            "passing_2pt_conversions",
-            "pressure": "sacks_suffered sack_yards_lost sack_fumbles sack_fumbles_lost",
-            "rushing": _RUSHING,
-            "recovery": _OWN_RECOVERY,
-            "universal": _UNIVERSAL,
-        },
-        "WR": {
-            "receiving": _RECEIVING,
-            "rushing": _RUSHING,
-            "special_teams": _ALL_RETURNS,
-            "recovery": _OWN_RECOVERY,
-            "universal": _UNIVERSAL,
-        },
-        "RB": {
-            "rushing": _RUSHING,
-            "receiving": _RECEIVING,
-            "special_teams": _KICK_RETURNS,
-            "recovery": _OWN_RECOVERY,
-            "universal": _UNIVERSAL,
-        },
-        "TE": {
-            "receiving": _RECEIVING,
-            "rushing": _RUSHING,
-            "special_teams": _KICK_RETURNS,
-            "recovery": _OWN_RECOVERY,
-            "universal": _UNIVERSAL,
-        },
-        "K": {
-            "field_goals": "fg_att fg_made fg_missed fg_blocked fg_pct fg_long "
-            "fg_made_0_19 fg_made_20_29 fg_made_30_39 fg_made_40_49 fg_made_50_59 "
-            "fg_made_60_ fg_missed_0_19 fg_missed_20_29 fg_missed_30_39 "
-            "fg_missed_40_49 fg_missed_50_59 fg_missed_60_ fg_made_list "
-            "fg_missed_list fg_blocked_list fg_made_distance fg_missed_distance "
-            "fg_blocked_distance",
-            "extra_points": "pat_att pat_made pat_missed pat_blocked pat_pct",
-            "game_winning": "gwfg_att gwfg_made gwfg_missed gwfg_blocked gwfg_distance",
-            "universal": _UNIVERSAL,
-        },
-        "DEF": {
-            "tackling": "def_tackles_solo def_tackles_with_assist def_tackle_assists "
-            "def_tackles_for_loss def_tackles_for_loss_yards",
-            "pass_rush": "def_sacks def_sack_yards def_qb_hits",
-            "coverage": "def_interceptions def_interception_yards def_pass_defended",
-            "turnovers": "def_fumbles_forced",
-            "scoring": "def_tds def_safeties",
-            "recovery": "fumble_recovery_own fumble_recovery_yards_own "
-            "fumble_recovery_opp fumble_recovery_yards_opp fumble_recovery_tds",
-            "own_fumbles": "def_fumbles",
-            "special_teams": _ALL_RETURNS,
-            "universal": _UNIVERSAL,
-        },
-    }.items()
+    "QB": {
+        "passing": [
+            "attempts", "completions", "passing_yards", "passing_tds", "passing_interceptions",
+            "passing_first_downs", "passing_air_yards", "passing_yards_after_catch",
+            "passing_epa", "passing_cpoe", "pacr", "passing_2pt_conversions",
+        ],
+        "pressure": ["sacks_suffered", "sack_yards_lost", "sack_fumbles", "sack_fumbles_lost"],
+        "rushing": [
+            "carries", "rushing_yards", "rushing_tds", "rushing_fumbles",
+            "rushing_fumbles_lost", "rushing_first_downs", "rushing_epa",
+            "rushing_2pt_conversions",
+        ],
+        "recovery": ["fumble_recovery_own", "fumble_recovery_yards_own", "fumble_recovery_tds"],
+        "universal": ["misc_yards", "penalties", "penalty_yards"],
+    },
+    "WR": {
+        "receiving": [
+            "targets", "receptions", "receiving_yards", "receiving_tds", "receiving_fumbles",
+            "receiving_fumbles_lost", "receiving_air_yards", "receiving_yards_after_catch",
+            "receiving_first_downs", "receiving_epa", "racr", "target_share", "air_yards_share",
+            "wopr", "receiving_2pt_conversions",
+        ],
+        "rushing": [
+            "carries", "rushing_yards", "rushing_tds", "rushing_fumbles",
+            "rushing_fumbles_lost", "rushing_first_downs", "rushing_epa",
+            "rushing_2pt_conversions",
+        ],
+        "special_teams": [
+            "punt_returns", "punt_return_yards", "kickoff_returns", "kickoff_return_yards",
+            "special_teams_tds",
+        ],
+        "recovery": ["fumble_recovery_own", "fumble_recovery_yards_own", "fumble_recovery_tds"],
+        "universal": ["misc_yards", "penalties", "penalty_yards"],
+    },
+    "RB": {
+        "rushing": [
+            "carries", "rushing_yards", "rushing_tds", "rushing_fumbles",
+            "rushing_fumbles_lost", "rushing_first_downs", "rushing_epa",
+            "rushing_2pt_conversions",
+        ],
+        "receiving": [
+            "targets", "receptions", "receiving_yards", "receiving_tds", "receiving_fumbles",
+            "receiving_fumbles_lost", "receiving_air_yards", "receiving_yards_after_catch",
+            "receiving_first_downs", "receiving_epa", "racr", "target_share", "air_yards_share",
+            "wopr", "receiving_2pt_conversions",
+        ],
+        "special_teams": ["kickoff_returns", "kickoff_return_yards", "special_teams_tds"],
+        "recovery": ["fumble_recovery_own", "fumble_recovery_yards_own", "fumble_recovery_tds"],
+        "universal": ["misc_yards", "penalties", "penalty_yards"],
+    },
+    "TE": {
+        "receiving": [
+            "targets", "receptions", "receiving_yards", "receiving_tds", "receiving_fumbles",
+            "receiving_fumbles_lost", "receiving_air_yards", "receiving_yards_after_catch",
+            "receiving_first_downs", "receiving_epa", "racr", "target_share", "air_yards_share",
+            "wopr", "receiving_2pt_conversions",
+        ],
+        "rushing": [
+            "carries", "rushing_yards", "rushing_tds", "rushing_fumbles",
+            "rushing_fumbles_lost", "rushing_first_downs", "rushing_epa",
+            "rushing_2pt_conversions",
+        ],
+        "special_teams": ["kickoff_returns", "kickoff_return_yards", "special_teams_tds"],
+        "recovery": ["fumble_recovery_own", "fumble_recovery_yards_own", "fumble_recovery_tds"],
+        "universal": ["misc_yards", "penalties", "penalty_yards"],
+    },
+    "K": {
+        "field_goals": [
+            "fg_att", "fg_made", "fg_missed", "fg_blocked", "fg_pct", "fg_long", "fg_made_0_19",
+            "fg_made_20_29", "fg_made_30_39", "fg_made_40_49", "fg_made_50_59", "fg_made_60_",
+            "fg_missed_0_19", "fg_missed_20_29", "fg_missed_30_39", "fg_missed_40_49",
+            "fg_missed_50_59", "fg_missed_60_", "fg_made_list", "fg_missed_list",
+            "fg_blocked_list", "fg_made_distance", "fg_missed_distance", "fg_blocked_distance",
+        ],
+        "extra_points": ["pat_att", "pat_made", "pat_missed", "pat_blocked", "pat_pct"],
+        "game_winning": ["gwfg_att", "gwfg_made", "gwfg_missed", "gwfg_blocked", "gwfg_distance"],
+        "universal": ["misc_yards", "penalties", "penalty_yards"],
+    },
+    "DEF": {
+        "tackling": [
+            "def_tackles_solo", "def_tackles_with_assist", "def_tackle_assists",
+            "def_tackles_for_loss", "def_tackles_for_loss_yards",
+        ],
+        "pass_rush": ["def_sacks", "def_sack_yards", "def_qb_hits"],
+        "coverage": ["def_interceptions", "def_interception_yards", "def_pass_defended"],
+        "turnovers": ["def_fumbles_forced"],
+        "scoring": ["def_tds", "def_safeties"],
+        "recovery": [
+            "fumble_recovery_own", "fumble_recovery_yards_own", "fumble_recovery_opp",
+            "fumble_recovery_yards_opp", "fumble_recovery_tds",
+        ],
+        "own_fumbles": ["def_fumbles"],
+        "special_teams": [
+            "punt_returns", "punt_return_yards", "kickoff_returns", "kickoff_return_yards",
+            "special_teams_tds",
+        ],
+        "universal": ["misc_yards", "penalties", "penalty_yards"],
+    },
 }
 
 # the statistic a defence is ranked on, per position it faces
@@ -243,25 +268,67 @@ VECTOR_UNIVERSAL = (
     "opp_def_pressure_rate", "opp_def_turnover_rate",
 )
 # (statistic, name inside the vector) for each of the ten slots of a window
-_SAME = lambda names: [(n, n) for n in names.split()]
 VECTOR_STATS = {
-    "QB": _SAME("passing_yards passing_tds completions attempts passing_epa")
-    + [("sacks_suffered", "sacks")]
-    + _SAME("carries rushing_yards rushing_tds fantasy_points"),
-    "RB": _SAME(
-        "carries rushing_yards rushing_tds targets receptions receiving_yards "
-        "receiving_tds rushing_epa receiving_epa fantasy_points"
-    ),
-    "WR": _SAME(
-        "targets receptions receiving_yards receiving_tds receiving_epa "
-        "target_share air_yards_share carries rushing_yards fantasy_points"
-    ),
-    "TE": _SAME(
-        "targets receptions receiving_yards receiving_tds receiving_epa "
-        "target_share air_yards_share carries rushing_yards fantasy_points"
-    ),
-    "K": _SAME("fg_att fg_made fg_pct pat_made pat_att")
-    + [(None, f"pad{i}") for i in range(1, 6)],
+    "QB": [
+        ("passing_yards", "passing_yards"),
+        ("passing_tds", "passing_tds"),
+        ("completions", "completions"),
+        ("attempts", "attempts"),
+        ("passing_epa", "passing_epa"),
+        ("sacks_suffered", "sacks"),
+        ("carries", "carries"),
+        ("rushing_yards", "rushing_yards"),
+        ("rushing_tds", "rushing_tds"),
+        ("fantasy_points", "fantasy_points"),
+    ],
+    "RB": [
+        ("carries", "carries"),
+        ("rushing_yards", "rushing_yards"),
+        ("rushing_tds", "rushing_tds"),
+        ("targets", "targets"),
+        ("receptions", "receptions"),
+        ("receiving_yards", "receiving_yards"),
+        ("receiving_tds", "receiving_tds"),
+        ("rushing_epa", "rushing_epa"),
+        ("receiving_epa", "receiving_epa"),
+        ("fantasy_points", "fantasy_points"),
+    ],
+    "WR": [
+        ("targets", "targets"),
+        ("receptions", "receptions"),
+        ("receiving_yards", "receiving_yards"),
+        ("receiving_tds", "receiving_tds"),
+        ("receiving_epa", "receiving_epa"),
+        ("target_share", "target_share"),
+        ("air_yards_share", "air_yards_share"),
+        ("carries", "carries"),
+        ("rushing_yards", "rushing_yards"),
+        ("fantasy_points", "fantasy_points"),
+    ],
+    "TE": [
+        ("targets", "targets"),
+        ("receptions", "receptions"),
+        ("receiving_yards", "receiving_yards"),
+        ("receiving_tds", "receiving_tds"),
+        ("receiving_epa", "receiving_epa"),
+        ("target_share", "target_share"),
+        ("air_yards_share", "air_yards_share"),
+        ("carries", "carries"),
+        ("rushing_yards", "rushing_yards"),
+        ("fantasy_points", "fantasy_points"),
+    ],
+    "K": [
+        ("fg_att", "fg_att"),
+        ("fg_made", "fg_made"),
+        ("fg_pct", "fg_pct"),
+        ("pat_made", "pat_made"),
+        ("pat_att", "pat_att"),
+        (None, "pad1"),
+        (None, "pad2"),
+        (None, "pad3"),
+        (None, "pad4"),
+        (None, "pad5"),
+    ],
 }
 # vector prefix -> rolling window it reads
 VECTOR_WINDOWS = {"last3": 3, "last5": 5, "season": 10}

@@ -14,7 +14,6 @@ from weekfold.functions.scalars import (
     snapshot_key,
 )
 from weekfold.operators.joins import team_games
-from weekfold.operators.windows import number_events
 
 MEMBER_FIELDS = {
     "gsis_id": "gsis_id", "name": "full_name", "position": "position",
@@ -93,21 +92,6 @@ def pack(df: DataFrame, keys, fields, name: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.array_sort(F.collect_list(member)).alias(name))
 
 
-def packed_text(df: DataFrame, keys, value: str, slice_by: Column, name: str, per_row: int = 10_000) -> DataFrame:
-    """Ordered ``", "`` list of a value per key, ``per_row`` values to a row.
-
-    A key with more values continues on rows with ``part`` 1, 2, ...; nothing is
-    cut off and no task holds more than one part. ``slice_by`` must not decrease
-    along the value's order (a prefix of it, for text).
-    """
-    numbered = number_events(df, keys, [value], slice_by, "_n")
-    part = F.floor((F.col("_n") - 1) / per_row).alias("part")
-    return numbered.groupBy(*keys, part).agg(
-        F.count(F.lit(1)).alias("values"),
-        F.array_join(F.array_sort(F.collect_list(value)), ", ").alias(name),
-    )
-
-
 def roster_changes(rosters: DataFrame) -> DataFrame:
     """Members who joined or left each (team, season, week) against the week before.
 
@@ -176,17 +160,14 @@ def snapshot_index(rosters: DataFrame, schedule: DataFrame, depth: DataFrame) ->
     )
 
 
-def snapshots(rosters: DataFrame, schedule: DataFrame, depth: DataFrame, max_members: int = 10_000) -> DataFrame:
+def snapshots(rosters: DataFrame, schedule: DataFrame, depth: DataFrame) -> DataFrame:
     """Snapshots with members, depth chart and changes packed as lists.
 
-    Lists are built only after counting: a team-week with more than
-    ``max_members`` rows is refused, and the long tables are to be used.
+    The lists of a team-week are as long as the rules of the game let a roster
+    be; the long tables behind ``snapshot_index`` hold the same rows unpacked.
     """
     keys = ["team", "season", "week"]
     base = rosters.dropna(subset=["gsis_id", *keys])
-    largest = base.groupBy(*keys).count().agg(F.max("count").alias("m")).first()["m"] or 0
-    if largest > max_members:
-        raise ValueError(f"a team-week has {largest} members; use snapshot_index and the long tables")
     members = pack(snapshot_members(rosters), keys, list(MEMBER_FIELDS), "members")
     dates = team_games(schedule).groupBy(*keys).agg(F.min("gameday").alias("snapshot_date"))
     chart = pack(

@@ -196,16 +196,23 @@ def _both_sides(plays: DataFrame) -> DataFrame:
 
 
 def team_aggregates(
-    plays: DataFrame,
+    plays: DataFrame | None,
     team_stats: DataFrame,
     first_play_season: int = config.PLAYS_FIRST_SEASON,
 ) -> DataFrame:
     """Twelve metrics for every (team, season, week > 3).
 
     A season from ``first_play_season`` on that has plays is computed from
-    them, for the regular-season weeks a team played; any other season gets the
-    default of every metric for its team rows.
+    them, for the regular-season weeks a team played; any other season, and all
+    of them where there is no play feed (None), gets the default of every
+    metric for its team rows.
     """
+    constants = team_stats.select(
+        "team", "season", "week", F.lit(True).alias("eligible"), F.lit(0).alias("path"),
+        *[F.lit(v).alias(m) for m, v in config.TEAM_METRICS.items()],
+    )
+    if plays is None:
+        return constants.filter(F.col("week") > 3).select("team", "season", "week", *config.TEAM_METRICS)
     weekly = _both_sides(plays.filter(F.col("season") >= first_play_season))
     columns = [c for c in weekly.columns if c not in ("team", "season", "week")]
     # every week counts for the three after it (k = 1..3) and marks itself (k = 0)
@@ -222,10 +229,6 @@ def team_aggregates(
         .filter(F.col("played") > 0)
         .select("team", "season", "week", "eligible", F.lit(1).alias("path"), *_metrics(config.TEAM_METRICS))
     )
-    constants = team_stats.select(
-        "team", "season", "week", F.lit(True).alias("eligible"), F.lit(0).alias("path"),
-        *[F.lit(v).alias(m) for m, v in config.TEAM_METRICS.items()],
-    )
     # both paths are sized by teams x weeks, so a window per season stays small
     best = F.max("path").over(Window.partitionBy("season"))
     both = from_plays.unionByName(constants).withColumn("best", best)

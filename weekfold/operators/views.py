@@ -7,8 +7,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weekfold.operators.lifecycle import packed_text
-
 
 def catalog_summary(frames: dict[str, DataFrame]) -> DataFrame:
     """Row count and column list of every table, one row per table."""
@@ -37,15 +35,13 @@ def current_players(stats: DataFrame) -> DataFrame:
 
 
 def latest_rosters(stats: DataFrame) -> DataFrame:
-    """Player names per team and position in the last season, in order.
+    """The last season's players per team and position, one row each."""
+    return latest_season(stats).select("team", "position", "player_id", "player_name").distinct()
 
-    Long lists continue on further parts (see ``packed_text``).
-    """
-    people = latest_season(stats).select("team", "position", "player_id", "player_name").distinct()
-    listed = packed_text(
-        people, ["team", "position"], "player_name", F.substring("player_name", 1, 14), "players"
-    )
-    return listed.withColumnRenamed("values", "player_count")
+
+def roster_counts(rosters: DataFrame) -> DataFrame:
+    """The header of ``latest_rosters``: how many players each team and position has."""
+    return rosters.groupBy("team", "position").agg(F.count(F.lit(1)).alias("player_count"))
 
 
 def season_summary(stats: DataFrame) -> DataFrame:

@@ -2,16 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weekfold import config
 from weekfold.operators import lifecycle, quality, targets, team, temporal
 from weekfold.plans import dataset
+from weekfold.operators.ingest import incremental_append, key_columns
 from weekfold.plans.player import player_features
+from weekfold.sources.feeds import load_feeds
 from weekfold.sources.sinks import refresh, write_aligned
 
-REQUIRED = ("players", "rosters", "depth", "stats", "schedule", "team_stats", "plays")
+REQUIRED = ("players", "rosters", "depth", "stats", "schedule", "team_stats")
+#: Inputs of a run by the raw table they come from; plays exist from 2022 on only.
+RAW_INPUTS = {
+    "stats": "raw_player_stats", "plays": "raw_pbp", "schedule": "raw_schedules", "rosters": "raw_rosters_weekly",
+    "depth": "raw_depth_charts", "players": "raw_players", "team_stats": "raw_team_stats",
+}
+RAW_FEEDS = [t.removeprefix("raw_") for t in RAW_INPUTS.values()]
 
 
 def _nested_as_text(df: DataFrame) -> DataFrame:
@@ -34,6 +44,7 @@ def entity_stages(tables: dict[str, DataFrame], out: str) -> dict[str, DataFrame
             lifecycle.snapshot_index(tables["rosters"], tables["schedule"], tables["depth"]),
             f"{out}/snapshot_index",
         ),
+        "snapshot_depth": refresh(lifecycle.snapshot_depth(tables["depth"]), f"{out}/snapshot_depth"),
         "snapshot_members": refresh(lifecycle.snapshot_members(tables["rosters"]), f"{out}/snapshot_members"),
         "roster_changes": refresh(lifecycle.roster_changes(tables["rosters"]), f"{out}/roster_changes"),
     }
@@ -47,7 +58,7 @@ def feature_stages(
     return {
         "player_rolling": refresh(players, f"{out}/player_rolling"),
         "team_rolling": refresh(
-            team.team_aggregates(tables["plays"], tables["team_stats"], first_play_season),
+            team.team_aggregates(tables.get("plays"), tables["team_stats"], first_play_season),
             f"{out}/team_rolling",
         ),
     }
@@ -81,7 +92,10 @@ def build(
     matchup_alignment: str = "lagged",
     check: bool = True,
 ) -> dict[str, DataFrame]:
-    """Run every stage in order; each writes its table and the next reads it."""
+    """Run every stage in order; each writes its table and the next reads it.
+
+    ``plays`` may be left out: team form then takes the defaults.
+    """
     empty = quality.check_inputs(tables, REQUIRED)
     if "stats" in empty:
         raise ValueError("no player statistics to build from")
@@ -93,6 +107,25 @@ def build(
     return stages
 
 
+def build_from_feeds(
+    spark: SparkSession, feeds_root: str, seasons, raw_root: str, out: str, fmt: str = "parquet", **options
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    """From feed files to the dataset: load what is new, then build on the raw tables.
+
+    Every feed that the seasons offer is appended to its raw table below
+    ``raw_root``, once per key, and the run reads those tables. Returns the
+    stage tables and one counters row per feed.
+    """
+    counted = []
+    raw: dict[str, DataFrame] = {}
+    for name, rows in load_feeds(spark, feeds_root, seasons, RAW_FEEDS, fmt).items():
+        by = [c for c in ("season",) if c in rows.columns and c in key_columns(rows, name)]
+        raw[name], counts = incremental_append(rows, f"{raw_root}/{name}", name, partition_by=by)
+        counted.append(counts)
+    tables = {k: raw[t] for k, t in RAW_INPUTS.items() if t in raw}
+    return build(tables, out, **options), reduce(DataFrame.unionByName, counted)
+
+
 def export_json(df: DataFrame, path: str) -> None:
     """Write a stage table with its nested columns as JSON text."""
     write_aligned(_nested_as_text(df), path, mode="replace")

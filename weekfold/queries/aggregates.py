@@ -208,13 +208,13 @@ def u01(spark, root):
 
 
 @query("u02_set_difference", """
-SELECT DISTINCT o_custkey, week FROM order_periods WHERE season = 1999
-EXCEPT SELECT o_custkey, week FROM order_periods WHERE season = 1998""", ["order_periods"])
+SELECT DISTINCT o_custkey, season, week FROM order_periods
+EXCEPT SELECT o_custkey, season + 1, week FROM order_periods""", ["order_periods"])
 def u02(spark, root):
     o = src.order_periods(spark, root)
-    return setops.missing_keys(
-        o.filter(F.col("season") == 1999), o.filter(F.col("season") == 1998), ["o_custkey", "week"]
-    )
+    # every season against the one before
+    before = o.withColumn("season", F.col("season") + 1)
+    return setops.missing_keys(o, before, ["o_custkey", "season", "week"])
 
 
 @query("u03_append_paths", """
@@ -228,7 +228,10 @@ def u03(spark, root):
 
 
 # --- catalog and views ----------------------------------------------------------------
-_CATALOG = "region nation customer supplier part orders lineitem events embeddings labels documents".split()
+_CATALOG = [
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "embeddings", "labels",
+    "documents", "pages", "benchmark", "conversations",
+]
 
 
 @query("s09_catalog_summary", "\nUNION ALL ".join(
@@ -247,15 +250,19 @@ def s10(spark, root):
 
 
 @query("s11_latest_rosters", """
-SELECT team, position, part, count(*) AS player_count, string_agg(player_name, ', ' ORDER BY player_name) AS players
-FROM (SELECT *, (row_number() OVER (PARTITION BY team, position ORDER BY player_name) - 1) // 10000 AS part
-      FROM (SELECT DISTINCT team, position, player_id, player_name FROM order_games
-            WHERE season = (SELECT max(season) FROM order_games)))
-GROUP BY team, position, part""", ["order_games"])
+SELECT DISTINCT team, position, player_id, player_name FROM order_games WHERE season = (SELECT max(season) FROM order_games)""",
+       ["order_games"])
 def s11(spark, root):
     return views.latest_rosters(src.order_games(spark, root))
 
 
+@query("s11_roster_counts", """
+SELECT team, position, count(*) AS player_count FROM (SELECT DISTINCT team, position, player_id, player_name FROM order_games
+  WHERE season = (SELECT max(season) FROM order_games)) GROUP BY team, position""", ["order_games"])
+def s11_counts(spark, root):
+    return views.roster_counts(views.latest_rosters(src.order_games(spark, root)))
+
+
 @query("s12_season_summary", """
 SELECT season, count(DISTINCT player_id) AS players, count(DISTINCT team) AS teams, max(week) AS max_week, count(*) AS row_count
 FROM order_games GROUP BY season""", ["order_games"])

@@ -75,17 +75,16 @@ def with_stamped_weeks(df: DataFrame, ts_col: str = "dt") -> DataFrame:
 
 
 def read_feed(
-    spark: SparkSession, root: str, feed: str, fmt: str = "parquet", columns=None
+    spark: SparkSession, root: str, feed: str, fmt: str = "parquet", schema: T.StructType | None = None
 ) -> DataFrame:
-    """One feed with its declared schema; CSV files are read with a header row.
+    """One feed with its declared schema, or another one; CSV files are read with a header row.
 
-    ``columns`` asks for other columns of the play feed than the ones the team
-    metrics read; for CSV it must list the file's columns in order.
+    For CSV a schema must list the file's columns in order.
     """
     table = f"raw_{feed}"
     path = f"{root.rstrip('/')}/{feed}"
-    schema = schemas.play_schema(columns) if feed == "pbp" and columns else schemas.RAW[table]
-    if feed == "depth_charts":
+    given, schema = schema is not None, schema or schemas.RAW[table]
+    if feed == "depth_charts" and not given:
         schema = T.StructType([*schema.fields, T.StructField("dt", T.StringType())])
     reader = spark.read.schema(schema)
     if fmt == "csv":
@@ -94,7 +93,8 @@ def read_feed(
 
 
 def load_feeds(
-    spark: SparkSession, root: str, seasons, feeds=None, fmt: str = "parquet", play_columns=None
+    spark: SparkSession, root: str, seasons, feeds=None, fmt: str = "parquet",
+    play_schema: T.StructType | None = None,
 ) -> dict[str, DataFrame]:
     """The raw tables of the given seasons, each restricted to when it exists.
 
@@ -107,7 +107,7 @@ def load_feeds(
         wanted = [s for s in seasons if feed_available(feed, s, seasons[0])]
         if not wanted:
             continue
-        df = read_feed(spark, root, feed, fmt, play_columns)
+        df = read_feed(spark, root, feed, fmt, play_schema if feed == "pbp" else None)
         if not config.FEED_SEASONS[feed][2] and "season" in df.columns:
             df = season_filter(df, wanted)
         if feed == "players":
