@@ -7,6 +7,7 @@ import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from weekfold import config
 from weekfold.operators import registry as reg
 from weekfold.operators import training as tr
 
@@ -79,14 +80,32 @@ def test_never_predicted_class_scores_zero(spark):
 
 
 def test_search_and_folds(spark):
-    ml = tr.to_ml_frame(frame(spark), "rushing_yards").select("features", "label")
+    ml = tr.to_ml_frame(frame(spark), "rushing_yards")
     found = tr.tune(ml, trials=2, depth=(2, 3), trees=(2, 3))
     assert len(found.validationMetrics) == 2
-    assert tr.random_grid(tr.estimator(), 3) == tr.random_grid(tr.estimator(), 3) or len(tr.random_grid(tr.estimator(), 3)) == 3
-    r = tr.cross_validate(ml, folds=2, maxIter=2, maxDepth=2).first()
+    # rows after the validation part change nothing
+    later = ml.withColumns({"split": F.lit("test"), "label": F.lit(1e6)})
+    assert tr.tune(ml.union(later), trials=2, depth=(2, 3), trees=(2, 3)).validationMetrics == found.validationMetrics
+    with pytest.raises(ValueError):
+        tr.tune(ml.drop("split"), trials=1)
+    one, two = (tr.random_grid(tr.estimator(), 3) for _ in range(2))
+    assert [sorted(p.values()) for p in one] == [sorted(p.values()) for p in two]
+    folded = ml.withColumn("fold", (F.hash("feature_id") % 2 == 0).cast("int"))
+    r = tr.cross_validate(folded, folds=2, fold_col="fold", metric="mse", maxIter=2, maxDepth=2).first()
     assert r.mean_score > 0 and r.folds == 2
 
 
+def test_all_models_are_kept_and_bad_input_refused(spark, tmp_path):
+    path = str(tmp_path)
+    tr.train_all(frame(spark), [("RB", "rushing_yards")], models_path=path, **SMALL)
+    names = [r.name for r in spark.read.parquet(f"{path}/RB/rushing_yards/features").orderBy("slot").collect()]
+    assert names == config.vector_names("RB")
+    with pytest.raises(ValueError, match="XX"):
+        tr.train_all(frame(spark), [("XX", "rushing_yards")])
+    with pytest.raises(ValueError, match="empty"):
+        tr.train_all(frame(spark).limit(0))
+
+
 def test_classification_fit(spark):
     df = frame(spark).select(array_to_vector("numerical").alias("features"), (F.col("numerical")[0] > 0.5).cast("double").alias("label"))
     scored = tr.score(tr.fit(df, "classification", **SMALL), df)

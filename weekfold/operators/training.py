@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import random
+from dataclasses import dataclass
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -204,27 +206,62 @@ def random_grid(model, trials: int, seed: int = 42, depth=(3, 10), rate=(0.01, 0
     return grid
 
 
-def _evaluator(task: str):
+def _evaluator(task: str, metric: str | None = None):
     if task == "regression":
-        return RegressionEvaluator(labelCol="label", metricName="rmse")
-    return BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC")
+        return RegressionEvaluator(labelCol="label", metricName=metric or "rmse")
+    return BinaryClassificationEvaluator(labelCol="label", metricName=metric or "areaUnderROC")
 
 
-def tune(df: DataFrame, task: str = "regression", trials: int = 50, parallelism: int = 4, seed: int = 42, **space):
-    """Best model of a seeded random search, judged on a held-out fifth."""
-    model = estimator(task)
-    return TrainValidationSplit(
-        estimator=model, estimatorParamMaps=random_grid(model, trials, seed, **space),
-        evaluator=_evaluator(task), trainRatio=0.8, parallelism=parallelism, seed=seed,
-    ).fit(df)
+@dataclass
+class Search:
+    """Outcome of ``tune``: the best model, and the metric of every trial in their order."""
+
+    bestModel: object
+    validationMetrics: list[float]
+
+
+def tune(
+    df: DataFrame, task: str = "regression", trials: int = 50, parallelism: int = 4, seed: int = 42,
+    metric: str | None = None, **space,
+) -> Search:
+    """Best model of a seeded random search in time order.
+
+    Trials are fitted on the rows whose ``split`` is train and judged on those
+    of validation, which are later, so no later row helps to choose a model for
+    earlier ones. Depth, step size, number of trees, row sampling and the least
+    rows of a leaf are searched; column sampling per tree and the penalties of
+    other libraries have no counterpart in Spark's trees.
+    """
+    if "split" not in df.columns:
+        raise ValueError("searching in time order needs a split column")
+    train, validation = df.filter(F.col("split") == "train"), df.filter(F.col("split") == "validation")
+    model, evaluator = estimator(task), _evaluator(task, metric)
 
+    def trial(params):
+        fitted = model.fit(train, params)
+        return fitted, evaluator.evaluate(fitted.transform(validation))
 
-def cross_validate(df: DataFrame, task: str = "regression", folds: int = 5, parallelism: int = 4, seed: int = 42, **params):
-    """Mean and deviation of the score over folds; one row."""
+    with ThreadPool(max(1, min(parallelism, trials))) as pool:
+        outcomes = pool.map(trial, random_grid(model, trials, seed, **space))
+    best = max if evaluator.isLargerBetter() else min
+    return Search(best(outcomes, key=lambda o: o[1])[0], [m for _, m in outcomes])
+
+
+def cross_validate(
+    df: DataFrame, task: str = "regression", folds: int = 5, parallelism: int = 4, seed: int = 42,
+    fold_col: str | None = None, metric: str | None = None, **params,
+) -> DataFrame:
+    """Mean and deviation of the score over folds; one row.
+
+    ``fold_col`` names an integer column with each row's fold, such as the
+    season's number, so that rows of one period stay together; without it rows
+    are dealt at random.
+    """
     model = estimator(task, **params)
+    by = {"foldCol": fold_col} if fold_col else {}
     fitted = CrossValidator(
-        estimator=model, estimatorParamMaps=[{}], evaluator=_evaluator(task),
-        numFolds=folds, parallelism=parallelism, seed=seed,
+        estimator=model, estimatorParamMaps=[{}], evaluator=_evaluator(task, metric),
+        numFolds=folds, parallelism=parallelism, seed=seed, **by,
     ).fit(df)
     return df.sparkSession.createDataFrame(
         [(folds, float(fitted.avgMetrics[0]), float(fitted.stdMetrics[0]))],
@@ -233,13 +270,21 @@ def cross_validate(df: DataFrame, task: str = "regression", folds: int = 5, para
 
 
 # --- many models ------------------------------------------------------------------------
-def train_all(df: DataFrame, pairs=None, **params) -> DataFrame:
+def train_all(df: DataFrame, pairs=None, models_path: str | None = None, **params) -> DataFrame:
     """Fit one model per (position, target); one metrics row per pair and split.
 
+    With ``models_path`` every model is kept there as ``<position>/<target>``,
+    with its feature names, as ``load`` reads them.
+
     The loop is over configured pairs (34 in all), never over data: each fit is
     itself distributed, and ``df`` should be a stored table with ``split``.
     """
     pairs = pairs or [(p, t) for p, names in config.POSITION_TARGETS.items() for t in names]
+    unknown = {p for p, _ in pairs} - set(config.POSITION_TARGETS)
+    if unknown:
+        raise ValueError(f"unknown positions {sorted(unknown)}")
+    if df.isEmpty():
+        raise ValueError("the training set is empty")
     rows = []
     for position, target in pairs:
         frame = to_ml_frame(df.filter(F.col("position") == position), target)
@@ -253,6 +298,8 @@ def train_all(df: DataFrame, pairs=None, **params) -> DataFrame:
             )
             rows.append(empty)
             continue
+        if models_path:
+            save(model, f"{models_path}/{position}/{target}", config.vector_names(position))
         scored = regression_metrics(score(model, frame), group=["split"])
         rows.append(scored.select(*head, F.lit("trained").alias("status"), "split", "n", "rmse", "mae", "r2"))
     return reduce(DataFrame.unionByName, rows)
