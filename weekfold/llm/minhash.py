@@ -6,14 +6,15 @@ different permutations make documents meet; every meeting is confirmed on the
 full shingle sets. With ``BANDS`` bands of ``ROWS`` values a pair of similarity
 0.8 meets in no band with a probability of (1 - 0.8^5)^40, about 1e-7.
 
-Documents with equal sets are one node from the start. In a bucket, members
-are not all paired: first each is compared with the smallest one, and what
-that links becomes one component. Only buckets that still hold several
-components go on: there the members of the smaller components are compared
-with the members of other components, a bounded number of them per round, until
-every pair of a bucket is either linked through others or compared. So a large
-group of near copies costs one comparison per member and bucket, and no link
-between different components is lost.
+Documents with equal sets are one node from the start. The members of a bucket
+are not all paired. First each is compared with the bucket's hub, the member
+that meets most others; what that links is one component. Left are pairs of
+which at least one is no neighbour of the hub. They are found by how they differ
+from it: if ``x`` and ``y`` are similar enough but ``y`` and the hub are not, then
+``x`` and ``y`` must share so many of these differences that one of the rarest of
+``x`` is among those of ``y`` (a prefix filter on the differences, exact by
+counting; see ``_prefixes``). So a large group of near copies costs one
+comparison per member and hub, and no link between two members is lost.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weekfold.llm.components import components
@@ -34,7 +35,6 @@ from weekfold.session import settle
 BANDS = 40
 ROWS = 5
 SIMILAR = 80  # of 100
-HUBS = 64
 CHUNK = 4096
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -64,7 +64,7 @@ class Shingler:
         words = text.encode().lower().split()
         if not words:
             return np.empty(0, dtype=np.uint64)
-        if len(self.seen) > 500_000:
+        if len(self.seen) > 200_000:
             self.seen.clear()
         seen = self.seen
         for w in words:
@@ -137,14 +137,72 @@ def _sets(words: int):
     return run
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
-    of_a = sets.select(F.col("node").alias("a"), F.col("set").alias("set_a"))
-    of_b = sets.select(F.col("node").alias("b"), F.col("set").alias("set_b"))
-    both = F.size(F.array_intersect("set_a", "set_b"))
-    union = F.size("set_a") + F.size("set_b") - both
-    near = 100 * F.least(F.size("set_a"), F.size("set_b")) >= similar * F.greatest(F.size("set_a"), F.size("set_b"))
-    return pairs.join(of_a, "a").join(of_b, "b").where(near).where(100 * both >= similar * union).select("a", "b")
+def _with_sets(pairs: DataFrame, sets: DataFrame, one: str, other: str) -> DataFrame:
+    of_one = sets.select(F.col("node").alias(one), F.col("set").alias("set_one"))
+    of_other = sets.select(F.col("node").alias(other), F.col("set").alias("set_other"))
+    return pairs.join(of_one, one).join(of_other, other)
+
+
+def _linked(similar: int) -> Column:
+    both = F.size(F.array_intersect("set_one", "set_other"))
+    return 100 * both >= similar * (F.size("set_one") + F.size("set_other") - both)
+
+
+def _compared(stars: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
+    """Each (hub, node, wide) with how its sets differ; the differences themselves only where ``wide``.
+
+    ``short`` is below zero for linked pairs: it counts by how much the pair
+    misses the similarity, in the units of ``_prefixes``.
+    """
+    lost = F.array_except("set_one", "set_other")
+    gained = F.array_except("set_other", "set_one")
+    return (
+        _with_sets(stars, sets, "hub", "node")
+        .withColumns({"lost": lost, "gained": gained})
+        .withColumn("weight", 100 * F.size("lost") + similar * F.size("gained"))
+        .select(
+            "hub", "node", "weight",
+            (F.col("weight") - (100 - similar) * F.size("set_one")).alias("short"),
+            F.when(F.col("wide"), F.concat("lost", "gained")).alias("differences"),
+        )
+    )
+
+
+def _prefixes(compared: DataFrame, similar: int) -> DataFrame:
+    """Pairs (a, b) of members of one hub that may be linked although one of them is not linked to the hub.
+
+    With sets of size H (hub), ``lost`` and ``gained`` elements of x and y
+    against the hub and S common differences, ``100 * intersection >= similar *
+    union`` means ``(100 + similar) * S >= weight(x) + weight(y) - (100 -
+    similar) * H``, where ``weight = 100 * lost + similar * gained``. With
+    ``short(y) = weight(y) - (100 - similar) * H > 0`` for an outlier y,
+    S is more than ``weight(x) / (100 + similar)`` and, as S is at most
+    ``weight(x) / similar``, at least ``short(y) / 100``. Two sets with S common
+    elements share one among the first ``size - S + 1`` of each, in any common
+    order; here the rarest differences of a hub's members come first.
+    """
+    outliers = compared.where("short > 0 and differences is not null").select("hub").distinct()
+    contested = settle(
+        compared.where("differences is not null").join(settle(outliers, "outliers"), "hub", "left_semi")
+        .select("hub", "node", "weight", "short", F.size("differences").alias("size"),
+                F.explode("differences").alias("token")),
+        "differences",
+    )
+    common = settle(contested.groupBy("hub", "token").agg(F.count("*").alias("n")).where("n > 1"), "common")
+    # a difference that no other member has is rarest, and cannot be shared
+    order = Window.partitionBy("hub", "node").orderBy("n", "token")
+    alone = F.col("size") - F.count("*").over(Window.partitionBy("hub", "node"))
+    placed = settle(
+        contested.join(common, ["hub", "token"]).withColumn("place", alone + F.row_number().over(order)), "placed"
+    )
+    first = placed.where(F.col("place") <= F.col("size") - F.expr(f"weight div {100 + similar}")).select(
+        "hub", "token", F.col("node").alias("x")
+    )
+    outlying = placed.where((F.col("short") > 0) & (F.col("place") <= F.col("size") - F.ceil(F.col("short") / 100) + 1))
+    return (
+        first.join(outlying.select("hub", "token", F.col("node").alias("y")), ["hub", "token"])
+        .where("x <> y").select(*_ordered("x", "y")).distinct()
+    )
 
 
 def _ordered(one: str, other: str) -> list:
@@ -153,7 +211,7 @@ def _ordered(one: str, other: str) -> list:
 
 def near_duplicates(
     docs: DataFrame, words: int = 5, similar: int = SIMILAR, bands: int = BANDS, rows: int = ROWS,
-    hubs: int = HUBS, key: str = "doc_id", text: str = "text",
+    key: str = "doc_id", text: str = "text",
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept): one row for each row of ``docs``.
 
@@ -183,61 +241,40 @@ def near_duplicates(
         .select("node", F.explode("keys").alias("bucket"))
     )
     members = settle(members, "members")
-    meeting = (
-        members.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("last"))
-        .where("hub < last").select("bucket", "hub")
+    meeting = settle(
+        members.groupBy("bucket").agg(F.count_distinct("node").alias("size")).where("size > 1"), "meeting"
+    )
+    # written tables, so that the joins can split a hot bucket
+    shared = settle(members.join(meeting, "bucket").distinct(), "shared-buckets")
+    central = settle(shared.groupBy("node").agg(F.sum("size").alias("met")), "central")
+    hubs = settle(
+        shared.join(central, "node").groupBy("bucket")
+        .agg(F.max(F.struct("met", (-F.col("node")).alias("node"))).alias("hub"))
+        .select("bucket", (-F.col("hub.node")).alias("hub")),
+        "hubs",
     )
-    # a written table, so that the join below can split a hot bucket
-    shared = settle(members.join(settle(meeting, "meeting"), "bucket"), "shared-buckets")
-    wanted = settle(shared.select("node").distinct(), "wanted")
     sets = settle(
-        source.join(wanted.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
+        source.join(central.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
         .mapInPandas(_sets(words), "node long, set array<long>"),
         "sets",
     )
-
-    pairs = settle(shared.where("node <> hub").select(*_ordered("hub", "node")).distinct(), "pairs")
-    links = settle(_confirmed(pairs, sets, similar), "links")
-    labels = components(links)
-    open_rows = settle(shared.where("node <> hub").select("bucket", "node"), "open")
-    while True:
-        labelled = settle(
-            open_rows.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")),
-            "labelled",
-        )
-        sizes = labelled.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-        mixed = settle(
-            sizes.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("largest"), F.count("*").alias("parts"))
-            .where("parts > 1").select("bucket", F.col("largest.component").alias("largest")),
-            "mixed",
-        )
-        if mixed.isEmpty():
-            break
-        contested = settle(labelled.join(mixed, "bucket"), "contested")
-        nth = Window.partitionBy("bucket").orderBy("component", "node")
-        asking = settle(
-            contested.where("component <> largest").withColumn("nth", F.row_number().over(nth))
-            .where(F.col("nth") <= hubs)
-            .select("bucket", F.col("node").alias("hub"), F.col("component").alias("hub_component")),
-            "asking",
-        )
-        fresh = settle(
-            contested.join(asking, "bucket").where("component <> hub_component")
-            .select(*_ordered("hub", "node")).distinct()
-            .join(pairs, ["a", "b"], "left_anti"),
-            "pairs",
-        )
-        found = settle(_confirmed(fresh, sets, similar), "links")
-        pairs, links = pairs.unionByName(fresh), links.unionByName(found)
-        if not found.isEmpty():
-            labels = components(links)
-        # the others go on without those that have met all
-        open_rows = settle(
-            contested.select("bucket", "node").join(
-                asking.select("bucket", F.col("hub").alias("node")), ["bucket", "node"], "left_anti"
-            ),
-            "open",
-        )
+    stars = (
+        shared.join(hubs, "bucket").where("node <> hub")
+        .groupBy("hub", "node").agg((F.max("size") > 2).alias("wide"))
+    )
+    compared = settle(_compared(settle(stars, "stars"), sets, similar), "compared")
+    near_hub = compared.where("short <= 0").select(F.col("hub").alias("a"), F.col("node").alias("b"))
+    labels = components(near_hub)
+    of_a = labels.select(F.col("node").alias("a"), F.col("component").alias("component_a"))
+    of_b = labels.select(F.col("node").alias("b"), F.col("component").alias("component_b"))
+    apart = F.coalesce("component_a", "a") != F.coalesce("component_b", "b")
+    others = settle(
+        _prefixes(compared, similar).join(of_a, "a", "left").join(of_b, "b", "left").where(apart).select("a", "b"),
+        "others",
+    )
+    found = settle(_with_sets(others, sets, "a", "b").where(_linked(similar)).select("a", "b"), "links")
+    if not found.isEmpty():
+        labels = components(near_hub.unionByName(found))
     belongs = settle(
         classes.join(labels, "node", "left").select("digest", F.coalesce("component", "node").alias("component_id")),
         "belongs",
