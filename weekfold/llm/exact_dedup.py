@@ -36,7 +36,8 @@ def _counters(size: int):
         for batch in batches:
             counts.update(batch["digest"].tolist())
             counts = _shrink(counts, size)
-        yield pd.DataFrame({"digest": list(counts), "n": list(counts.values())})
+        if counts:
+            yield pd.DataFrame({"digest": list(counts), "n": list(counts.values())})
 
     return run
 

@@ -133,6 +133,8 @@ def secret_spans(
             for part in _shards(texts):
                 own = texts[part]
                 hits = [(i, *h) for i, found in enumerate(scan(own)) for h in found]
+                if not hits:
+                    continue
                 yield pd.DataFrame({
                     "doc_id": ids.iloc[[part.start + h[0] for h in hits]].array,
                     "kind": [rules[h[2]].kind for h in hits],
