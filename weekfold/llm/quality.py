@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from operator import eq
 
 import numpy as np
 import pandas as pd
@@ -38,30 +39,84 @@ _COMMON_END = frozenset(".,;:?!)]}\"'”’»…-")
 _RUN = re.compile(r"(.)\1+", re.DOTALL)
 
 
-def measures(text: str) -> dict[str, float]:
-    """Shares of words and lines that the heuristics look at; 0 words give zeros."""
-    words = text.split()
-    n = len(words)
-    lines = [x for x in text.split("\n") if x.strip()]
-    pairs = Counter(zip(words, words[1:]))
-    letters = sum(map(str.isalpha, text))
-    marks = len(text) - letters - sum(map(str.isspace, text)) - sum(map(str.isdigit, text))
-    least = max(n, 1)
-    return {
-        "words": n,
-        "signs": sum(1 for w in words if _SIGNS.search(w)) / least,
-        "upper": sum(1 for w in words if len(w) > 1 and w.isupper()) / least,
-        "shouts": text.count("!") / least,
-        "bars": text.count("|") / least,
-        "bare": sum(1 for w in words if not _LETTER.search(w)) / least,
-        "ends": sum(1 for w in words if w[-1] not in _COMMON_END and not w[-1].isalnum()) / least,
-        "echo": sum(1 for a, b in zip(words, words[1:]) if a == b) / least,
-        "variety": len(set(words)) / least,
-        "pairs": sum(c for c in pairs.values() if c > 1) / max(n - 1, 1),
-        "lines": 1 - len(set(lines)) / max(len(lines), 1),
-        "marks": marks / max(letters + marks, 1),
-        "length": letters / least,
-    }
+KNOWN = 150_000
+
+
+class Words:
+    """The words of one text: how often each occurs, and how often pairs and neighbours repeat."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.list = text.split()
+        self.counts = Counter(self.list)
+        self.echoes = sum(map(eq, self.list, self.list[1:]))
+        pairs = Counter(zip(self.list, self.list[1:]))
+        # every pair once, and again for each that repeats
+        once = sum(1 for n in pairs.values() if n == 1)
+        self.repeated_pairs = max(len(self.list) - 1, 0) - once
+
+
+class Measurer:
+    """Shares of words and lines that the heuristics look at; what a word has is kept (bounded)."""
+
+    def __init__(self):
+        self.known: dict[str, tuple[int, ...]] = {}
+
+    def of_word(self, word: str) -> tuple[int, ...]:
+        """Letters, other signs, and 1 or 0 for: a run of signs, odd end, upper case, nothing but signs."""
+        if word.isalpha():
+            found = (len(word), 0, 0, 0, int(len(word) > 1 and word.isupper()), 0)
+        else:
+            letters = sum(map(str.isalpha, word))
+            digits = sum(map(str.isdigit, word))
+            last = word[-1]
+            found = (
+                letters, len(word) - letters - digits, int(_SIGNS.search(word) is not None),
+                int(last not in _COMMON_END and not last.isalnum()), int(len(word) > 1 and word.isupper()),
+                int(_LETTER.search(word) is None),
+            )
+        if len(self.known) >= KNOWN:
+            self.known.clear()
+        self.known[word] = found
+        return found
+
+    def measures(self, words: Words) -> dict[str, float]:
+        """A text without words gives zeros."""
+        letters = marks = signs = ends = upper = bare = 0
+        known = self.known
+        for w, n in words.counts.items():
+            got = known.get(w) or self.of_word(w)
+            letters += got[0] * n
+            if got[1]:
+                marks += got[1] * n
+                signs += got[2] * n
+                ends += got[3] * n
+                bare += got[5] * n
+            if got[4]:
+                upper += n
+        n, text = len(words.list), words.text
+        least = max(n, 1)
+        lines = [x for x in text.split("\n") if x.strip()]
+        return {
+            "words": n,
+            "signs": signs / least,
+            "upper": upper / least,
+            "shouts": text.count("!") / least,
+            "bars": text.count("|") / least,
+            "bare": bare / least,
+            "ends": ends / least,
+            "echo": words.echoes / least,
+            "variety": len(words.counts) / least,
+            "pairs": words.repeated_pairs / max(n - 1, 1),
+            "lines": 1 - len(set(lines)) / max(len(lines), 1),
+            "marks": marks / max(letters + marks, 1),
+            "length": letters / least,
+        }
+
+    def votes(self, words: Words) -> str:
+        """One sign of each heuristic: ``+``, ``-`` or ``0``."""
+        m = self.measures(words)
+        return "".join(["0+-"[h(m)] for h in HEURISTICS])
 
 
 def _beyond(name: str, good: float, bad: float, least: int = 1):
@@ -110,15 +165,15 @@ HEURISTICS = (
 
 
 def votes(text: str) -> str:
-    """One sign of each heuristic: ``+``, ``-`` or ``0``."""
-    m = measures(text)
-    return "".join("0+-"[h(m)] for h in HEURISTICS)
+    return Measurer().votes(Words(text))
 
 
 def _patterns(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    measurer = Measurer()
     for batch in batches:
-        counts = Counter(map(votes, batch["text"]))
-        yield pd.DataFrame({"pattern": list(counts), "n": list(counts.values())})
+        counts = Counter(measurer.votes(Words(t)) for t in batch["text"])
+        if counts:
+            yield pd.DataFrame({"pattern": list(counts), "n": list(counts.values())})
 
 
 def pattern_counts(docs: DataFrame) -> dict[str, int]:
@@ -173,52 +228,51 @@ class VoteModel:
 
 
 class Hasher:
-    """Hashed features of a text: shapes of words, punctuation, repetition and the words themselves."""
+    """Hashed features of a text: shapes of words, repetition and the words themselves."""
 
     def __init__(self, width: int = WIDTH):
         self.width = width
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, tuple[int, int]] = {}
+        self.echo, self.pairs, self.new = (self.slot(n) for n in ("=echo", "=pairs", "=new"))
 
     def slot(self, name: str) -> int:
         return xxhash.xxh64_intdigest(name) % self.width
 
-    def of_word(self, word: str) -> tuple[int, ...]:
-        found = self.known.get(word)
-        if found is None:
-            if len(self.known) > 400_000:
-                self.known.clear()
-            shape = "".join(
-                "A" if c.isupper() else "a" if c.isalpha() else "9" if c.isdigit() else c for c in word[:64]
-            )
-            marks = "".join(c for c in shape if c not in "Aa9")
-            names = ["s" + _RUN.sub(r"\1", shape), "m" + marks[:8], "w" + word.lower()]
-            found = self.known[word] = tuple(self.slot(n) for n in names)
+    @staticmethod
+    def shape(word: str) -> str:
+        """A for capitals, a for other letters, 9 for digits; signs as they are; runs as one."""
+        if word.isalpha():
+            return "A" if word.isupper() else "Aa" if word[0].isupper() else "a"
+        kinds = "".join(["A" if c.isupper() else "a" if c.isalpha() else "9" if c.isdigit() else c for c in word[:64]])
+        return _RUN.sub(r"\1", kinds)
+
+    def of_word(self, word: str) -> tuple[int, int]:
+        if len(self.known) >= KNOWN:
+            self.known.clear()
+        found = self.known[word] = self.slot("s" + self.shape(word)), self.slot("w" + word.lower())
         return found
 
-    def features(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Columns and values; values are shares of the words, so length does not matter."""
-        words = text.split()
-        counts: Counter = Counter()
-        for w, times in Counter(words).items():
-            for c in self.of_word(w):
-                counts[c] += times
-        counts[self.slot("=echo")] += sum(1 for a, b in zip(words, words[1:]) if a == b)
-        pairs = Counter(zip(words, words[1:]))
-        counts[self.slot("=pairs")] += sum(c for c in pairs.values() if c > 1)
-        counts[self.slot("=new")] += len(set(words))
+    def features(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """Columns and values; values are roots of shares of the words, so length does not matter."""
+        known, counts = self.known, {self.echo: words.echoes, self.pairs: words.repeated_pairs}
+        counts[self.new] = counts.get(self.new, 0) + len(words.counts)
+        for w, n in words.counts.items():
+            for c in known.get(w) or self.of_word(w):
+                counts[c] = counts.get(c, 0) + n
         columns = np.fromiter(counts.keys(), dtype=np.int64, count=len(counts))
-        values = np.fromiter(counts.values(), dtype=np.float64, count=len(counts)) / max(len(words), 1)
+        values = np.fromiter(counts.values(), dtype=np.float64, count=len(counts)) / max(len(words.list), 1)
         return columns, np.sqrt(values)
 
 
 def _sample_rows(model: VoteModel, width: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hasher = Hasher(width)
+        hasher, measurer = Hasher(width), Measurer()
         for batch in batches:
-            rows = [hasher.features(t) for t in batch["text"]]
+            texts = [Words(t) for t in batch["text"]]
+            rows = [hasher.features(t) for t in texts]
             yield pd.DataFrame({
                 "columns": [c for c, _ in rows], "values": [v for _, v in rows],
-                "label": [model.posterior(votes(t)) for t in batch["text"]],
+                "label": [model.posterior(measurer.votes(t)) for t in texts],
             })
 
     return run
@@ -238,19 +292,28 @@ def learn(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, width: int = WIDTH) -
     return model, fit_logistic(table, np.array([r["label"] for r in rows]), width, steps=150)
 
 
+def score_of(words: Words, hasher: Hasher, weights: np.ndarray) -> float:
+    """The scorer's chance that a text is good; 0 for a text without words."""
+    if not words.list:
+        return 0.0
+    columns, values = hasher.features(words)
+    return float(sigmoid(values @ weights[columns] + weights[-1]))
+
+
 def _scored(model: VoteModel, weights: np.ndarray, width: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hasher = Hasher(width)
+        hasher, measurer = Hasher(width), Measurer()
+        posteriors: dict[str, float] = {}
         for batch in batches:
-            scores = []
+            labels, scores = [], []
             for text in batch["text"]:
-                columns, values = hasher.features(text)
-                scores.append(float(values @ weights[columns] + weights[-1]))
-            empty = np.array([not t or t.isspace() for t in batch["text"]], dtype=bool)
-            out = np.where(empty, 0.0, sigmoid(np.array(scores)))
-            yield batch.drop(columns="text").assign(
-                weak_label=[model.posterior(votes(t)) for t in batch["text"]], score=out
-            )
+                words = Words(text)
+                pattern = measurer.votes(words)
+                if pattern not in posteriors:
+                    posteriors[pattern] = model.posterior(pattern)
+                labels.append(posteriors[pattern])
+                scores.append(score_of(words, hasher, weights))
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "weak_label": labels, "score": scores})
 
     return run
 
@@ -282,11 +345,7 @@ def good_rows(
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher = Hasher(width)
         for batch in batches:
-            good = []
-            for t in batch["text_"]:
-                columns, values = hasher.features(t)
-                score = float(sigmoid(np.array([values @ weights[columns] + weights[-1]]))[0])
-                good.append(bool(t.strip()) and score >= keep)
+            good = [score_of(Words(t), hasher, weights) >= keep for t in batch["text_"]]
             yield batch.loc[np.array(good, dtype=bool), ["row"]]
 
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
