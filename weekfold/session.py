@@ -10,6 +10,7 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
+_ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def build_session(app: str = "weekfold", master: str | None = None, **conf) -> SparkSession:
@@ -80,13 +81,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Hand this package to the Python workers, once per application.
+    """Hand this package to the Python workers, once per application, and keep their batches small.
 
     Spark distributes the archive itself, so executors need no installation.
     """
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
+    if not context.getConf().contains(_ARROW_BYTES):
+        # a worker holds a batch several times over: as text, as words, as results
+        spark.conf.set(_ARROW_BYTES, "8m")
     home = os.path.dirname(os.path.abspath(__file__))
     archive = os.path.join(tempfile.mkdtemp(prefix="weekfold-"), "weekfold.zip")
     with zipfile.ZipFile(archive, "w") as out:
