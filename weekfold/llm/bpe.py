@@ -22,11 +22,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from weekfold.llm.pretokens import splitter
+from weekfold.llm.pretokens import slices, splitter
 from weekfold.llm.tables import narrow
 
-KEPT_PIECES = 600_000
-BATCH_CHARS = 24_000_000
+KEPT_PIECES = 200_000
+BATCH_CHARS = 3_000_000
 NONE = -1
 
 
@@ -249,18 +249,13 @@ class Encoder:
                 rests.append(words[1])
                 new_words.update(words[1])
         unseen = [w for w in new_words if w not in later]
-        # as one plain text: a pre-token that begins with a space begins a word
-        found = find(" " + " ".join(unseen)) if unseen else []
-        wanted = set(found)
+        split_words = list(self.split.after_space(unseen))
+        wanted = {p for _, found in split_words for p in found}
         for x in firsts:
             wanted.update(x)
         known.update(encode_pieces([p for p in wanted if p not in known], self.vocabulary))
-        at = 0
-        for w in unseen:
-            start, at = at, at + 1
-            while at < len(found) and found[at][0] != " ":
-                at += 1
-            later[w] = known[found[start]] if at == start + 1 else b"".join([known[p] for p in found[start:at]])
+        for w, found in split_words:
+            later[w] = known[found[0]] if len(found) == 1 else b"".join([known[p] for p in found])
         return [
             b"".join([*map(known.__getitem__, first), *map(later.__getitem__, rest)])
             for first, rest in zip(firsts, rests)
@@ -270,24 +265,12 @@ class Encoder:
         return b"".join(map(self.vocabulary.token.__getitem__, ids.tolist()))
 
 
-def _slices(texts: list[str]) -> Iterator[slice]:
-    """Consecutive slices of about BATCH_CHARS characters, one text at least."""
-    start = chars = 0
-    for i, t in enumerate(texts):
-        if i > start and chars + len(t) > BATCH_CHARS:
-            yield slice(start, i)
-            start, chars = i, 0
-        chars += len(t)
-    if start < len(texts):
-        yield slice(start, len(texts))
-
-
 def _encoded(path: str, pattern: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = Encoder(path, pattern)
         for batch in batches:
             texts = batch["text"].tolist()
-            for part in _slices(texts):
+            for part in slices(texts, BATCH_CHARS):
                 ids = [np.frombuffer(b, dtype="<u4") for b in encoder.encode(texts[part])]
                 yield pd.DataFrame({"doc_id": batch["doc_id"].iloc[part].array, "ids": ids})
 
@@ -299,7 +282,7 @@ def _digests(path: str, pattern: str, with_ids: bool):
         encoder = Encoder(path, pattern)
         for batch in batches:
             texts = batch["text"].tolist()
-            for part in _slices(texts):
+            for part in slices(texts, BATCH_CHARS):
                 flat = encoder.encode(texts[part])
                 decoded = [encoder.decode(np.frombuffer(b, dtype="<u4")) for b in flat]
                 ids = {"ids": [np.frombuffer(b, dtype="<i4") for b in flat]} if with_ids else {}

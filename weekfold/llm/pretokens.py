@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import regex
@@ -35,8 +36,35 @@ class Splitter:
         first, *rest = text.split(" ")
         return first, rest
 
+    def after_space(self, words: Iterable[str]) -> Iterator[tuple[str, list[str]]]:
+        """Each word of plain texts with its pre-tokens when a space stands before it.
+
+        All are split at once, as one plain text: a pre-token that begins with
+        a space begins a word.
+        """
+        words = list(words)
+        found = self.find(" " + " ".join(words)) if words else []
+        at = 0
+        for w in words:
+            start, at = at, at + 1
+            while at < len(found) and found[at][0] != " ":
+                at += 1
+            yield w, found[start:at]
+
 
 @lru_cache(maxsize=4)
 def splitter(pattern: str) -> Splitter:
     """One splitter for each worker process and pattern."""
     return Splitter(pattern)
+
+
+def slices(texts: list[str], chars: int) -> Iterator[slice]:
+    """Consecutive slices of about ``chars`` characters, one text at least."""
+    start = held = 0
+    for i, t in enumerate(texts):
+        if i > start and held + len(t) > chars:
+            yield slice(start, i)
+            start, held = i, 0
+        held += len(t)
+    if start < len(texts):
+        yield slice(start, len(texts))

@@ -28,13 +28,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weekfold.llm.pretokens import splitter
+from weekfold.llm.pretokens import slices, splitter
 from weekfold.llm.tables import narrow
 
 HEAD = 200_000
 HEAD_BYTES = 64
 BATCH_HEAD = 50_000
 KNOWN = 400_000
+SLICE_CHARS = 4_000_000
 
 
 @lru_cache(maxsize=2)
@@ -91,14 +92,15 @@ def _frequent(path: str, pattern: str):
                     else:
                         counts.update(split.find(words[0]))
                         later.update(words[1])
-            for word, n in later.items():
-                for p in split.find(" " + word):
-                    counts[p] += n
+            for word, found in split.after_space(later):
+                for p in found:
+                    counts[p] += later[word]
             top = nlargest(
                 BATCH_HEAD,
                 ((n, p) for p, n in counts.items() if len(p.encode()) <= HEAD_BYTES),
             )
-            yield pd.DataFrame({"pretoken": [p for _, p in top], "n": [n for n, _ in top]})
+            if top:
+                yield pd.DataFrame({"pretoken": [p for _, p in top], "n": [n for n, _ in top]})
 
     return run
 
@@ -129,55 +131,61 @@ def _document_rows(path: str, pattern: str, head):
         split, specials, known = splitter(pattern), tokenizer(path)[1], head.value
         words_seen: dict[str, tuple[int, tuple[str, ...]]] = {}
 
-        def weigh(word: str) -> tuple[int, tuple[str, ...]]:
-            """Tokens of a word after a space, as far as the head has them, and the rest."""
-            found = split.find(" " + word)
-            rest = tuple(p for p in found if p not in known)
-            out = sum(known[p] for p in found if p in known), rest
+        def weigh(words: set[str]) -> None:
+            """Tokens of each word after a space, as far as the head has them, and the rest."""
             if len(words_seen) >= KNOWN:
                 words_seen.clear()
-            words_seen[word] = out
-            return out
+            for w, found in split.after_space(x for x in words if x not in words_seen):
+                rest = tuple(p for p in found if p not in known)
+                words_seen[w] = sum(known[p] for p in found if p in known), rest
 
         for batch in batches:
-            rows: list[tuple[int, int]] = []  # row of the batch, frequency
-            pretokens: list[str] = []
-            sums, sizes = [], []
-            for i, text in enumerate(batch["text"]):
-                sizes.append(len(text.encode()))
-                parts, total = _stretches(text, specials)
-                tail: dict[str, int] = {}
-                for part in parts:
-                    words = split.words(part)
-                    for p in split.find(part if words is None else words[0]):
+            texts = batch["text"].tolist()
+            for own in slices(texts, SLICE_CHARS):
+                part = batch.iloc[own]
+                read = []  # of each text: pre-tokens found directly, counts of later words, special strings
+                for text in texts[own]:
+                    direct: list[str] = []
+                    later: Counter = Counter()
+                    stretches, special = _stretches(text, specials)
+                    for x in stretches:
+                        words = split.words(x)
+                        direct += split.find(x if words is None else words[0])
+                        if words is not None:
+                            later.update(words[1])
+                    read.append((direct, later, special))
+                weigh(set().union(*(later for _, later, _ in read)))
+                rows: list[int] = []  # rows of the part, one for each pre-token of the tail
+                tails: list[tuple[str, int]] = []
+                sums = []
+                for i, (direct, later, total) in enumerate(read):
+                    tail: dict[str, int] = {}
+                    for p in direct:
                         n = known.get(p)
                         if n is None:
                             tail[p] = tail.get(p, 0) + 1
                         else:
                             total += n
-                    if words is None:
-                        continue
-                    for w, times in Counter(words[1]).items():
-                        n, rest = words_seen.get(w) or weigh(w)
+                    for w, times in later.items():
+                        n, rest = words_seen[w]
                         total += n * times
                         for p in rest:
                             tail[p] = tail.get(p, 0) + times
-                sums.append(total)
-                rows += [(i, n) for n in tail.values()]
-                pretokens += tail
-            yield pd.DataFrame({
-                "doc_id": batch["doc_id"], "text_key": batch["text_key"], "pretoken": None,
-                "times": 0, "known": sums, "n_bytes": sizes, "copies": 1,
-            })
-            # in slices: one batch may hold many long texts
-            for at in range(0, len(rows), 200_000):
-                part = batch.iloc[[i for i, _ in rows[at:at + 200_000]]]
+                    sums.append(total)
+                    rows += [i] * len(tail)
+                    tails += tail.items()
                 yield pd.DataFrame({
-                    "doc_id": part["doc_id"].array, "text_key": part["text_key"].array,
-                    "pretoken": pretokens[at:at + 200_000],
-                    "times": [n for _, n in rows[at:at + 200_000]],
-                    "known": 0, "n_bytes": 0, "copies": 0,
+                    "doc_id": part["doc_id"].array, "text_key": part["text_key"].array, "pretoken": None, "times": 0,
+                    "known": sums, "n_bytes": [len(t.encode()) for t in texts[own]], "copies": 1,
                 })
+                for at in range(0, len(rows), 200_000):
+                    some = part.iloc[rows[at:at + 200_000]]
+                    yield pd.DataFrame({
+                        "doc_id": some["doc_id"].array, "text_key": some["text_key"].array,
+                        "pretoken": [p for p, _ in tails[at:at + 200_000]],
+                        "times": [n for _, n in tails[at:at + 200_000]],
+                        "known": 0, "n_bytes": 0, "copies": 0,
+                    })
 
     return run
 
