@@ -1,7 +1,9 @@
-"""Approximate look-up of words in a lexicon: Levenshtein automata on a trie."""
+"""Approximate look-up of words in a lexicon: a Levenshtein automaton on a trie."""
 
 from __future__ import annotations
 
+SHORTEST = 5  # misspellings are looked for in words and terms of five letters and more
+
 
 class Trie:
     """Terms as paths of letters; None leads from the last letter to the term."""
@@ -15,85 +17,71 @@ class Trie:
             node[None] = term
 
 
-class Automaton:
-    """The Levenshtein automaton of a word: a state holds, for each number of
-    edits, the set of positions reached in the word, as bits."""
-
-    def __init__(self, word: str, edits: int):
-        self.edits = edits
-        self.end = 1 << len(word)
-        self.full = (self.end << 1) - 1
-        self.at: dict[str, int] = {}
-        for i, letter in enumerate(word):
-            self.at[letter] = self.at.get(letter, 0) | (1 << i)
-
-    def start(self) -> tuple[int, ...]:
-        return self._skips([1] + [0] * self.edits)
-
-    def _skips(self, state: list[int]) -> tuple[int, ...]:
-        """Letters of the word left out cost one edit each."""
-        for e in range(self.edits):
-            state[e + 1] |= (state[e] << 1) & self.full
-        return tuple(state)
-
-    def step(self, state: tuple[int, ...], letter: str) -> tuple[int, ...]:
-        same = self.at.get(letter, 0)
-        out = [((s & same) << 1) & self.full for s in state]
-        for e in range(self.edits):
-            # another letter in its place, or one letter more
-            out[e + 1] |= ((state[e] << 1) | state[e]) & self.full
-        return self._skips(out)
-
-    def distance(self, state: tuple[int, ...]) -> int | None:
-        return next((e for e, s in enumerate(state) if s & self.end), None)
+def matches(word: str, trie: Trie) -> list[str]:
+    """The terms at most one edit (a letter more, less or another) away from ``word``.
 
-
-def allowed_edits(length: int) -> int:
-    """Misspellings are looked for in words of five letters and more; two in long ones."""
-    return 0 if length < 5 else 1 if length < 10 else 2
-
-
-def matches(word: str, trie: Trie) -> list[tuple[str, int]]:
-    """(term, edits) of all terms within the edits that both lengths allow."""
-    most = allowed_edits(len(word))
-    automaton = Automaton(word, most)
+    The automaton of the word is run along all paths of the trie at once. Its
+    state is two sets of places in the word, as bits: those reached without an
+    edit, and those reached with one. A path is left when both are empty.
+    """
+    at: dict[str, int] = {}
+    for i, letter in enumerate(word):
+        at[letter] = at.get(letter, 0) | (1 << i)
+    end = 1 << len(word)
+    full = (end << 1) - 1
     found = []
-    todo = [(trie.root, automaton.start())]
+    todo = [(trie.root, 1, 2)]  # leaving out the first letter of the word is an edit
     while todo:
-        node, state = todo.pop()
+        node, exact, edited = todo.pop()
         for letter, below in node.items():
             if letter is None:
-                edits = automaton.distance(state)
-                if edits is not None and edits <= allowed_edits(len(below)):
-                    found.append((below, edits))
+                if (exact | edited) & end:
+                    found.append(below)
                 continue
-            then = automaton.step(state, letter)
-            if any(then):
-                todo.append((below, then))
+            same = at.get(letter, 0)
+            then = (exact & same) << 1
+            # the term's letter in another one's place, or one letter more; then one left out
+            after = (((edited & same) << 1) | (exact << 1) | exact | (then << 1)) & full
+            if then or after:
+                todo.append((below, then, after))
     return found
 
 
 class Filter:
-    """Cuts off most words that can match no term, and none that can.
+    """Cuts off most words that no term is one edit from, and none other.
 
-    Within ``n`` edits, one of ``n + 1`` parts of a term stays as it is, at most
-    ``n`` letters from its place.
+    With one edit, one half of a term stays as it is: the first half begins the
+    word, or the second one ends it. The other half is as long as before, or
+    longer or shorter by one letter, and keeps its outer letter unless that
+    very letter was the edit, in which case the next one is in its place or
+    beside it.
     """
 
     def __init__(self, terms):
-        self.places: dict[int, dict[str, set[int]]] = {}
+        # (half, length of the word) -> letters that the other end of the word may have
+        self.heads: dict[tuple[str, int], set[str]] = {}
+        self.tails: dict[tuple[str, int], set[str]] = {}
+        self.sizes: dict[int, list[int]] = {}
         for term in terms:
-            edits = allowed_edits(len(term))
-            cuts = [len(term) * i // (edits + 1) for i in range(edits + 2)]
-            for a, b in zip(cuts, cuts[1:]):
-                own = self.places.setdefault(b - a, {}).setdefault(term[a:b], set())
-                # in front of a part there is either no edit or some
-                own.update(range(max(0, a - edits), a + edits + 1) if a else (0,))
+            if len(term) < SHORTEST:
+                continue
+            half = len(term) // 2
+            for length in (len(term) - 1, len(term), len(term) + 1):
+                self.heads.setdefault((term[:half], length), set()).update(term[-2:])
+                self.tails.setdefault((term[half:], length), set()).update(term[:2])
+                sizes = self.sizes.setdefault(length, [])
+                sizes += {half, len(term) - half} - set(sizes)
 
     def may_match(self, word: str) -> bool:
-        for n, parts in self.places.items():
-            for i in range(len(word) - n + 1):
-                at = parts.get(word[i:i + n])
-                if at is not None and i in at:
-                    return True
+        n = len(word)
+        if n < SHORTEST:
+            return False
+        for size in self.sizes.get(n, ()):
+            ends = self.heads.get((word[:size], n))
+            # the last letter is one of the term's last two, or was put in or replaced: then the one before is
+            if ends is not None and (word[-1] in ends or word[-2] in ends):
+                return True
+            begins = self.tails.get((word[-size:], n))
+            if begins is not None and (word[0] in begins or word[1] in begins):
+                return True
         return False

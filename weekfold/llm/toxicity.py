@@ -3,7 +3,7 @@
 From labelled documents a lexicon is learned: words, and beginnings of words,
 that occur far more often in toxic documents. Every word of a text is looked up
 in it with the intersection of its Levenshtein automaton and the lexicon's
-trie, so misspelled terms are found too. Each hit is weighed by its term and by
+trie, so misspelled terms are found too; how much these mean is learned per term. Each hit is weighed by its term and by
 its context: a window of words around it tells quotation (quotation marks,
 words that the sample has around terms in clean documents) from abuse. A
 logistic model on sums of these weights gives the score.
@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weekfold.llm.lexicon import Filter, Trie, matches
+from weekfold.llm.lexicon import SHORTEST, Filter, Trie, matches
 from weekfold.llm.linear import SparseRows, fit_logistic, sigmoid
 from weekfold.llm.tables import narrow
 from weekfold.session import settle
@@ -33,7 +33,11 @@ LABELLED_ROWS = 20_000
 TERMS = 600
 BEGINNINGS = range(4, 9)
 WINDOW = 5
-LONGEST = 40  # letters; no term is nearly as long
+QUOTED = 0.25  # part of its weight that a term has inside quotation marks
+MISSPELLED = 0.6  # weight of a misspelled term before anything is known of it
+LEAST = 2.0  # misspelled terms of a lower weight are not looked for
+DOUBT = 2.0  # documents that it takes to change this as much as it counts itself
+LONGEST = 40  # letters of a term
 CONTEXT_WORDS = 2_000
 THRESHOLD = 0.3
 _WORD = re.compile(r"[^\W\d_]+")
@@ -63,6 +67,8 @@ def _term_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for text, label in zip(part["text"], part["toxic"]):
                 (toxic if label else clean).update(terms_of(text))
             every = list(toxic | clean)
+            if not every:
+                continue
             yield pd.DataFrame({
                 "term": [t for t, _ in every], "beginning": [b for _, b in every],
                 "in_toxic": [toxic[t] for t in every], "in_clean": [clean[t] for t in every],
@@ -103,30 +109,35 @@ def learn_lexicon(labelled: DataFrame, terms: int = TERMS) -> dict[tuple[str, bo
 
 
 class Matcher:
-    """Hits of a lexicon in texts: (place among the words, weight, edits)."""
+    """Hits of a lexicon in texts: (place among the words, weight, edits, term).
 
-    def __init__(self, lexicon: dict[tuple[str, bool], float]):
+    ``misspelled`` has the weight of a term one edit away; without it that is a
+    fixed part of the term's weight.
+    """
+
+    def __init__(self, lexicon: dict[tuple[str, bool], float], misspelled: dict[str, float] | None = None):
         self.words = {t: w for (t, beginning), w in lexicon.items() if not beginning}
         self.beginnings = {t: w for (t, beginning), w in lexicon.items() if beginning}
         self.sizes = sorted({len(t) for t in self.beginnings}, reverse=True)
-        self.trie, self.filter = Trie(self.words), Filter(self.words)
-        self.known: dict[str, tuple[float, int] | None] = {}
-
-    def look_up(self, word: str) -> tuple[float, int] | None:
-        """Weight and edits of the best term: as written, then by its beginning, then misspelled."""
-        weight = self.words.get(word)
-        if weight is None:
-            weight = next((self.beginnings[word[:n]] for n in self.sizes if word[:n] in self.beginnings), None)
-        if weight is not None:
-            return weight, 0
-        if len(word) > LONGEST or not self.filter.may_match(word):
+        self.misspelled = {t: MISSPELLED * w for t, w in self.words.items()} | (misspelled or {})
+        long = [t for t in self.words if len(t) >= SHORTEST and self.misspelled[t] > LEAST]
+        self.trie, self.filter = Trie(long), Filter(long)
+        self.known: dict[str, tuple[float, int, str] | None] = {}
+
+    def look_up(self, word: str) -> tuple[float, int, str] | None:
+        """The best term: as written, then by its beginning, then misspelled."""
+        if word in self.words:
+            return self.words[word], 0, word
+        for n in self.sizes:
+            if word[:n] in self.beginnings:
+                return self.beginnings[word[:n]], 0, word[:n]
+        if not self.filter.may_match(word):
             return None
-        found = matches(word, self.trie)
-        return max(((self.words[t], e) for t, e in found), key=lambda x: (-x[1], x[0]), default=None)
+        return max(((self.misspelled[t], 1, t) for t in matches(word, self.trie)), default=None)
 
-    def hits(self, words: list[str]) -> list[tuple[int, float, int]]:
+    def hits(self, words: list[str]) -> list[tuple[int, float, int, str]]:
         known = self.known
-        if len(known) > 500_000:
+        if len(known) > 200_000:
             known.clear()
         out = []
         for i, w in enumerate(words):
@@ -151,70 +162,91 @@ def _quoted(text: str, spans: list[tuple[int, int]]) -> list[bool]:
     return out
 
 
-FEATURES = 9
+FEATURES = 7
 
 
 def features(text: str, matcher: Matcher, context: dict[str, float]) -> np.ndarray:
-    """Sums of hit weights by closeness and context, and their density."""
-    found = list(_WORD.finditer(text))
-    words = [m.group().lower() for m in found]
+    """Sums of hit weights by context, their number and density."""
+    words = [w.lower() for w in _WORD.findall(text)]
     hits = matcher.hits(words)
     out = np.zeros(FEATURES)
     if not hits:
         return out
-    quoted = _quoted(text, [found[i].span() for i, _, _ in hits])
-    best = 0.0
-    for (i, weight, edits), inside in zip(hits, quoted):
+    spans = [m.span() for m in _WORD.finditer(text)]
+    quoted = _quoted(text, [spans[h[0]] for h in hits])
+    total = tone = 0.0
+    for (i, weight, _, _), inside in zip(hits, quoted):
         around = words[max(0, i - WINDOW):i] + words[i + 1:i + 1 + WINDOW]
-        tone = sum(context.get(w, 0.0) for w in around) / max(len(around), 1)
-        value = weight * (0.25 if inside else 1.0)
-        out[min(edits, 2)] += value
-        out[3] += tone * (edits == 0)
-        out[4] += inside
-        best = max(best, value if edits == 0 else 0.0)
-    out[:3] = np.log1p(np.maximum(out[:3], 0))
-    out[3] = np.tanh(out[3])
-    out[4] = np.log1p(out[4])
-    out[5] = best
-    out[6] = np.log1p(len({words[i] for i, _, e in hits if e == 0}))
-    out[7] = np.log1p(1000 * sum(e == 0 for _, _, e in hits) / (len(words) + 20))
-    out[8] = float(sum(w for _, w, e in hits if e == 0) > 6)
+        tone += sum(context.get(w, 0.0) for w in around) / max(len(around), 1)
+        value = weight * (QUOTED if inside else 1.0)
+        total += value
+        out[0] = max(out[0], value)
+    out[1] = np.log1p(total)
+    out[2] = np.tanh(tone)
+    out[3] = np.log1p(sum(quoted))
+    out[4] = np.log1p(len({t for _, w, _, t in hits if w > 1}))
+    out[5] = np.log1p(1000 * sum(w > 1 for _, w, _, _ in hits) / (len(words) + 20))
+    out[6] = float(total > 6)
     return out
 
 
-def _contexts(matcher: Matcher):
-    """Words around exact hits, counted for toxic and for other documents."""
+def _surroundings(matcher: Matcher):
+    """For toxic and for other documents: words around hits, and misspelled terms."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             counts: dict[bool, Counter] = {True: Counter(), False: Counter()}
             for text, label in zip(batch["text"], batch["toxic"]):
                 words = _WORD.findall(text.lower())
-                for i, _, edits in matcher.hits(words):
-                    if not edits:
-                        counts[bool(label)].update(set(words[max(0, i - WINDOW):i] + words[i + 1:i + 1 + WINDOW]))
+                found: set[tuple[str, bool]] = set()
+                for i, _, edits, term in matcher.hits(words):
+                    if edits:
+                        found.add((term, True))
+                    else:
+                        found.update((w, False) for w in words[max(0, i - WINDOW):i] + words[i + 1:i + 1 + WINDOW])
+                counts[bool(label)].update(found)
             every = list(counts[True] | counts[False])
+            if not every:
+                continue
             yield pd.DataFrame({
-                "word": every, "near_toxic": [counts[True][w] for w in every],
-                "near_clean": [counts[False][w] for w in every],
+                "word": [w for w, _ in every], "misspelled": [m for _, m in every],
+                "toxic": [counts[True][x] for x in every], "clean": [counts[False][x] for x in every],
             })
 
     return run
 
 
-def learn_context(labelled: DataFrame, matcher: Matcher, size: int = CONTEXT_WORDS) -> dict[str, float]:
-    """Smoothed log odds of the most frequent words around terms, toxic against clean documents."""
+def learn_surroundings(
+    labelled: DataFrame, lexicon: dict[tuple[str, bool], float], size: int = CONTEXT_WORDS,
+) -> tuple[dict[str, float], dict[str, float]]:
+    """Log odds of the most frequent words around terms, and of misspelled terms.
+
+    What looks like a misspelled term is often an ordinary word: each starts with
+    a part of its term's weight and loses it as clean documents have it.
+    """
+    n_toxic, n_all = labelled.agg(F.sum("toxic"), F.count("*")).first()
+    base = (n_toxic or 0) + 1.0
+    base /= n_all - (n_toxic or 0) + 1.0
+    matcher = Matcher(lexicon)
     counts = (
-        labelled.mapInPandas(_contexts(matcher), "word string, near_toxic long, near_clean long")
-        .groupBy("word").agg(F.sum("near_toxic").alias("near_toxic"), F.sum("near_clean").alias("near_clean"))
-        .where("near_toxic + near_clean >= 5")
-        .orderBy(F.desc(F.col("near_toxic") + F.col("near_clean")), "word").limit(size).collect()
+        labelled.mapInPandas(_surroundings(matcher), "word string, misspelled boolean, toxic long, clean long")
+        .groupBy("word", "misspelled").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     )
-    toxic = sum(r["near_toxic"] for r in counts) + 1.0
-    clean = sum(r["near_clean"] for r in counts) + 1.0
-    return {
-        r["word"]: math.log(((r["near_toxic"] + 5) / toxic) / ((r["near_clean"] + 5) / clean)) for r in counts
-    }
+    misspelled = {}
+    for r in counts.where("misspelled").collect():  # terms: as many as the lexicon has
+        start = MISSPELLED * matcher.words[r["word"]]
+        odds = base * math.exp(start)
+        share = odds / (1 + odds)
+        seen = math.log((r["toxic"] + DOUBT * share) / (r["clean"] + DOUBT * (1 - share)) / base)
+        misspelled[r["word"]] = min(max(seen, 0.0), start)
+    around = (
+        counts.where("not misspelled and toxic + clean >= 5")
+        .orderBy(F.desc(F.col("toxic") + F.col("clean")), "word").limit(size).collect()
+    )
+    toxic = sum(r["toxic"] for r in around) + 1.0
+    clean = sum(r["clean"] for r in around) + 1.0
+    context = {r["word"]: math.log(((r["toxic"] + 5) / toxic) / ((r["clean"] + 5) / clean)) for r in around}
+    return context, misspelled
 
 
 def _feature_rows(matcher: Matcher, context: dict[str, float]):
@@ -227,20 +259,19 @@ def _feature_rows(matcher: Matcher, context: dict[str, float]):
     return run
 
 
-def learn(labelled: DataFrame) -> tuple[dict, dict, np.ndarray]:
+def learn(labelled: DataFrame) -> tuple[Matcher, dict[str, float], np.ndarray]:
     """Lexicon, context weights and model weights from a bounded table of (text, toxic)."""
     lexicon = learn_lexicon(labelled)
-    matcher = Matcher(lexicon)
-    context = learn_context(labelled, matcher)
+    context, misspelled = learn_surroundings(labelled, lexicon)
+    matcher = Matcher(lexicon, misspelled)
     rows = labelled.mapInPandas(_feature_rows(matcher, context), "toxic int, features array<double>").collect()
     columns = np.arange(FEATURES)
     table = SparseRows([columns] * len(rows), [np.array(r["features"]) for r in rows])
-    return lexicon, context, fit_logistic(table, np.array([float(r["toxic"]) for r in rows]), FEATURES)
+    return matcher, context, fit_logistic(table, np.array([float(r["toxic"]) for r in rows]), FEATURES)
 
 
-def _scores(lexicon: dict, context: dict, weights: np.ndarray):
+def _scores(matcher: Matcher, context: dict, weights: np.ndarray):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        matcher = Matcher(lexicon)
         for batch in batches:
             table = np.array([features(t, matcher, context) for t in batch["text"]]).reshape(-1, FEATURES)
             yield pd.DataFrame({
