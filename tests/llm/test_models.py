@@ -35,6 +35,56 @@ def test_automaton_and_filter_against_plain_distance():
         assert fits.may_match(word) or not want
 
 
+def swap_distance(a, b):
+    """Distance in which two neighbouring letters in each other's place are one edit."""
+    rows = [list(range(len(b) + 1))]
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(rows[-1][j] + 1, new[-1] + 1, rows[-1][j - 1] + (x != y)))
+            if i > 1 and j > 1 and x == b[j - 2] and y == a[i - 2]:
+                new[-1] = min(new[-1], rows[-2][j - 2] + 1)
+        rows.append(new)
+    return rows[-1][-1]
+
+
+@pytest.mark.parametrize("edits, shortest, longest", [(1, 4, 9), (2, 10, 13)])
+def test_swaps_and_two_edits_against_plain_distance(edits, shortest, longest):
+    rng = random.Random(edits)
+    terms = sorted({"".join(rng.choices("abc", k=rng.randint(shortest, longest))) for _ in range(50)})
+    trie, fits = Trie(terms), Filter(terms, edits)
+    for _ in range(1000):
+        word = rng.choice(terms)
+        for _ in range(rng.randint(0, 3)):
+            i = rng.randrange(1, len(word))
+            word = rng.choice([
+                word[:i] + rng.choice("abcd") + word[i:], word[:i] + word[i + 1:],
+                word[:i - 1] + rng.choice("abcd") + word[i:], word[:i - 1] + word[i] + word[i - 1] + word[i + 1:],
+            ])
+        want = {t: n for t in terms if (n := swap_distance(word, t)) <= edits}
+        assert matches(word, trie, edits, swaps=True) == want
+        assert fits.may_match(word) or not want
+
+
+@pytest.mark.parametrize("word, want", [
+    ("dsgustng", ("disgusting", 2)), ("diisgusttingg", None), ("pahtetic", ("pathetic", 1)),
+    ("scmu", ("scum", 1)), ("skum", ("scum", 1)), ("scm", ("scum", 1)), ("stpd", None), ("mild", None),
+])
+def test_misspelled_terms_by_their_length(word, want):
+    terms = {"disgusting": 7.0, "pathetic": 6.0, "scum": 5.0, "stupid": 4.0, "mildew": 3.0}
+    got = toxicity.Matcher({(t, False): w for t, w in terms.items()}).look_up(word)
+    if want is None:
+        assert got is None
+    else:
+        assert got == (pytest.approx(0.6 ** want[1] * terms[want[0]]), want[1], want[0])
+
+
+def test_misspelled_terms_of_low_weight_count():
+    lexicon = {("pathetic", False): 6.0, ("scum", False): 5.0}
+    matcher = toxicity.Matcher(lexicon, {("pathetic", 1): 0.5, ("scum", 1): 0.0})
+    assert matcher.hits(["pathetik", "skum", "scum"]) == [(0, 0.5, 1, "pathetic"), (2, 5.0, 0, "scum")]
+
+
 def insults(rng, n):
     """Texts of common words; toxic ones with terms of a small lexicon."""
     common = [f"{a}{b}" for a in ("lor", "ips", "dol", "sit", "ame") for b in ("um", "or", "et", "is", "ad")]

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-SHORTEST = 5  # misspellings are looked for in words and terms of five letters and more
+
+def allowed_edits(length: int) -> int:
+    """Edits by which a word may differ from a term of this length."""
+    return 0 if length < 4 else 1 if length < 10 else 2
 
 
 class Trie:
@@ -17,71 +20,105 @@ class Trie:
             node[None] = term
 
 
-def matches(word: str, trie: Trie) -> list[str]:
-    """The terms at most one edit (a letter more, less or another) away from ``word``.
+def matches(word: str, trie: Trie, edits: int = 1, swaps: bool = False) -> dict[str, int]:
+    """The terms at most ``edits`` edits away from ``word``, with the edits of each.
 
-    The automaton of the word is run along all paths of the trie at once. Its
-    state is two sets of places in the word, as bits: those reached without an
-    edit, and those reached with one. A path is left when both are empty.
+    An edit is a letter more, less or another; with ``swaps`` also two
+    neighbouring letters in each other's place. The automaton of the word is run
+    along all paths of the trie at once. Its state has, for each number of edits,
+    the set of places reached in the word, as bits, and the set of those where
+    the first letter of a swap was read. A path is left when all are empty.
     """
     at: dict[str, int] = {}
     for i, letter in enumerate(word):
         at[letter] = at.get(letter, 0) | (1 << i)
     end = 1 << len(word)
     full = (end << 1) - 1
-    found = []
-    todo = [(trie.root, 1, 2)]  # leaving out the first letter of the word is an edit
+    found = {}
+    # leaving out the first letters of the word are edits
+    todo = [(trie.root, tuple((1 << e) & full for e in range(edits + 1)), (0,) * (edits + 1))]
     while todo:
-        node, exact, edited = todo.pop()
+        node, reached, swapped = todo.pop()
         for letter, below in node.items():
             if letter is None:
-                if (exact | edited) & end:
-                    found.append(below)
+                least = next((e for e, places in enumerate(reached) if places & end), None)
+                if least is not None:
+                    found[below] = least
                 continue
             same = at.get(letter, 0)
-            then = (exact & same) << 1
-            # the term's letter in another one's place, or one letter more; then one left out
-            after = (((edited & same) << 1) | (exact << 1) | exact | (then << 1)) & full
-            if then or after:
-                todo.append((below, then, after))
+            then = [(reached[0] & same) << 1]
+            begun = [0]
+            for e in range(1, edits + 1):
+                less = reached[e - 1]
+                # the term's letter in another one's place, or one letter more; then one left out; or a swap's end
+                then.append((((reached[e] & same) << 1) | (less << 1) | less | (then[-1] << 1)
+                             | ((swapped[e] & same) << 2)) & full)
+                begun.append(less & (same >> 1) if swaps else 0)
+            if any(then) or any(begun):
+                todo.append((below, tuple(then), tuple(begun)))
     return found
 
 
+def _without(word: str, edits: int) -> set[str]:
+    """The word, and what is left of it without up to ``edits`` of its letters."""
+    every = last = {word}
+    for _ in range(edits):
+        last = {w[:i] + w[i + 1:] for w in last for i in range(len(w))}
+        every = every | last
+    return every
+
+
 class Filter:
-    """Cuts off most words that no term is one edit from, and none other.
+    """Cuts off most words that no term is ``edits`` edits or swaps from, and none other.
 
-    With one edit, one half of a term stays as it is: the first half begins the
-    word, or the second one ends it. The other half is as long as before, or
-    longer or shorter by one letter, and keeps its outer letter unless that
-    very letter was the edit, in which case the next one is in its place or
-    beside it.
+    An edit leaves out, puts in or replaces a letter, so without that letter the
+    word and the term are alike; after a swap they are without the first letter
+    of the pair and its second. So a word and a term ``edits`` edits apart share
+    what is left without at most so many letters of each. With two edits, one of
+    three parts of the term with a letter between them stays as it is, at most
+    two letters from its place: a swap changes no two of them.
     """
 
-    def __init__(self, terms):
-        # (half, length of the word) -> letters that the other end of the word may have
-        self.heads: dict[tuple[str, int], set[str]] = {}
-        self.tails: dict[tuple[str, int], set[str]] = {}
-        self.sizes: dict[int, list[int]] = {}
+    def __init__(self, terms, edits: int = 1):
+        self.edits = edits
+        self.left: set[str] = set()
+        self.lengths: set[int] = set()
+        # length of the word -> (place, size) -> parts
+        self.parts: dict[int, dict[tuple[int, int], set[str]]] = {}
         for term in terms:
-            if len(term) < SHORTEST:
+            n = len(term)
+            self.left |= _without(term, edits)
+            lengths = range(n - edits, n + edits + 1)
+            self.lengths.update(lengths)
+            if edits < 2:
                 continue
-            half = len(term) // 2
-            for length in (len(term) - 1, len(term), len(term) + 1):
-                self.heads.setdefault((term[:half], length), set()).update(term[-2:])
-                self.tails.setdefault((term[half:], length), set()).update(term[:2])
-                sizes = self.sizes.setdefault(length, [])
-                sizes += {half, len(term) - half} - set(sizes)
+            cuts = [(n + 1) * i // (edits + 1) for i in range(edits + 2)]
+            for a, b in zip(cuts, cuts[1:]):
+                part = term[a:b - 1]
+                for length in lengths:
+                    places = self.parts.setdefault(length, {})
+                    # edits in front move the part, edits behind it have the rest of the change of length
+                    for place in range(max(0, a - edits), a + edits + 1):
+                        moved = abs(place - a) + abs(length - n - (place - a))
+                        if moved <= edits:
+                            places.setdefault((place, place + len(part)), set()).add(part)
 
     def may_match(self, word: str) -> bool:
         n = len(word)
-        if n < SHORTEST:
+        if n not in self.lengths:
             return False
-        for size in self.sizes.get(n, ()):
-            ends = self.heads.get((word[:size], n))
-            # the last letter is one of the term's last two, or was put in or replaced: then the one before is
-            if ends is not None and (word[-1] in ends or word[-2] in ends):
-                return True
-            begins = self.tails.get((word[-size:], n))
-            if begins is not None and (word[0] in begins or word[1] in begins):
+        left = self.left
+        if self.edits == 1:
+            if word in left:
                 return True
-        return False
+            for i in range(n):
+                if word[:i] + word[i + 1:] in left:
+                    return True
+            return False
+        if self.edits > 1:
+            for (a, b), parts in self.parts[n].items():
+                if word[a:b] in parts:
+                    break
+            else:
+                return False
+        return not left.isdisjoint(_without(word, self.edits))

@@ -3,8 +3,9 @@
 From labelled documents a lexicon is learned: words, and beginnings of words,
 that occur far more often in toxic documents. Every word of a text is looked up
 in it with the intersection of its Levenshtein automaton and the lexicon's
-trie, so misspelled terms are found too; how much these mean is learned per term. Each hit is weighed by its term and by
-its context: a window of words around it tells quotation (quotation marks,
+trie, so misspelled terms are found too: one edit away (a swap of neighbouring
+letters is one), from ten letters on two. How much these mean is learned per
+term and edits. Each hit is weighed by its term and by its context: a window of words around it tells quotation (quotation marks,
 words that the sample has around terms in clean documents) from abuse. A
 logistic model on sums of these weights gives the score.
 
@@ -24,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weekfold.llm.lexicon import SHORTEST, Filter, Trie, matches
+from weekfold.llm.lexicon import Filter, Trie, allowed_edits, matches
 from weekfold.llm.linear import SparseRows, fit_logistic, sigmoid
 from weekfold.llm.tables import narrow
 from weekfold.session import settle
@@ -34,8 +35,7 @@ TERMS = 600
 BEGINNINGS = range(4, 9)
 WINDOW = 5
 QUOTED = 0.25  # part of its weight that a term has inside quotation marks
-MISSPELLED = 0.6  # weight of a misspelled term before anything is known of it
-LEAST = 2.0  # misspelled terms of a lower weight are not looked for
+MISSPELLED = 0.6  # part of its weight that each edit leaves a term before anything is known of it
 DOUBT = 2.0  # documents that it takes to change this as much as it counts itself
 LONGEST = 40  # letters of a term
 CONTEXT_WORDS = 2_000
@@ -111,17 +111,23 @@ def learn_lexicon(labelled: DataFrame, terms: int = TERMS) -> dict[tuple[str, bo
 class Matcher:
     """Hits of a lexicon in texts: (place among the words, weight, edits, term).
 
-    ``misspelled`` has the weight of a term one edit away; without it that is a
-    fixed part of the term's weight.
+    ``misspelled`` has the weight of a term so many edits away; without it that
+    is a fixed part of the term's weight.
     """
 
-    def __init__(self, lexicon: dict[tuple[str, bool], float], misspelled: dict[str, float] | None = None):
+    def __init__(
+        self, lexicon: dict[tuple[str, bool], float], misspelled: dict[tuple[str, int], float] | None = None,
+    ):
         self.words = {t: w for (t, beginning), w in lexicon.items() if not beginning}
         self.beginnings = {t: w for (t, beginning), w in lexicon.items() if beginning}
         self.sizes = sorted({len(t) for t in self.beginnings}, reverse=True)
-        self.misspelled = {t: MISSPELLED * w for t, w in self.words.items()} | (misspelled or {})
-        long = [t for t in self.words if len(t) >= SHORTEST and self.misspelled[t] > LEAST]
-        self.trie, self.filter = Trie(long), Filter(long)
+        self.misspelled = {
+            (t, e): MISSPELLED ** e * w for t, w in self.words.items() for e in range(1, allowed_edits(len(t)) + 1)
+        } | (misspelled or {})
+        self.spellings = []
+        for edits in (1, 2):
+            terms = [t for t in self.words if allowed_edits(len(t)) == edits]
+            self.spellings.append((edits, Trie(terms), Filter(terms, edits)))
         self.known: dict[str, tuple[float, int, str] | None] = {}
 
     def look_up(self, word: str) -> tuple[float, int, str] | None:
@@ -131,9 +137,13 @@ class Matcher:
         for n in self.sizes:
             if word[:n] in self.beginnings:
                 return self.beginnings[word[:n]], 0, word[:n]
-        if not self.filter.may_match(word):
-            return None
-        return max(((self.misspelled[t], 1, t) for t in matches(word, self.trie)), default=None)
+        found = (
+            (self.misspelled[t, e], e, t)
+            for edits, trie, fits in self.spellings if fits.may_match(word)
+            for t, e in matches(word, trie, edits, swaps=True).items()
+        )
+        # a misspelling that was learned to say nothing is an ordinary word
+        return max((x for x in found if x[0] > 0), default=None)
 
     def hits(self, words: list[str]) -> list[tuple[int, float, int, str]]:
         known = self.known
@@ -198,18 +208,18 @@ def _surroundings(matcher: Matcher):
             counts: dict[bool, Counter] = {True: Counter(), False: Counter()}
             for text, label in zip(batch["text"], batch["toxic"]):
                 words = _WORD.findall(text.lower())
-                found: set[tuple[str, bool]] = set()
+                found: set[tuple[str, int]] = set()
                 for i, _, edits, term in matcher.hits(words):
                     if edits:
-                        found.add((term, True))
+                        found.add((term, edits))
                     else:
-                        found.update((w, False) for w in words[max(0, i - WINDOW):i] + words[i + 1:i + 1 + WINDOW])
+                        found.update((w, 0) for w in words[max(0, i - WINDOW):i] + words[i + 1:i + 1 + WINDOW])
                 counts[bool(label)].update(found)
             every = list(counts[True] | counts[False])
             if not every:
                 continue
             yield pd.DataFrame({
-                "word": [w for w, _ in every], "misspelled": [m for _, m in every],
+                "word": [w for w, _ in every], "edits": [e for _, e in every],
                 "toxic": [counts[True][x] for x in every], "clean": [counts[False][x] for x in every],
             })
 
@@ -218,8 +228,8 @@ def _surroundings(matcher: Matcher):
 
 def learn_surroundings(
     labelled: DataFrame, lexicon: dict[tuple[str, bool], float], size: int = CONTEXT_WORDS,
-) -> tuple[dict[str, float], dict[str, float]]:
-    """Log odds of the most frequent words around terms, and of misspelled terms.
+) -> tuple[dict[str, float], dict[tuple[str, int], float]]:
+    """Log odds of the most frequent words around terms, and of terms misspelled by so many edits.
 
     What looks like a misspelled term is often an ordinary word: each starts with
     a part of its term's weight and loses it as clean documents have it.
@@ -229,18 +239,18 @@ def learn_surroundings(
     base /= n_all - (n_toxic or 0) + 1.0
     matcher = Matcher(lexicon)
     counts = (
-        labelled.mapInPandas(_surroundings(matcher), "word string, misspelled boolean, toxic long, clean long")
-        .groupBy("word", "misspelled").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+        labelled.mapInPandas(_surroundings(matcher), "word string, edits int, toxic long, clean long")
+        .groupBy("word", "edits").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     )
     misspelled = {}
-    for r in counts.where("misspelled").collect():  # terms: as many as the lexicon has
-        start = MISSPELLED * matcher.words[r["word"]]
+    for r in counts.where("edits > 0").collect():  # at most two for each term of the lexicon
+        start = matcher.misspelled[r["word"], r["edits"]]
         odds = base * math.exp(start)
         share = odds / (1 + odds)
         seen = math.log((r["toxic"] + DOUBT * share) / (r["clean"] + DOUBT * (1 - share)) / base)
-        misspelled[r["word"]] = min(max(seen, 0.0), start)
+        misspelled[r["word"], r["edits"]] = min(max(seen, 0.0), start)
     around = (
-        counts.where("not misspelled and toxic + clean >= 5")
+        counts.where("edits = 0 and toxic + clean >= 5")
         .orderBy(F.desc(F.col("toxic") + F.col("clean")), "word").limit(size).collect()
     )
     toxic = sum(r["toxic"] for r in around) + 1.0
