@@ -85,6 +85,20 @@ def test_misspelled_terms_of_low_weight_count():
     assert matcher.hits(["pathetik", "skum", "scum"]) == [(0, 0.5, 1, "pathetic"), (2, 5.0, 0, "scum")]
 
 
+@pytest.mark.parametrize("text, want", [
+    ('you fool', False), ('he said "you fool" to us', True), ('"a" fool "b"', False), ('"a\nfool"', False),
+    ('"' + "so it was " * 40 + "fool" + " and on" * 60 + '"', True),  # a quotation of over 200 characters
+    ('"' + "so it was " * 40 + '" you fool, "he"', False),  # a window would begin inside the first one
+    ("it’s a fool’s game, isn’t it", False), ("‘you fool’ it’s", True),
+    ("no\n" * 50 + '"one" and "a fool"\n"', True),
+])
+def test_quotation_on_whole_lines(text, want):
+    at = text.index("fool")
+    assert toxicity._quoted(text, [(at, at + 4)]) == [want]
+    every = [(m.start(), m.end()) for m in toxicity._WORD.finditer(text)]
+    assert toxicity._quoted(text, every)[every.index((at, at + 4))] == want
+
+
 def insults(rng, n):
     """Texts of common words; toxic ones with terms of a small lexicon."""
     common = [f"{a}{b}" for a in ("lor", "ips", "dol", "sit", "ame") for b in ("um", "or", "et", "is", "ad")]

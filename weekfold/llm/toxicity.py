@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -41,7 +42,7 @@ LONGEST = 40  # letters of a term
 CONTEXT_WORDS = 2_000
 THRESHOLD = 0.3
 _WORD = re.compile(r"[^\W\d_]+")
-_QUOTES = re.compile(r"[\"“”„«»‹›‘’]")
+_QUOTES = re.compile(r"[\"“”„«»‹›]|(?<!\w)[‘’]|[‘’](?!\w)")  # between two letters it is an apostrophe
 
 
 def held_out(doc_id: Column) -> Column:
@@ -161,14 +162,23 @@ class Matcher:
 
 
 def _quoted(text: str, spans: list[tuple[int, int]]) -> list[bool]:
-    """Whether an odd number of quotation marks stands before a word on its line, and one after it."""
+    """Whether an odd number of quotation marks stands before a word on its line, and one after it.
+
+    ``spans`` are in the order of the text, so each line is looked for and its marks are read once.
+    """
+    marks = [m.start() for m in _QUOTES.finditer(text)]
     out = []
+    first = at = last = 0  # among the marks: the first one of the line, the next one, the first one after the line
+    stop = -1
     for s, e in spans:
-        line = text.rfind("\n", 0, s) + 1
-        stop = text.find("\n", e)
-        before = text[max(line, s - 200):s]
-        after = text[e:min(stop if stop >= 0 else len(text), e + 200)]
-        out.append(len(_QUOTES.findall(before)) % 2 == 1 and bool(_QUOTES.search(after)))
+        if s > stop:
+            line = text.rfind("\n", max(stop, 0), s) + 1
+            stop = text.find("\n", e)
+            stop = stop if stop >= 0 else len(text)
+            first = at = bisect_left(marks, line, last)
+            last = bisect_left(marks, stop, first)
+        at = bisect_left(marks, s, at, last)
+        out.append((at - first) % 2 == 1 and at < last)
     return out
 
 
