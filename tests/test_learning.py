@@ -136,3 +136,37 @@ def test_model_table(spark):
     new = m.filter("model_id = 'm1'").withColumn("model_id", F.lit("m5"))
     added = reg.append_versions(m, new).first()
     assert added.version == "1.0.10" and added.primary_metric == 5.0
+
+
+@pytest.fixture()
+def tiny_fits(monkeypatch):
+    """Notes the positions and sizes that are asked for; fits one small tree in place of each model."""
+    asked = []
+    whole = tr.estimator
+
+    def fit(df, task="regression", **params):
+        asked.append(({r.position for r in df.select("position").distinct().collect()}
+                      if "position" in df.columns else set(), params))
+        return whole(task, maxIter=1, maxDepth=1).fit(df)
+
+    monkeypatch.setattr(tr, "fit", fit)
+    return asked
+
+
+@pytest.mark.parametrize("name", ["l06_boosted_regression", "l11_feature_importance"])
+def test_registered_models_cover_every_position_at_the_defined_size(spark, tiny_fits, name):
+    from weekfold.queries import QUERIES
+
+    got = QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert {r.position for r in got.select("position").distinct().collect()} == set(config.POSITION_TARGETS)
+    assert set().union(*(p for p, _ in tiny_fits)) == set(config.POSITION_TARGETS)
+    assert all(params == {} for _, params in tiny_fits)
+
+
+def test_registered_search_and_summary_use_the_defaults(spark, monkeypatch):
+    from weekfold.queries import QUERIES
+
+    calls = []
+    monkeypatch.setattr(tr, "train_all", lambda df, pairs=None, **params: calls.append((pairs, params)))
+    QUERIES["l14_training_summary"](spark, "/root/testdata/sf0.001")
+    assert calls == [(None, {})]

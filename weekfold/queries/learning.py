@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from weekfold import config
 from weekfold.operators import registry as reg
 from weekfold.operators import training as tr
 from weekfold.queries import stages
@@ -14,20 +17,36 @@ from weekfold.queries.registry import query
 from weekfold.session import scratch_path
 from weekfold.sources import stand_ins as src
 
-# small trees keep the registered runs short; the library defaults are the full size
-SMALL = {"maxIter": 5, "maxDepth": 3}
-
 
-def _frame(spark, root, position="RB", target="fantasy_points_ppr"):
+def _frames(spark, root, target="fantasy_points_ppr"):
+    """Each position with its rows; a position without this target has its first one instead."""
     rows = stages.training(spark, root)
-    return tr.to_ml_frame(rows.filter(F.col("position") == position), target)
+    return [
+        (p, tr.to_ml_frame(rows.filter(F.col("position") == p), target if target in own else own[0]))
+        for p, own in config.POSITION_TARGETS.items()
+    ]
+
+
+def _train(df):
+    return df.filter(F.col("split") == "train")
+
+
+def _scored(model, df):
+    """Rows with predictions; these are null where a position has too few rows for a model."""
+    return tr.score(model, df) if model else df.withColumn("prediction", F.lit(None).cast("double"))
+
+
+def _enough(df, *splits):
+    least = config.MIN_TRAINING_ROWS
+    return all(d.limit(least).count() == least for d in ([df.filter(F.col("split") == s) for s in splits] or [df]))
 
 
 @query("l06_boosted_regression")
 def l06(spark, root):
-    df = _frame(spark, root)
-    model = tr.fit(df.filter(F.col("split") == "train"), **SMALL)
-    return tr.score(model, df).select("feature_id", "split", "label", "prediction")
+    scored = [_scored(tr.fit(_train(df)), df) for _, df in _frames(spark, root)]
+    return reduce(DataFrame.unionByName, [
+        d.select("feature_id", "position", "split", "label", "prediction") for d in scored
+    ])
 
 
 def _labelled_vectors(spark, root):
@@ -41,7 +60,7 @@ def _labelled_vectors(spark, root):
 @query("l07_boosted_classification")
 def l07(spark, root):
     df = _labelled_vectors(spark, root)
-    return tr.score(tr.fit(df, "classification", **SMALL), df).select("vec_id", "label", "prediction")
+    return tr.score(tr.fit(df, "classification"), df).select("vec_id", "label", "prediction")
 
 
 # predictions whose value is known in both engines: last month's count
@@ -102,49 +121,61 @@ def l10(spark, root):
     from pyspark.ml.functions import vector_to_array
 
     df = _labelled_vectors(spark, root)
-    scored = tr.score(tr.fit(df, "classification", **SMALL), df)
+    scored = tr.score(tr.fit(df, "classification"), df)
     return scored.select("vec_id", "prediction", vector_to_array("probability")[1].alias("probability"))
 
 
 @query("l11_feature_importance")
 def l11(spark, root):
-    from weekfold import config
-
-    model = tr.fit(_frame(spark, root), **SMALL)
-    return tr.importance(model, config.vector_names("RB")).limit(10)
+    fitted = [(p, tr.fit(df)) for p, df in _frames(spark, root)]
+    listed = [
+        tr.importance(m, config.vector_names(p)).select(F.lit(p).alias("position"), "feature", "importance")
+        for p, m in fitted if m
+    ]
+    return reduce(DataFrame.unionByName, listed) if listed else spark.createDataFrame(
+        [], "position string, feature string, importance double"
+    )
 
 
 @query("l12_hyperparameter_search")
 def l12(spark, root):
-    df = _frame(spark, root)
-    found = tr.tune(df, trials=2, depth=(2, 3), trees=(2, 3))
-    best = found.bestModel
-    return spark.createDataFrame(
-        [(best.getMaxDepth(), best.getNumTrees, float(min(found.validationMetrics)))],
-        "max_depth int, trees int, rmse double",
-    )
+    rows = []
+    for position, df in _frames(spark, root):
+        if not _enough(df, "train", "validation"):
+            rows.append((position, 0, None, None, None))
+            continue
+        found = tr.tune(df)
+        best, metrics = found.bestModel, found.validationMetrics
+        rows.append((position, len(metrics), best.getMaxDepth(), best.getNumTrees, float(min(metrics))))
+    return spark.createDataFrame(rows, "position string, trials int, max_depth int, trees int, rmse double")
 
 
 @query("l13_cross_validation")
 def l13(spark, root):
-    return tr.cross_validate(_frame(spark, root), folds=3, maxIter=2, maxDepth=2)
+    return reduce(DataFrame.unionByName, [
+        tr.cross_validate(df).select(F.lit(p).alias("position"), "*") if _enough(df) else spark.createDataFrame(
+            [(p, 0, None, None)], "position string, folds int, mean_score double, std_score double"
+        ) for p, df in _frames(spark, root)
+    ])
 
 
 @query("l14_training_summary")
 def l14(spark, root):
-    pairs = [("QB", "passing_yards"), ("RB", "rushing_yards"), ("K", "fg_made")]
-    return tr.train_all(stages.training(spark, root), pairs, maxIter=2, maxDepth=2)
+    return tr.train_all(stages.training(spark, root))
 
 
 @query("l15_model_round_trip")
 def l15(spark, root):
-    from weekfold import config
-
-    df = _frame(spark, root)
-    path = scratch_path(spark, "model")
-    tr.save(tr.fit(df, maxIter=2, maxDepth=2), path, config.vector_names("RB"))
-    model, names = tr.load(spark, path)
-    return tr.score(model, df).select("feature_id", "prediction", F.lit(len(names)).alias("features"))
+    path, scored = scratch_path(spark, "model"), []
+    for position, df in _frames(spark, root):
+        model, names = tr.fit(df), []
+        if model:
+            tr.save(model, f"{path}/{position}", config.vector_names(position))
+            model, names = tr.load(spark, f"{path}/{position}")
+        scored.append(_scored(model, df).select(
+            "feature_id", "position", "prediction", F.lit(len(names)).alias("features")
+        ))
+    return reduce(DataFrame.unionByName, scored)
 
 
 # --- the model table: one "model" per part brand, one version per part --------------------
