@@ -145,6 +145,17 @@ def test_toxicity_on_odd_rows(llm, odd_docs, no_docs, odd_rows):
     assert toxicity.toxicity(no_docs, labels).count() == 0
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<p>a</p><svg><p>b</p>", ["a", "b"]), ("<select><option>x<p>b", ["x", "b"]),
+    ("<p>a</p><script>b<p>c", ["a"]), ("<p>a</p><video src=x><p>b</video><p>c", ["a", "c"]),
+    ("<head><title>t</title><meta x><div>a</div>", ["a"]), ("<html><head><link x>plain <b>text</b>", ["plain text"]),
+    ("<head><title>a <b>t</b></title><style>s</style></head><p>b", ["b"]),
+    ("<head><svg></svg><p>b", ["b"]), ("<head><title>t</title>\n<br>a", ["a"]),
+])
+def test_unclosed_heads_and_unseen_elements_keep_the_page(page, want):
+    assert [b.text for b in blocks(page)] == want
+
+
 def quality_rows(rng, n):
     vocabulary = ["".join(rng.choices("aeiounrst", k=rng.randint(2, 8))) for _ in range(400)]
     rows = []

@@ -13,7 +13,11 @@ INLINE = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 UNSEEN = frozenset("script style noscript template iframe object svg math canvas audio video select textarea".split())
+#: Those of them that reach to the end of the page if nothing ends them.
+TO_THE_END = frozenset("script style noscript template iframe textarea".split())
 HEAD_ONLY = frozenset(["head", "title"])
+#: Any other tag, or text, ends an open head.
+IN_HEAD = frozenset("html head title base link meta script style noscript template".split())
 #: An opening tag of the first kind ends an open element of the second within the same parent.
 CLOSES = {
     "p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"},
@@ -99,6 +103,8 @@ def blocks(page: str) -> list[Block]:
     while True:
         m = _TOKEN.search(page, at)
         text = page[at:m.start() if m else len(page)]
+        if stack and stack[-1][0] == "head" and text.strip():
+            close(len(stack) - 1)
         if text and not hidden:
             now.text.append(text)
             if in_link:
@@ -110,11 +116,15 @@ def blocks(page: str) -> list[Block]:
         if tag is None:
             continue
         tag = tag.lower()
+        if stack and stack[-1][0] == "head" and not end and tag not in IN_HEAD:
+            close(len(stack) - 1)
         if tag in UNSEEN:
             if not end and not attributes.endswith("/"):
                 stop = re.compile(rf"</{re.escape(tag)}[\s/>]", re.IGNORECASE).search(page, at)
                 if stop is None:
-                    break
+                    if tag in TO_THE_END:
+                        break
+                    continue
                 at = page.find(">", stop.start()) + 1 or len(page)
             continue
         if tag in INLINE:
