@@ -156,6 +156,10 @@ def test_unclosed_heads_and_unseen_elements_keep_the_page(page, want):
     assert [b.text for b in blocks(page)] == want
 
 
+def test_shape_of_a_whole_word():
+    assert quality.Hasher.shape("ab-" * 30 + "77Z") == "a-" * 30 + "9A"
+
+
 def quality_rows(rng, n):
     vocabulary = ["".join(rng.choices("aeiounrst", k=rng.randint(2, 8))) for _ in range(400)]
     rows = []

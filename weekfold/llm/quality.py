@@ -243,7 +243,7 @@ class Hasher:
         """A for capitals, a for other letters, 9 for digits; signs as they are; runs as one."""
         if word.isalpha():
             return "A" if word.isupper() else "Aa" if word[0].isupper() else "a"
-        kinds = "".join(["A" if c.isupper() else "a" if c.isalpha() else "9" if c.isdigit() else c for c in word[:64]])
+        kinds = "".join(["A" if c.isupper() else "a" if c.isalpha() else "9" if c.isdigit() else c for c in word])
         return _RUN.sub(r"\1", kinds)
 
     def of_word(self, word: str) -> tuple[int, int]:
