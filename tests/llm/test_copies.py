@@ -10,6 +10,7 @@ import pytest
 
 from weekfold.llm import exact_dedup, minhash, mixing
 from weekfold.llm.components import components
+from weekfold.session import settle
 
 
 def test_misra_gries_keeps_what_is_frequent():
@@ -194,6 +195,19 @@ def test_weights_change_who_is_drawn(llm):
     assert abs(sum(r.taken for r in got) - 0.4 * 8001) < 10
 
 
+def test_a_source_at_its_cap_has_no_cut_and_slices_are_even(llm):
+    docs = llm.range(3000).selectExpr("id as doc_id", "'some few words' as text", "'s' || id % 3 as source")
+    rows = settle(mixing._measured(docs, "doc_id", "text", "source", "mix", None).select(*mixing._NEEDED), "test-mix")
+    plan = {r.source: r for r in mixing.sampling_plan(rows).collect()}
+    capped = [r for r in plan.values() if r.missing == 0]
+    assert capped and all(r.has_cut is None and r.whole == mixing.MOST for r in capped)
+    assert any(r.has_cut for r in plan.values())
+    for missing in (1.0, 4500.0, 8999.0):  # a small, an even and a large chance
+        drawn = rows.selectExpr("*", f"{missing}d as missing", "9000L as source_size", "1.0d as mean_weight")
+        sizes = drawn.groupBy(mixing._slice().alias("slice")).count().select("count").collect()
+        assert max(r[0] for r in sizes) < 20
+
+
 def test_mixture_on_odd_rows(odd_docs, no_docs, odd_rows):
     got = mixing.mixture(odd_docs).collect()
     assert len(got) == len(odd_rows)

@@ -22,7 +22,6 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST = 2.0
 SLICES = 2_048
-#: Slices are even in u of the odds u / (1 - u), so that none holds more than its share.
 _TWO_52 = float(2**52)
 
 
@@ -98,6 +97,18 @@ def _odds_ratio() -> Column:
     return F.col("mix_u") / (1 - F.col("mix_u")) / (chance / (1 - chance))
 
 
+def _slice() -> Column:
+    """Slices in the order of the ranking number, even in the random number where weights are equal.
+
+    The number is taken times the odds that all rows of the source would have
+    with equal weights, so that slices are as even for a small or large chance.
+    """
+    chance = F.coalesce(F.try_divide(F.col("missing"), F.col("source_size")), F.lit(0.0))
+    chance = F.least(F.greatest(chance, F.lit(1e-12)), F.lit(1 - 1e-12))
+    odds = _odds_ratio() * (chance / (1 - chance))
+    return F.least(F.floor(odds / (1 + odds) * SLICES), F.lit(SLICES - 1)).cast("long")
+
+
 def _place() -> Column:
     return F.struct(_odds_ratio().alias("q"), F.col("mix_id").alias("id"), F.col("mix_size").alias("size"))
 
@@ -119,8 +130,9 @@ def sampling_plan(
         "mix-goal",
     )
     drawn = _with_plan(rows, goal).select(
-        F.col("mix_source").alias("source"), "missing", F.col("mix_size").alias("size"), _place().alias("place")
-    ).withColumn("slice", F.floor(F.col("place.q") / (1 + F.col("place.q")) * SLICES).cast("long"))
+        F.col("mix_source").alias("source"), "missing", F.col("mix_size").alias("size"), _place().alias("place"),
+        _slice().alias("slice"),
+    ).where("missing > 0")  # else there is nothing to draw, and no cut
     slices = drawn.groupBy("source", "slice").agg(F.sum("size").alias("words"), F.first("missing").alias("missing"))
     before = Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     # the slice of each source in which the sum passes the missing words
