@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weekfold.llm import (
-    bpe, exact_dedup, html_text, minhash, mixing, quality, secret_scan, token_counts, topk, toxicity,
+    bpe, exact_dedup, html_text, minhash, mixing, quality, secret_scan, spelling, token_counts, topk, toxicity,
 )
 from weekfold.llm.tables import table
 
@@ -199,3 +199,60 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 @query("op10_top_k", TOP_K_SQL)
 def nearest(spark: SparkSession, root: str) -> DataFrame:
     return topk.top_k(table(spark, root, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
+VARIANTS_SQL = r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM (SELECT unnest(range(256)) AS i)
+),
+runs AS (
+  SELECT run, doc, count(*) AS c, encode(doc || ':' || run) AS bytes FROM (
+    SELECT coalesce(doc_id::VARCHAR, '') AS doc, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]{7,}')) AS run
+    FROM documents WHERE text IS NOT NULL
+  ) GROUP BY run, doc
+),
+hashed AS (
+  SELECT run, c, xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(range(octet_length(bytes)), lambda j: ('0x' || substr(hex(bytes), 2 * j + 1, 2))::BIGINT)),
+    lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]))) AS h
+  FROM runs, crc_table
+),
+words AS MATERIALIZED (
+  SELECT word, sum(c)::BIGINT AS n FROM (
+    SELECT c, CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+    FROM hashed
+  ) WHERE length(word) >= 7 GROUP BY word HAVING sum(c) >= 2
+),
+shorter AS MATERIALIZED (
+  SELECT word, n, i, left(word, i) || substr(word, i + 2) AS rest FROM (SELECT *, unnest(range(length(word))) AS i FROM words)
+),
+lost AS (SELECT DISTINCT s.word AS a, w.word AS b FROM shorter s JOIN words w ON w.word = s.rest),
+near AS (
+  SELECT a, b FROM lost UNION ALL SELECT b, a FROM lost
+  UNION ALL SELECT x.word, y.word FROM shorter x JOIN shorter y ON x.i = y.i AND x.rest = y.rest AND x.word <> y.word
+),
+best AS (
+  SELECT a AS word, count(*) AS n_near, arg_min(b, (-w.n, b)) AS form, max(w.n) AS form_n
+  FROM near JOIN words w ON w.word = b GROUP BY a
+),
+variants AS MATERIALIZED (
+  SELECT w.word, CASE WHEN form_n >= 10 * w.n THEN form END AS form, w.n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN form_n >= 10 * w.n THEN form_n END AS form_n
+  FROM words w LEFT JOIN best USING (word)
+),
+chain AS (
+  SELECT word, word AS root FROM variants
+  UNION ALL SELECT c.word, v.form FROM chain c JOIN variants v ON v.word = c.root WHERE v.form IS NOT NULL
+),
+ends AS (SELECT c.word, c.root FROM chain c JOIN variants v ON v.word = c.root WHERE v.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM variants JOIN ends USING (word)
+"""
+
+
+@query("op11_spelling_variants", VARIANTS_SQL)
+def variants(spark: SparkSession, root: str) -> DataFrame:
+    words = spelling.vocabulary(table(spark, root, "documents"), drop_every=spelling.DROP_EVERY)
+    return spelling.spelling_variants(words)
