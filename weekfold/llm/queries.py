@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from weekfold.llm import (
     bpe, exact_dedup, html_text, minhash, mixing, quality, secret_scan, spelling, token_counts, topk, toxicity,
+    zone_clusters,
 )
 from weekfold.llm.tables import table
 
@@ -256,3 +257,45 @@ SELECT word, form, root, n, n_near, form_n FROM variants JOIN ends USING (word)
 def variants(spark: SparkSession, root: str) -> DataFrame:
     words = spelling.vocabulary(table(spark, root, "documents"), drop_every=spelling.DROP_EVERY)
     return spelling.spelling_variants(words)
+
+
+def _clusters_sql(rounds: int) -> str:
+    """Assignment and mean, once for each round, then the last assignment."""
+    def assigned(n: int) -> str:
+        return f"""
+assigned{n} AS MATERIALIZED (
+  SELECT r, arg_min(c, (d, c)) AS c, min(d) AS d FROM (
+    SELECT k.r, m.c, list_sum(list_transform(range(1, 65), lambda i: (k.v[i] - m.v[i]) * (k.v[i] - m.v[i])))::BIGINT AS d
+    FROM kept k, centroids{n} m
+  ) GROUP BY r
+)"""
+
+    def moved(n: int) -> str:
+        return f"""
+centroids{n + 1} AS MATERIALIZED (
+  SELECT m.c, coalesce(f.v, m.v) AS v FROM centroids{n} m LEFT JOIN (
+    SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS v FROM (
+      SELECT c, i, sum(v[i]) AS s, count(*) AS n
+      FROM assigned{n} JOIN kept USING (r), (SELECT unnest(range(1, 65)) AS i) GROUP BY c, i
+    ) GROUP BY c
+  ) f USING (c)
+)"""
+
+    steps = ",".join(assigned(n) + "," + moved(n) for n in range(rounds))
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+centroids0 AS MATERIALIZED (
+  SELECT (row_number() OVER (ORDER BY sha256('1:' || vec_id::VARCHAR) NULLS LAST, v) - 1)::INTEGER AS c, v FROM kept QUALIFY c < 16
+),{steps},{assigned(rounds)}
+SELECT vec_id, c AS cluster, d AS distance, (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+  (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(m.v, ',')) AS centroid_sha256
+FROM assigned{rounds} JOIN kept USING (r) JOIN centroids{rounds} m USING (c)
+"""
+
+
+@query("op13_centroid_clusters", _clusters_sql(zone_clusters.ROUNDS))
+def clustered(spark: SparkSession, root: str) -> DataFrame:
+    return zone_clusters.clusters(table(spark, root, "embeddings"))
