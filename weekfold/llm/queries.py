@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weekfold.llm import (
-    bpe, exact_dedup, html_text, minhash, mixing, quality, secret_scan, spelling, token_counts, topk, toxicity,
-    zone_clusters,
+    bpe, exact_dedup, fingerprints, html_text, minhash, mixing, quality, secret_scan, spelling, token_counts, topk,
+    toxicity, zone_clusters,
 )
 from weekfold.llm.tables import table
 
@@ -259,6 +259,11 @@ def variants(spark: SparkSession, root: str) -> DataFrame:
     return spelling.spelling_variants(words)
 
 
+@query("op12_fingerprints")
+def printed(spark: SparkSession, root: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, root, "documents"))
+
+
 def _clusters_sql(rounds: int) -> str:
     """Assignment and mean, once for each round, then the last assignment."""
     def assigned(n: int) -> str:
