@@ -5,9 +5,9 @@ numbers; the fingerprint of a text is their sum modulo 2^32. The order of
 paragraphs does not matter, and a paragraph is added or taken away without the
 rest of the text. The first ``EXACT`` numbers are hashed from the whole
 paragraph, so that fingerprints are equal only for equal multisets. The others
-count the paragraph's runs of ``GRAM`` characters, each with a hashed sign in a
-hashed place: sums of paragraphs stay such counts, and the cosine of two of them
-estimates how much the texts have in common.
+count the paragraph's different runs of ``GRAM`` characters, each with a hashed
+sign in a hashed place: sums of paragraphs stay such counts, and the cosine of
+two of them estimates how much the texts have in common.
 """
 
 from __future__ import annotations
@@ -46,18 +46,19 @@ def _grams(symbols: np.ndarray) -> np.ndarray:
             h += symbols[i:len(symbols) - width + 1 + i]
         h ^= h >> np.uint64(32)
         h *= _ODD
-    return h >> np.uint64(40)
+    return h >> np.uint64(8)
 
 
 def _counts(paragraph: str) -> np.ndarray:
-    """Signed counts of the paragraph's grams."""
+    """Signed counts of the paragraph's different grams."""
     symbols = np.frombuffer(paragraph.encode("utf-32-le"), dtype=np.uint32)
     total = np.zeros(2 * COUNTS, dtype=np.int64)
-    # long paragraphs in slices that overlap, so that every run is met once
+    # long paragraphs in slices that overlap; a run counts once in each slice
     for at in range(0, max(len(symbols) - GRAM + 1, 1), SLICE):
         part = symbols[at:at + SLICE + GRAM - 1].astype(np.uint64)
         if len(part):
-            total += np.bincount((_grams(part) % np.uint64(2 * COUNTS)).astype(np.int64), minlength=2 * COUNTS)
+            place = np.unique(_grams(part)) % np.uint64(2 * COUNTS)
+            total += np.bincount(place.astype(np.int64), minlength=2 * COUNTS)
     return total[:COUNTS] - total[COUNTS:]
 
 
