@@ -397,6 +397,8 @@ QUALITY_WEIGHTS = {"completeness": 0.6, "outlier": 0.2, "recency": 0.2}
 # --- fixed values: boosted tree settings --------------------------------------
 REGRESSION_TREES = {"maxDepth": 6, "stepSize": 0.05, "maxIter": 200, "subsamplingRate": 0.8, "seed": 42}
 CLASSIFICATION_TREES = {"maxDepth": 5, "stepSize": 0.05, "maxIter": 200, "subsamplingRate": 0.8, "seed": 42}
+# of trees grown for many models at once: these also sample columns and penalise leaves
+TREE_PENALTIES = {"columns": 0.8, "least_weight": 3.0, "gamma": 0.1, "alpha": 0.1, "penalty": 1.0}
 CLASSIFICATION_TARGETS = ("win_probability", "over_under", "td_scored", "first_down_conversion")
 MIN_TRAINING_ROWS = 10
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weekfold.functions.nested import widen_metrics
@@ -36,12 +36,12 @@ def best_per_metric(
     return best_per_key(active, [key], [metric, tiebreak], keep, highest=higher_is_better)
 
 
-def bump_patch(version: Column) -> Column:
-    """``major.minor.patch`` with patch + 1; null stays null."""
+def bump_patch(version: Column, by: Column | int = 1) -> Column:
+    """``major.minor.patch`` with patch + 1 (or more); null stays null."""
     parts = [F.split_part(version, F.lit("."), F.lit(i)).cast("int") for i in (1, 2, 3)]
     return F.concat(
         parts[0].cast("string"), F.lit("."), parts[1].cast("string"), F.lit("."),
-        (parts[2] + 1).cast("string"),
+        (parts[2] + by).cast("string"),
     )
 
 
@@ -54,11 +54,20 @@ def next_version(models: DataFrame, names: DataFrame, key: str = "model_name") -
 
 
 def append_versions(models: DataFrame, new: DataFrame) -> DataFrame:
-    """Rows to append for ``new`` models: versioned, with their primary metric."""
+    """Rows to append for ``new`` models: versioned, with their primary metric.
+
+    Several new rows of one name get versions one after the other, in the order
+    of ``created_at`` and ``model_id``. Columns of the model table that the new
+    rows lack are null.
+    """
     versions = next_version(models, new.select("model_name").distinct())
-    return new.drop("version", "primary_metric").join(versions, "model_name").withColumn(
-        "primary_metric", primary_metric()
-    ).select(*models.columns)
+    turn = F.row_number().over(Window.partitionBy("model_name").orderBy("created_at", "model_id")) - 1
+    rows = new.drop("version", "primary_metric").join(versions, "model_name").withColumn("_turn", turn).withColumns({
+        "version": bump_patch(F.col("version"), F.col("_turn")), "primary_metric": primary_metric(),
+    })
+    return rows.select(*[
+        F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in models.schema
+    ])
 
 
 def list_models(models: DataFrame, limit: int = 100, status: str | None = "active", **filters) -> DataFrame:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import random
 from dataclasses import dataclass
-from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.classification import GBTClassifier
@@ -16,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weekfold import config
+from weekfold.operators import boosting
 from weekfold.operators.joins import with_one_row
 
 
@@ -48,6 +48,19 @@ def to_ml_frame(df: DataFrame, target: str) -> DataFrame:
     )
 
 
+def to_ml_frames(df: DataFrame, pairs) -> DataFrame:
+    """One row per feature row and (position, target) pair of its position, named in ``model``."""
+    marks = F.array(*[
+        F.struct(F.lit(f"{p}/{t}").alias("model"), F.lit(p).alias("of"), F.lit(t).alias("target"), label_of(t).alias("label"))
+        for p, t in pairs
+    ])
+    own = F.filter(marks, lambda m: m["of"] == F.col("position"))
+    return df.select(
+        "feature_id", "position", "season", "week", *[c for c in ("split", "fold") if c in df.columns],
+        array_to_vector("numerical").alias("features"), F.explode(own).alias("m"),
+    ).select("*", "m.model", "m.target", "m.label").drop("m")
+
+
 def target_rows(df: DataFrame) -> DataFrame:
     """One row per feature row and trained target of its position."""
     names = F
@@ -71,12 +84,23 @@ def estimator(task: str = "regression", **params):
     return kind(featuresCol="features", labelCol="label", **{**base, **params})
 
 
+def tree_settings(task: str = "regression", **params) -> boosting.Settings:
+    """The configured settings of trees for many models at once, with Spark's parameter names or ours in ``params``."""
+    base = config.REGRESSION_TREES if task == "regression" else config.CLASSIFICATION_TREES
+    return boosting.settings(task, **{**base, **config.TREE_PENALTIES, **params})
+
+
 def fit(df: DataFrame, task: str = "regression", **params):
     """Fit boosted trees; a ``validation`` flag column enables early stopping.
 
+    With a column ``model`` all its values get a model of their own in one run
+    (``boosting.Models``); values with too few rows get none.
+
     Returns None when there are too few rows. Input is expected to be a stored
     table or a short plan: boosting reads it once per tree level.
     """
+    if "model" in df.columns:
+        return boosting.fit(df, tree_settings(task, **params), least_rows=config.MIN_TRAINING_ROWS)
     if df.limit(config.MIN_TRAINING_ROWS).count() < config.MIN_TRAINING_ROWS:
         return None
     if "is_validation" in df.columns:
@@ -88,11 +112,18 @@ def score(model, df: DataFrame) -> DataFrame:
     return model.transform(df)
 
 
-def importance(model, names) -> DataFrame:
-    """Feature importances, highest first (sized by the number of features)."""
+def importance(model, names, of: str | None = None) -> DataFrame:
+    """Feature importances, highest first (sized by the number of features).
+
+    ``of`` names the model among many; one that does not exist has no rows.
+    """
     from pyspark.sql import SparkSession
 
-    values = [float(v) for v in model.featureImportances.toArray()]
+    if isinstance(model, boosting.Models):
+        values = [float(v) for v in model.importance(of)] if of in model.nodes else []
+        names = names if values else []
+    else:
+        values = [float(v) for v in model.featureImportances.toArray()]
     rows = SparkSession.getActiveSession().createDataFrame(
         list(zip(names, values, strict=True)), "feature string, importance double"
     )
@@ -271,13 +302,12 @@ def cross_validate(
 
 # --- many models ------------------------------------------------------------------------
 def train_all(df: DataFrame, pairs=None, models_path: str | None = None, **params) -> DataFrame:
-    """Fit one model per (position, target); one metrics row per pair and split.
-
-    With ``models_path`` every model is kept there as ``<position>/<target>``,
-    with its feature names, as ``load`` reads them.
+    """Fit one model per (position, target), all in one run; one metrics row per pair and split.
 
-    The loop is over configured pairs (34 in all), never over data: each fit is
-    itself distributed, and ``df`` should be a stored table with ``split``.
+    With ``models_path`` the models are kept there (``boosting.Models.load``
+    reads them), and the feature names of each pair under
+    ``<position>/<target>/features``. Pairs with too few rows are listed as
+    skipped. ``df`` should be a stored table with ``split``.
     """
     pairs = pairs or [(p, t) for p, names in config.POSITION_TARGETS.items() for t in names]
     unknown = {p for p, _ in pairs} - set(config.POSITION_TARGETS)
@@ -285,24 +315,45 @@ def train_all(df: DataFrame, pairs=None, models_path: str | None = None, **param
         raise ValueError(f"unknown positions {sorted(unknown)}")
     if df.isEmpty():
         raise ValueError("the training set is empty")
-    rows = []
-    for position, target in pairs:
-        frame = to_ml_frame(df.filter(F.col("position") == position), target)
-        model = fit(frame.filter(F.col("split") == "train"), task_of(target), **params)
-        head = [F.lit(position).alias("position"), F.lit(target).alias("target")]
-        if model is None:
-            empty = df.sparkSession.range(1).select(
-                *head, F.lit("skipped").alias("status"), F.lit(None).cast("string").alias("split"),
-                F.lit(0).cast("bigint").alias("n"),
-                *[F.lit(None).cast("double").alias(m) for m in ("rmse", "mae", "r2")],
-            )
-            rows.append(empty)
-            continue
-        if models_path:
-            save(model, f"{models_path}/{position}/{target}", config.vector_names(position))
-        scored = regression_metrics(score(model, frame), group=["split"])
-        rows.append(scored.select(*head, F.lit("trained").alias("status"), "split", "n", "rmse", "mae", "r2"))
-    return reduce(DataFrame.unionByName, rows)
+    rows = to_ml_frames(df, pairs)
+    models = boosting.fit(
+        rows.filter(F.col("split") == "train"), lambda name: tree_settings(task_of(name.split("/")[1]), **params),
+        least_rows=config.MIN_TRAINING_ROWS,
+    )
+    if models_path:
+        keep(models, models_path)
+    scored = models.transform(rows).filter(F.col("model").isin(list(models.specs)))
+    trained = regression_metrics(scored, group=["position", "target", "split"]).select(
+        "position", "target", F.lit("trained").alias("status"), "split", "n", "rmse", "mae", "r2"
+    )
+    left = [(p, t, "skipped", None, 0, None, None, None) for p, t in pairs if f"{p}/{t}" not in models.specs]
+    return trained.unionByName(df.sparkSession.createDataFrame(
+        left, "position string, target string, status string, split string, n long, rmse double, mae double, r2 double"
+    ))
+
+
+def keep(models: boosting.Models, path: str) -> None:
+    """Write models named ``position/target`` and the feature names of each."""
+    from pyspark.sql import SparkSession
+
+    spark = SparkSession.getActiveSession()
+    models.save(spark, path)
+    for name in models.specs:
+        _write_names(spark, f"{path}/{name}/features", config.vector_names(name.split("/")[0]))
+
+
+def model_rows(summary: DataFrame, created_at: Column, path: str, split: str = "validation") -> DataFrame:
+    """Rows for the model table from the summary of ``train_all``, judged on one split.
+
+    ``registry.append_versions`` gives them their versions.
+    """
+    name = F.concat_ws("_", "position", "target")
+    return summary.filter((F.col("status") == "trained") & (F.col("split") == split)).select(
+        F.concat_ws("-", name, F.date_format(created_at, "yyyyMMddHHmmss")).alias("model_id"), name.alias("model_name"),
+        F.lit("regression").alias("model_type"), F.lit("active").alias("status"),
+        F.to_json(F.struct("rmse", "mae", "r2", "n")).alias("metrics"), F.lit(path).alias("model_path"),
+        created_at.alias("created_at"),
+    )
 
 
 # --- storage ----------------------------------------------------------------------------
@@ -311,9 +362,11 @@ def save(model, path: str, names) -> None:
     from pyspark.sql import SparkSession
 
     model.write().overwrite().save(f"{path}/model")
-    SparkSession.getActiveSession().createDataFrame(
-        list(enumerate(names)), "slot int, name string"
-    ).coalesce(1).write.mode("overwrite").parquet(f"{path}/features")
+    _write_names(SparkSession.getActiveSession(), f"{path}/features", names)
+
+
+def _write_names(spark, path: str, names) -> None:
+    spark.createDataFrame(list(enumerate(names)), "slot int, name string").coalesce(1).write.mode("overwrite").parquet(path)
 
 
 def load(spark, path: str, task: str = "regression"):

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weekfold import config
+from weekfold.operators import boosting
 from weekfold.operators import registry as reg
+from weekfold.operators import selection as sel
 from weekfold.operators import training as tr
 from weekfold.queries import stages
 from weekfold.queries.base_sql import add_table
@@ -18,49 +20,87 @@ from weekfold.session import scratch_path
 from weekfold.sources import stand_ins as src
 
 
-def _frames(spark, root, target="fantasy_points_ppr"):
-    """Each position with its rows; a position without this target has its first one instead."""
-    rows = stages.training(spark, root)
-    return [
-        (p, tr.to_ml_frame(rows.filter(F.col("position") == p), target if target in own else own[0]))
-        for p, own in config.POSITION_TARGETS.items()
-    ]
+#: The common target, or the first one of a position without it.
+_TARGET = {p: "fantasy_points_ppr" if "fantasy_points_ppr" in own else own[0] for p, own in config.POSITION_TARGETS.items()}
+_LEAST = config.MIN_TRAINING_ROWS
+
+
+def _frames(spark, root):
+    """The rows of every position with its target; ``model`` is the position."""
+    return tr.to_ml_frames(stages.training(spark, root), list(_TARGET.items())).withColumn("model", F.col("position"))
 
 
 def _train(df):
     return df.filter(F.col("split") == "train")
 
 
-def _scored(model, df):
-    """Rows with predictions; these are null where a position has too few rows for a model."""
-    return tr.score(model, df) if model else df.withColumn("prediction", F.lit(None).cast("double"))
+def _models(spark, root):
+    """One run for all positions, kept with the session as the other stages are."""
+    return stages.kept(spark, root, "position models", lambda: tr.fit(_train(_frames(spark, root))))
 
 
-def _enough(df, *splits):
-    least = config.MIN_TRAINING_ROWS
-    return all(d.limit(least).count() == least for d in ([df.filter(F.col("split") == s) for s in splits] or [df]))
+# rows with the target of their position
+add_table("position_labels", ("split_features", "outcome_rows"), """
+SELECT f.feature_id, f.position, f.season, f.split, coalesce(o.value, 0.0) AS label FROM split_features f
+LEFT JOIN outcome_rows o ON o.feature_id = f.feature_id AND o.target = CASE f.position """
+          + " ".join(f"WHEN '{p}' THEN '{t}'" for p, t in _TARGET.items()) + """ END
+WHERE f.position IN (""" + ", ".join(f"'{p}'" for p in _TARGET) + ")")
+add_table("trained_positions", ("position_labels",), f"""
+SELECT position FROM position_labels GROUP BY position HAVING count(*) FILTER (split = 'train') >= {_LEAST}""")
 
 
 @query("l06_boosted_regression")
 def l06(spark, root):
-    scored = [_scored(tr.fit(_train(df)), df) for _, df in _frames(spark, root)]
-    return reduce(DataFrame.unionByName, [
-        d.select("feature_id", "position", "split", "label", "prediction") for d in scored
-    ])
+    return tr.score(tr.fit(_train(_frames(spark, root))), _frames(spark, root)).select(
+        "feature_id", "position", "split", "label", "prediction"
+    )
+
+
+@query("l06_fit_by_split", """
+SELECT position, split, count(*) AS n, round(sum(label), 3) AS label_sum,
+  CASE WHEN position IN (SELECT position FROM trained_positions) THEN count(*) ELSE 0 END AS predicted,
+  CASE WHEN position IN (SELECT position FROM trained_positions) AND split = 'train' THEN true END AS better_than_mean
+FROM position_labels GROUP BY position, split""", ["position_labels", "trained_positions"])
+def l06_by_split(spark, root):
+    """Rows and labels that the models saw; on the rows they were fitted on they must beat the mean."""
+    scored = tr.score(_models(spark, root), _frames(spark, root))
+    error = F.sum((F.col("label") - F.col("prediction")) ** 2)
+    return scored.groupBy("position", "split").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("label"), 3).alias("label_sum"), F.count("prediction").alias("predicted"),
+        (error <= F.var_pop("label") * F.count("label")).alias("better"),
+    ).select("position", "split", "n", "label_sum", "predicted",
+             F.when(F.col("split") == "train", F.col("better")).alias("better_than_mean"))
 
 
 def _labelled_vectors(spark, root):
     e = src.table(spark, root, "embeddings")
     return e.select(
         "vec_id", tr.array_to_vector("embedding").alias("features"),
-        (F.col("label") % 2).cast("double").alias("label"),
+        (F.col("label") % 2).cast("double").alias("label"), F.lit("odd label").alias("model"),
     )
 
 
+def _classified(spark, root):
+    df = _labelled_vectors(spark, root)
+    model = stages.kept(spark, root, "vector classifier", lambda: tr.fit(df, "classification"))
+    return tr.score(model, df)
+
+
 @query("l07_boosted_classification")
 def l07(spark, root):
-    df = _labelled_vectors(spark, root)
-    return tr.score(tr.fit(df, "classification"), df).select("vec_id", "label", "prediction")
+    return _classified(spark, root).select("vec_id", "label", "prediction")
+
+
+@query("l07_fit_by_label", """
+SELECT CAST(label % 2 AS DOUBLE) AS label, count(*) AS n, count(*) AS predicted, true AS mostly_right
+FROM embeddings GROUP BY label % 2""")
+def l07_by_label(spark, root):
+    scored = _classified(spark, root)
+    right = F.count_if(F.col("label") == F.col("prediction"))
+    return scored.groupBy("label").agg(
+        F.count(F.lit(1)).alias("n"), F.count("prediction").alias("predicted"),
+        (right > 0.7 * F.count(F.lit(1))).alias("mostly_right"),
+    )
 
 
 # predictions whose value is known in both engines: last month's count
@@ -118,45 +158,105 @@ def l09_auc(spark, root):
 
 @query("l10_batch_score")
 def l10(spark, root):
-    from pyspark.ml.functions import vector_to_array
+    return _classified(spark, root).select("vec_id", "prediction", "probability")
 
-    df = _labelled_vectors(spark, root)
-    scored = tr.score(tr.fit(df, "classification"), df)
-    return scored.select("vec_id", "prediction", vector_to_array("probability")[1].alias("probability"))
+
+@query("l10_score_checks", """
+SELECT count(*) AS n, 0 AS outside, 0 AS disagreeing, 0 AS missing FROM embeddings""")
+def l10_checks(spark, root):
+    """Probabilities lie between 0 and 1, and the prediction is their side of a half."""
+    p = F.col("probability")
+    return _classified(spark, root).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if((p < 0) | (p > 1)).alias("outside"),
+        F.count_if((p > 0.5) != (F.col("prediction") == 1)).alias("disagreeing"), F.count_if(p.isNull()).alias("missing"),
+    )
 
 
 @query("l11_feature_importance")
 def l11(spark, root):
-    fitted = [(p, tr.fit(df)) for p, df in _frames(spark, root)]
-    listed = [
-        tr.importance(m, config.vector_names(p)).select(F.lit(p).alias("position"), "feature", "importance")
-        for p, m in fitted if m
+    models = tr.fit(_train(_frames(spark, root)))
+    return reduce(DataFrame.unionByName, [
+        tr.importance(models, config.vector_names(p), p).select(F.lit(p).alias("position"), "feature", "importance")
+        for p in config.POSITION_TARGETS
+    ])
+
+
+@query("l11_importance_checks", """
+SELECT position, CAST(47 AS BIGINT) AS features, CAST(1.0 AS DOUBLE) AS total, CAST(0 AS BIGINT) AS negative FROM trained_positions""", ["trained_positions"])
+def l11_checks(spark, root):
+    models = _models(spark, root)
+    rows = [
+        (p, len(config.vector_names(p)), float(v)) for p in models.specs for v in models.importance(p)
     ]
-    return reduce(DataFrame.unionByName, listed) if listed else spark.createDataFrame(
-        [], "position string, feature string, importance double"
+    return spark.createDataFrame(rows, "position string, width int, importance double").groupBy("position").agg(
+        F.count(F.lit(1)).alias("features"), F.round(F.sum("importance"), 6).alias("total"),
+        F.count_if(F.col("importance") < 0).alias("negative"),
     )
 
 
+_TRIALS = 50
+
+
+def _search(spark, root):
+    return stages.kept(spark, root, "search", lambda: sel.search(
+        _frames(spark, root), tr.tree_settings(), trials=_TRIALS, least_rows=_LEAST
+    ))
+
+
 @query("l12_hyperparameter_search")
 def l12(spark, root):
-    rows = []
-    for position, df in _frames(spark, root):
-        if not _enough(df, "train", "validation"):
-            rows.append((position, 0, None, None, None))
-            continue
-        found = tr.tune(df)
-        best, metrics = found.bestModel, found.validationMetrics
-        rows.append((position, len(metrics), best.getMaxDepth(), best.getNumTrees, float(min(metrics))))
-    return spark.createDataFrame(rows, "position string, trials int, max_depth int, trees int, rmse double")
+    found = _search(spark, root)
+    rows = [
+        (p, trial, trees, s.depth, s.rate, s.rows, s.columns, s.least_weight, s.gamma, s.alpha, s.penalty, score)
+        for p, trial, rung, trees, score, kept in found.history if kept and rung == len(sel.RUNGS) - 1
+        for s in [found.best.specs[p].settings]
+    ]
+    return spark.createDataFrame(
+        rows, "position string, trial int, trees int, max_depth int, rate double, rows double, columns double, "
+        "least_weight double, gamma double, alpha double, penalty double, rmse double"
+    )
+
+
+@query("l12_search_rungs", f"""
+WITH searched AS (
+  SELECT position FROM position_labels GROUP BY position
+  HAVING count(*) FILTER (split = 'train') >= {_LEAST} AND count(*) FILTER (split = 'validation') >= {_LEAST}
+)
+SELECT position, rung, CAST(n AS BIGINT) AS trials, CAST(kept AS BIGINT) AS kept, true AS best_kept
+FROM searched, (VALUES (0, 50, 25), (1, 25, 13), (2, 13, 7), (3, 7, 1)) r(rung, n, kept)""", ["position_labels"])
+def l12_rungs(spark, root):
+    """Trials of each rung; those that go on are never worse than those that end."""
+    history = spark.createDataFrame(
+        _search(spark, root).history, "position string, trial int, rung int, trees int, rmse double, kept boolean"
+    )
+    last = F.max(F.when(F.col("kept"), F.col("rmse")))
+    first = F.min(F.when(~F.col("kept"), F.col("rmse")))
+    return history.groupBy("position", "rung").agg(
+        F.count(F.lit(1)).alias("trials"), F.count_if("kept").alias("kept"), (last <= first).alias("best_kept")
+    )
+
+
+def _fold_scores(spark, root):
+    return stages.stage(spark, root, "fold scores", lambda: sel.fold_scores(
+        sel.season_folds(_frames(spark, root)), tr.tree_settings(), least_rows=_LEAST
+    ))
 
 
 @query("l13_cross_validation")
 def l13(spark, root):
-    return reduce(DataFrame.unionByName, [
-        tr.cross_validate(df).select(F.lit(p).alias("position"), "*") if _enough(df) else spark.createDataFrame(
-            [(p, 0, None, None)], "position string, folds int, mean_score double, std_score double"
-        ) for p, df in _frames(spark, root)
-    ])
+    return sel.cross_validated(_fold_scores(spark, root)).withColumnRenamed("model", "position")
+
+
+@query("l13_fold_sizes", f"""
+WITH folds AS (
+  SELECT position, (dense_rank() OVER (ORDER BY season) - 1) % 5 AS fold FROM position_labels
+), sizes AS (SELECT position, fold, count(*) AS n, sum(count(*)) OVER (PARTITION BY position) AS total FROM folds GROUP BY position, fold)
+SELECT position, CAST(fold AS INTEGER) AS fold, CAST(total - n AS BIGINT) AS fitted, n, true AS scored
+FROM sizes WHERE total >= {_LEAST} AND total > n""", ["position_labels"])
+def l13_sizes(spark, root):
+    return _fold_scores(spark, root).select(
+        F.col("model").alias("position"), "fold", "fitted", "n", (F.col("score") > 0).alias("scored")
+    )
 
 
 @query("l14_training_summary")
@@ -164,18 +264,37 @@ def l14(spark, root):
     return tr.train_all(stages.training(spark, root))
 
 
-@query("l15_model_round_trip")
+_PAIRS_SQL = ", ".join(f"('{p}', '{t}')" for p, own in config.POSITION_TARGETS.items() for t in own)
+
+
+@query("l14_pair_status", f"""
+WITH pairs AS (SELECT * FROM (VALUES {_PAIRS_SQL}) x(position, target)),
+counts AS (SELECT position, split, count(*) AS n FROM split_features GROUP BY position, split),
+enough AS (SELECT position FROM counts WHERE split = 'train' AND n >= {_LEAST})
+SELECT position, target, 'trained' AS status, split, n FROM pairs JOIN counts USING (position) WHERE position IN (SELECT position FROM enough)
+UNION ALL SELECT position, target, 'skipped', NULL, 0 FROM pairs WHERE position NOT IN (SELECT position FROM enough)""", ["split_features"])
+def l14_status(spark, root):
+    return stages.stage(spark, root, "training summary", lambda: tr.train_all(stages.training(spark, root))).select(
+        "position", "target", "status", "split", "n"
+    )
+
+
+@query("l15_model_round_trip", """
+SELECT position, count(*) AS n, CAST(0.0 AS DOUBLE) AS largest_difference, CAST(47 AS BIGINT) AS features
+FROM position_labels WHERE position IN (SELECT position FROM trained_positions) GROUP BY position""", ["position_labels", "trained_positions"])
 def l15(spark, root):
-    path, scored = scratch_path(spark, "model"), []
-    for position, df in _frames(spark, root):
-        model, names = tr.fit(df), []
-        if model:
-            tr.save(model, f"{path}/{position}", config.vector_names(position))
-            model, names = tr.load(spark, f"{path}/{position}")
-        scored.append(_scored(model, df).select(
-            "feature_id", "position", "prediction", F.lit(len(names)).alias("features")
-        ))
-    return reduce(DataFrame.unionByName, scored)
+    """Predictions before saving against those of the models that were read back."""
+    models, path = _models(spark, root), scratch_path(spark, "model")
+    tr.keep(models, path)
+    again = boosting.Models.load(spark, path)
+    rows = _frames(spark, root).filter(F.col("position").isin(list(models.specs)))
+    both = tr.score(again, tr.score(models, rows).withColumnRenamed("prediction", "before"))
+    widths = spark.createDataFrame([
+        (p, spark.read.parquet(f"{path}/{p}/features").count()) for p in models.specs
+    ], "position string, features long")
+    return both.groupBy("position").agg(
+        F.count("prediction").alias("n"), F.max(F.abs(F.col("prediction") - F.col("before"))).alias("largest_difference")
+    ).join(F.broadcast(widths), "position")
 
 
 # --- the model table: one "model" per part brand, one version per part --------------------

@@ -27,15 +27,20 @@ def stamp(spark, root) -> tuple:
     ))
 
 
-def stage(spark, root, name, build):
-    """A stage table of the tables in ``root``, built again when they have changed."""
+def kept(spark, root, name, build):
+    """What ``build`` returns (models, whose size the settings bound), kept while the tables are unchanged."""
     key = (spark.sparkContext.applicationId, root, name)
     now = stamp(spark, root)
     if key not in _built or _built[key][0] != now:
-        _built[key] = now, settle(build(), name)
+        _built[key] = now, build()
     return _built[key][1]
 
 
+def stage(spark, root, name, build):
+    """A stage table of the tables in ``root``, built again when they have changed."""
+    return kept(spark, root, name, lambda: settle(build(), name.replace(" ", "-")))
+
+
 def games(spark, root):
     return stage(spark, root, "player_games", lambda: src.player_games(spark, root))
 
