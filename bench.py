@@ -18,7 +18,7 @@ from weekfold.session import build_session  # noqa: E402
 
 HEADLINE = [
     "w00_rolling_all", "w10_calendar_window", "i03_new_row_filter", "f01_lifecycle",
-    "f02_weekly_snapshot", "f03_rolling_features", "f05_home_away_splits", "f06_opponent_history",
+    "f02_weekly_snapshot", "f03_rolling_features", "f03_rolling_full", "f05_home_away_splits", "f06_opponent_history",
     "f07_defence_rank", "f08_opponent_allowed", "f08_matchup_features", "f14_team_aggregates",
     "f15_vector_assembly", "q05_quality_filter", "g01_prediction_targets", "v06_validation_log",
     "l02_ratio_split", "l08_regression_metrics",

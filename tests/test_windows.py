@@ -1,5 +1,6 @@
 """Rolling windows: closed forms, brute force, hot entities, no look-ahead."""
 
+import json
 import random
 import statistics
 
@@ -136,3 +137,32 @@ def test_sparse_documents_leave_nulls_out(spark):
     first = docs.filter("week = 1").first().stats_last3_games
     assert first == '{"window_size":3.0,"games_in_window":0.0}'
     assert '"passing_yards_avg":300.0' in docs.filter("week = 4").first().stats_last3_games
+
+
+def test_long_layout_equals_the_wide_one(spark):
+    log = game_log(spark).unionByName(
+        # a player who changes position keeps the statistics of both
+        game_log(spark).withColumns({"player_id": F.lit("p9"), "position": F.when(F.col("week") < 4, "QB").otherwise("K")})
+    )
+    wide = form.rolling_features(log).collect()
+    long = form.rolling_long_features(log)
+    got = {(r.player_id, r.season, r.week, r.stat): r for r in long.collect()}
+    stats = [c for c in log.columns if f"{c}_avg_3" in wide[0]]
+    measures = [f"{m}_{n}" for m in ("avg", "stddev", "trend", "min", "max") for n in (3, 5, 10)]
+    seen = 0
+    for r in wide:
+        for s in stats:
+            row = got.get((r.player_id, r.season, r.week, s))
+            for m in measures:
+                assert (row[m] if row else None) == (pytest.approx(r[f"{s}_{m}"]) if r[f"{s}_{m}"] is not None else None)
+                seen += row is not None and row[m] is not None
+            assert row is None or row.game_number == r.game_number and row.games_in_window_5 == r.games_in_window_5
+    assert seen > 50
+    docs = {(r.player_id, r.season, r.week): r for r in form.documents(form.rolling_features(log)).collect()}
+    for r in form.long_documents(long).collect():
+        for name in ("stats_last3_games", "stats_last5_games", "stats_season_avg"):
+            one, other = (json.loads(x[name]) for x in (r, docs[r.player_id, r.season, r.week]))
+            assert one == pytest.approx(other)
+    # one exchange of players, whatever the number of statistics
+    plan = form.rolling_long_features(log)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from weekfold import config
 from weekfold.functions.scalars import existing
-from weekfold.operators.windows import MEASURES, column_name, rolling
+from weekfold.operators.windows import MEASURES, column_name, rolling, rolling_long
 
 IDENTITY = ("player_id", "player_name", "position", "season", "week", "team")
 
@@ -72,6 +72,54 @@ def rolling_features(
     )
 
 
+def rolling_long_features(
+    stats: DataFrame,
+    columns=None,
+    windows=config.ROLLING_WINDOWS,
+    measures=MEASURES,
+    shared=("fantasy_points",),
+    season_type: str | None = "REG",
+    drop_first_before: bool = False,
+    keep=(),
+) -> DataFrame:
+    """``rolling_features`` with a row for each statistic: the layout for all configured ones.
+
+    A player has the statistics of the positions he ever had and the ``shared``
+    ones; the values are those of the wide layout.
+    """
+    wanted = existing(stats, columns or [*config.all_stats(), *shared])
+    games = stats.dropna(subset=["player_id"])
+    if season_type is not None:
+        games = games.filter(F.col("season_type") == season_type)
+    keep = existing(games, dict.fromkeys([*IDENTITY, *keep]))
+    games = masked_stats(games.select(*dict.fromkeys([*keep, *wanted])), wanted, shared)
+    groups = {p: [s for s in config.position_stats(p) if s not in shared] for p in config.POSITION_STATS}
+    return rolling_long(
+        games, stats=wanted, windows=windows, measures=measures, keep=keep,
+        drop_first_before=drop_first_before, groups=groups,
+    )
+
+
+def long_documents(long: DataFrame, windows=config.ROLLING_WINDOWS, measures=MEASURES) -> DataFrame:
+    """``documents`` from the long layout: one sparse JSON document for each window.
+
+    The rows of a player and week are already together, so nothing is shuffled.
+    """
+    docs = []
+    for n in windows:
+        entries = F.array(*[
+            F.struct(F.concat("stat", F.lit(f"_{m}")).alias("key"), F.col(f"{m}_{n}").alias("value")) for m in measures
+        ])
+        found = F.flatten(F.collect_list(F.filter(entries, lambda e: e["value"].isNotNull())))
+        head = F.array(
+            F.struct(F.lit("window_size").alias("key"), F.lit(float(n)).alias("value")),
+            F.struct(F.lit("games_in_window").alias("key"), F.first(f"games_in_window_{n}").cast("double").alias("value")),
+        )
+        name = "stats_season_avg" if n == max(windows) else f"stats_last{n}_games"
+        docs.append(F.to_json(F.map_from_entries(F.concat(head, found))).alias(name))
+    return long.groupBy("player_id", "season", "week", "position").agg(*docs)
+
+
 def _slope(df: DataFrame, stat: str | None) -> Column | None:
     name = column_name(stat, "trend", config.TREND_WINDOW) if stat else None
     return F.col(name) if name in df.columns else None

@@ -82,9 +82,22 @@ def rolling(
     filter that SQL applies ahead of window evaluation.
     """
     stats = existing(df, stats)
+    keep = _kept(df, stats, keep)
+    numbered = _numbered(df.select(*dict.fromkeys([*entity, *order, *keep, *stats])), entity, order, drop_first_before)
+    return numbered.selectExpr(
+        *[f"`{c}`" for c in keep], "game_number",
+        *_all_measures(stats, windows, measures, entity, order, "game_number", extra),
+    )
+
+
+def _kept(df: DataFrame, stats, keep) -> list[str]:
     keep = list(keep) if keep is not None else [c for c in df.columns if c not in stats]
-    keep = [c for c in keep if c != "game_number"]
-    numbered = game_number(df.select(*dict.fromkeys([*entity, *order, *keep, *stats])), entity, order)
+    return [c for c in keep if c != "game_number"]
+
+
+def _numbered(df: DataFrame, entity, order, drop_first_before: bool) -> DataFrame:
+    """Rows with their number; refuses rows whose order is open."""
+    numbered = game_number(df, entity, order)
     # over the same window as the numbers, so it takes no further sort
     place = F.struct(*order)
     again = F.lag(place).over(Window.partitionBy(*entity).orderBy(*order)) == place
@@ -92,11 +105,59 @@ def rolling(
     numbered = numbered.withColumn("_again", again).filter(
         F.when(F.col("_again"), refused.cast("boolean")).otherwise(F.lit(True))
     ).drop("_again")
-    if drop_first_before:
-        numbered = numbered.filter(F.col("game_number") > 1)
-    return numbered.selectExpr(
-        *[f"`{c}`" for c in keep], "game_number",
-        *_all_measures(stats, windows, measures, entity, order, "game_number", extra),
+    return numbered.filter(F.col("game_number") > 1) if drop_first_before else numbered
+
+
+def rolling_long(
+    df: DataFrame,
+    entity=("player_id",),
+    order=("season", "week"),
+    stats=(),
+    windows=config.ROLLING_WINDOWS,
+    measures=MEASURES,
+    keep=None,
+    drop_first_before: bool = False,
+    groups: dict[str, list[str]] | None = None,
+    group_by: str = "position",
+) -> DataFrame:
+    """``rolling`` as one row per entity, period and statistic, whatever the number of statistics.
+
+    Columns: ``keep``, game_number, stat, value, ``<measure>_<n>`` and
+    games_in_window_<n>. Each statistic of an entity is a window group of its own
+    inside the entity's partition, so rows are shuffled once, in their wide form,
+    and the plan has as many window expressions for a hundred statistics as for
+    one. With ``groups`` (the statistics of each value of ``group_by``) an entity
+    has only those of the groups it ever was in; the others are null throughout.
+    """
+    stats = existing(df, stats)
+    keep = _kept(df, stats, keep)
+    columns = [*entity, *order, *keep, *stats, *([group_by] if groups else [])]
+    rows = _numbered(df.select(*dict.fromkeys(columns)), entity, order, drop_first_before)
+    entries = F.array(*[
+        F.struct(F.lit(s).alias("stat"), F.col(f"`{s}`").cast("double").alias("value")) for s in stats
+    ])
+    if groups:
+        ever = F.collect_set(group_by).over(Window.partitionBy(*entity))
+        rows = rows.withColumn("_ever", ever)
+        own = [
+            F.when(
+                F.arrays_overlap("_ever", F.array(*[F.lit(g) for g, names in groups.items() if s in names]))
+                if any(s in names for names in groups.values()) else F.lit(False), F.lit(s)
+            ) for s in stats
+        ]
+        everywhere = [s for s in stats if not any(s in names for names in groups.values())]
+        wanted = F.array_union(F.array_compact(F.array(*own)), F.array(*[F.lit(s) for s in everywhere]).cast("array<string>"))
+        rows = rows.withColumn("_wanted", wanted).drop("_ever")
+        entries = F.filter(entries, lambda x: F.array_contains(F.col("_wanted"), x["stat"]))
+    keep = [c for c in keep if c not in ("stat", "value")]
+    long = rows.select(*keep, *[c for c in (*entity, *order) if c not in keep], "game_number", F.explode(entries).alias("_e"))
+    long = long.select("*", "_e.stat", "_e.value").drop("_e")
+    return long.selectExpr(
+        *[f"`{c}`" for c in keep], "game_number", "stat", "value",
+        *[
+            e.replace("AS `value_", "AS `") for e in
+            _all_measures(["value"], windows, measures, [*entity, "stat"], order, "game_number")
+        ],
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weekfold import config
-from weekfold.operators import lifecycle, quality, targets, team, temporal
+from weekfold.operators import form, lifecycle, quality, targets, team, temporal
 from weekfold.plans import dataset
 from weekfold.operators.ingest import incremental_append, key_columns
 from weekfold.plans.player import player_features
@@ -53,10 +53,18 @@ def entity_stages(tables: dict[str, DataFrame], out: str) -> dict[str, DataFrame
 def feature_stages(
     tables: dict[str, DataFrame], out: str, first_play_season: int = config.PLAYS_FIRST_SEASON
 ) -> dict[str, DataFrame]:
-    """Rolling player form with matchup context, and team form."""
-    players = player_features(tables["stats"], tables["schedule"], tables["team_stats"])
+    """Rolling player form with matchup context, the form of all statistics, and team form.
+
+    ``player_rolling`` has in columns what the vectors read; ``player_form`` has
+    every configured statistic, window and measure, a row for each statistic.
+    """
+    wanted = list(dict.fromkeys([*dataset.vector_stats(), *form.trend_stats()]))
+    players = player_features(
+        tables["stats"], tables["schedule"], tables["team_stats"], wanted, measures=("avg",), trends_only=True
+    )
     return {
         "player_rolling": refresh(players, f"{out}/player_rolling"),
+        "player_form": refresh(form.rolling_long_features(tables["stats"]), f"{out}/player_form"),
         "team_rolling": refresh(
             team.team_aggregates(tables.get("plays"), tables["team_stats"], first_play_season),
             f"{out}/team_rolling",

@@ -167,6 +167,62 @@ def f03_dropped(spark, root):
     return rounded(form.rolling_features(src.player_games(spark, root), ["fantasy_points"], drop_first_before=True))
 
 
+#: Every configured statistic that the stand-ins have.
+_HAVE = {*src.COUNTS, *src.AMOUNTS, "fg_pct", "target_share", "air_yards_share", "fantasy_points_ppr"}
+ALL_STATS = [*[s for s in config.all_stats() if s in _HAVE], "fantasy_points"]
+_LONG = [f"{m}_{n}" for n in (3, 5, 10) for m in ("avg", "stddev", "trend", "min", "max")]
+
+
+def _long_sql(table, stats):
+    """The wide layout of ``table`` as a row for each statistic of the player's positions."""
+    parts = []
+    for s in stats:
+        inside = ", ".join(f"'{p}'" for p in form.relevant_positions(s))
+        where = "" if s == "fantasy_points" else (
+            f" WHERE player_id IN (SELECT player_id FROM player_games WHERE season_type = 'REG' AND position IN ({inside}))"
+        )
+        parts.append(
+            f"SELECT player_id, CAST(season AS BIGINT) AS season, CAST(week AS BIGINT) AS week, game_number, '{s}' AS stat, "
+            + ", ".join(f"round({s}_{c}, 6) AS {c}" for c in _LONG)
+            + f", games_in_window_3, games_in_window_5, games_in_window_10 FROM {table}{where}"
+        )
+    return "\nUNION ALL ".join(parts)
+
+
+def _long(rows, stats):
+    found = form.rolling_long_features(rows, stats)
+    return rounded(found.select(
+        "player_id", "season", "week", "game_number", "stat", *_LONG, *[f"games_in_window_{n}" for n in (3, 5, 10)]
+    ))
+
+
+add_table("form_all", ("player_games",), rolling_sql(ALL_STATS))
+
+
+@query("f03_rolling_long", _long_sql("form_all", ALL_STATS), ["form_all", "player_games"])
+def f03_long(spark, root):
+    """All statistics of the stand-ins, a row for each."""
+    return _long(src.player_games(spark, root), ALL_STATS)
+
+
+#: Configured statistics that the stand-ins lack, as counts made of what they have.
+_MADE = {
+    s: f"CAST((fantasy_points + {k} * week + season) % {17 + k} AS DOUBLE)"
+    for k, s in enumerate(s for s in config.all_stats() if s not in ALL_STATS)
+}
+WIDENED = [*ALL_STATS, *_MADE]
+add_table("widened_games", ("player_games",),
+          "SELECT *, " + ", ".join(f"{e} AS {s}" for s, e in _MADE.items()) + " FROM player_games")
+add_table("form_widened", ("widened_games",), rolling_sql(WIDENED).replace("FROM player_games", "FROM widened_games"))
+
+
+@query("f03_rolling_full", _long_sql("form_widened", WIDENED), ["form_widened", "player_games"])
+def f03_full(spark, root):
+    """All configured statistics on a table that has them all."""
+    rows = src.player_games(spark, root)
+    return _long(rows.selectExpr("*", *[f"{e.replace('DOUBLE', 'double')} AS {s}" for s, e in _MADE.items()]), WIDENED)
+
+
 _Z = "coalesce({s}_trend_5, 0)"
 TREND_SQL = {
     "performance_trend": f"""CASE position
