@@ -284,10 +284,11 @@ def learn(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, width: int = WIDTH) -
     model = VoteModel(counts)
     share = min(1.0, sample_rows / max(sum(counts.values()), 1))
     sample = docs.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    rows = (
-        sample.mapInPandas(_sample_rows(model, width), "columns array<int>, values array<float>, label double")
-        .limit(2 * sample_rows).collect()
-    )
+    # copies of one text may exceed the share: the bound holds in the order of the hash
+    bounded = sample.orderBy(F.xxhash64("text"), "text").limit(2 * sample_rows)
+    rows = bounded.mapInPandas(
+        _sample_rows(model, width), "columns array<int>, values array<float>, label double"
+    ).collect()
     table = SparseRows([np.array(r["columns"], dtype=np.int64) for r in rows], [np.array(r["values"]) for r in rows])
     return model, fit_logistic(table, np.array([r["label"] for r in rows]), width, steps=150)
 
@@ -300,7 +301,8 @@ def score_of(words: Words, hasher: Hasher, weights: np.ndarray) -> float:
     return float(sigmoid(values @ weights[columns] + weights[-1]))
 
 
-def _scored(model: VoteModel, weights: np.ndarray, width: int):
+def _scored(model: VoteModel | None, weights: np.ndarray, width: int):
+    """Scores, and with a vote model the posteriors of the votes, which are taken once more for them."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher, measurer = Hasher(width), Measurer()
         posteriors: dict[str, float] = {}
@@ -308,38 +310,46 @@ def _scored(model: VoteModel, weights: np.ndarray, width: int):
             labels, scores = [], []
             for text in batch["text"]:
                 words = Words(text)
-                pattern = measurer.votes(words)
-                if pattern not in posteriors:
-                    posteriors[pattern] = model.posterior(pattern)
-                labels.append(posteriors[pattern])
                 scores.append(score_of(words, hasher, weights))
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "weak_label": labels, "score": scores})
+                if model is not None:
+                    pattern = measurer.votes(words)
+                    if pattern not in posteriors:
+                        posteriors[pattern] = model.posterior(pattern)
+                    labels.append(posteriors[pattern])
+            out = pd.DataFrame({"doc_id": batch["doc_id"], "score": scores})
+            yield out if model is None else out.assign(weak_label=labels)
 
     return run
 
 
 def quality(
     docs: DataFrame, key: str = "doc_id", text: str = "text", keep: float = KEEP,
-    sample_rows: int = SAMPLE_ROWS, width: int = WIDTH,
+    sample_rows: int = SAMPLE_ROWS, width: int = WIDTH, weak_labels: bool = False,
 ) -> DataFrame:
-    """(doc_id, weak_label, score, kept): one row for each row of ``docs``.
+    """(doc_id, score, kept): one row for each row of ``docs``.
 
-    ``weak_label`` is the posterior of the heuristics' votes, ``score`` that of
-    the scorer, from 0 to 1 (good); ``kept`` says that it is ``keep`` or more.
+    ``score`` is that of the scorer, from 0 to 1 (good); ``kept`` says that it
+    is ``keep`` or more. With ``weak_labels`` a column ``weak_label`` has the
+    posterior of the heuristics' votes, for which every text is judged again.
     Texts without words, null texts among them, have score 0. Equal texts get
     equal scores; ids may be null or repeat; other columns are ignored.
     """
     source = narrow(docs, key, text)
     model, weights = learn(source, sample_rows, width)
     return source.mapInPandas(
-        _scored(model, weights, width), "doc_id long, weak_label double, score double"
+        _scored(model if weak_labels else None, weights, width),
+        "doc_id long, score double" + (", weak_label double" if weak_labels else ""),
     ).withColumn("kept", F.col("score") >= keep)
 
 
 def good_rows(
     docs: DataFrame, text: str = "text", keep: float = KEEP, sample_rows: int = SAMPLE_ROWS, width: int = WIDTH,
 ) -> DataFrame:
-    """The rows of ``docs`` that ``quality`` keeps, with all their columns; nothing is shuffled."""
+    """The rows of ``docs`` that ``quality`` keeps, with all their columns; nothing is shuffled.
+
+    Null and empty texts go; ids may be null or repeat, and columns may have any
+    names; an empty table stays empty.
+    """
     model, weights = learn(narrow(docs, text, text).select("text"), sample_rows, width)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
