@@ -24,10 +24,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weekfold.llm.html_blocks import Block, blocks
+from weekfold.llm.html_blocks import Block, Path, blocks
 from weekfold.llm.linear import sigmoid
+from weekfold.llm.pretokens import slices
 
 TRAINING_PAGES = 400
+TRAINING_CHARS = 500_000
+SLICE_CHARS = 8_000_000  # characters of pages that are parsed and labelled together
 DRESSINGS = 2
 PATH_WIDTH = 192
 WORD_WIDTH = 96
@@ -73,17 +76,41 @@ def _slot(name: str, width: int) -> tuple[int, float]:
     return h % width, 1.0 if h >> 63 else -1.0
 
 
-def vectors(page: list[Block]) -> np.ndarray:
-    """One row per block: tag path, words, sizes."""
-    out = np.zeros((len(page), WIDTH), dtype=np.float32)
-    for i, b in enumerate(page):
-        row = out[i]
-        depth = len(b.path)
-        for d, (tag, names) in enumerate(b.path):
-            found = ["t" + tag, *("n" + n for n in names)]
-            if d == depth - 1:
-                found += ["l" + tag, *("m" + n for n in names)]
-            for name in found:
+class PathVectors:
+    """Sums of the hashed tags and names of an element and all that it is in; those of recent elements are kept."""
+
+    KEPT = 4_096
+
+    def __init__(self):
+        self.known: dict[Path, np.ndarray] = {}
+
+    def of(self, path: Path | None) -> np.ndarray:
+        missing = []
+        while path is not None and path not in self.known:
+            missing.append(path)
+            path = path.parent
+        row = np.zeros(PATH_WIDTH, dtype=np.float32) if path is None else self.known[path]
+        if len(self.known) + len(missing) > self.KEPT:
+            self.known.clear()
+        for one in reversed(missing):
+            row = row.copy()
+            for name in ("t" + one.tag, *("n" + n for n in one.names)):
+                at, sign = _slot(name, PATH_WIDTH)
+                row[at] += sign
+            self.known[one] = row
+        return row
+
+
+def vectors(page: list[Block], start: int = 0, stop: int | None = None, paths: PathVectors | None = None) -> np.ndarray:
+    """One row per block (of a range): tag path, words, sizes."""
+    stop = len(page) if stop is None else min(stop, len(page))
+    paths = paths or PathVectors()
+    out = np.zeros((stop - start, WIDTH), dtype=np.float32)
+    for i in range(start, stop):
+        b, row = page[i], out[i - start]
+        if b.path is not None:
+            row[:PATH_WIDTH] = paths.of(b.path)
+            for name in ("l" + b.path.tag, *("m" + n for n in b.path.names)):
                 at, sign = _slot(name, PATH_WIDTH)
                 row[at] += sign
         words = b.text.split()
@@ -96,7 +123,8 @@ def vectors(page: list[Block]) -> np.ndarray:
         row[PATH_WIDTH + WORD_WIDTH:] = (
             np.log1p(n) / 4, np.log1p(len(words)) / 3, b.links / n, np.log1p(b.tags) / 2,
             sum(map(b.text.count, ".,;:!?")) / len(words), b.text[-1] in ".!?…:\"”»", b.text[:1].isupper(),
-            i / len(page), (len(page) - 1 - i) / len(page), np.log1p(len(page)) / 4, depth / 8,
+            i / len(page), (len(page) - 1 - i) / len(page), np.log1p(len(page)) / 4,
+            (b.path.depth if b.path else 0) / 8,
         )
     return out
 
@@ -120,7 +148,7 @@ class Labeller:
         self.w["out"] = matrix(2 * HIDDEN, 1)
         self.w["out_b"] = np.zeros(1, np.float32)
 
-    def _lstm(self, x: np.ndarray, mask: np.ndarray, way: str):
+    def _lstm(self, x: np.ndarray, mask: np.ndarray, way: str, keep: bool = True):
         """Hidden states of (time, page, INNER) inputs; masked steps keep the state."""
         w_h, gates_x = self.w[way + "h"], x @ self.w[way + "x"] + self.w[way + "b"]
         steps, pages = x.shape[:2]
@@ -136,7 +164,8 @@ class Labeller:
             c_new = m * (f * c + i * u) + (1 - m) * c
             tanh_c = np.tanh(c_new)
             h_new = m * (o * tanh_c) + (1 - m) * h
-            kept.append((t, h, c, i, f, o, u, tanh_c, m))
+            if keep:
+                kept.append((t, h, c, i, f, o, u, tanh_c, m))
             h, c = h_new, c_new
             hs[t] = h
         return hs, kept
@@ -146,7 +175,18 @@ class Labeller:
         forward, kept_f = self._lstm(inner, mask, "f")
         backward, kept_b = self._lstm(inner, mask, "b")
         both = np.concatenate([forward, backward], axis=2)
-        return sigmoid((both @ self.w["out"] + self.w["out_b"])[..., 0]), (x, inner, both, kept_f, kept_b)
+        return self._chances(both), (x, inner, both, kept_f, kept_b)
+
+    def _chances(self, both: np.ndarray) -> np.ndarray:
+        return sigmoid((both @ self.w["out"] + self.w["out_b"])[..., 0])
+
+    def inner(self, page: list[Block]) -> np.ndarray:
+        """What the layers in both directions read: a few numbers for each block, made strip by strip."""
+        paths, out = PathVectors(), np.empty((len(page), INNER), np.float32)
+        for at in range(0, len(page), GROUP_BLOCKS):
+            x = vectors(page, at, at + GROUP_BLOCKS, paths)
+            out[at:at + GROUP_BLOCKS] = np.tanh(x @ self.w["in"] + self.w["in_b"])
+        return out
 
     def _back(self, kept, d_hs: np.ndarray, inner: np.ndarray, way: str, grad: dict) -> np.ndarray:
         w_h = self.w[way + "h"]
@@ -185,7 +225,7 @@ class Labeller:
         return grad
 
     def label(self, pages: list[np.ndarray]) -> list[np.ndarray]:
-        """Chances of all blocks; pages of similar length are read together."""
+        """Chances of all blocks of pages of ``inner`` rows; pages of similar length are read together."""
         out: list[np.ndarray] = [np.empty(0)] * len(pages)
         order = sorted((i for i, p in enumerate(pages) if len(p)), key=lambda i: len(pages[i]))
         groups: list[list[int]] = []
@@ -195,7 +235,8 @@ class Labeller:
             groups[-1].append(i)
         for own in groups:
             x, mask = _stacked([pages[i] for i in own])
-            chance = self.forward(x, mask)[0]
+            both = [self._lstm(x, mask, way, keep=False)[0] for way in ("f", "b")]
+            chance = self._chances(np.concatenate(both, axis=2))
             for k, i in enumerate(own):
                 out[i] = chance[:len(pages[i]), k]
         return out
@@ -211,14 +252,17 @@ def _stacked(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return x, mask
 
 
+_OTHER = frozenset(n for names in OTHER_NAMES.values() for n in names)
+
+
 def marked(block: Block) -> bool:
     """Whether an author's own mark-up says that the block is main text."""
-    tags = [t for t, _ in block.path]
-    main = max((d for d, t in enumerate(tags) if t in MAIN_TAGS), default=-1)
-    every = {n for names in OTHER_NAMES.values() for n in names}
-    return main >= 0 and not any(
-        t in OTHER_TAGS or any(n in every for n in names) for t, names in block.path[main + 1:]
-    )
+    path = block.path
+    while path is not None and path.tag not in MAIN_TAGS:
+        if path.tag in OTHER_TAGS or any(n in _OTHER for n in path.names):
+            return False
+        path = path.parent
+    return path is not None
 
 
 def dressed(page: list[Block], others: list[str], rng: np.random.Generator) -> tuple[list[Block], list[int]]:
@@ -252,7 +296,7 @@ def dressed(page: list[Block], others: list[str], rng: np.random.Generator) -> t
             )
             path = outer if rng.random() < 0.3 else outer + ((inner, ()),)
             link = kind in ("menu", "sidebar", "footer") and not prose and rng.random() < 0.8
-            made.append((Block(path, text or "More", len(text) if link else 0, 2 * link), 0))
+            made.append((Block(Path.of(path), text or "More", len(text) if link else 0, 2 * link), 0))
         return made
 
     ground: tuple = (("html", ()), ("body", ()))
@@ -277,13 +321,14 @@ def dressed(page: list[Block], others: list[str], rng: np.random.Generator) -> t
             ground = ground + main  # something else in the middle of the text
             out += component(pick(("advert", "sidebar", "notice")))
             ground = whole
-        out.append((Block(ground + main + b.path[-1:], b.text, b.links, b.tags), 1))
+        own_path = Path.of((*ground, *main, (b.path.tag, b.path.names)))
+        out.append((Block(own_path, b.text, b.links, b.tags), 1))
     out += [x for k in back for x in component(k)]
     return [b for b, _ in out], [y for _, y in out]
 
 
-def train(pages: list[str], seed: int = 7, epochs: int = EPOCHS, dressings: int = DRESSINGS) -> Labeller:
-    """A labeller from pages whose authors marked the main text; each also in other layouts."""
+def train(pages: list[str], seed: int = 7, epochs: int = EPOCHS, dressings: int = DRESSINGS) -> Labeller | None:
+    """A labeller from pages whose authors marked the main text; each also in other layouts. None without such pages."""
     rng = np.random.default_rng(seed)
     parsed = [p for p in map(blocks, pages) if p]
     texts = [b.text for p in parsed for b in p]
@@ -301,6 +346,8 @@ def train(pages: list[str], seed: int = 7, epochs: int = EPOCHS, dressings: int
         add(page, labels)
         for _ in range(dressings):
             add(*dressed(page, texts, rng))
+    if not examples:
+        return None
     model = Labeller(seed)
     first = {k: np.zeros_like(v) for k, v in model.w.items()}
     second = {k: np.zeros_like(v) for k, v in model.w.items()}
@@ -327,10 +374,10 @@ def _extracted(weights: dict[str, np.ndarray]):
         model = Labeller()
         model.w = weights
         for batch in batches:
-            texts = []
-            for at in range(0, len(batch), 256):
-                pages = [blocks(p) for p in batch["html"].iloc[at:at + 256]]
-                chances = model.label([vectors(p) for p in pages])
+            texts, every = [], batch["html"].tolist()
+            for part in slices(every, SLICE_CHARS):
+                pages = [blocks(p) for p in every[part]]
+                chances = model.label([model.inner(p) for p in pages])
                 texts += [
                     " ".join(b.text for b, c in zip(p, chance.tolist()) if c >= 0.5)
                     for p, chance in zip(pages, chances)
@@ -348,8 +395,10 @@ def main_text(
     Blocks are joined by one space, white space inside them is one space. A
     null or empty page, and one without main text, has an empty text; ids and
     urls may be null or repeat; plain text without tags is one block. At most
-    about ``training_pages`` pages, chosen by a hash of their content, train the
-    labeller; without any marked page it is untrained. Other columns are ignored.
+    about ``training_pages`` pages, of at most ``TRAINING_CHARS`` characters each
+    and the first ones in the order of a hash of their content, train the
+    labeller; if none of them has main text that its author marked, nothing can
+    be learned, and every text is empty. Other columns are ignored.
     """
     rows = pages.select(
         F.col(key).alias("page_id"), F.col(url).cast("string").alias("url"),
@@ -357,9 +406,11 @@ def main_text(
     )
     share = min(1.0, training_pages / max(rows.count(), 1))
     sample = (
-        rows.where(F.length("html") > 0)
+        rows.where(F.length("html").between(1, TRAINING_CHARS))
         .where(F.pmod(F.xxhash64("html"), F.lit(1 << 20)) < int(share * (1 << 20)))
-        .select("html").limit(training_pages).collect()
+        .select("html").orderBy(F.xxhash64("html"), "html").limit(training_pages).collect()
     )
     model = train(sorted(r["html"] for r in sample))
+    if model is None:
+        return rows.select("page_id", "url", F.lit("").alias("text"), F.lit(0).cast("long").alias("n_chars"))
     return rows.mapInPandas(_extracted(model.w), "page_id long, url string, text string, n_chars long")
