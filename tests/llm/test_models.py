@@ -1,6 +1,7 @@
 """Learned operators: toxicity, quality, main text; and exact search."""
 
 import random
+import time
 import zlib
 
 import numpy as np
@@ -317,3 +318,75 @@ def test_ball_tree_opens_few_nodes_and_misses_nothing():
         best = sorted(zip(-scores, range(2000)))[:5]
         assert tree.search(q, vectors[q], 5, -np.inf) == [(int(-s), i) for s, i in best]
         assert tree.search(q, vectors[q], 5, -best[-1][0]) == [(int(-s), i) for s, i in best]
+
+
+def test_words_looked_up_together_are_found_as_one_by_one():
+    rng = random.Random(4)
+    terms = ["disgusting", "worthless", "degenerate", "pathetic", "imbecile", "stupid", "moron", "scum", "naïveté"]
+    lexicon = {(t, False): 3.0 for t in terms} | {("filth", True): 2.0}
+    words = {"Filthy", "SCUM", "ﬁlth", "straße", "a"}
+    for t in terms:
+        for _ in range(400):
+            w = list(t)
+            for _ in range(rng.randint(1, 3)):
+                i = rng.randrange(len(w))
+                kind = rng.randrange(4)
+                if kind == 3 and i:
+                    w[i - 1:i + 1] = w[i - 1:i + 1][::-1]
+                else:
+                    w[i:i + 1] = [[], [rng.choice("abcxé")], [w[i], rng.choice("abcxé")]][kind % 3]
+                if not w:
+                    break
+            words.add("".join(w).capitalize() if rng.random() < 0.3 else "".join(w))
+    words.discard("")
+    one, many = toxicity.Matcher(lexicon), toxicity.Matcher(lexicon)
+    many.learn(words)
+    assert many.found == {w: hit for w in words if (hit := one.look_up(w.lower())) is not None}
+    assert len({e for _, e, _ in many.found.values()}) == 3
+    # forgetting changes nothing
+    few = toxicity.Matcher(lexicon)
+    few.seen.update(str(i) for i in range(toxicity.SEEN_WORDS))
+    assert few.hits(["Filthy", "no", "scum"]) == [(0, 2.0, 0, "filth"), (2, 3.0, 0, "scum")]
+
+
+@pytest.mark.parametrize("piece", [
+    "<svg>", "<a ", "<div>x", "<div><p>y</p>", '<a ">"', "<h1>", "<!--", "<", "<b><i></b>", "<li><td>", "</div><b>", "<x y='",
+])
+def test_odd_pages_of_a_megabyte_take_time_by_their_length(piece):
+    page = piece * (1_000_000 // len(piece))
+    begun = time.process_time()
+    found = blocks(page)
+    assert time.process_time() - begun < 6  # seconds; the square would take minutes
+    assert all(b.path is None or b.path.depth <= 512 for b in found)
+    if "x" in piece and "<x" not in piece:
+        assert sum(len(b.text) for b in found) == page.count("x")
+
+
+def test_vectors_of_deep_pages_keep_few_paths():
+    page = blocks("<div class='a b'>x" * 3000)
+    paths = html_text.PathVectors()
+    rows = html_text.vectors(page, 0, len(page), paths)
+    assert len(rows) == 3000 and len(paths.known) <= html_text.PathVectors.KEPT
+    # the same as summing each path anew
+    for i in (0, 1, 7, 300):
+        alone = html_text.vectors(page, i, i + 1)
+        assert (alone[0] == rows[i]).all()
+
+
+def test_without_marked_pages_there_is_no_text(llm):
+    pages = llm.createDataFrame(
+        [(i, "u", f"<html><body><div><p>Some text number {i} of a page.</p></div></body></html>") for i in range(30)],
+        "page_id long, url string, html string",
+    )
+    got = html_text.main_text(pages)
+    assert got.dtypes == [("page_id", "bigint"), ("url", "string"), ("text", "string"), ("n_chars", "bigint")]
+    assert {(r.text, r.n_chars) for r in got.collect()} == {("", 0)}
+
+
+def test_the_sample_of_pages_does_not_depend_on_files(llm):
+    rng = random.Random(8)
+    made = [site(rng, i, "<article>")[:3] for i in range(40)] + [site(rng, 50 + i, "<div class='story'>")[:3] for i in range(20)]
+    pages = llm.createDataFrame(made, "page_id long, url string, html string")
+    one = html_text.main_text(pages.repartition(1), training_pages=25).collect()
+    other = html_text.main_text(pages.repartition(7), training_pages=25).collect()
+    assert sorted(map(tuple, one)) == sorted(map(tuple, other))
