@@ -5,9 +5,11 @@ that occur far more often in toxic documents. Every word of a text is looked up
 in it with the intersection of its Levenshtein automaton and the lexicon's
 trie, so misspelled terms are found too: one edit away (a swap of neighbouring
 letters is one), from ten letters on two. How much these mean is learned per
-term and edits. Each hit is weighed by its term and by its context: a window of words around it tells quotation (quotation marks,
-words that the sample has around terms in clean documents) from abuse. A
-logistic model on sums of these weights gives the score.
+term and edits. The new words of many texts are looked up together; their
+lengths and letters first tell which can be near a term at all. Each hit is
+weighed by its term and by its context: a window of words around it tells
+quotation (quotation marks, words that the sample has around terms in clean
+documents) from abuse. A logistic model on sums of these weights gives the score.
 
 Fitting uses at most ``LABELLED_ROWS`` labelled documents (a parameter),
 chosen by a hash of the id.
@@ -28,6 +30,7 @@ from pyspark.sql import functions as F
 
 from weekfold.llm.lexicon import Filter, Trie, allowed_edits, matches
 from weekfold.llm.linear import SparseRows, fit_logistic, sigmoid
+from weekfold.llm.pretokens import slices
 from weekfold.llm.tables import narrow
 from weekfold.session import settle
 
@@ -41,6 +44,8 @@ DOUBT = 2.0  # documents that it takes to change this as much as it counts itsel
 LONGEST = 40  # letters of a term
 CONTEXT_WORDS = 2_000
 THRESHOLD = 0.3
+SEEN_WORDS = 500_000  # words that a task remembers
+SLICE_CHARS = 2_000_000  # characters whose words are looked up together
 _WORD = re.compile(r"[^\W\d_]+")
 _QUOTES = re.compile(r"[\"“”„«»‹›]|(?<!\w)[‘’]|[‘’](?!\w)")  # between two letters it is an apostrophe
 
@@ -129,37 +134,101 @@ class Matcher:
         for edits in (1, 2):
             terms = [t for t in self.words if allowed_edits(len(t)) == edits]
             self.spellings.append((edits, Trie(terms), Filter(terms, edits)))
-        self.known: dict[str, tuple[float, int, str] | None] = {}
+        # words as they are written: those that were looked up, and what was found
+        self.seen: set[str] = set()
+        self.found: dict[str, tuple[float, int, str]] = {}
+        self.near = []
+        for edits in (1, 2):
+            for t in self.words:
+                if allowed_edits(len(t)) == edits:
+                    letters, counts = _letters([t])
+                    self.near.append((t, edits, letters[0], counts[0]))
+
+    def look_up(self, word: str, near: list[tuple[str, int]] | None = None) -> tuple[float, int, str] | None:
+        """The best term: as written, then by its beginning, then misspelled.
 
-    def look_up(self, word: str) -> tuple[float, int, str] | None:
-        """The best term: as written, then by its beginning, then misspelled."""
+        ``near`` has the terms that may be within their edits, if that is known:
+        the automaton then runs on their part of the trie alone.
+        """
         if word in self.words:
             return self.words[word], 0, word
         for n in self.sizes:
             if word[:n] in self.beginnings:
                 return self.beginnings[word[:n]], 0, word[:n]
+        if near is None:
+            tries = [(edits, trie) for edits, trie, fits in self.spellings if fits.may_match(word)]
+        else:
+            tries = [
+                (edits, Trie(own)) for edits, _, fits in self.spellings
+                if (own := [t for t, e in near if e == edits]) and fits.may_match(word)
+            ]
         found = (
             (self.misspelled[t, e], e, t)
-            for edits, trie, fits in self.spellings if fits.may_match(word)
-            for t, e in matches(word, trie, edits, swaps=True).items()
+            for edits, trie in tries for t, e in matches(word, trie, edits, swaps=True).items()
         )
         # a misspelling that was learned to say nothing is an ordinary word
         return max((x for x in found if x[0] > 0), default=None)
 
-    def hits(self, words: list[str]) -> list[tuple[int, float, int, str]]:
-        known = self.known
-        if len(known) > 200_000:
-            known.clear()
-        out = []
-        for i, w in enumerate(words):
-            if w in known:
-                hit = known[w]
-            else:
-                hit = known[w] = self.look_up(w)
-            if hit is not None:
-                out.append((i, *hit))
+    def _may_be_near(self, words: list[str]) -> dict[int, list[tuple[str, int]]]:
+        """For words, by number, the terms (and their edits) that they may be near by lengths and letters.
+
+        An edit changes the length by one at most, the set of letters by two, and
+        so their counts; a swap changes nothing. So no pair is left out that an
+        automaton accepts.
+        """
+        lengths = np.array([len(w) for w in words])
+        letters, counts = _letters(words)
+        by_length = {n: np.flatnonzero(lengths == n) for n in np.unique(lengths).tolist()}
+        out: dict[int, list[tuple[str, int]]] = {}
+        for term, edits, own, own_counts in self.near:
+            for n in range(len(term) - edits, len(term) + edits + 1):
+                at = by_length.get(n)
+                if at is None:
+                    continue
+                at = at[np.bitwise_count(letters[at] ^ own) <= 2 * edits]
+                at = at[np.abs(counts[at] - own_counts).sum(axis=1) <= 2 * edits]
+                for i in at.tolist():
+                    out.setdefault(i, []).append((term, edits))
         return out
 
+    def learn(self, words: set[str]) -> None:
+        """Look up the words (as written) that were not seen yet."""
+        new = list(words - self.seen)
+        if len(self.seen) + len(new) > SEEN_WORDS:
+            self.seen.clear()
+            self.found.clear()
+            new = list(words)
+        self.seen.update(new)
+        lowered = [w.lower() for w in new]
+        close = self._may_be_near(lowered) if new else {}
+        some = set(close)
+        some.update(i for i, w in enumerate(lowered) if w in self.words)
+        for n in self.sizes:
+            some.update(i for i, w in enumerate(lowered) if w[:n] in self.beginnings)
+        for i in some:
+            hit = self.look_up(lowered[i], close.get(i, []))
+            if hit is not None:
+                self.found[new[i]] = hit
+
+    def hits(self, words: list[str]) -> list[tuple[int, float, int, str]]:
+        every = set(words)
+        if not every <= self.seen:
+            self.learn(every)
+        found = self.found
+        if found.keys().isdisjoint(every):
+            return []
+        return [(i, *found[w]) for i, w in enumerate(words) if w in found]
+
+
+def _letters(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The set of letters of each (non-empty) word as bits, and the counts of its letters; some letters share a place."""
+    codes = np.frombuffer("".join(words).encode("utf-32-le"), dtype=np.uint32)
+    lengths = np.array([len(w) for w in words], dtype=np.int64)
+    starts = np.concatenate([[0], np.cumsum(lengths)])[:-1]
+    sets = np.bitwise_or.reduceat(np.uint64(1) << (codes & 63).astype(np.uint64), starts)
+    place = np.repeat(np.arange(len(words)), lengths) * 32 + (codes & 31)
+    return sets, np.bincount(place, minlength=32 * len(words)).reshape(-1, 32).astype(np.int16)
+
 
 def _quoted(text: str, spans: list[tuple[int, int]]) -> list[bool]:
     """Whether an odd number of quotation marks stands before a word on its line, and one after it.
@@ -187,7 +256,10 @@ FEATURES = 7
 
 def features(text: str, matcher: Matcher, context: dict[str, float]) -> np.ndarray:
     """Sums of hit weights by context, their number and density."""
-    words = [w.lower() for w in _WORD.findall(text)]
+    return _features(text, _WORD.findall(text), matcher, context)
+
+
+def _features(text: str, words: list[str], matcher: Matcher, context: dict[str, float]) -> np.ndarray:
     hits = matcher.hits(words)
     out = np.zeros(FEATURES)
     if not hits:
@@ -197,7 +269,7 @@ def features(text: str, matcher: Matcher, context: dict[str, float]) -> np.ndarr
     total = tone = 0.0
     for (i, weight, _, _), inside in zip(hits, quoted):
         around = words[max(0, i - WINDOW):i] + words[i + 1:i + 1 + WINDOW]
-        tone += sum(context.get(w, 0.0) for w in around) / max(len(around), 1)
+        tone += sum(context.get(w.lower(), 0.0) for w in around) / max(len(around), 1)
         value = weight * (QUOTED if inside else 1.0)
         total += value
         out[0] = max(out[0], value)
@@ -210,14 +282,25 @@ def features(text: str, matcher: Matcher, context: dict[str, float]) -> np.ndarr
     return out
 
 
+def _all_features(texts: list[str], matcher: Matcher, context: dict[str, float]) -> list[np.ndarray]:
+    """Features of texts, whose new words are looked up together, slice by slice."""
+    out = []
+    for part in slices(texts, SLICE_CHARS):
+        split = [_WORD.findall(t) for t in texts[part]]
+        matcher.learn(set().union(*split))
+        out += [_features(t, w, matcher, context) for t, w in zip(texts[part], split)]
+    return out
+
+
 def _surroundings(matcher: Matcher):
     """For toxic and for other documents: words around hits, and misspelled terms."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             counts: dict[bool, Counter] = {True: Counter(), False: Counter()}
-            for text, label in zip(batch["text"], batch["toxic"]):
-                words = _WORD.findall(text.lower())
+            split = [_WORD.findall(t.lower()) for t in batch["text"]]
+            matcher.learn(set().union(*split))
+            for words, label in zip(split, batch["toxic"]):
                 found: set[tuple[str, int]] = set()
                 for i, _, edits, term in matcher.hits(words):
                     if edits:
@@ -248,9 +331,10 @@ def learn_surroundings(
     base = (n_toxic or 0) + 1.0
     base /= n_all - (n_toxic or 0) + 1.0
     matcher = Matcher(lexicon)
-    counts = (
+    counts = settle(
         labelled.mapInPandas(_surroundings(matcher), "word string, edits int, toxic long, clean long")
-        .groupBy("word", "edits").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+        .groupBy("word", "edits").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")),
+        "surroundings",
     )
     misspelled = {}
     for r in counts.where("edits > 0").collect():  # at most two for each term of the lexicon
@@ -273,7 +357,7 @@ def _feature_rows(matcher: Matcher, context: dict[str, float]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame({
-                "toxic": batch["toxic"], "features": [features(t, matcher, context) for t in batch["text"]],
+                "toxic": batch["toxic"], "features": _all_features(batch["text"].tolist(), matcher, context),
             })
 
     return run
@@ -293,7 +377,7 @@ def learn(labelled: DataFrame) -> tuple[Matcher, dict[str, float], np.ndarray]:
 def _scores(matcher: Matcher, context: dict, weights: np.ndarray):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            table = np.array([features(t, matcher, context) for t in batch["text"]]).reshape(-1, FEATURES)
+            table = np.array(_all_features(batch["text"].tolist(), matcher, context)).reshape(-1, FEATURES)
             yield pd.DataFrame({
                 "doc_id": batch["doc_id"], "score": sigmoid(table @ weights[:-1] + weights[-1]),
             })
@@ -311,13 +395,15 @@ def toxicity(
     never read. At most about ``labelled_rows`` of the others are used. Only the
     text enters a score: null and empty texts get that of a text without hits.
     Without any labels every score is 0.5. Repeated rows get equal scores, and a
-    null id is not held out.
+    null id is not held out. Terms have fewer than ``LONGEST`` letters. Other
+    columns are ignored.
     """
     usable = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
     usable = usable.groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     # a bounded choice: a share of all ids by hash, and never more than the bound
     share = min(1.0, labelled_rows / max(usable.count(), 1))
-    ids = usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))).limit(labelled_rows)
+    ids = usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled_rows)
     source = narrow(docs, key, text)
     labelled = settle(
         source.join(F.broadcast(settle(ids, "label-ids")), "doc_id").select("text", "toxic").repartition(8), "labelled"
