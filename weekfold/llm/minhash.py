@@ -13,8 +13,12 @@ which at least one is no neighbour of the hub. They are found by how they differ
 from it: if ``x`` and ``y`` are similar enough but ``y`` and the hub are not, then
 ``x`` and ``y`` must share so many of these differences that one of the rarest of
 ``x`` is among those of ``y`` (a prefix filter on the differences, exact by
-counting; see ``_prefixes``). So a large group of near copies costs one
-comparison per member and hub, and no link between two members is lost.
+counting; see ``_prefixes``). Components are contracted before anything is
+paired: what only one component has is of no use, and two groups of near copies
+are compared by their hubs first. The distance of sets is a metric, so hubs that
+are farther apart than a link and the way from each to its farthest member tell
+that no two members are linked (``_hubs_within_reach``). So a large group of near
+copies costs one comparison per member and hub, and no link is lost.
 """
 
 from __future__ import annotations
@@ -163,13 +167,14 @@ def _compared(stars: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
         .select(
             "hub", "node", "weight",
             (F.col("weight") - (100 - similar) * F.size("set_one")).alias("short"),
+            ((F.size("lost") + F.size("gained")) / (F.size("set_one") + F.size("gained"))).alias("far"),
             F.when(F.col("wide"), F.concat("lost", "gained")).alias("differences"),
         )
     )
 
 
-def _prefixes(compared: DataFrame, similar: int) -> DataFrame:
-    """Pairs (a, b) of members of one hub that may be linked although one of them is not linked to the hub.
+def _prefixes(compared: DataFrame, similar: int) -> tuple[DataFrame, DataFrame]:
+    """(hub, token, node) rows of all members and of outlying ones: pairs that may be linked share a hub and a token.
 
     With sets of size H (hub), ``lost`` and ``gained`` elements of x and y
     against the hub and S common differences, ``100 * intersection >= similar *
@@ -195,13 +200,59 @@ def _prefixes(compared: DataFrame, similar: int) -> DataFrame:
     placed = settle(
         contested.join(common, ["hub", "token"]).withColumn("place", alone + F.row_number().over(order)), "placed"
     )
-    first = placed.where(F.col("place") <= F.col("size") - F.expr(f"weight div {100 + similar}")).select(
-        "hub", "token", F.col("node").alias("x")
-    )
+    first = placed.where(F.col("place") <= F.col("size") - F.expr(f"weight div {100 + similar}"))
     outlying = placed.where((F.col("short") > 0) & (F.col("place") <= F.col("size") - F.ceil(F.col("short") / 100) + 1))
+    return first.select("hub", "token", "node"), outlying.select("hub", "token", "node")
+
+
+def _hubs_within_reach(first: DataFrame, outlying: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
+    """(near_x, near_y): hubs of different components some of whose members may be linked.
+
+    A link between x and y means that their hubs are at most ``distance(x) +
+    distance(y) + 1 - similar / 100`` apart, by the triangle inequality.
+    """
+    def ranges(rows: DataFrame, side: str) -> DataFrame:
+        return rows.groupBy("hub", "token", "component", "near").agg(F.max("far").alias(f"far_{side}")).select(
+            "hub", "token", F.col("component").alias(f"component_{side}"), F.col("near").alias(f"near_{side}"), f"far_{side}"
+        )
+
+    met = settle(
+        ranges(first, "x").join(ranges(outlying, "y"), ["hub", "token"]).where("component_x <> component_y")
+        .groupBy("near_x", "near_y").agg(F.max(F.col("far_x") + F.col("far_y")).alias("reach")),
+        "meeting-hubs",
+    )
+    both = F.size(F.array_intersect("set_one", "set_other"))
+    apart = 1 - both / (F.size("set_one") + F.size("set_other") - both)
+    return _with_sets(met, sets, "near_x", "near_y").where(
+        apart <= F.col("reach") + (1 - similar / 100) + 1e-9
+    ).select("near_x", "near_y")
+
+
+def _candidates(
+    first: DataFrame, outlying: DataFrame, near: DataFrame, sets: DataFrame, similar: int,
+) -> DataFrame:
+    """Pairs (a, b) of different components that may be linked; ``near`` has (node, component, near, far)."""
+    def known(rows: DataFrame) -> DataFrame:
+        return rows.join(near, "node", "left").select(
+            "hub", "token", "node", F.coalesce("component", "node").alias("component"),
+            F.coalesce("near", "node").alias("near"), F.coalesce("far", F.lit(0.0)).alias("far"),
+        )
+
+    first, outlying = known(first), known(outlying)
+    # differences that only one component has lead nowhere
+    several = settle(
+        first.unionByName(outlying).groupBy("hub", "token")
+        .agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("hub", "token"),
+        "several",
+    )
+    first = settle(first.join(several, ["hub", "token"], "left_semi"), "first")
+    outlying = settle(outlying.join(several, ["hub", "token"], "left_semi"), "outlying")
+    reach = settle(_hubs_within_reach(first, outlying, sets, similar), "reach")
+    of_x = first.select("hub", "token", F.col("node").alias("x"), F.col("near").alias("near_x"), F.col("component").alias("component_x"))
+    of_y = outlying.select("hub", "token", F.col("node").alias("y"), F.col("near").alias("near_y"), F.col("component").alias("component_y"))
     return (
-        first.join(outlying.select("hub", "token", F.col("node").alias("y")), ["hub", "token"])
-        .where("x <> y").select(*_ordered("x", "y")).distinct()
+        of_x.join(reach, "near_x").join(of_y, ["hub", "token", "near_y"]).where("component_x <> component_y")
+        .select(*_ordered("x", "y")).distinct()
     )
 
 
@@ -265,13 +316,21 @@ def near_duplicates(
     compared = settle(_compared(settle(stars, "stars"), sets, similar), "compared")
     near_hub = compared.where("short <= 0").select(F.col("hub").alias("a"), F.col("node").alias("b"))
     labels = components(near_hub)
-    of_a = labels.select(F.col("node").alias("a"), F.col("component").alias("component_a"))
-    of_b = labels.select(F.col("node").alias("b"), F.col("component").alias("component_b"))
-    apart = F.coalesce("component_a", "a") != F.coalesce("component_b", "b")
-    others = settle(
-        _prefixes(compared, similar).join(of_a, "a", "left").join(of_b, "b", "left").where(apart).select("a", "b"),
-        "others",
+    # each node's nearest hub that it is linked to; without one it stands for itself
+    own = F.min(F.struct("far", F.col("hub").alias("near")))
+    hub_itself = compared.select(F.col("hub").alias("node")).distinct().select(
+        F.lit(0.0).alias("far"), F.col("node").alias("hub"), "node"
+    )
+    nearest = compared.where("short <= 0").select("far", "hub", "node").unionByName(hub_itself).groupBy("node").agg(
+        own.alias("own")
+    )
+    near = settle(
+        nearest.join(labels, "node", "left").select(
+            "node", F.coalesce("component", "node").alias("component"), "own.near", "own.far"
+        ),
+        "near",
     )
+    others = settle(_candidates(*_prefixes(compared, similar), near, sets, similar), "others")
     found = settle(_with_sets(others, sets, "a", "b").where(_linked(similar)).select("a", "b"), "links")
     if not found.isEmpty():
         labels = components(near_hub.unionByName(found))
