@@ -119,6 +119,55 @@ def test_near_duplicates_against_all_pairs(llm, words):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_near_duplicates_in_large_buckets(llm, seed):
+    """Bands of one value: families that are no neighbours share buckets and hubs; links between members count."""
+    rng = random.Random(seed)
+    texts = []
+    base = [f"w{k}" for k in range(60)]
+    for _ in range(6):
+        family = list(base)
+        for i in rng.sample(range(60), rng.choice([4, 6, 8, 12])):
+            family[i] = f"f{rng.randrange(99)}"
+        for _ in range(rng.randint(3, 9)):
+            member = list(family)
+            for i in rng.sample(range(60), rng.choice([0, 1, 2, 3])):
+                member[i] = f"m{rng.randrange(999)}"
+            texts.append(" ".join(member))
+    rows = list(enumerate(texts))
+    docs = llm.createDataFrame(rows, "doc_id long, text string")
+    got = minhash.near_duplicates(docs, words=1, bands=12, rows=1).collect()
+    assert sorted(tuple(r)[:3] for r in got) == sorted(brute_components(rows, 1))
+
+
+def test_pairs_of_two_clusters_do_not_grow_with_their_square(llm, monkeypatch):
+    """Two clusters of n near copies each, 36 of 300 words apart, a word of noise in each text."""
+    made = {}
+    whole = minhash._candidates
+
+    def counted(*args):
+        out = whole(*args)
+        made[counted.n] = out.count()
+        return out
+
+    monkeypatch.setattr(minhash, "_candidates", counted)
+    for n in (50, 200):
+        counted.n = n
+        rng = random.Random(n)
+        one = [f"w{rng.randrange(5000)}" for _ in range(300)]
+        other = list(one)
+        for i in rng.sample(range(300), 36):
+            other[i] = f"x{rng.randrange(5000)}"
+        rows = []
+        for k in range(2 * n):
+            text = list((one, other)[k % 2])
+            text[rng.randrange(300)] = f"n{k}"
+            rows.append((k, " ".join(text)))
+        got = minhash.near_duplicates(llm.createDataFrame(rows, "doc_id long, text string")).collect()
+        assert sum(r.kept for r in got) == 2
+    assert made[200] <= 4 * max(made[50], 10)
+
+
 def test_near_duplicates_on_odd_rows(odd_docs, no_docs, odd_rows):
     got = minhash.near_duplicates(odd_docs, words=2).collect()
     want = brute_components([(d, t) for d, t, _ in odd_rows], 2)
