@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from weekfold import config
 from weekfold.functions.nested import spaced_json
 from weekfold.functions.scalars import existing
+from weekfold.operators.keys import key_table
+from weekfold.session import settle
 from weekfold.sources.sinks import path_exists, write_aligned
 
 
@@ -140,15 +142,16 @@ def hash_coverage(df: DataFrame) -> DataFrame:
 
 
 def incremental_append(
-    df: DataFrame, path: str, table: str, keys=None, partition_by=(), scope=None
+    df: DataFrame, path: str, table: str, keys=None, partition_by=(), scope=None, keys_path: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Append the rows of ``df`` that ``path`` does not hold, and count what happened.
 
     ``scope`` names partition columns that are part of the key, so only the
     partitions a batch touches are searched (``stored_near``); by default all
     partition columns that are. The batch is read once: its rows and the new
-    ones among them are counted while they are written. Returns (the table, one
-    counters row).
+    ones among them are counted while they are written. With ``keys_path`` the
+    key hashes are kept there, bucketed (``keys.KeyTable``): then only the batch
+    is shuffled, whatever its keys. Returns (the table, one counters row).
     """
     spark, begun = df.sparkSession, time.perf_counter()
     keys = key_columns(df, table, keys)
@@ -157,13 +160,24 @@ def incremental_append(
     read, written = Observation(), Observation()
     batch = hashed.observe(read, F.count(F.lit(1)).alias("rows"))
     # dropping the stale listing first makes repeated loads see earlier files
-    if path_exists(spark, path):
-        stored = spark.read.schema(hashed.schema).parquet(path)
+    stored = spark.read.schema(hashed.schema).parquet(path) if path_exists(spark, path) else None
+    known = key_table(spark, keys_path, stored) if keys_path else None
+    if known is not None:
+        flagged = known.flagged(batch)
+    elif stored is not None:
         flagged = split_batch(batch, stored_near(hashed, stored, scope, keys))
     else:
         flagged = split_batch(batch, None)
-    fresh = flagged.filter("is_new").select(*hashed.columns).observe(written, F.count(F.lit(1)).alias("rows"))
+    fresh = flagged.filter("is_new").select(*hashed.columns)
+    if known is not None:
+        # written once: rows and keys must come from the same batch
+        fresh = settle(fresh, "fresh-rows")
+        mark = known.begin()
+    fresh = fresh.observe(written, F.count(F.lit(1)).alias("rows"))
     write_aligned(fresh, path, hashed.schema, "append", partition_by)
+    if known is not None:
+        known.add(fresh)
+        known.end(mark)
     total, added = read.get.get("rows", 0), written.get.get("rows", 0)
     counted = spark.range(1).select(
         F.lit(table).alias("table_name"),

@@ -128,7 +128,9 @@ def build_from_feeds(
     raw: dict[str, DataFrame] = {}
     for name, rows in load_feeds(spark, feeds_root, seasons, RAW_FEEDS, fmt).items():
         by = [c for c in ("season",) if c in rows.columns and c in key_columns(rows, name)]
-        raw[name], counts = incremental_append(rows, f"{raw_root}/{name}", name, partition_by=by)
+        raw[name], counts = incremental_append(
+            rows, f"{raw_root}/{name}", name, partition_by=by, keys_path=f"{raw_root}/_keys/{name}"
+        )
         counted.append(counts)
     tables = {k: raw[t] for k, t in RAW_INPUTS.items() if t in raw}
     return build(tables, out, **options), reduce(DataFrame.unionByName, counted)

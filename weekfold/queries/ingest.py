@@ -7,6 +7,8 @@ from pyspark.sql import types as T
 
 from weekfold import config, schemas
 from weekfold.operators import ingest as ing
+from weekfold.operators import keys
+from weekfold.queries import stages
 from weekfold.queries.features import rounded
 from weekfold.queries.registry import query
 from weekfold.session import scratch_path
@@ -160,6 +162,18 @@ def i03(spark, root):
     return ing.new_rows(batch, stored).select("o_orderkey", "season", "week")
 
 
+@query("i03_stored_keys", """
+SELECT o_orderkey, season, week FROM order_periods WHERE season >= 1998
+  AND (o_custkey, season, week) NOT IN (SELECT (o_custkey, season, week) FROM order_periods WHERE season < 1999)""", ["order_periods"])
+def i03_stored(spark, root):
+    """Against keys that are stored in buckets: the plan shuffles the batch alone."""
+    stored, batch = _batches(spark, root)
+    known = stages.kept(
+        spark, root, "order keys", lambda: keys.key_table(spark, scratch_path(spark, "order-keys"), stored, buckets=8)
+    )
+    return known.unseen(batch).select("o_orderkey", "season", "week")
+
+
 @query("i04_batch_fingerprint", """
 SELECT substr(sha256('(' || count(*) || ', 6)[''o_orderkey'', ''o_custkey'', ''o_orderstatus'', ''o_totalprice'', ''o_orderdate'', ''o_orderpriority'']' || count(*) * 6), 1, 16) AS batch_hash,
   count(*) AS row_count FROM orders""")
@@ -168,11 +182,20 @@ def i04(spark, root):
 
 
 @query("i04_content_fingerprint", """
-SELECT substr(sha256(count(*) || ':' || sum(('0x' || substr(md5('{"o_custkey": ' || o_custkey || ', "o_orderkey": ' || o_orderkey
-  || ', "o_orderstatus": "' || o_orderstatus || '"}'), 1, 12))::BIGINT)), 1, 16) AS content_hash, count(*) AS row_count FROM orders""")
+SELECT substr(sha256(count(*) || ':' || sum(('0x' || substr(md5('{"cents": ' || CAST(round(o_totalprice * 100) AS BIGINT) || ', "o_custkey": ' || o_custkey
+  || ', "o_orderdate": "' || strftime(o_orderdate, '%Y-%m-%d') || '", "o_orderkey": ' || o_orderkey || ', "o_orderpriority": "' || o_orderpriority
+  || '", "o_orderstatus": "' || o_orderstatus || '"}'), 1, 12))::BIGINT)), 1, 16) AS content_hash, count(*) AS row_count FROM orders""")
 def i04_content(spark, root):
-    orders = src.table(spark, root, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    return ing.content_fingerprint(orders).withColumnRenamed("rows", "row_count")
+    """Every column of every row; prices as whole cents and dates as text, which both engines spell alike."""
+    return ing.content_fingerprint(_spelled(src.table(spark, root, "orders"))).withColumnRenamed("rows", "row_count")
+
+
+def _spelled(orders):
+    return orders.select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority",
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"),
+        F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"),
+    )
 
 
 _COUNTERS = """
@@ -191,9 +214,11 @@ def i05(spark, root):
 SELECT season, count(*) AS row_count FROM order_periods GROUP BY season""", ["order_periods"])
 def i05_append(spark, root):
     o = src.order_periods(spark, root).select("o_orderkey", "o_custkey", "season", "week")
-    path, keys = scratch_path(spark, "append"), ["o_orderkey", "season"]
+    path, own = scratch_path(spark, "append"), ["o_orderkey", "season"]
     for batch in (o.filter(F.col("season") < 1999), o.filter(F.col("season") >= 1998), o.filter(F.col("season") >= 1999)):
-        table, _ = ing.incremental_append(batch, path, "orders", keys, partition_by=["season"])
+        table, _ = ing.incremental_append(
+            batch, path, "orders", own, partition_by=["season"], keys_path=f"{path}-keys"
+        )
     return table.groupBy("season").agg(F.count(F.lit(1)).alias("row_count"))
 
 
@@ -232,3 +257,20 @@ def i08(spark, root):
             spark, f"{root}/orders*.parquet", schema, target, keys, scratch_path(spark, f"stream-state-{run}")
         ).awaitTermination()
     return stream.load_counts(stream.stored_rows(spark, target, schema)).withColumnRenamed("rows", "row_count")
+
+
+@query("i08_keyed_stream", """
+SELECT year(o_orderdate) AS season, count(*) AS row_count, count(DISTINCT o_orderkey) AS unique_keys FROM orders GROUP BY 1""")
+def i08_keyed(spark, root):
+    """Three runs over files that come late and twice: each key is stored once, by the state of the stream."""
+    orders = src.table(spark, root, "orders")
+    keys_of = ["o_orderkey", "o_custkey"]
+    waiting, target, state = (scratch_path(spark, n) for n in ("waiting", "keyed-table", "keyed-state"))
+    late = F.col("o_orderkey") % 3 == 0
+    for run in (orders.filter(~late), orders.filter(F.col("o_orderkey") % 2 == 0), orders):
+        run.write.mode("append").parquet(waiting)
+        stream.keyed_stream(spark, waiting, orders.schema, target, keys_of, state).awaitTermination()
+    stored = spark.read.parquet(target)
+    return stored.groupBy(F.year("o_orderdate").cast("bigint").alias("season")).agg(
+        F.count(F.lit(1)).alias("row_count"), F.count_distinct("o_orderkey").alias("unique_keys")
+    )

@@ -55,6 +55,41 @@ def incremental_stream(
     )
 
 
+def keyed_stream(
+    spark: SparkSession,
+    source: str,
+    schema: T.StructType,
+    target: str,
+    keys,
+    checkpoint: str,
+    max_files: int = 1000,
+    event_time: str | None = None,
+    expiry: str = "730 days",
+    partition_by=(),
+):
+    """``incremental_stream`` with the keys as state of the stream: the target is never read.
+
+    The state store of the checkpoint holds every key that was loaded, so a
+    batch costs what it brings, and a restart goes on from it; rows and state
+    are committed together. With ``event_time`` (a timestamp or date column) a
+    key is kept for ``expiry`` after its time and then forgotten, which bounds
+    the state; rows that come later than that are dropped as too late. Set the
+    RocksDB provider for states beyond an executor's memory. A checkpoint has
+    one run at a time: Spark refuses a second one, and its files wait.
+    """
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(source)
+    hashed = with_key_hash(stream, keys)
+    if event_time is None:
+        unseen = hashed.dropDuplicates(["row_hash"])
+    else:
+        timed = hashed.withColumn("_time", F.col(event_time).cast("timestamp")).withWatermark("_time", expiry)
+        unseen = timed.dropDuplicatesWithinWatermark(["row_hash"]).drop("_time")
+    return (
+        unseen.writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
+        .option("checkpointLocation", checkpoint).option("path", target).partitionBy(*partition_by).start()
+    )
+
+
 def stored_rows(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
     full = T.StructType([*schema.fields, T.StructField("row_hash", T.StringType())])
     return spark.read.schema(full).parquet(target)
