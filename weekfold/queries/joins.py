@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from weekfold.operators import joins as jn
+from weekfold.operators import mutations as mt
 from weekfold.operators import lifecycle, views
 from weekfold.queries.base_sql import add_table
 from weekfold.queries.registry import query
+from weekfold.session import scratch_path
 from weekfold.sources import stand_ins as src
 
 
@@ -217,6 +219,46 @@ def m02(spark, root):
     return jn.delete_where(g, F.col("fg_pct") < 0.5).withColumn("fg_pct", F.round("fg_pct", 6))
 
 
+def _stored_games(spark, root, name):
+    g = src.player_games(spark, root).select("player_id", "season", "week", "fg_pct", "fantasy_points")
+    path = scratch_path(spark, name)
+    g.write.partitionBy("season", "week").parquet(path)
+    return g, path
+
+
+@query("m01_update_stored", """
+SELECT player_id, CAST(season AS BIGINT) AS season, CAST(week AS BIGINT) AS week,
+  round(CASE WHEN season = 1997 AND player_id % 2 = 0 THEN fantasy_points * 2 ELSE fantasy_points END, 6) AS fantasy_points FROM player_games""",
+       ["player_games"])
+def m01_stored(spark, root):
+    """One season of a stored table is corrected; its other partitions are not written."""
+    games, path = _stored_games(spark, root, "update")
+    changes = games.filter((F.col("season") == 1997) & (F.col("player_id") % 2 == 0)).select(
+        "player_id", "season", "week", (F.col("fantasy_points") * 2).alias("fantasy_points")
+    )
+    mt.update_stored(
+        spark, path, changes, ["player_id", "season", "week"], ["fantasy_points"], ["season", "week"], games.schema
+    )
+    return spark.read.schema(games.schema).parquet(path).select(
+        "player_id", F.col("season").cast("bigint").alias("season"), F.col("week").cast("bigint").alias("week"),
+        F.round("fantasy_points", 6).alias("fantasy_points"),
+    )
+
+
+@query("m02_delete_stored", """
+SELECT player_id, CAST(season AS BIGINT) AS season, CAST(week AS BIGINT) AS week, round(fg_pct, 6) AS fg_pct FROM player_games
+WHERE NOT coalesce(fg_pct < 0.5 AND season >= 1999 OR season = 1996, false)""", ["player_games"])
+def m02_stored(spark, root):
+    """A whole season goes with its files, and rows of later ones."""
+    games, path = _stored_games(spark, root, "delete")
+    condition = ((F.col("fg_pct") < 0.5) & (F.col("season") >= 1999)) | (F.col("season") == 1996)
+    mt.delete_stored(spark, path, condition, ["season", "week"], games.schema)
+    return spark.read.schema(games.schema).parquet(path).select(
+        "player_id", F.col("season").cast("bigint").alias("season"), F.col("week").cast("bigint").alias("week"),
+        F.round("fg_pct", 6).alias("fg_pct"),
+    )
+
+
 @query("m03_add_missing_column", """
 SELECT n_nationkey, n_name, CAST(NULL AS VARCHAR) AS split FROM nation""")
 def m03(spark, root):
