@@ -244,6 +244,30 @@ def test_weights_change_who_is_drawn(llm):
     assert abs(sum(r.taken for r in got) - 0.4 * 8001) < 10
 
 
+def test_documents_are_drawn_as_often_as_their_chances_say(llm):
+    rng = random.Random(1)
+    sizes = [rng.choice([2, 40, 300, 2000]) for _ in range(400)]
+    docs = llm.createDataFrame([(i, " ".join(["w"] * n), "s") for i, n in enumerate(sizes)], "doc_id long, text string, source string")
+    docs = settle(docs, "test-docs")
+    share = 0.6
+    weight = [1000 * n // (n + mixing.TYPICAL) for n in sizes]
+    mean = sum(w * n for w, n in zip(weight, sizes)) / sum(sizes)
+    chance = [share + min(share, 1 - share) * (w - mean) / 1000 for w in weight]
+    assert all(0 < c < 1 for c in chance)
+    assert sum(c * n for c, n in zip(chance, sizes)) == pytest.approx(share * sum(sizes))
+    drawn = Counter()
+    for seed in range(12):
+        got = mixing.mixture(docs, share=share, most=1.0, seed=f"s{seed}").collect()
+        for r in got:
+            drawn[r.size] += r.taken > 0
+        assert abs(sum(r.taken for r in got) - share * sum(sizes)) <= 1000.5
+    for n in (2, 40, 300, 2000):
+        trials = 12 * sizes.count(n)
+        own = chance[sizes.index(n)]
+        assert abs(drawn[n] / trials - own) < 4 * (own * (1 - own) / trials) ** 0.5 + 0.01
+    assert chance[sizes.index(2000)] > 1.5 * chance[sizes.index(2)]
+
+
 def test_a_source_at_its_cap_has_no_cut_and_slices_are_even(llm):
     docs = llm.range(3000).selectExpr("id as doc_id", "'some few words' as text", "'s' || id % 3 as source")
     rows = settle(mixing._measured(docs, "doc_id", "text", "source", "mix", None).select(*mixing._NEEDED), "test-mix")

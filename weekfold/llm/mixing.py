@@ -2,9 +2,11 @@
 
 Each source is to give a target number of words. Documents first get the whole
 copies that the target allows to all of them; the rest of the target, a share
-of the source, is drawn: every document has a random number, ranked by its odds
-divided by the odds of the document's inclusion, and the first ones in this
-order are taken until the words are reached. The cut is found with counts per
+of the source, is drawn. Chances differ: a longer document is likelier to be
+drawn, a shorter one less, so that the chances times the sizes sum up to what is
+missing. Every document has a random number, ranked by its odds divided by the
+odds of the document's inclusion, and the first ones in this order are taken
+until the words are reached. The cut is found with counts per
 slice of the order; only the rows of the one slice per source in which the cut
 falls are ever sorted together. What follows from it, one row per source, is
 all that a second pass needs to decide every row where it is read.
@@ -22,6 +24,8 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST = 2.0
 SLICES = 2_048
+#: Words of a document that is neither long nor short.
+TYPICAL = 256
 _TWO_52 = float(2**52)
 
 
@@ -72,17 +76,23 @@ def _uniform(key: Column, text: Column, seed: str) -> Column:
 
 def _measured(docs: DataFrame, key: str, text: str, source: str, seed: str, weight: str | None) -> DataFrame:
     """``docs`` with what sampling needs: ``mix_id``, ``mix_source``, ``mix_size``, ``mix_u``, ``mix_weight``."""
-    own = F.lit(1.0) if weight is None else F.greatest(F.coalesce(F.col(weight).cast("double"), F.lit(0.0)), F.lit(0.0))
+    size = word_count(F.col(text))
+    if weight is None:
+        # thousandths from 0 for no words up to 1 for very many; whole numbers, whose sums are exact
+        own = F.floor(1000 * size / (size + TYPICAL)).cast("double")
+    else:
+        own = F.greatest(F.coalesce(F.col(weight).cast("double"), F.lit(0.0)), F.lit(0.0))
     return docs.withColumns({
         "mix_id": F.col(key),
         "mix_source": F.col(source).cast("string"),
-        "mix_size": word_count(F.col(text)),
+        "mix_size": size,
         "mix_u": _uniform(F.col(key), text_or_empty(text), seed),
         "mix_weight": own,
+        "mix_by_size": F.lit(weight is None),
     })
 
 
-_NEEDED = ("mix_id", "mix_source", "mix_size", "mix_u", "mix_weight")
+_NEEDED = ("mix_id", "mix_source", "mix_size", "mix_u", "mix_weight", "mix_by_size")
 
 
 def _with_plan(rows: DataFrame, plan: DataFrame) -> DataFrame:
@@ -91,8 +101,17 @@ def _with_plan(rows: DataFrame, plan: DataFrame) -> DataFrame:
 
 
 def _odds_ratio() -> Column:
-    """The Pareto ranking number: odds of the random number over odds of inclusion."""
-    chance = F.try_divide(F.try_divide(F.col("missing"), F.col("source_size")) * F.col("mix_weight"), F.col("mean_weight"))
+    """The Pareto ranking number: odds of the random number over odds of inclusion.
+
+    By size, the chance is the missing share of the source, tilted by how far
+    the document's weight is from the mean one; this stays between 0 and 1, and
+    sums of chances times sizes are what is missing. With weights of the
+    caller, the chance is proportional to them.
+    """
+    share = F.try_divide(F.col("missing"), F.col("source_size"))
+    tilted = share + F.least(share, 1 - share) * (F.col("mix_weight") - F.col("mean_weight")) / 1000
+    weighed = F.try_divide(share * F.col("mix_weight"), F.col("mean_weight"))
+    chance = F.when(F.col("mix_by_size"), tilted).otherwise(weighed)
     chance = F.least(F.greatest(F.coalesce(chance, F.lit(0.0)), F.lit(1e-12)), F.lit(1 - 1e-12))
     return F.col("mix_u") / (1 - F.col("mix_u")) / (chance / (1 - chance))
 
@@ -183,9 +202,9 @@ def mixture(
     ``taken`` is the number of words of the document in the mix: its size times
     its copies. All documents of a source get ``floor(target / source_size)``
     copies; of the words then missing, documents are drawn in Pareto order up to
-    where the sum is nearest. With a column ``weight`` the inclusion
-    probabilities are proportional to it (at most 1; weights of 0 or null are
-    drawn last); without, they are equal within a source. Random numbers come
+    where the sum is nearest. Their inclusion probabilities grow with their
+    sizes; with a column ``weight`` they are proportional to it (at most 1;
+    weights of 0 or null are drawn last). Random numbers come
     from the id alone: reruns agree, and rows of equal id and size are drawn
     together. Null and empty texts have no words; null sources form one source;
     with a null id the text takes its place. No row is lost, and an empty table

@@ -155,15 +155,20 @@ goal AS (
 ),
 planned AS (
   SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS whole,
-    target - whole * source_size AS missing,
-    greatest(coalesce(missing / source_size, 0), 1e-12) AS p
+    target - whole * source_size AS missing, missing / source_size AS share
   FROM goal
 ),
-ranked AS (
-  SELECT s.doc_id, s.source, s.size, p.source_size, p.target, p.whole, p.missing,
-    u / (1 - u) / (p / (1 - p)) AS q
-  FROM sized s JOIN planned p ON s.source IS NOT DISTINCT FROM p.source
+tilted AS (
+  SELECT *, floor(1000 * size / (size + 256)) AS weight,
+    sum(floor(1000 * size / (size + 256)) * size) OVER (PARTITION BY source) / sum(size) OVER (PARTITION BY source) AS mean_weight
+  FROM sized
+),
+chances AS (
+  SELECT s.doc_id, s.source, s.size, u, p.source_size, p.target, p.whole, p.missing,
+    least(greatest(coalesce(share + least(share, 1 - share) * (s.weight - s.mean_weight) / 1000, 0), 1e-12), 1 - 1e-12) AS p
+  FROM tilted s JOIN planned p ON s.source IS NOT DISTINCT FROM p.source
 ),
+ranked AS (SELECT *, u / (1 - u) / (p / (1 - p)) AS q FROM chances),
 summed AS (
   SELECT *, sum(size) OVER (PARTITION BY source ORDER BY q, doc_id, size ROWS UNBOUNDED PRECEDING) AS upto FROM ranked
 )
