@@ -170,3 +170,45 @@ def test_registered_search_and_summary_use_the_defaults(spark, monkeypatch):
     monkeypatch.setattr(tr, "train_all", lambda df, pairs=None, **params: calls.append((pairs, params)))
     QUERIES["l14_training_summary"](spark, "/root/testdata/sf0.001")
     assert calls == [(None, {})]
+
+
+def test_area_under_roc_spreads_scores_that_lie_close_together(spark):
+    """Nine tenths of the scores within a thousandth: no range holds most of them."""
+    rng = random.Random(9)
+    data = []
+    for i in range(6000):
+        s = 0.5 + rng.random() * 1e-3 if i % 10 else rng.random()
+        data.append((int(rng.random() < s), s))
+    df = spark.createDataFrame(data, "label int, score double")
+    seen = {}
+    whole = tr.settle
+
+    def watched(frame, label):
+        out = whole(frame, label)
+        if label == "scores":
+            seen["slices"] = [r["count"] for r in out.groupBy("_slice").count().collect()]
+        return out
+
+    tr.settle = watched
+    try:
+        got = tr.area_under_roc(df).first().auc
+    finally:
+        tr.settle = whole
+    order = sorted(data, key=lambda x: x[1])
+    positives = sum(y for y, _ in data)
+    ranks = sum(i + 1 for i, (y, _) in enumerate(order) if y)
+    want = (ranks - positives * (positives + 1) / 2) / (positives * (len(data) - positives))
+    assert got == pytest.approx(want)
+    assert len(seen["slices"]) >= 3 and max(seen["slices"]) < 0.5 * len(data)
+
+
+def test_area_under_roc_with_ties_and_groups(spark):
+    rng = random.Random(4)
+    data = [(g, rng.randint(0, 1), rng.choice([0.1, 0.2, 0.2, 0.9])) for g in "ab" for _ in range(60)]
+    got = {r.g: r.auc for r in tr.area_under_roc(spark.createDataFrame(data, "g string, label int, score double"), group=["g"]).collect()}
+    for g in "ab":
+        pos = [s for k, y, s in data if k == g and y]
+        neg = [s for k, y, s in data if k == g and not y]
+        assert got[g] == pytest.approx(sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg)))
+    # one class alone has no area
+    assert tr.area_under_roc(spark.createDataFrame([(1, 0.5)], "label int, score double")).first().auc is None

@@ -14,13 +14,18 @@ from weekfold.operators.joins import with_one_row
 
 
 # --- audits ---------------------------------------------------------------------
-def distinct_per_group(df: DataFrame, group, *columns: str) -> DataFrame:
+def distinct_per_group(df: DataFrame, group, *columns: str, within: float | None = None) -> DataFrame:
     """Exact distinct counts per group, each reduced to its pairs first.
 
+    ``within`` asks for estimates with that relative deviation instead, from
+    sketches of fixed size: no value is shuffled.
+
     Every column becomes a (group, value) de-duplication with map-side combine
     and then a plain count, so a dominant group never reaches one task raw.
     """
     group = list(group)
+    if within is not None:
+        return df.groupBy(*group).agg(*[F.approx_count_distinct(c, within).alias(c) for c in columns])
     counted = [
         df.select(*group, c).distinct().groupBy(*group).agg(F.count(c).alias(c)) for c in columns
     ]

@@ -17,14 +17,15 @@ from pyspark.sql import functions as F
 from weekfold import config
 from weekfold.operators import boosting
 from weekfold.operators.joins import with_one_row
+from weekfold.session import settle
 
 
 # --- reading -------------------------------------------------------------------------
 def training_set(
     df: DataFrame, season_start: int, season_end: int,
-    min_quality: float = config.MIN_QUALITY, position: str | None = None,
+    min_quality: float = config.MIN_QUALITY, position: str | None = None, in_order: bool = False,
 ) -> DataFrame:
-    """Rows with outcomes in a season range, good enough, in time order."""
+    """Rows with outcomes in a season range, good enough; ``in_order`` sorts them by time, which fitting does not need."""
     rows = df.filter(
         F.col("season").between(season_start, season_end)
         & F.col("outcomes").isNotNull()
@@ -32,7 +33,7 @@ def training_set(
     )
     if position is not None:
         rows = rows.filter(F.col("position") == position)
-    return rows.orderBy("season", "week", "feature_id")
+    return rows.orderBy("season", "week", "feature_id") if in_order else rows
 
 
 def label_of(target: str) -> Column:
@@ -153,9 +154,10 @@ def confusion(df: DataFrame, label: str, prediction: str, group=()) -> DataFrame
 def classification_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction", group=()) -> DataFrame:
     """Accuracy, precision and recall of class 1, and support-weighted P/R/F1.
 
-    Everything after the confusion counts works on classes x classes rows.
+    Everything after the confusion counts works on classes x classes rows; these
+    are written, so the input is read once.
     """
-    cells = confusion(df, label, prediction, group)
+    cells = settle(confusion(df, label, prediction, group), "confusion")
     n = F.col("n")
     hit = F.col("label") == F.col("prediction")
     overall = cells.groupBy(*group).agg(
@@ -197,13 +199,19 @@ def area_under_roc(df: DataFrame, label: str = "label", score_col: str = "score"
     """Area under the ROC curve from counts per distinct score.
 
     Negatives below a score plus half of those at it, summed over positives.
-    Scores are counted first, then cut into slices of their range: only slice
-    totals are accumulated over a group, and scores inside their slice, so even
-    all-distinct scores of one group are spread over many tasks.
+    Scores are counted first, then dealt out in ranges that are sampled from
+    them: wherever scores lie close together the ranges are narrow, so even
+    all-distinct scores of one group are spread over many tasks. Only totals of
+    ranges are accumulated over a group, and scores inside their range. The
+    ranges are written once, which fixes them.
     """
-    per_score = df.groupBy(*group, F.col(score_col).alias("s")).agg(
+    counted = df.groupBy(*group, F.col(score_col).alias("s")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")
-    ).withColumn("_slice", F.floor(F.atan("s") * 10_000))
+    )
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    per_score = settle(
+        counted.repartitionByRange(ranges, *group, "s").withColumn("_slice", F.spark_partition_id()), "scores"
+    )
     before = Window.orderBy("_slice") if not group else Window.partitionBy(*group).orderBy("_slice")
     totals = per_score.groupBy(*group, "_slice").agg(F.sum("neg").alias("_neg"))
     starts = totals.select(

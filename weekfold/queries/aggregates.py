@@ -62,6 +62,19 @@ def a05(spark, root):
     )
 
 
+@query("a05_distinct_estimate", """
+SELECT season, count(DISTINCT week) AS weeks, true AS players_close FROM order_periods GROUP BY season""", ["order_periods"])
+def a05_estimate(spark, root):
+    """Estimates are within 5 % of the exact counts; small ones are exact."""
+    rows = src.order_periods(spark, root)
+    exact = quality.distinct_per_group(rows, ["season"], "o_custkey").withColumnRenamed("o_custkey", "exact")
+    found = quality.distinct_per_group(rows, ["season"], "o_custkey", "week", within=0.01).join(exact, "season")
+    return found.select(
+        "season", F.col("week").alias("weeks"),
+        (F.abs(F.col("o_custkey") - F.col("exact")) <= 0.05 * F.col("exact")).alias("players_close"),
+    )
+
+
 @query("a06_grouped_mean", """
 SELECT position, count(*) AS games, round(avg(fantasy_points), 6) AS avg_fantasy_points
 FROM order_games GROUP BY position ORDER BY position""", ["order_games"])

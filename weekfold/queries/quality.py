@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from weekfold.operators import lifecycle, quality
+from weekfold.operators import lifecycle, quality, summaries
 from weekfold.queries.features import lifecycles, rounded
 from weekfold.queries.registry import query
+from weekfold.session import settle
 from weekfold.sources import stand_ins as src
 
 
@@ -27,6 +28,40 @@ def q08(spark, root):
     return rounded(quality.completeness(src.order_games(spark, root)))
 
 
+_SUMMARISED = ["player_id", "season", "week", "fantasy_points", "player_name"]
+
+
+@query("q08_from_summaries", "\nUNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(*) AS n, count(*) FILTER ({c} IS NULL) AS nulls, "
+    + (f"CAST(min({c}) AS DOUBLE) AS low_number, CAST(max({c}) AS DOUBLE) AS high_number, true AS median_close, "
+       if c != "player_name" else "NULL AS low_number, NULL AS high_number, NULL AS median_close, ")
+    + "true AS distinct_close FROM order_games" for c in _SUMMARISED), ["order_games"])
+def q08_summaries(spark, root):
+    """From sketches of single seasons alone: counts and extremes exact, distinct counts and medians within 3 %."""
+    rows = src.order_games(spark, root)
+    parted = rows.withColumn("part", F.col("season"))
+    stored = settle(summaries.summarise(parted, _SUMMARISED, ["part"], "first"), "summaries")
+    found = summaries.unite(stored).withColumn("median", summaries.quantile("quantile_sketch", 0.5))
+    # what the estimates are held against
+    numbers = [c for c in _SUMMARISED if c != "player_name"]
+    exact = rows.agg(*[F.count_distinct(c).alias(f"d_{c}") for c in _SUMMARISED]).select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(f"d_{c}").alias("exact")) for c in _SUMMARISED
+    ])).alias("e")).select("e.*")
+    # the share of rows up to the median
+    held = found.where("median is not null").select("column", "median")
+    below = rows.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in numbers
+    ])).alias("e")).select("e.*").join(F.broadcast(held), "column").groupBy("column").agg(
+        F.avg((F.col("value") < F.col("median")).cast("double")).alias("under"),
+        F.avg((F.col("value") <= F.col("median")).cast("double")).alias("upto"),
+    )
+    return found.join(exact, "column").join(below, "column", "left").select(
+        "column", "n", "nulls", "low_number", "high_number",
+        ((F.col("under") <= 0.53) & (F.col("upto") >= 0.47)).alias("median_close"),
+        (F.abs(F.col("distinct") - F.col("exact")) <= F.greatest(0.03 * F.col("exact"), F.lit(0))).alias("distinct_close"),
+    )
+
+
 @query("q10_lifecycle_validation", """
 SELECT 'null_player_id' AS check_name, count(*) FILTER (player_id IS NULL) AS violations FROM lifecycle
 UNION ALL SELECT 'span_reversed', count(*) FILTER (last_season < first_season) FROM lifecycle

@@ -62,8 +62,12 @@ def write_aligned(
 
 
 def refresh(df: DataFrame, path: str, partition_by=("season",)) -> DataFrame:
-    """Rebuild a stage table and read it back, so later stages start from files."""
+    """Rebuild a stage table and read it back, so later stages start from files.
+
+    Rows are brought together by partition first, and Spark splits the large
+    ones: few files for each, instead of one for each task and partition.
+    """
     cols = [c for c in partition_by if c in df.columns]
-    write_aligned(df, path, mode="replace", partition_by=cols)
+    write_aligned(df.hint("rebalance", *cols) if cols else df, path, mode="replace", partition_by=cols)
     # partition columns come back last; keep the caller's order
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
