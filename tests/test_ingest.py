@@ -144,3 +144,27 @@ def test_stream_is_idempotent_and_resumes(spark, tmp_path):
     assert run(str(tmp_path / "fresh")) == 2  # replayed from scratch: all keys known
     batch(spark, [("b", 2023, 1, 7.0), ("c", 2023, 2, 1.0)]).write.mode("append").parquet(src)
     assert run(state) == 3
+
+
+def test_cells_that_do_not_fit_are_listed(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from weekfold.sources import feeds
+
+    schema = T.StructType.fromDDL("id bigint, n int, x double, day date, name string, absent int")
+    (tmp_path / "feed").mkdir()
+    (tmp_path / "feed" / "a.csv").write_text(
+        "name,id,n,x,day,extra\nA,1,5,1.5,2020-01-02,z\nB,2,five,1.5,2020-01-02,z\nC,3,, 2 ,,z\nD,x,99999999999,nope,2020-13-02,z\n"
+    )
+    good, bad = feeds.read_fitting(spark, str(tmp_path), "feed", schema)
+    assert good.schema == schema or [f.dataType for f in good.schema] == [f.dataType for f in schema]
+    assert sorted((r.id, r.n, r.x, str(r.day), r.name, r.absent) for r in good.collect()) == [
+        (1, 5, 1.5, "2020-01-02", "A", None), (3, None, 2.0, "None", "C", None)]
+    cells = sorted((json.loads(r.row)["name"], r.column, r.value, r.type) for r in bad.collect())
+    assert cells == [
+        ("B", "n", "five", "int"), ("D", "day", "2020-13-02", "date"), ("D", "id", "x", "bigint"),
+        ("D", "n", "99999999999", "int"), ("D", "x", "nope", "double"),
+    ]
+    # a refused row can be corrected and read again
+    again, still = feeds.split_refused(spark.createDataFrame([("7", "8")], "id string, n string"), schema)
+    assert again.first().n == 8 and still.count() == 0

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -77,6 +80,53 @@ def s03(spark, root):
                         F.round("fg_pct", 6).alias("fg_pct"))
 
 
+def _planted(schema):
+    """(name, type, SQL of its text) for each column: a number or a name, and in every 97th row of a number "n/a"."""
+    out = []
+    for j, f in enumerate(schema):
+        kind = f.dataType.simpleString()
+        bad = f"(o_orderkey + {j}) % 97 = 0"
+        if kind == "string":
+            out.append((f.name, kind, "concat('s', o_orderkey)"))
+        elif kind in ("date", "timestamp"):
+            out.append((f.name, kind, f"CASE WHEN {bad} THEN 'n/a' ELSE '2020-01-02' END"))
+        elif kind == "boolean":
+            out.append((f.name, kind, f"CASE WHEN {bad} THEN 'n/a' ELSE 'true' END"))
+        else:
+            out.append((f.name, kind, f"CASE WHEN {bad} THEN 'n/a' ELSE cast(o_orderkey % 50 AS string) END"))
+    return out
+
+
+def _refusals_sql():
+    parts = []
+    for name, schema in schemas.RAW.items():
+        checked = [j for j, f in enumerate(schema) if f.dataType.simpleString() != "string"]
+        hits = " + ".join(f"CAST((o_orderkey + {j}) % 97 = 0 AS BIGINT)" for j in checked) or "0"
+        parts.append(
+            f"SELECT '{name}' AS table_name, {len(schema)}::BIGINT AS columns, count(*) AS row_count, "
+            f"count(*) FILTER (({hits}) = 0) AS fitting_rows, CAST(sum({hits}) AS BIGINT) AS refused_cells, "
+            f"CAST(sum({sum(1 for _ in checked)} - ({hits})) AS BIGINT) AS typed_cells FROM orders"
+        )
+    return "\nUNION ALL ".join(parts)
+
+
+@query("s03_refused_cells", _refusals_sql())
+def s03_refused(spark, root):
+    """All raw tables from text with cells that do not fit: what is typed, what is refused."""
+    orders = src.table(spark, root, "orders").select("o_orderkey")
+    found = []
+    for name, schema in schemas.RAW.items():
+        text = orders.selectExpr(*[f"{e} AS `{c}`" for c, _, e in _planted(schema)])
+        judged = feeds.with_refusals(text, schema)
+        checked = [c for c, kind, _ in _planted(schema) if kind != "string"]
+        typed = sum((F.col(f"`{c}`").isNotNull().cast("bigint") for c in checked), F.lit(0))
+        found.append(judged.agg(
+            F.count(F.lit(1)).alias("row_count"), F.count_if(F.size("refused") == 0).alias("fitting_rows"),
+            F.sum(F.size("refused")).alias("refused_cells"), F.sum(typed).alias("typed_cells"),
+        ).select(F.lit(name).alias("table_name"), F.lit(len(schema)).cast("bigint").alias("columns"), "*"))
+    return reduce(DataFrame.unionByName, found)
+
+
 @query("s04_season_filter", """
 SELECT game_id, season, week FROM schedule WHERE season IN (1996, 1999)""", ["schedule"])
 def s04(spark, root):

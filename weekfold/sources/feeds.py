@@ -92,6 +92,53 @@ def read_feed(
     return reader.format(fmt).load(path)
 
 
+def with_refusals(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df`` in the declared columns and types, with a list ``refused`` of the (column, value, type) that do not fit.
+
+    A cell is refused when it has a value that its type cannot hold; the typed
+    column is null there. Columns that the frame lacks are null, others are
+    left out. All cells of a row are judged in one projection.
+    """
+    have = {c.lower(): c for c in df.columns}
+    typed, found = [], []
+    for f in schema:
+        own = have.get(f.name.lower())
+        if own is None:
+            typed.append(F.lit(None).cast(f.dataType).alias(f.name))
+            continue
+        value = F.col(f"`{own}`")
+        text = F.trim(value.cast("string"))
+        cast = value if df.schema[own].dataType == f.dataType else text.try_cast(f.dataType)
+        typed.append(cast.alias(f.name))
+        if not isinstance(f.dataType, T.StringType):
+            # an empty text is a missing value
+            found.append(F.when(
+                cast.isNull() & (text != ""),
+                F.struct(F.lit(f.name).alias("column"), text.alias("value"), F.lit(f.dataType.simpleString()).alias("type")),
+            ))
+    none = F.array().cast("array<struct<column:string,value:string,type:string>>")
+    return df.select(*typed, (F.array_compact(F.array(*found)) if found else none).alias("refused"))
+
+
+def split_refused(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """The rows that fit, typed, and a table of the cells that do not: (row, column, value, type).
+
+    ``row`` is the row as JSON text, so it can be corrected and loaded again.
+    """
+    whole = F.to_json(F.struct(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns]))
+    judged = with_refusals(df.withColumn("_whole", whole), T.StructType([*schema.fields, T.StructField("_whole", T.StringType())]))
+    good = judged.where(F.size("refused") == 0).drop("refused", "_whole")
+    bad = judged.where(F.size("refused") > 0).select(F.col("_whole").alias("row"), F.explode("refused").alias("c"))
+    return good, bad.select("row", "c.*")
+
+
+def read_fitting(spark: SparkSession, root: str, feed: str, schema: T.StructType | None = None) -> tuple[DataFrame, DataFrame]:
+    """A CSV feed as (rows that fit its declared schema, cells that do not); columns are matched by name."""
+    path = f"{root.rstrip('/')}/{feed}"
+    text = spark.read.option("header", "true").csv(path)
+    return split_refused(text, schema or schemas.RAW[f"raw_{feed}"])
+
+
 def load_feeds(
     spark: SparkSession, root: str, seasons, feeds=None, fmt: str = "parquet",
     play_schema: T.StructType | None = None,
