@@ -206,7 +206,7 @@ def _prefixes(compared: DataFrame, similar: int) -> tuple[DataFrame, DataFrame]:
 
 
 def _hubs_within_reach(first: DataFrame, outlying: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
-    """(near_x, near_y): hubs of different components some of whose members may be linked.
+    """(hub, token, near_x, near_y): where members of hubs of different components meet, if some may be linked.
 
     A link between x and y means that their hubs are at most ``distance(x) +
     distance(y) + 1 - similar / 100`` apart, by the triangle inequality.
@@ -218,14 +218,18 @@ def _hubs_within_reach(first: DataFrame, outlying: DataFrame, sets: DataFrame, s
 
     met = settle(
         ranges(first, "x").join(ranges(outlying, "y"), ["hub", "token"]).where("component_x <> component_y")
-        .groupBy("near_x", "near_y").agg(F.max(F.col("far_x") + F.col("far_y")).alias("reach")),
+        .select("hub", "token", "near_x", "near_y", (F.col("far_x") + F.col("far_y")).alias("reach")),
         "meeting-hubs",
     )
+    pairs = settle(met.groupBy("near_x", "near_y").agg(F.max("reach").alias("reach")), "hub-pairs")
     both = F.size(F.array_intersect("set_one", "set_other"))
     apart = 1 - both / (F.size("set_one") + F.size("set_other") - both)
-    return _with_sets(met, sets, "near_x", "near_y").where(
+    close = _with_sets(pairs, sets, "near_x", "near_y").where(
         apart <= F.col("reach") + (1 - similar / 100) + 1e-9
     ).select("near_x", "near_y")
+    return met.join(settle(close, "close-hubs"), ["near_x", "near_y"], "left_semi").select(
+        "hub", "token", "near_x", "near_y"
+    ).distinct()
 
 
 def _candidates(
@@ -251,7 +255,8 @@ def _candidates(
     of_x = first.select("hub", "token", F.col("node").alias("x"), F.col("near").alias("near_x"), F.col("component").alias("component_x"))
     of_y = outlying.select("hub", "token", F.col("node").alias("y"), F.col("near").alias("near_y"), F.col("component").alias("component_y"))
     return (
-        of_x.join(reach, "near_x").join(of_y, ["hub", "token", "near_y"]).where("component_x <> component_y")
+        of_x.join(reach, ["hub", "token", "near_x"]).join(of_y, ["hub", "token", "near_y"])
+        .where("component_x <> component_y")
         .select(*_ordered("x", "y")).distinct()
     )
 
