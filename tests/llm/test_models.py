@@ -297,6 +297,19 @@ def test_top_k_against_all_pairs(llm, shard_rows, query_rows):
     assert sorted(map(tuple, got)) == brute_top(whole, 5, set(range(0, 300, 20)))
 
 
+def test_top_k_of_large_components(llm):
+    """Products beyond 2^52 are exact; what no long can hold takes no part."""
+    rng = random.Random(3)
+    rows = [(i, [float(rng.randrange(-200_000, 200_000)) + rng.randrange(256) / 256 for _ in range(5)]) for i in range(120)]
+    rows += [(200 + i, [v + (1 / 256 if k == i else 0) for k, v in enumerate(rows[1][1])]) for i in range(5)]
+    frame = llm.createDataFrame([*rows, (400, [1e30] * 5), (401, [3e5] * 5)], "vec_id long, embedding array<double>")
+    whole = [(i, [int(256 * x // 1) for x in v]) for i, v in rows]
+    for shard_rows in (16, 1000):
+        got = top_k(frame, F.col("vec_id") % 20 == 0, 5, shard_rows=shard_rows).collect()
+        assert sorted(map(tuple, got)) == brute_top(whole, 5, {i for i, _ in rows if i % 20 == 0})
+    assert max(abs(r.score) for r in got) > 2**52
+
+
 def test_top_k_on_odd_vectors(llm):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 2.0]), (0, [1.0, 2.0]), (1, None), (2, [1.0, None]), (3, [nan, 1.0]), (4, [inf, 1.0]),

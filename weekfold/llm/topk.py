@@ -29,6 +29,8 @@ SHARD_ROWS = 16_384
 SPREAD = 16
 QUERY_ROWS = 8_192
 EXACT = 2.0**52
+#: Inner products of vectors with smaller components fit into a long.
+LIMIT = 2.0**26
 
 
 class BallTree:
@@ -36,6 +38,8 @@ class BallTree:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, leaf: int = LEAF):
         self.leaf = leaf
+        self.whole = vectors  # scores come from these, bounds from doubles
+        vectors = vectors.astype(np.float64, copy=False)
         self.order = np.argsort(ids, kind="stable")
         self.ids, self.vectors = ids, vectors
         self.nodes: list[tuple[int, int, int, int]] = []  # start, end, left, right
@@ -63,12 +67,15 @@ class BallTree:
                 self.order[s:e] = self.order[s:e][np.argpartition(along, half)]
                 todo += [(s + half, e, me, 1), (s, s + half, me, 0)]
         self.centres, self.radii = np.array(centres), np.array(radii)
+        self.lengths = np.sqrt((self.centres**2).sum(axis=1))
 
     def search(self, query_id: int, query: np.ndarray, k: int, floor: float) -> list[tuple[int, int]]:
         """The k best (score, id), ties to smaller ids; only scores of ``floor`` or more matter."""
         # rounding of centres and radii is far below this slack; scores are exact
-        bounds = self.centres @ query + np.linalg.norm(query) * self.radii
-        bounds += 1e-9 * np.abs(bounds) + 1e-6
+        about = query.astype(np.float64, copy=False)
+        size = float(np.linalg.norm(about))
+        bounds = self.centres @ about + size * self.radii
+        bounds += 1e-9 * size * (self.lengths + self.radii) + 1e-6
         best: list[tuple[int, int]] = []  # smallest first, of (score, -id)
         todo = [(-bounds[0], 0)]
         while todo:
@@ -82,7 +89,7 @@ class BallTree:
                         heapq.heappush(todo, (-bounds[child], child))
                 continue
             own = self.order[s:e]
-            scores = self.vectors[own] @ query
+            scores = self.whole[own] @ query
             for at in np.flatnonzero(scores >= floor).tolist():
                 if self.ids[own[at]] == query_id:
                     continue
@@ -99,10 +106,8 @@ class BallTree:
 def _matrix(column: pd.Series) -> np.ndarray:
     """Vectors of whole numbers; as doubles, if all their inner products are exact in them."""
     found = np.array(column.tolist(), dtype=np.int64)
-    largest = float(np.abs(found.astype(np.float64)).max()) if found.size else 0.0
-    if largest * largest * max(found.shape[1], 1) < EXACT:
-        return found.astype(np.float64)
-    raise ArithmeticError("inner products beyond 2^52 are not exact here; use a smaller scale")
+    largest = float(np.abs(found).max()) if found.size else 0.0
+    return found.astype(np.float64) if largest * largest * max(found.shape[1], 1) < EXACT else found
 
 
 def _search(k: int):
@@ -113,7 +118,8 @@ def _search(k: int):
         if len(queries) and len(rows):
             every = _matrix(pd.concat([queries["vector"], rows["vector"]]))
             tree = BallTree(rows["vec_id"].to_numpy(), every[len(queries):])
-            floors = queries["floor"].fillna(-np.inf).to_numpy()
+            # as a double a floor may be rounded up: one step below it is safe
+            floors = np.nextafter(queries["floor"].fillna(-np.inf).to_numpy(), -np.inf)
             for i, (query_id, floor) in enumerate(zip(queries["vec_id"].tolist(), floors.tolist())):
                 out += [(query_id, n, s) for s, n in tree.search(query_id, every[i], k, floor)]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
@@ -127,7 +133,9 @@ _FOUND = "query_id long, vec_id long, score long"
 def scaled(vectors: DataFrame, key: str, embedding: str, scale: int = SCALE) -> DataFrame:
     """(vec_id, vector array<long>): whole numbers, without rows that hold null or non-finite components."""
     e = F.col(embedding).cast("array<double>")
-    finite = F.forall(e, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    # the longer a vector, the smaller the components whose products sum up to a long
+    limit = LIMIT * F.sqrt(F.least(F.lit(1.0), 1024.0 / F.size(e)))
+    finite = F.forall(e, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x * scale) < limit))
     return (
         vectors.where(F.col(embedding).isNotNull() & F.col(key).isNotNull() & finite)
         .select(F.col(key).cast("long").alias("vec_id"), F.transform(e, lambda x: F.floor(x * scale).cast("long")).alias("vector"))
@@ -156,8 +164,10 @@ def top_k(
     A query never finds rows of its own id. Null vectors, empty vectors, those
     with null or non-finite components and rows without an id take no part;
     equal rows count once; vectors meet only those of their own length; fewer
-    than k others give fewer rows. Vectors so large that doubles cannot hold
-    the inner products exactly raise an error. Other columns are ignored.
+    than k others give fewer rows. Where doubles cannot hold the inner products
+    exactly, they are computed in whole numbers; vectors with scaled components
+    of 2^26 or more, whose products no long need hold, take no part. Other
+    columns are ignored.
     """
     rows = settle(
         scaled(vectors, key, embedding, scale).withColumn("length", F.size("vector")), "vectors"
