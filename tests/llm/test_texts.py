@@ -123,6 +123,41 @@ def test_token_counts_equal_the_library(llm, odd_docs, no_docs, odd_rows):
     assert token_counts.token_counts(no_docs, JSON, PATTERN).count() == 0
 
 
+def test_a_long_pretoken_that_all_documents_share_is_in_the_head(llm):
+    from tokenizers import Tokenizer
+
+    rule = "-" * 100
+    texts = [f"part {i}\n{rule}\nmore é{i} {'=' * 90 + str(i % 3)}" for i in range(300)]
+    docs = llm.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    head = token_counts.frequent_pretokens(docs, JSON, PATTERN).collect()
+    longs = [r for r in head if r["long"]]
+    assert {len(r.pretoken) for r in longs} == {32} and len(longs) == 2  # digests of both rules
+    got = {r.doc_id: r.n_tokens for r in token_counts.token_counts(docs, JSON, PATTERN).collect()}
+    library = Tokenizer.from_file(JSON)
+    assert got == {i: len(library.encode(t, add_special_tokens=False).ids) for i, t in enumerate(texts)}
+    # with a head of nothing else the rule does not travel either
+    table = token_counts.Head({}, {token_counts._digest(rule): 7})
+    assert table.get(rule) == 7 and table.get("-" * 99) is None and table.get("-") is None
+
+
+def test_each_pretoken_is_counted_once_and_not_kept(monkeypatch):
+    import pandas as pd
+
+    asked = []
+
+    def counted(path, pretokens):
+        asked.extend(pretokens)
+        return [len(p) for p in pretokens]
+
+    monkeypatch.setattr(token_counts, "count_pieces", counted)
+    names = [None, "a", "a", "bb", "bb", "bb", "ccc", "dd"]
+    frame = pd.DataFrame({"doc_id": 1, "text_key": 1, "pretoken": names, "times": 2, "known": 5, "n_bytes": 0, "copies": 0})
+    batches = [frame.iloc[i:i + 2] for i in range(0, 8, 2)]
+    out = pd.concat(list(token_counts._count_once("")(iter(batches))))
+    assert out["known"].tolist() == [5, 7, 7, 9, 9, 9, 11, 9]
+    assert asked == ["a", "bb", "ccc", "dd"]
+
+
 def test_token_counts_refuse_other_tokenizers():
     with pytest.raises(ValueError):
         token_counts.tokenizer(public_tokenizers.path("word_bpe_49k.json"))

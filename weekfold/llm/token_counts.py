@@ -12,11 +12,13 @@ once, wherever it occurs:
 
 The head has at most ``HEAD`` entries of at most ``HEAD_BYTES`` bytes, whatever
 the corpus; it only decides which way a pre-token goes, never a result. A
-pre-token that many documents share is in the head, so no partition is hot.
+pre-token that many documents share is in the head, so no partition is hot; a
+longer one is there under its digest.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 from collections import Counter
@@ -95,32 +97,63 @@ def _frequent(path: str, pattern: str):
             for word, found in split.after_space(later):
                 for p in found:
                     counts[p] += later[word]
-            top = nlargest(
-                BATCH_HEAD,
-                ((n, p) for p, n in counts.items() if len(p.encode()) <= HEAD_BYTES),
-            )
-            if top:
-                yield pd.DataFrame({"pretoken": [p for _, p in top], "n": [n for n, _ in top]})
+            top = nlargest(BATCH_HEAD, ((n, p) for p, n in counts.items()))
+            for of_long in (False, True):
+                own = [(n, p) for n, p in top if _is_long(p) == of_long]
+                if own:
+                    names = [p for _, p in own]
+                    yield pd.DataFrame({
+                        "pretoken": [_digest(p).hex() for p in names] if of_long else names, "long": of_long,
+                        "n": [n for n, _ in own],
+                        # a long one is not sent on, so its tokens are counted here
+                        "pieces": pd.array(count_pieces(path, names) if of_long else [None] * len(own), dtype="Int32"),
+                    })
 
     return run
 
 
+def _is_long(pretoken: str) -> bool:
+    return len(pretoken) > HEAD_BYTES or len(pretoken) * 4 > HEAD_BYTES and len(pretoken.encode()) > HEAD_BYTES
+
+
+def _digest(pretoken: str) -> bytes:
+    """What stands for a long pre-token in the head, so that its size stays bounded."""
+    return hashlib.blake2b(pretoken.encode(), digest_size=16).digest()
+
+
+class Head:
+    """Token counts of the most frequent pre-tokens; long ones are known by their digests."""
+
+    def __init__(self, short: dict[str, int], long: dict[bytes, int]):
+        self.short, self.long = short, long
+
+    def get(self, pretoken: str) -> int | None:
+        n = self.short.get(pretoken)
+        if n is None and self.long and _is_long(pretoken):
+            n = self.long.get(_digest(pretoken))
+        return n
+
+
 def frequent_pretokens(docs: DataFrame, path: str, pattern: str, head: int = HEAD) -> DataFrame:
-    """The ``head`` most frequent pre-tokens of all documents with their token counts."""
+    """(pretoken, long, pieces): the ``head`` most frequent pre-tokens of all documents with their token counts.
+
+    Those of more than ``HEAD_BYTES`` bytes are ``long`` and given as the hex text of their digests.
+    """
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame(
-                {"pretoken": b["pretoken"], "pieces": count_pieces(path, list(b["pretoken"]))}
-            )
+            pieces = b["pieces"].fillna(0).astype("int64").to_numpy(copy=True)
+            short = ~b["long"].to_numpy(bool)
+            pieces[short] = count_pieces(path, b["pretoken"][short].tolist())
+            yield b[["pretoken", "long"]].assign(pieces=pieces)
 
     return (
         docs.select("text")
-        .mapInPandas(_frequent(path, pattern), "pretoken string, n long")
-        .groupBy("pretoken").agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "pretoken").limit(head)
-        .select("pretoken")
-        .mapInPandas(counted, "pretoken string, pieces int")
+        .mapInPandas(_frequent(path, pattern), "pretoken string, long boolean, n long, pieces int")
+        .groupBy("pretoken", "long").agg(F.sum("n").alias("n"), F.max("pieces").alias("pieces"))
+        .orderBy(F.desc("n"), "pretoken", "long").limit(head)
+        .select("pretoken", "long", "pieces")
+        .mapInPandas(counted, "pretoken string, long boolean, pieces int")
     )
 
 
@@ -129,6 +162,7 @@ def _document_rows(path: str, pattern: str, head):
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         split, specials, known = splitter(pattern), tokenizer(path)[1], head.value
+        short = known.short
         words_seen: dict[str, tuple[int, tuple[str, ...]]] = {}
 
         def weigh(words: set[str]) -> None:
@@ -136,8 +170,9 @@ def _document_rows(path: str, pattern: str, head):
             if len(words_seen) >= KNOWN:
                 words_seen.clear()
             for w, found in split.after_space(x for x in words if x not in words_seen):
-                rest = tuple(p for p in found if p not in known)
-                words_seen[w] = sum(known[p] for p in found if p in known), rest
+                weights = [(p, known.get(p)) for p in found]
+                rest = tuple(p for p, n in weights if n is None)
+                words_seen[w] = sum(n for _, n in weights if n is not None), rest
 
         for batch in batches:
             texts = batch["text"].tolist()
@@ -161,7 +196,9 @@ def _document_rows(path: str, pattern: str, head):
                 for i, (direct, later, total) in enumerate(read):
                     tail: dict[str, int] = {}
                     for p in direct:
-                        n = known.get(p)
+                        n = short.get(p)
+                        if n is None:
+                            n = known.get(p)
                         if n is None:
                             tail[p] = tail.get(p, 0) + 1
                         else:
@@ -191,16 +228,21 @@ def _document_rows(path: str, pattern: str, head):
 
 
 def _count_once(path: str):
-    """Counts each pre-token of the partition once and joins it to its documents' frequencies."""
+    """Counts each pre-token of the partition once and joins it to its documents' frequencies.
+
+    Rows of a pre-token stand together, so only the last one of a batch is kept for the next.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pieces: dict[str, int] = {}
         for batch in batches:
+            last = batch["pretoken"].iloc[-1] if len(batch) else None
             new = [p for p in batch["pretoken"].dropna().unique() if p not in pieces]
             for at in range(0, len(new), 10_000):
                 pieces.update(zip(new[at:at + 10_000], count_pieces(path, new[at:at + 10_000])))
             n = batch["pretoken"].map(pieces).fillna(0).astype("int64") * batch["times"]
             yield batch[["doc_id", "text_key", "n_bytes", "copies"]].assign(known=batch["known"] + n)
+            pieces = {last: pieces[last]} if last in pieces else {}
 
     return run
 
@@ -223,9 +265,13 @@ def token_counts(
     """
     spark = docs.sparkSession
     rows = narrow(docs, key, text).withColumn("text_key", F.xxhash64("text"))
-    table = {
-        r["pretoken"]: r["pieces"] for r in frequent_pretokens(rows, path, pattern, head).toLocalIterator()
-    }
+    # at most ``head`` entries of at most HEAD_BYTES bytes
+    table = Head({}, {})
+    for r in frequent_pretokens(rows, path, pattern, head).toLocalIterator():
+        if r["long"]:
+            table.long[bytes.fromhex(r["pretoken"])] = r["pieces"]
+        else:
+            table.short[r["pretoken"]] = r["pieces"]
     shared = spark.sparkContext.broadcast(table)
     sums = (
         rows.mapInPandas(
@@ -234,7 +280,7 @@ def token_counts(
         )
         .withColumn("slot", F.coalesce(F.xxhash64("pretoken"), F.lit(0)))
         .withColumn("slot", F.when(F.col("pretoken").isNull(), F.xxhash64("doc_id", "text_key")).otherwise(F.col("slot")))
-        .repartition("slot").drop("slot")
+        .repartition("slot").sortWithinPartitions("slot").drop("slot")
         .mapInPandas(_count_once(path), f"{_KEY}, n_bytes long, copies long, known long")
         .groupBy("doc_id", "text_key")
         .agg(F.sum("known").alias("known"), F.sum("n_bytes").alias("n_bytes"), F.sum("copies").alias("copies"))
