@@ -1,7 +1,10 @@
 """The training-data pipeline: from documents to the token ids of a mixed corpus.
 
 Each stage takes all rows that the one before it returned and returns the rows
-it keeps, with the columns of documents; the last one returns token ids.
+it keeps, with the columns of documents; the last one returns token ids. Ids,
+texts and sources may be null, ids and whole rows may repeat, texts may be empty
+or very long, extra columns may have any names and are kept up to the last
+stage; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -16,27 +19,30 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the weak-label scorer accepts."""
+    """Documents that the weak-label scorer accepts; null and empty texts go, whatever their id."""
     return quality.good_rows(docs)
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the row with the largest id."""
+    """Of equal texts the row with the largest id; null counts as empty, and a null id is the smallest."""
     return exact_dedup.without_duplicates(docs)
 
 
 def dissimilar_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, similarity 0.8) the smallest id."""
+    """Of each group of near copies (five-word shingles, similarity 0.8) the smallest id.
+
+    Texts without words and rows without an id are linked with nothing and stay.
+    """
     return minhash.without_near_duplicates(docs, words=5)
 
 
 def mixed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources takes them."""
+    """Documents as often as the mix of sources takes them; null sources form one source, without an id the text decides."""
     return mixing.mixed_rows(docs)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The token ids of every document, with digests of the ids and of the text they decode to."""
+    """The token ids of every row, with digests of the ids and of the text they decode to; null texts have none."""
     return bpe.round_trip(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN, with_ids=True)
 
 
