@@ -168,3 +168,20 @@ def test_cells_that_do_not_fit_are_listed(spark, tmp_path):
     # a refused row can be corrected and read again
     again, still = feeds.split_refused(spark.createDataFrame([("7", "8")], "id string, n string"), schema)
     assert again.first().n == 8 and still.count() == 0
+
+
+def test_trees_of_two_loads_list_exactly_what_changed(spark):
+    rows = [(i, ["a", "b", None][i % 3], f"v{i}", i / 7) for i in range(90)]
+    kinds = "id bigint, part string, v string, x double"
+    old = spark.createDataFrame(rows, kinds)
+    same = ing.changed_parts(*[ing.hash_tree(d, ["part"], "id", 8) for d in (old, old.repartition(5))], ["part"])
+    assert same.count() == 0
+    changed = [(i, p, v if i != 4 else "other", x if i != 8 else None) for i, p, v, x in rows if i not in (0, 60)] + [(500, "new", "v", 1.0)]
+    got = ing.changed_parts(
+        ing.hash_tree(old, ["part"], "id", 8), ing.hash_tree(spark.createDataFrame(changed, kinds), ["part"], "id", 8), ["part"]
+    ).collect()
+    def count(data, part, bucket):
+        return sum(1 for r in data if r[1] == part and r[0] % 8 == bucket)
+    want = {("a", 0), ("a", 4), ("b", 4), (None, 0), ("new", 4)}  # 0; 60; 4; 8; 500
+    assert {(r.part, r.bucket) for r in got} == want
+    assert all((r.old_rows, r.new_rows) == (count(rows, r.part, r.bucket), count(changed, r.part, r.bucket)) for r in got)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -66,6 +66,47 @@ def content_fingerprint(df: DataFrame, columns=None) -> DataFrame:
     return df.agg(F.substring(F.sha2(text, 256), 1, 16).alias("content_hash"), n.alias("rows"))
 
 
+def hash_tree(df: DataFrame, by, key: str, buckets: int = 256, columns=None) -> DataFrame:
+    """(``by``, bucket, n, total): counts and sums of row hashes, the leaves of a tree over partitions and key buckets.
+
+    The hash of a row covers all its columns (or ``columns``). Sums of leaves
+    are those of partitions and of the table, so two trees can be compared from
+    the top. Keep it with each load: it has at most ``buckets`` rows a partition.
+    """
+    digest = F.conv(F.substring(F.md5(spaced_json(list(columns or df.columns))), 1, 12), 16, 10).cast("decimal(38,0)")
+    bucket = F.pmod(F.xxhash64(key) if dict(df.dtypes)[key] not in ("bigint", "int") else F.col(key), F.lit(buckets))
+    return df.groupBy(*by, bucket.cast("int").alias("bucket")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(digest).alias("total")
+    )
+
+
+def changed_parts(old: DataFrame, new: DataFrame, by) -> DataFrame:
+    """(``by``, bucket, old_rows, new_rows) of the leaves of two ``hash_tree`` tables that differ.
+
+    Partitions are compared first, and buckets only within those that differ;
+    trees stored by partition are read there alone. Null partition values match.
+    """
+    def differing(names, a: DataFrame, b: DataFrame) -> DataFrame:
+        def side(df: DataFrame, prefix: str) -> DataFrame:
+            return df.groupBy(*names).agg(F.sum("n").alias(f"{prefix}n"), F.sum("total").alias(f"{prefix}total")).select(
+                *[F.col(c).alias(f"{prefix}{c}") for c in names], f"{prefix}n", f"{prefix}total"
+            )
+
+        left, right = side(a, "a_"), side(b, "b_")
+        same = reduce(and_, [F.col(f"a_{c}").eqNullSafe(F.col(f"b_{c}")) for c in names])
+        met = left.join(right, same, "full_outer")
+        equal = F.col("a_n").eqNullSafe(F.col("b_n")) & F.col("a_total").eqNullSafe(F.col("b_total"))
+        return met.where(~equal).select(
+            *[F.when(F.col("a_n").isNotNull(), F.col(f"a_{c}")).otherwise(F.col(f"b_{c}")).alias(c) for c in names],
+            F.coalesce("a_n", F.lit(0)).alias("old_rows"), F.coalesce("b_n", F.lit(0)).alias("new_rows"),
+        )
+
+    by = list(by)
+    parts = settle(differing(by, old, new), "changed-partitions").select(*[F.col(c).alias(f"_{c}") for c in by])
+    inside = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by])
+    return differing([*by, "bucket"], *[t.join(parts, inside, "left_semi") for t in (old, new)])
+
+
 def stored_near(batch: DataFrame, stored: DataFrame, scope, keys) -> DataFrame:
     """The stored rows that can share a key with the batch, and perhaps some more.
 

@@ -14,7 +14,7 @@ from weekfold.operators import keys
 from weekfold.queries import stages
 from weekfold.queries.features import rounded
 from weekfold.queries.registry import query
-from weekfold.session import scratch_path
+from weekfold.session import scratch_path, settle
 from weekfold.sources import feeds, sinks
 from weekfold.sources import stand_ins as src
 from weekfold.streaming import incremental as stream
@@ -248,6 +248,23 @@ def _spelled(orders):
     )
 
 
+@query("i04_changed_parts", """
+WITH o AS (SELECT year(o_orderdate) AS season, o_orderkey % 16 AS bucket,
+    o_orderkey % 5 = 0 AND year(o_orderdate) = 1997 AND o_orderkey % 16 IN (3, 4) AS altered,
+    year(o_orderdate) = 1994 AND o_orderkey % 16 = 7 OR year(o_orderdate) = 1995 AS deleted FROM orders)
+SELECT season, CAST(bucket AS INTEGER) AS bucket, count(*) AS old_rows, count(*) FILTER (NOT deleted) AS new_rows FROM o
+GROUP BY season, bucket HAVING bool_or(altered OR deleted)""")
+def i04_changed(spark, root):
+    """Which partitions and buckets of orders differ between two loads: altered cells, a bucket and a season gone."""
+    rows = _spelled(src.table(spark, root, "orders")).withColumn("season", F.substring("o_orderdate", 1, 4).cast("bigint"))
+    key = F.col("o_orderkey")
+    altered = (key % 5 == 0) & (F.col("season") == 1997) & (key % 16).isin(3, 4)
+    deleted = ((F.col("season") == 1994) & (key % 16 == 7)) | (F.col("season") == 1995)
+    later = rows.filter(~deleted).withColumn("cents", F.when(altered, F.col("cents") + 1).otherwise(F.col("cents")))
+    trees = [settle(ing.hash_tree(x, ["season"], "o_orderkey", 16), "hash-tree") for x in (rows, later)]
+    return ing.changed_parts(*trees, ["season"])
+
+
 _COUNTERS = """
 SELECT '{t}' AS table_name, count(*) AS total_rows, count(*) FILTER (season >= 1999) AS new_rows, 0::BIGINT AS updated_rows,
   count(*) FILTER (season = 1998) AS skipped_rows, 2.5::DOUBLE AS seconds, round(100.0 * count(*) FILTER (season >= 1999) / count(*), 6) AS efficiency
