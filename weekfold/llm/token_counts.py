@@ -127,11 +127,15 @@ class Head:
     def __init__(self, short: dict[str, int], long: dict[bytes, int]):
         self.short, self.long = short, long
 
+    def of_long(self, pretoken: str) -> int | None:
+        # no character has more than four bytes
+        if len(pretoken) * 4 <= HEAD_BYTES or not self.long or not _is_long(pretoken):
+            return None
+        return self.long.get(_digest(pretoken))
+
     def get(self, pretoken: str) -> int | None:
         n = self.short.get(pretoken)
-        if n is None and self.long and _is_long(pretoken):
-            n = self.long.get(_digest(pretoken))
-        return n
+        return self.of_long(pretoken) if n is None else n
 
 
 def frequent_pretokens(docs: DataFrame, path: str, pattern: str, head: int = HEAD) -> DataFrame:
@@ -170,9 +174,16 @@ def _document_rows(path: str, pattern: str, head):
             if len(words_seen) >= KNOWN:
                 words_seen.clear()
             for w, found in split.after_space(x for x in words if x not in words_seen):
-                weights = [(p, known.get(p)) for p in found]
-                rest = tuple(p for p, n in weights if n is None)
-                words_seen[w] = sum(n for _, n in weights if n is not None), rest
+                total, rest = 0, ()
+                for p in found:
+                    n = short.get(p)
+                    if n is None:
+                        n = known.of_long(p)
+                    if n is None:
+                        rest += (p,)
+                    else:
+                        total += n
+                words_seen[w] = total, rest
 
         for batch in batches:
             texts = batch["text"].tolist()
@@ -198,7 +209,7 @@ def _document_rows(path: str, pattern: str, head):
                     for p in direct:
                         n = short.get(p)
                         if n is None:
-                            n = known.get(p)
+                            n = known.of_long(p)
                         if n is None:
                             tail[p] = tail.get(p, 0) + 1
                         else:
