@@ -2,6 +2,7 @@
 
 import pytest
 
+from weekfold import session
 from weekfold.queries.stages import stage
 from weekfold.session import refuse_unshared, shared_dir
 
@@ -35,3 +36,22 @@ def test_changed_input_is_noticed(spark, tmp_path):
     assert rows() == 3 and rows() == 3
     spark.range(5).write.mode("append").parquet(f"{root}/t.parquet")
     assert rows() == 8
+
+
+def test_a_named_folder_that_all_tasks_reach_is_taken_on_a_cluster(spark, tmp_path, monkeypatch):
+    named = (tmp_path / "shared").as_uri()
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    monkeypatch.setattr(session, "_shared", set())
+    monkeypatch.setattr(session, "_named_folder", lambda _: named)
+    assert shared_dir(spark) == named
+    monkeypatch.setattr(session, "written_everywhere", lambda *_: False)
+    assert shared_dir(spark) == named  # tried once an application
+    session._shared.clear()
+    with pytest.raises(ValueError):
+        shared_dir(spark)
+
+
+def test_a_folder_where_rows_go_missing_is_not_shared(spark, tmp_path):
+    assert session.written_everywhere(spark, str(tmp_path))
+    (tmp_path / "file").write_text("")
+    assert not session.written_everywhere(spark, str(tmp_path / "file"))

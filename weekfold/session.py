@@ -7,9 +7,12 @@ import tempfile
 import uuid
 import zipfile
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors.exceptions.captured import CapturedException
 from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
+_shared: set[tuple[str, str]] = set()
 _ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
@@ -43,7 +46,8 @@ def refuse_unshared(path: str, master: str, default_fs: str, vouched: bool) -> N
     """Raise if executors on other machines could not see ``path``.
 
     A folder of a plain file system is shared only if somebody mounted it
-    everywhere; ``spark.weekfold.sharedFiles=true`` vouches for that.
+    everywhere; ``spark.weekfold.sharedFiles=true`` vouches for that, and
+    ``shared_dir`` tries it.
     """
     if master.startswith("local") or vouched:
         return
@@ -55,23 +59,50 @@ def refuse_unshared(path: str, master: str, default_fs: str, vouched: bool) -> N
         )
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster, from ``spark.checkpoint.dir``.
+def written_everywhere(spark: SparkSession, path: str) -> bool:
+    """Whether rows that tasks on all cores write below ``path`` are there for the driver and for tasks again."""
+    tasks = spark.sparkContext.defaultParallelism
+    probe = f"{path.rstrip('/')}/probe-{uuid.uuid4().hex[:12]}"
+    rows = spark.range(0, tasks, 1, tasks)
+    try:
+        rows.write.parquet(probe)
+        return spark.read.schema(rows.schema).parquet(probe).count() == tasks
+    except (Py4JJavaError, CapturedException):
+        return False
 
-    A folder of our own is set only where none is named and the master is
-    local, which is the case in tests; on a cluster that is an error.
-    """
+
+def _named_folder(spark: SparkSession) -> str | None:
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
     if not named and context.getCheckpointDir():
         named = context.getCheckpointDir().rsplit("/", 1)[0]
+    return named
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The shared folder of the cluster, from ``spark.checkpoint.dir``.
+
+    A named folder on a plain file system may be mounted everywhere or not, so
+    it is tried once an application. A folder of our own is set only where none
+    is named and the master is local, which is the case in tests; on a cluster
+    that is an error.
+    """
+    context = spark.sparkContext
+    named = _named_folder(spark)
     default_fs = context._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
     vouched = spark.conf.get("spark.weekfold.sharedFiles", "false") == "true"
     if not named:
         refuse_unshared("file:/tmp", context.master, default_fs, False)
         named = tempfile.mkdtemp(prefix="weekfold-")
         context.setCheckpointDir(named)
-    refuse_unshared(named, context.master, default_fs, vouched)
+    tried = (context.applicationId, named)
+    if tried not in _shared:
+        try:
+            refuse_unshared(named, context.master, default_fs, vouched)
+        except ValueError:
+            if not written_everywhere(spark, named):
+                raise
+        _shared.add(tried)
     return named
 
 
