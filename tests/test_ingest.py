@@ -5,6 +5,7 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weekfold import config, schemas
 from weekfold.operators import ingest as ing
@@ -170,6 +171,23 @@ def test_cells_that_do_not_fit_are_listed(spark, tmp_path):
     assert again.first().n == 8 and still.count() == 0
 
 
+def test_cells_are_cast_once_in_compiled_code_and_as_spark_casts_them(spark):
+    from weekfold.sources import feeds
+
+    texts = ["5", " 7 ", "+3", "-2", ".5", "1e3", "n/a", "NaN", "nano", "Inf", "-Infinity", "infinity ", "\t9", "\x7f8", "\u00a05", "٣", "0x1p3", "1d", ":", "~", ""]
+    df = spark.createDataFrame([(t, t, t) for t in texts], "n string, x string, f string")
+    schema = T.StructType([T.StructField("n", T.IntegerType()), T.StructField("x", T.DoubleType()), T.StructField("f", T.FloatType())])
+    judged = feeds.with_refusals(df.withColumn("given", F.col("n")), T.StructType([*schema.fields, T.StructField("given", T.StringType())]))
+    plain = df.select(F.col("n").alias("given"), *[F.trim(f.name).try_cast(f.dataType).alias(f.name) for f in schema])
+    want = {r.given.strip(" "): (r.n, repr(r.x), repr(r.f)) for r in plain.collect()}
+    got = judged.collect()
+    assert {r.given.strip(" "): (r.n, repr(r.x), repr(r.f)) for r in got} == want
+    for r in got:
+        assert [c.column for c in r.refused] == [f for f in ("n", "x", "f") if r.given and r[f] is None]
+    assert "lambda" not in judged._jdf.queryExecution().optimizedPlan().toString()
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+
+
 def test_trees_of_two_loads_list_exactly_what_changed(spark):
     rows = [(i, ["a", "b", None][i % 3], f"v{i}", i / 7) for i in range(90)]
     kinds = "id bigint, part string, v string, x double"

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 _shipped: set[str] = set()
 _shared: set[tuple[str, str]] = set()
 _ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+_METHOD_BYTES = "spark.sql.codegen.hugeMethodLimit"
 
 
 def build_session(app: str = "weekfold", master: str | None = None, **conf) -> SparkSession:
@@ -35,6 +36,7 @@ def build_session(app: str = "weekfold", master: str | None = None, **conf) -> S
         # plans here are built from generated columns; recording a Python call
         # site for each of them costs more than planning does
         "spark.python.sql.dataFrameDebugging.enabled": "false",
+        _METHOD_BYTES: "8000",
         **conf,
     }
     for key, value in settings.items():
@@ -111,6 +113,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def compile_by_parts(spark: SparkSession) -> None:
+    """Let Spark split the code of very wide projections, unless the application says otherwise.
+
+    The JVM never compiles a method of more than 8,000 bytes; Spark's own limit,
+    beyond which it splits the code of a stage by operator and expression, is 65,535.
+    """
+    if not spark.sparkContext.getConf().contains(_METHOD_BYTES):
+        spark.conf.set(_METHOD_BYTES, "8000")
+
+
 def ship_package(spark: SparkSession) -> None:
     """Hand this package to the Python workers, once per application, and keep their batches small.
 

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from weekfold import config, schemas
 from weekfold.functions.scalars import parse_period
+from weekfold.session import compile_by_parts
 
 
 def feed_available(feed: str, season: int, first_loaded: int) -> bool:
@@ -99,7 +100,9 @@ def with_refusals(df: DataFrame, schema: T.StructType) -> DataFrame:
     column is null there. Columns that the frame lacks are null, others are
     left out. All cells of a row are judged in one projection.
     """
+    compile_by_parts(df.sparkSession)
     have = {c.lower(): c for c in df.columns}
+    none = F.array().cast("array<struct<column:string,value:string,type:string>>")
     typed, found = [], []
     for f in schema:
         own = have.get(f.name.lower())
@@ -108,16 +111,29 @@ def with_refusals(df: DataFrame, schema: T.StructType) -> DataFrame:
             continue
         value = F.col(f"`{own}`")
         text = F.trim(value.cast("string"))
-        cast = value if df.schema[own].dataType == f.dataType else text.try_cast(f.dataType)
+        cast = value if df.schema[own].dataType == f.dataType else _cast_text(text, f.dataType)
         typed.append(cast.alias(f.name))
         if not isinstance(f.dataType, T.StringType):
             # an empty text is a missing value
-            found.append(F.when(
-                cast.isNull() & (text != ""),
-                F.struct(F.lit(f.name).alias("column"), text.alias("value"), F.lit(f.dataType.simpleString()).alias("type")),
-            ))
-    none = F.array().cast("array<struct<column:string,value:string,type:string>>")
-    return df.select(*typed, (F.array_compact(F.array(*found)) if found else none).alias("refused"))
+            cell = F.struct(F.lit(f.name).alias("column"), text.alias("value"), F.lit(f.dataType.simpleString()).alias("type"))
+            found.append(F.when(cast.isNull() & (text != ""), F.array(cell)).otherwise(none))
+    # short lists put together rather than one list filtered: a lambda would have its cells cast again, uncompiled
+    return df.select(*typed, (F.concat(*found) if found else none).alias("refused"))
+
+
+def _cast_text(text: Column, kind: T.DataType) -> Column:
+    """``text`` as ``kind``, null where it does not fit.
+
+    A cast that fails costs an exception with its message, a hundred times a cast
+    that works. No number starts with a character from ":" to "~", but for the
+    names of infinity and not-a-number, so such texts are not tried.
+    """
+    if not isinstance(kind, (T.IntegralType, T.FractionalType)):
+        return text.try_cast(kind)
+    tried = (text < ":") | (text >= "\x7f")
+    if not isinstance(kind, T.IntegralType):
+        tried = tried | F.lower(F.substring(text, 1, 3)).isin("inf", "nan")
+    return F.when(tried, text.try_cast(kind))
 
 
 def split_refused(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
