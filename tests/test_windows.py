@@ -166,3 +166,60 @@ def test_long_layout_equals_the_wide_one(spark):
     # one exchange of players, whatever the number of statistics
     plan = form.rolling_long_features(log)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_long_layout_needs_no_window_over_long_rows_and_carries_rows_between_batches(spark):
+    rng = random.Random(5)
+    data = [
+        (f"p{p}", "A", "QB" if p % 2 else "K", 2020 + w // 9, w % 9 + 1, "REG", "KC",
+         None if rng.random() < 0.3 else rng.randint(-9, 9) / 8, None if rng.random() < 0.3 else rng.choice([0.1, 0.1, 3e5]))
+        for p in range(6) for w in range(5 * p)
+    ]
+    log = spark.createDataFrame(
+        data, "player_id string, player_name string, position string, season int, week int, season_type string, team string, "
+        "passing_yards double, fantasy_points double",
+    )
+    measures = [f"{m}_{n}" for m in ("avg", "stddev", "trend", "min", "max") for n in (3, 5, 10)]
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    for first in (False, True):
+        wide = {(r.player_id, r.season, r.week): r for r in form.rolling_features(log, drop_first_before=first).collect()}
+        old = spark.conf.get(batch)
+        spark.conf.set(batch, "7")
+        try:
+            long = form.rolling_long_features(log, drop_first_before=first)
+            got = long.collect()
+        finally:
+            spark.conf.set(batch, old)
+        assert len(got) == sum(2 if r.position == "QB" else 1 for r in wide.values())
+        for r in got:
+            w = wide[r.player_id, r.season, r.week]
+            assert all(r[f"games_in_window_{n}"] == w[f"games_in_window_{n}"] for n in (3, 5, 10))
+            for m in measures:
+                want = w[f"{r.stat}_{m}"]
+                assert r[m] == (None if want is None else pytest.approx(want, rel=1e-9, abs=1e-9))
+    plan = form.rolling_long_features(log)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and plan.count("Sort [") == 1
+    for r in form.rolling_long(log, stats=["passing_yards"], places=3).collect():
+        assert all(r[m] is None or round(r[m], 3) == r[m] for m in measures)
+
+
+def test_not_a_number_stays_one_and_broken_order_is_refused():
+    import numpy as np
+    import pyarrow as pa
+
+    from weekfold.operators import long_windows
+
+    def run(values, numbers):
+        b = pa.RecordBatch.from_pydict({
+            "game_number": pa.array(numbers, pa.int32()), "_groups": pa.array([0] * len(values), pa.int64()), "s": pa.array(values, pa.float64()),
+        })
+        bits = np.zeros(1, np.int64)
+        return pa.Table.from_batches(long_windows.long_rows([b], ["s"], bits == 0, bits, 1, (3,), win.MEASURES, [])).to_pydict()
+
+    out = run([1.0, float("nan"), None, 7.0], [1, 2, 3, 4])
+    # columns: number, stat, value, avg, stddev, trend, min, max, games
+    assert out["3"][1] == 1.0 and out["3"][0] is None and np.isnan(out["3"][3])
+    assert out["6"][3] == 1.0 and np.isnan(out["7"][3])  # not-a-number is the largest
+    assert out["8"] == [0, 1, 2, 3] and out["4"][1] is None
+    with pytest.raises(ValueError):
+        run([1.0, 2.0], [2, 3])

@@ -81,11 +81,12 @@ def rolling_long_features(
     season_type: str | None = "REG",
     drop_first_before: bool = False,
     keep=(),
+    places: int | None = None,
 ) -> DataFrame:
     """``rolling_features`` with a row for each statistic: the layout for all configured ones.
 
     A player has the statistics of the positions he ever had and the ``shared``
-    ones; the values are those of the wide layout.
+    ones; the values are those of the wide layout, rounded to ``places``.
     """
     wanted = existing(stats, columns or [*config.all_stats(), *shared])
     games = stats.dropna(subset=["player_id"])
@@ -96,14 +97,14 @@ def rolling_long_features(
     groups = {p: [s for s in config.position_stats(p) if s not in shared] for p in config.POSITION_STATS}
     return rolling_long(
         games, stats=wanted, windows=windows, measures=measures, keep=keep,
-        drop_first_before=drop_first_before, groups=groups,
+        drop_first_before=drop_first_before, groups=groups, places=places,
     )
 
 
 def long_documents(long: DataFrame, windows=config.ROLLING_WINDOWS, measures=MEASURES) -> DataFrame:
     """``documents`` from the long layout: one sparse JSON document for each window.
 
-    The rows of a player and week are already together, so nothing is shuffled.
+    The statistics of a player and week are gathered before a shuffle, as they come together.
     """
     docs = []
     for n in windows:

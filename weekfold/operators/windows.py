@@ -15,9 +15,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weekfold import config
 from weekfold.functions.scalars import as_col, existing, ordinal
+from weekfold.operators import long_windows
+from weekfold.session import compile_by_parts, ship_package
 
 MEASURES = ("avg", "stddev", "trend", "min", "max")
 
@@ -119,46 +122,53 @@ def rolling_long(
     drop_first_before: bool = False,
     groups: dict[str, list[str]] | None = None,
     group_by: str = "position",
+    places: int | None = None,
 ) -> DataFrame:
     """``rolling`` as one row per entity, period and statistic, whatever the number of statistics.
 
     Columns: ``keep``, game_number, stat, value, ``<measure>_<n>`` and
-    games_in_window_<n>. Each statistic of an entity is a window group of its own
-    inside the entity's partition, so rows are shuffled once, in their wide form,
-    and the plan has as many window expressions for a hundred statistics as for
-    one. With ``groups`` (the statistics of each value of ``group_by``) an entity
-    has only those of the groups it ever was in; the others are null throughout.
+    games_in_window_<n>. Rows are shuffled once, in their wide form; a task computes
+    all statistics of a batch of them together (``long_windows``). With ``groups``
+    (the statistics of each value of ``group_by``) an entity has only those of the
+    groups it ever was in; the others are null throughout. With ``places`` the
+    measures are rounded.
     """
     stats = existing(df, stats)
     keep = _kept(df, stats, keep)
+    unknown = {*measures} - set(_MEASURE_SQL)
+    if unknown:
+        raise ValueError(f"unknown measures {sorted(unknown)}")
+    ship_package(df.sparkSession)
+    compile_by_parts(df.sparkSession)
     columns = [*entity, *order, *keep, *stats, *([group_by] if groups else [])]
     rows = _numbered(df.select(*dict.fromkeys(columns)), entity, order, drop_first_before)
-    entries = F.array(*[
-        F.struct(F.lit(s).alias("stat"), F.col(f"`{s}`").cast("double").alias("value")) for s in stats
-    ])
+    groups = groups or {}
+    bit = {g: 1 << i for i, g in enumerate(groups)}
+    ever = F.lit(0).cast("bigint")
     if groups:
-        ever = F.collect_set(group_by).over(Window.partitionBy(*entity))
-        rows = rows.withColumn("_ever", ever)
-        own = [
-            F.when(
-                F.arrays_overlap("_ever", F.array(*[F.lit(g) for g, names in groups.items() if s in names]))
-                if any(s in names for names in groups.values()) else F.lit(False), F.lit(s)
-            ) for s in stats
-        ]
-        everywhere = [s for s in stats if not any(s in names for names in groups.values())]
-        wanted = F.array_union(F.array_compact(F.array(*own)), F.array(*[F.lit(s) for s in everywhere]).cast("array<string>"))
-        rows = rows.withColumn("_wanted", wanted).drop("_ever")
-        entries = F.filter(entries, lambda x: F.array_contains(F.col("_wanted"), x["stat"]))
+        own = F.coalesce(*[F.when(F.col(group_by) == g, F.lit(b).cast("bigint")) for g, b in bit.items()], F.lit(0).cast("bigint"))
+        ever = F.bit_or(own).over(Window.partitionBy(*entity))
+    bits = [sum(bit[g] for g, names in groups.items() if s in names) for s in stats]
     keep = [c for c in keep if c not in ("stat", "value")]
-    long = rows.select(*keep, *[c for c in (*entity, *order) if c not in keep], "game_number", F.explode(entries).alias("_e"))
-    long = long.select("*", "_e.stat", "_e.value").drop("_e")
-    return long.selectExpr(
-        *[f"`{c}`" for c in keep], "game_number", "stat", "value",
-        *[
-            e.replace("AS `value_", "AS `") for e in
-            _all_measures(["value"], windows, measures, [*entity, "stat"], order, "game_number")
-        ],
+    # the numbers' window has left the rows so: the plan holds no further sort
+    wide = rows.withColumn("_groups", ever).sortWithinPartitions(*entity, *order).select(
+        *keep, "game_number", "_groups", *[F.col(f"`{s}`").cast("double").alias(s) for s in stats if s not in keep],
     )
+    schema = T.StructType([
+        *[wide.schema[c] for c in (*keep, "game_number")],
+        T.StructField("stat", T.StringType()), T.StructField("value", T.DoubleType()),
+        *[T.StructField(f"{m}_{n}", T.DoubleType()) for n in windows for m in measures],
+        *[T.StructField(f"games_in_window_{n}", T.LongType()) for n in windows],
+    ])
+    first = 2 if drop_first_before else 1
+
+    def long(batches):
+        import numpy as np
+
+        masks = np.array(bits, dtype=np.int64)
+        return long_windows.long_rows(batches, stats, masks == 0, masks, first, tuple(windows), tuple(measures), keep, places)
+
+    return wide.mapInArrow(long, schema)
 
 
 def number_events(df: DataFrame, entity, order, slice_by: Column, name: str = "event_number") -> DataFrame:

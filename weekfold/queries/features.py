@@ -14,14 +14,16 @@ from weekfold.sources import stand_ins as src
 PLAYS_FROM = 1998  # the stand-in seasons 1998 on count as having plays
 
 
+_NARROW = {"int", "smallint", "tinyint"}
+
+
 def rounded(df, places: int = 6):
     """Doubles rounded, counts widened: the form results are compared in."""
-    widen = {"int", "smallint", "tinyint"}
-    return df.selectExpr(*[
-        f"round(`{c}`, {places}) AS `{c}`" if t == "double"
-        else f"cast(`{c}` AS bigint) AS `{c}`" if t in widen else f"`{c}`"
-        for c, t in df.dtypes
-    ])
+    return widened(df.selectExpr(*[f"round(`{c}`, {places}) AS `{c}`" if t == "double" else f"`{c}`" for c, t in df.dtypes]))
+
+
+def widened(df):
+    return df.selectExpr(*[f"cast(`{c}` AS bigint) AS `{c}`" if t in _NARROW else f"`{c}`" for c, t in df.dtypes])
 
 
 # --- f01, f02 -------------------------------------------------------------------
@@ -190,8 +192,9 @@ def _long_sql(table, stats):
 
 
 def _long(rows, stats):
-    found = form.rolling_long_features(rows, stats)
-    return rounded(found.select(
+    """Rounded where they are made: a decimal number for each value would take most of the time."""
+    found = form.rolling_long_features(rows, stats, places=6)
+    return widened(found.select(
         "player_id", "season", "week", "game_number", "stat", *_LONG, *[f"games_in_window_{n}" for n in (3, 5, 10)]
     ))
 
