@@ -55,3 +55,15 @@ def test_a_folder_where_rows_go_missing_is_not_shared(spark, tmp_path):
     assert session.written_everywhere(spark, str(tmp_path))
     (tmp_path / "file").write_text("")
     assert not session.written_everywhere(spark, str(tmp_path / "file"))
+
+
+def test_without_a_named_folder_a_cluster_takes_the_warehouse_if_all_reach_it(spark, monkeypatch):
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    monkeypatch.setattr(session, "_shared", set())
+    monkeypatch.setattr(session, "_named_folder", lambda _: None)
+    monkeypatch.setattr(session, "written_everywhere", lambda *_: False)
+    with pytest.raises(ValueError):
+        shared_dir(spark)
+    monkeypatch.setattr(session, "written_everywhere", lambda *_: True)
+    assert shared_dir(spark) == f"{warehouse}/weekfold-scratch"

@@ -82,21 +82,22 @@ def _named_folder(spark: SparkSession) -> str | None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster, from ``spark.checkpoint.dir``.
+    """The shared folder of the cluster, from ``spark.checkpoint.dir``, else one in the warehouse.
 
-    A named folder on a plain file system may be mounted everywhere or not, so
-    it is tried once an application. A folder of our own is set only where none
-    is named and the master is local, which is the case in tests; on a cluster
-    that is an error.
+    A folder on a plain file system may be mounted everywhere or not, so it is
+    tried once an application. Where none is named, a folder of our own is set
+    if the master is local, which is the case in tests; on a cluster the
+    warehouse, where tables are kept anyway, is tried in its place.
     """
     context = spark.sparkContext
     named = _named_folder(spark)
     default_fs = context._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
     vouched = spark.conf.get("spark.weekfold.sharedFiles", "false") == "true"
-    if not named:
-        refuse_unshared("file:/tmp", context.master, default_fs, False)
+    if not named and context.master.startswith("local"):
         named = tempfile.mkdtemp(prefix="weekfold-")
         context.setCheckpointDir(named)
+    elif not named:
+        named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/weekfold-scratch"
     tried = (context.applicationId, named)
     if tried not in _shared:
         try:
