@@ -8,6 +8,7 @@ from weekfold.queries import QUERIES, stages
 ROOT = "/root/testdata/sf0.001"
 ON_CLUSTER = [
     "f15_dataset_summary",
+    "f15_vector_assembly",
 ]
 
 
