@@ -9,6 +9,7 @@ ROOT = "/root/testdata/sf0.001"
 ON_CLUSTER = [
     "f15_dataset_summary",
     "f15_vector_assembly",
+    "g01_prediction_targets",
 ]
 
 
