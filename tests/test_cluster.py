@@ -10,6 +10,7 @@ ON_CLUSTER = [
     "f15_dataset_summary",
     "f15_vector_assembly",
     "g01_prediction_targets",
+    "g01_target_summary",
 ]
 
 
