@@ -11,6 +11,7 @@ ON_CLUSTER = [
     "f15_vector_assembly",
     "g01_prediction_targets",
     "g01_target_summary",
+    "g02_no_target_flag",
 ]
 
 
