@@ -12,6 +12,7 @@ ON_CLUSTER = [
     "g01_prediction_targets",
     "g01_target_summary",
     "g02_no_target_flag",
+    "i03_stored_keys",
 ]
 
 
