@@ -13,6 +13,7 @@ ON_CLUSTER = [
     "g01_target_summary",
     "g02_no_target_flag",
     "i03_stored_keys",
+    "i04_changed_parts",
 ]
 
 
