@@ -14,6 +14,7 @@ ON_CLUSTER = [
     "g02_no_target_flag",
     "i03_stored_keys",
     "i04_changed_parts",
+    "i08_continuous_load",
 ]
 
 
