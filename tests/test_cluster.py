@@ -15,6 +15,7 @@ ON_CLUSTER = [
     "i03_stored_keys",
     "i04_changed_parts",
     "i08_continuous_load",
+    "i05_incremental_append",
 ]
 
 
