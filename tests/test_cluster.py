@@ -16,6 +16,7 @@ ON_CLUSTER = [
     "i04_changed_parts",
     "i08_continuous_load",
     "i05_incremental_append",
+    "i08_keyed_stream",
 ]
 
 
