@@ -17,6 +17,7 @@ ON_CLUSTER = [
     "i08_continuous_load",
     "i05_incremental_append",
     "i08_keyed_stream",
+    "l02_ratio_split",
 ]
 
 
