@@ -18,6 +18,7 @@ ON_CLUSTER = [
     "i05_incremental_append",
     "i08_keyed_stream",
     "l02_ratio_split",
+    "l01_training_read",
 ]
 
 
