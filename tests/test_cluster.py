@@ -19,6 +19,7 @@ ON_CLUSTER = [
     "i08_keyed_stream",
     "l02_ratio_split",
     "l01_training_read",
+    "l03_feature_matrix",
 ]
 
 
