@@ -20,6 +20,7 @@ ON_CLUSTER = [
     "l02_ratio_split",
     "l01_training_read",
     "l03_feature_matrix",
+    "l04_target_column",
 ]
 
 
