@@ -21,6 +21,7 @@ ON_CLUSTER = [
     "l01_training_read",
     "l03_feature_matrix",
     "l04_target_column",
+    "l05_position_targets",
 ]
 
 
