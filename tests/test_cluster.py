@@ -22,6 +22,7 @@ ON_CLUSTER = [
     "l03_feature_matrix",
     "l04_target_column",
     "l05_position_targets",
+    "l06_boosted_regression",
 ]
 
 
