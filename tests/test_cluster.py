@@ -23,6 +23,7 @@ ON_CLUSTER = [
     "l04_target_column",
     "l05_position_targets",
     "l06_boosted_regression",
+    "l06_fit_by_split",
 ]
 
 
