@@ -24,6 +24,7 @@ ON_CLUSTER = [
     "l05_position_targets",
     "l06_boosted_regression",
     "l06_fit_by_split",
+    "l07_fit_by_label",
 ]
 
 
