@@ -25,6 +25,7 @@ ON_CLUSTER = [
     "l06_boosted_regression",
     "l06_fit_by_split",
     "l07_fit_by_label",
+    "l07_boosted_classification",
 ]
 
 
