@@ -26,6 +26,7 @@ ON_CLUSTER = [
     "l06_fit_by_split",
     "l07_fit_by_label",
     "l07_boosted_classification",
+    "l09_area_under_roc",
 ]
 
 
