@@ -27,6 +27,7 @@ ON_CLUSTER = [
     "l07_fit_by_label",
     "l07_boosted_classification",
     "l09_area_under_roc",
+    "l09_classification_metrics",
 ]
 
 
