@@ -28,6 +28,7 @@ ON_CLUSTER = [
     "l07_boosted_classification",
     "l09_area_under_roc",
     "l09_classification_metrics",
+    "l10_batch_score",
 ]
 
 
