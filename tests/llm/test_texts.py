@@ -208,3 +208,18 @@ def test_round_trip_on_odd_rows(reference, odd_docs, no_docs, odd_rows):
 def test_decode_inverts_encode(odd_docs, odd_rows):
     back = bpe.decode(bpe.encode(odd_docs, RANKS, PATTERN), RANKS).collect()
     assert sorted(bytes(r["bytes"]).decode() for r in back) == sorted(t or "" for _, t, _ in odd_rows)
+
+
+def test_short_pieces_merge_side_by_side(reference, monkeypatch):
+    draw = random.Random(7)
+    words = {"".join(draw.choices("aaeinrsté漢", k=draw.randint(1, 40))) for _ in range(3_000)}
+    words |= {"a" * 47, "a" * 48, "a" * 49, "ab" * 24, " " + "ab" * 20}
+    vocabulary, looked_up, pair = bpe.ranks(RANKS), [], bpe.Ranks.pair
+    monkeypatch.setattr(bpe.Ranks, "pair", lambda *a: looked_up.append(1) or pair(*a))
+    found = bpe.encode_pieces([w for w in words if len(w.encode()) == 12], vocabulary)
+    # one length takes a round for each merge, however many pieces and ranks there are
+    assert len(found) > 50 and len(looked_up) <= 2 * 12
+    found |= bpe.encode_pieces([w for w in words if w not in found], vocabulary)
+    for w, flat in found.items():
+        assert np.frombuffer(flat, dtype="<u4").tolist() == reference.encode_ordinary(w)
+    assert found.keys() == words

@@ -9,12 +9,16 @@ emptied at once: entries whose pair has changed meanwhile are stale and
 skipped, the rest merge from left to right. Every node is pushed at most
 three times, so one pre-token of a million bytes costs as much as many short
 ones of the same total size.
+
+Short pre-tokens, which are nearly all, need no queue: those of one length lie
+side by side, and in each round every one of them merges its lowest pair.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -27,6 +31,7 @@ from weekfold.llm.tables import narrow
 
 KEPT_PIECES = 200_000
 BATCH_CHARS = 3_000_000
+SHORT_BYTES = 48  # below 64, so that a place takes six bits
 NONE = -1
 
 
@@ -202,16 +207,65 @@ def merge_all(pieces: list[bytes], vocabulary: Ranks) -> tuple[np.ndarray, np.nd
     return ids[alive], np.bincount(piece[alive], minlength=len(pieces))
 
 
+def merge_short(pieces: list[bytes], vocabulary: Ranks) -> list[bytes]:
+    """The ids of each piece, as little-endian unsigned 32-bit integers.
+
+    All pieces have the same number of bytes, 2 to ``SHORT_BYTES``. Columns are
+    pieces. In each round the lowest pair of every piece, the leftmost of
+    equals, becomes one id; pieces without a pair are done.
+    """
+    n = len(pieces[0])
+    ids = vocabulary.of_byte[np.frombuffer(b"".join(pieces), dtype=np.uint8).reshape(-1, n).T]
+    none = np.iinfo(np.int64).max >> 6 << 6
+    own = np.arange(len(pieces))
+    place = np.arange(n)[:, None]
+    out = [b""] * len(pieces)
+
+    def ranked(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of each pair with room for its place."""
+        rank = vocabulary.pair(left, right)
+        return np.where(rank >= 0, rank << 6, none)
+
+    lowest = ranked(ids[:-1], ids[1:])
+    while True:
+        best = (lowest | place[:len(lowest)]).min(axis=0) if len(lowest) else np.full(len(own), none)
+        done = best >= none
+        if done.any():
+            width = 4 * len(ids)
+            flat = ids[:, done].T.astype("<u4").tobytes()
+            for i, at in enumerate(own[done].tolist()):
+                out[at] = flat[i * width:(i + 1) * width]
+            rest = ~done
+            ids, lowest, own, best = ids[:, rest], lowest[:, rest], own[rest], best[rest]
+            if not len(own):
+                return out
+        at, merged = best & 63, best >> 6
+        column = np.arange(len(own))
+        ids = np.where(place[:len(ids) - 1] > at, ids[1:], ids[:-1])
+        ids[at, column] = merged
+        lowest = np.where(place[:len(lowest) - 1] >= at, lowest[1:], lowest[:-1])
+        has = np.flatnonzero(at > 0)
+        lowest[at[has] - 1, has] = ranked(ids[at[has] - 1, has], merged[has])
+        has = np.flatnonzero(at < len(lowest))
+        lowest[at[has], has] = ranked(merged[has], ids[at[has] + 1, has])
+
+
 def encode_pieces(pieces: list[str], vocabulary: Ranks) -> dict[str, bytes]:
     """For each pre-token its ids, as little-endian unsigned 32-bit integers."""
     out: dict[str, bytes] = {}
     long: list[str] = []
+    short: defaultdict[int, list[str]] = defaultdict(list)
     for p in pieces:
-        whole = vocabulary.rank.get(p.encode())
-        if whole is None:
-            long.append(p)
-        else:
+        data = p.encode()
+        whole = vocabulary.rank.get(data)
+        if whole is not None:
             out[p] = whole.to_bytes(4, "little")
+        elif 2 <= len(data) <= SHORT_BYTES:
+            short[len(data)].append(p)
+        else:
+            long.append(p)
+    for same in short.values():
+        out.update(zip(same, merge_short([p.encode() for p in same], vocabulary)))
     if long:
         ids, counts = merge_all([p.encode() for p in long], vocabulary)
         flat = ids.astype("<u4").tobytes()
@@ -249,13 +303,12 @@ class Encoder:
                 rests.append(words[1])
                 new_words.update(words[1])
         unseen = [w for w in new_words if w not in later]
-        split_words = list(self.split.after_space(unseen))
-        wanted = {p for _, found in split_words for p in found}
-        for x in firsts:
-            wanted.update(x)
+        found, starts = self.split.spaced(unseen)
+        wanted = set(found).union(*firsts)
         known.update(encode_pieces([p for p in wanted if p not in known], self.vocabulary))
-        for w, found in split_words:
-            later[w] = known[found[0]] if len(found) == 1 else b"".join([known[p] for p in found])
+        coded = [*map(known.__getitem__, found)]
+        for w, start, end in zip(unseen, starts, [*starts[1:], len(found)]):
+            later[w] = coded[start] if end - start == 1 else b"".join(coded[start:end])
         return [
             b"".join([*map(known.__getitem__, first), *map(later.__getitem__, rest)])
             for first, rest in zip(firsts, rests)

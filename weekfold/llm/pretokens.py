@@ -36,20 +36,21 @@ class Splitter:
         first, *rest = text.split(" ")
         return first, rest
 
-    def after_space(self, words: Iterable[str]) -> Iterator[tuple[str, list[str]]]:
-        """Each word of plain texts with its pre-tokens when a space stands before it.
+    def spaced(self, words: list[str]) -> tuple[list[str], list[int]]:
+        """The pre-tokens of words of plain texts, each with a space before it, and where each word's begin.
 
         All are split at once, as one plain text: a pre-token that begins with
         a space begins a word.
         """
-        words = list(words)
         found = self.find(" " + " ".join(words)) if words else []
-        at = 0
-        for w in words:
-            start, at = at, at + 1
-            while at < len(found) and found[at][0] != " ":
-                at += 1
-            yield w, found[start:at]
+        return found, [i for i, p in enumerate(found) if p[0] == " "]
+
+    def after_space(self, words: Iterable[str]) -> Iterator[tuple[str, list[str]]]:
+        """Each word of plain texts with its pre-tokens when a space stands before it."""
+        words = list(words)
+        found, starts = self.spaced(words)
+        for w, start, end in zip(words, starts, [*starts[1:], len(found)]):
+            yield w, found[start:end]
 
 
 @lru_cache(maxsize=4)
