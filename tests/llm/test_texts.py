@@ -4,8 +4,10 @@ import base64
 import hashlib
 import random
 import re
+from types import SimpleNamespace
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import tiktoken
@@ -223,3 +225,22 @@ def test_short_pieces_merge_side_by_side(reference, monkeypatch):
     for w, flat in found.items():
         assert np.frombuffer(flat, dtype="<u4").tolist() == reference.encode_ordinary(w)
     assert found.keys() == words
+
+
+def test_words_are_weighed_together(monkeypatch):
+    words = [f"w{i}x,{i}" for i in range(500)] + ["a-b-c", "tail"] * 3
+    text = "first " + " ".join(words)
+    pieces = Splitter(PATTERN).find(text)
+    short = dict(zip(pieces[:600], token_counts.count_pieces(JSON, pieces[:600])))
+    batch = pd.DataFrame({"doc_id": [1, 2], "text_key": [1, 2], "text": [text, text + " a-b-c"]})
+    asked, of_long = [], token_counts.Head.of_long
+    monkeypatch.setattr(token_counts.Head, "of_long", lambda *a: asked.append(1) or of_long(*a))
+    head = SimpleNamespace(value=token_counts.Head(short, {}))
+    rows = pd.concat(token_counts._document_rows(JSON, PATTERN, head)(iter([batch])))
+    assert len(asked) <= len(batch)  # without long ones in the head, later words never ask for them
+    tail = rows[rows["pretoken"].notna()]
+    assert not set(tail["pretoken"]) & short.keys() and not tail.duplicated(["doc_id", "pretoken"]).any()
+    known = rows.groupby("doc_id")["known"].sum()
+    rest = (tail["times"] * token_counts.count_pieces(JSON, tail["pretoken"].tolist())).groupby(tail["doc_id"]).sum()
+    whole = token_counts.tokenizer(JSON)[0].encode_batch(batch["text"].tolist(), add_special_tokens=False)
+    assert (known + rest).tolist() == [len(e.ids) for e in whole]

@@ -24,8 +24,9 @@ import os
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
-from heapq import nlargest
+from itertools import repeat
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +39,7 @@ HEAD_BYTES = 64
 BATCH_HEAD = 50_000
 KNOWN = 400_000
 SLICE_CHARS = 4_000_000
+LACKS = 1 << 40  # more than any word has tokens
 
 
 @lru_cache(maxsize=2)
@@ -94,19 +96,24 @@ def _frequent(path: str, pattern: str):
                     else:
                         counts.update(split.find(words[0]))
                         later.update(words[1])
-            for word, found in split.after_space(later):
-                for p in found:
-                    counts[p] += later[word]
-            top = nlargest(BATCH_HEAD, ((n, p) for p, n in counts.items()))
+            words, times = list(later), np.fromiter(later.values(), dtype=np.int64, count=len(later))
+            found, starts = split.spaced(words)
+            for p, n in zip(found, np.repeat(times, np.diff([*starts, len(found)])).tolist()):
+                counts[p] += n
+            names = list(counts)
+            n_of = np.fromiter(counts.values(), dtype=np.int64, count=len(names))
+            if len(names) > BATCH_HEAD:
+                top = np.argpartition(n_of, -BATCH_HEAD)[-BATCH_HEAD:]
+                names, n_of = [names[i] for i in top.tolist()], n_of[top]
+            long = np.array([_is_long(p) for p in names], dtype=bool)
             for of_long in (False, True):
-                own = [(n, p) for n, p in top if _is_long(p) == of_long]
+                own = [p for p, is_long in zip(names, long.tolist()) if is_long == of_long]
                 if own:
-                    names = [p for _, p in own]
                     yield pd.DataFrame({
-                        "pretoken": [_digest(p).hex() for p in names] if of_long else names, "long": of_long,
-                        "n": [n for n, _ in own],
+                        "pretoken": [_digest(p).hex() for p in own] if of_long else own, "long": of_long,
+                        "n": n_of[long == of_long],
                         # a long one is not sent on, so its tokens are counted here
-                        "pieces": pd.array(count_pieces(path, names) if of_long else [None] * len(own), dtype="Int32"),
+                        "pieces": pd.array(count_pieces(path, own) if of_long else [None] * len(own), dtype="Int32"),
                     })
 
     return run
@@ -167,71 +174,81 @@ def _document_rows(path: str, pattern: str, head):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         split, specials, known = splitter(pattern), tokenizer(path)[1], head.value
         short = known.short
-        words_seen: dict[str, tuple[int, tuple[str, ...]]] = {}
+        # of each word after a space: its tokens as far as the head has them, less LACKS if it lacks some
+        seen: dict[str, int] = {}
+        first: dict[str, str] = {}  # the first pre-token that it lacks
+        more: dict[str, list[str]] = {}  # the others, of the few words that lack several
 
         def weigh(words: set[str]) -> None:
-            """Tokens of each word after a space, as far as the head has them, and the rest."""
-            if len(words_seen) >= KNOWN:
-                words_seen.clear()
-            for w, found in split.after_space(x for x in words if x not in words_seen):
-                total, rest = 0, ()
-                for p in found:
-                    n = short.get(p)
-                    if n is None:
-                        n = known.of_long(p)
-                    if n is None:
-                        rest += (p,)
-                    else:
-                        total += n
-                words_seen[w] = total, rest
+            if len(seen) >= KNOWN:
+                for kept in (seen, first, more):
+                    kept.clear()
+            new = [w for w in words if w not in seen]
+            if not new:
+                return
+            found, starts = split.spaced(new)
+            counts = np.array([*map(short.get, found, repeat(-1))], dtype=np.int64)
+            missing = np.flatnonzero(counts < 0)
+            if known.long:
+                for i in missing.tolist():
+                    n = known.of_long(found[i])
+                    counts[i] = -1 if n is None else n
+                missing = np.flatnonzero(counts < 0)
+            counts[missing] = 0
+            totals = np.add.reduceat(counts, starts)
+            word = np.searchsorted(starts, missing, "right") - 1
+            leads = np.diff(word, prepend=-1) > 0
+            totals[word[leads]] -= LACKS
+            seen.update(zip(new, totals.tolist()))
+            first.update((new[w], found[i]) for w, i in zip(word[leads].tolist(), missing[leads].tolist()))
+            for w, i in zip(word[~leads].tolist(), missing[~leads].tolist()):
+                more.setdefault(new[w], []).append(found[i])
 
         for batch in batches:
             texts = batch["text"].tolist()
             for own in slices(texts, SLICE_CHARS):
                 part = batch.iloc[own]
-                read = []  # of each text: pre-tokens found directly, counts of later words, special strings
+                read = []  # of each text: pre-tokens found directly, later words, special strings
                 for text in texts[own]:
                     direct: list[str] = []
-                    later: Counter = Counter()
+                    later: list[str] = []
                     stretches, special = _stretches(text, specials)
                     for x in stretches:
                         words = split.words(x)
                         direct += split.find(x if words is None else words[0])
                         if words is not None:
-                            later.update(words[1])
+                            later += words[1]
                     read.append((direct, later, special))
                 weigh(set().union(*(later for _, later, _ in read)))
                 rows: list[int] = []  # rows of the part, one for each pre-token of the tail
-                tails: list[tuple[str, int]] = []
+                tails: list[str] = []
+                times: list[int] = []
                 sums = []
                 for i, (direct, later, total) in enumerate(read):
-                    tail: dict[str, int] = {}
+                    tokens = [*map(seen.__getitem__, later)]
+                    lacking = [w for w, n in zip(later, tokens) if n < 0]
+                    tail = Counter(map(first.__getitem__, lacking))
+                    for w in filter(more.__contains__, lacking):
+                        tail.update(more[w])
                     for p in direct:
-                        n = short.get(p)
-                        if n is None:
-                            n = known.of_long(p)
+                        n = known.get(p)
                         if n is None:
-                            tail[p] = tail.get(p, 0) + 1
+                            tail[p] += 1
                         else:
                             total += n
-                    for w, times in later.items():
-                        n, rest = words_seen[w]
-                        total += n * times
-                        for p in rest:
-                            tail[p] = tail.get(p, 0) + times
-                    sums.append(total)
+                    sums.append(total + sum(tokens) + LACKS * len(lacking))
                     rows += [i] * len(tail)
-                    tails += tail.items()
+                    tails += tail
+                    times += tail.values()
                 yield pd.DataFrame({
                     "doc_id": part["doc_id"].array, "text_key": part["text_key"].array, "pretoken": None, "times": 0,
                     "known": sums, "n_bytes": [len(t.encode()) for t in texts[own]], "copies": 1,
                 })
                 for at in range(0, len(rows), 200_000):
-                    some = part.iloc[rows[at:at + 200_000]]
+                    some = rows[at:at + 200_000]
                     yield pd.DataFrame({
-                        "doc_id": some["doc_id"].array, "text_key": some["text_key"].array,
-                        "pretoken": [p for p, _ in tails[at:at + 200_000]],
-                        "times": [n for _, n in tails[at:at + 200_000]],
+                        "doc_id": part["doc_id"].array.take(some), "text_key": part["text_key"].array.take(some),
+                        "pretoken": tails[at:at + 200_000], "times": times[at:at + 200_000],
                         "known": 0, "n_bytes": 0, "copies": 0,
                     })
 
