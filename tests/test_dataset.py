@@ -99,6 +99,13 @@ def test_ratio_split_inside_one_hot_period(spark):
     assert got == {"train": 35, "validation": 10, "test": 5}
 
 
+def test_ratio_split_cuts_at_the_exact_share(spark):
+    n = next(n for n in range(10, 1000, 10) if int(n * 0.7) < n * 7 // 10)  # the double lies below the whole number
+    df = spark.range(n).select(F.col("id").cast("string").alias("feature_id"), F.lit(2023).alias("season"), F.lit(5).alias("week"))
+    got = {r.split: r["count"] for r in temporal.ratio_split(df).groupBy("split").count().collect()}
+    assert got == {"train": n * 7 // 10, "validation": n // 5, "test": n // 10}
+
+
 def test_temporal_split_by_distinct_period(spark):
     _, df = labelled(spark)
     spans = {r.split: r for r in temporal.split_ranges(temporal.temporal_split(df)).collect()}

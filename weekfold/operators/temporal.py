@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -57,11 +58,12 @@ def ratio_split(
     everything = Window.partitionBy()
     upto = Window.orderBy("season", "week").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     total = F.sum("_n").over(everything)
-    first_cut = F.floor(total * F.lit(ratios[0]))
+    # as decimals: the nearest double of 84,240 * 0.7 lies below 58,968
+    first, second = (F.floor(total * F.lit(Decimal(str(r)))).cast("long") for r in ratios[:2])
     end, cut1, cut2 = F.col("_end"), F.col("_cut1"), F.col("_cut2")
     periods = counts.filter(ordinal().isNotNull()).select(
         ordinal().alias("_at"), "_n", F.sum("_n").over(upto).alias("_end"),
-        first_cut.alias("_cut1"), (first_cut + F.floor(total * F.lit(ratios[1]))).alias("_cut2"),
+        first.alias("_cut1"), (first + second).alias("_cut2"),
     )
 
     def divided(cut):
