@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from weekfold.llm import fingerprints as fp
@@ -168,6 +169,52 @@ def test_fingerprints_of_the_small_table(llm, small):
     assert np.mean(edited) > 0.65 and np.mean([r.near_next for r in got]) < 0.2
 
 
+def plain_counts(paragraph):
+    """Signed counts of different runs, one run after the other."""
+    every, odd = 2 ** 64, 0x9E3779B97F4A7C15
+    out = [0] * fp.COUNTS
+    for at in range(0, max(len(paragraph) - fp.GRAM + 1, 1) if paragraph else 0, fp.SLICE):
+        part = paragraph[at:at + fp.SLICE + fp.GRAM - 1]
+        width, found = min(fp.GRAM, len(part)), set()
+        for i in range(len(part) - width + 1):
+            h = width
+            for c in part[i:i + width]:
+                h = (h * odd + ord(c)) % every
+            found.add((h ^ h >> 32) * odd % every >> 8)
+        for h in found:
+            place = h % (2 * fp.COUNTS)
+            out[place % fp.COUNTS] += 1 if place < fp.COUNTS else -1
+    return out
+
+
+@pytest.mark.parametrize("block", [1, 100, 1 << 15])
+def test_runs_are_counted_once_in_each_paragraph(monkeypatch, block):
+    monkeypatch.setattr(fp, "SLICE", 60)
+    monkeypatch.setattr(fp, "BLOCK", block)
+    rng = random.Random(block)
+    paragraphs = ["", "a", "é\U0001f600", "1234567", "12345678", "x" * 500] + [
+        "".join(rng.choice("abé\U0001f600") for _ in range(rng.choice((0, 3, 30, 66, 67, 68, 300)))) for _ in range(60)
+    ]
+    hashed = fp.Paragraphs(paragraphs)
+    got = [hashed.lanes(i, i + 1) for i in range(len(paragraphs))]
+    assert [x[fp.EXACT:].astype(np.int32).tolist() for x in got] == [plain_counts(p) for p in paragraphs]
+    assert [x[:fp.EXACT].tobytes() for x in got] == [hashlib.shake_128(p.encode()).digest(4 * fp.EXACT) for p in paragraphs]
+    assert (hashed.lanes() == np.sum(got, axis=0, dtype=np.uint32)).all()
+
+
+def test_an_edit_hashes_cut_paragraphs_only(monkeypatch):
+    rng = random.Random(4)
+    texts = ["\n".join(f"{rng.random()} and {rng.random()}" for _ in range(100)) for _ in range(30)]
+    hashed, shake = [], hashlib.shake_128
+    monkeypatch.setattr(fp.hashlib, "shake_128", lambda x: (hashed.append(x), shake(x))[1])
+    frame = pd.DataFrame([(0, False, i, t) for i, t in enumerate(texts)], columns=["span", "guest", "doc_id", "text"])
+    got = pd.concat(list(fp._with_next(iter([frame[:7], frame[7:]]))))
+    assert len(hashed) <= 102 * len(texts)
+    monkeypatch.undo()
+    want = expected_prints([(i, t, None) for i, t in enumerate(texts)])
+    assert sorted(got.itertuples(index=False, name=None), key=repr) == [r for r in want if r[0] != len(texts) - 1]
+
+
 # --- clusters ---------------------------------------------------------------------------
 @pytest.mark.parametrize("axes,bits", [(1, 5), (2, 4), (3, 3), (4, 2)])
 def test_the_curve_moves_by_one_cell(axes, bits):

@@ -13,7 +13,9 @@ two of them estimates how much the texts have in common.
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -23,43 +25,97 @@ from pyspark.sql import functions as F
 from weekfold.llm.tables import narrow
 from weekfold.session import settle
 
-EXACT, COUNTS, GRAM = 32, 128, 8
+EXACT, COUNTS, GRAM = 32, 128, 8  # GRAM is a power of two
 #: Consecutive ids whose texts meet in one place.
 SPAN = 256
-#: Characters that are hashed together.
+#: Characters of a paragraph whose runs are counted together.
 SLICE = 1 << 18
+#: Characters, about, that are hashed side by side.
+BLOCK = 1 << 15
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+_PLACE = np.min_scalar_type(2 * COUNTS - 1)
 
 
-def _exact(paragraph: str) -> np.ndarray:
-    digest = hashlib.shake_128(paragraph.encode()).digest(4 * EXACT)
-    return np.frombuffer(digest, dtype="<u4")
+def _mixed(h):
+    h = (h ^ (h >> np.uint64(32))) * _ODD
+    return h >> np.uint64(8)
 
 
 def _grams(symbols: np.ndarray) -> np.ndarray:
-    """A hash for each run of ``GRAM`` characters; the whole paragraph if it is shorter."""
-    width = min(GRAM, len(symbols))
+    """A hash for each run of ``GRAM`` characters, put together from its halves."""
+    h, width, factor = symbols, 1, _ODD
     with np.errstate(over="ignore"):
-        h = np.full(len(symbols) - width + 1, width, dtype=np.uint64)
-        for i in range(width):
-            h *= _ODD
-            h += symbols[i:len(symbols) - width + 1 + i]
-        h ^= h >> np.uint64(32)
-        h *= _ODD
-    return h >> np.uint64(8)
+        while width < GRAM:
+            h = h[:-width] * factor + h[width:]
+            width, factor = 2 * width, factor * factor
+        return _mixed(h + factor * np.uint64(GRAM))
 
 
-def _counts(paragraph: str) -> np.ndarray:
-    """Signed counts of the paragraph's different grams."""
-    symbols = np.frombuffer(paragraph.encode("utf-32-le"), dtype=np.uint32)
-    total = np.zeros(2 * COUNTS, dtype=np.int64)
-    # long paragraphs in slices that overlap; a run counts once in each slice
-    for at in range(0, max(len(symbols) - GRAM + 1, 1), SLICE):
-        part = symbols[at:at + SLICE + GRAM - 1].astype(np.uint64)
-        if len(part):
-            place = np.unique(_grams(part)) % np.uint64(2 * COUNTS)
-            total += np.bincount(place.astype(np.int64), minlength=2 * COUNTS)
-    return total[:COUNTS] - total[COUNTS:]
+@lru_cache(maxsize=1 << 12)
+def _short(paragraph: str) -> np.uint64:
+    """The hash of a paragraph shorter than ``GRAM``, its only run."""
+    with np.errstate(over="ignore"):
+        h = np.uint64(len(paragraph))
+        for c in paragraph:
+            h = h * _ODD + np.uint64(ord(c))
+        return _mixed(h)
+
+
+def _pieces(paragraphs: list[str]) -> Iterator[tuple[int, str]]:
+    """Numbers of paragraphs and their text; long ones in slices that overlap, a run counts once in each slice."""
+    for i, p in enumerate(paragraphs):
+        for at in range(0, max(len(p) - GRAM + 1, 1) if p else 0, SLICE):
+            yield i, p[at:at + SLICE + GRAM - 1]
+
+
+def _distinct(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The places of each piece's different runs, one piece behind the other, and how many each one has."""
+    joined = "".join([p if len(p) >= GRAM else p.ljust(GRAM) for p in pieces])
+    h = _grams(np.frombuffer(joined.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64))
+    lengths = np.array([max(len(p), GRAM) for p in pieces])
+    ends = np.cumsum(lengths)
+    starts, lasts = ends - lengths, ends - GRAM + 1
+    for p, start, last in zip(pieces, starts.tolist(), lasts.tolist()):
+        if len(p) < GRAM:
+            h[start] = _short(p)
+        else:
+            h[start:last].sort()
+    new = np.ones(len(h), dtype=bool)
+    np.not_equal(h[1:], h[:-1], out=new[1:])
+    new[starts] = True
+    new[(lasts[:-1, None] + np.arange(GRAM - 1)).ravel()] = False  # runs across two pieces
+    return (h[new] % np.uint64(2 * COUNTS)).astype(_PLACE), np.add.reduceat(new, starts, dtype=np.int64)
+
+
+class Paragraphs:
+    """Paragraphs that are hashed together, of one text or several; any stretch of them can be summed."""
+
+    __slots__ = ("digests", "places", "at")
+
+    def __init__(self, paragraphs: list[str]):
+        digests = b"".join([hashlib.shake_128(p.encode()).digest(4 * EXACT) for p in paragraphs])
+        self.digests = np.frombuffer(digests, dtype="<u4").reshape(-1, EXACT)
+        sizes = np.zeros(len(paragraphs) + 1, dtype=np.int64)
+        places, owners, block, length = [np.zeros(0, dtype=_PLACE)], [], [], 0
+        for i, piece in itertools.chain(_pieces(paragraphs), [(-1, "")]):
+            if block and (i < 0 or length + len(piece) > BLOCK):
+                found, counts = _distinct(block)
+                places.append(found)
+                np.add.at(sizes, np.array(owners) + 1, counts)
+                owners, block, length = [], [], 0
+            owners.append(i)
+            block.append(piece)
+            length += len(piece)
+        self.places, self.at = np.concatenate(places), np.cumsum(sizes)
+
+    def lanes(self, first: int = 0, last: int | None = None) -> np.ndarray:
+        """The sum of the vectors from paragraph ``first`` to before ``last``."""
+        last = len(self.digests) if last is None else last
+        counts = np.bincount(self.places[self.at[first]:self.at[last]], minlength=2 * COUNTS)
+        out = np.empty(EXACT + COUNTS, dtype=np.uint32)  # modulo 2^32
+        out[:EXACT] = self.digests[first:last].sum(axis=0, dtype=np.uint32)
+        out[EXACT:] = (counts[:COUNTS] - counts[COUNTS:]).astype(np.uint32)
+        return out
 
 
 class Fingerprint:
@@ -88,10 +144,7 @@ class Fingerprint:
 
     def add(self, paragraphs: list[str], times: int = 1) -> None:
         """Insert paragraphs, or take them away with ``times`` = -1."""
-        sums = np.zeros(EXACT + COUNTS, dtype=np.int64)
-        for p in paragraphs:
-            sums[:EXACT] += _exact(p)
-            sums[EXACT:] += _counts(p)
+        sums = Paragraphs(paragraphs).lanes().astype(np.int64)
         with np.errstate(over="ignore"):
             self.lanes += (times * sums).astype(np.uint32)  # modulo 2^32
 
@@ -110,14 +163,48 @@ def edited_text(text: str, following: str) -> str:
     return text[:len(text) - cut] + following[:cut]
 
 
-def _edit(own: Fingerprint, text: str, edited: str) -> Fingerprint:
-    """The fingerprint of the edited text: paragraphs of its changed end go and come."""
-    same = len(text) - len(text) // 4
-    start = text.rfind("\n", 0, same) + 1
-    out = own.copy()
-    out.add(text[start:].split("\n"), -1)
-    out.add(edited[start:].split("\n"))
-    return out
+class _Text:
+    """A row with its fingerprint and its stretch of hashed paragraphs."""
+
+    __slots__ = ("doc_id", "text", "hashed", "first", "last", "print")
+
+    def __init__(self, doc_id, text: str, hashed: Paragraphs, first: int, last: int):
+        self.doc_id, self.text, self.hashed, self.first, self.last = doc_id, text, hashed, first, last
+        self.print = Fingerprint(hashed.lanes(first, last))
+
+
+def _texts(rows: list[tuple]) -> list[_Text]:
+    """(doc_id, text) with fingerprints; the paragraphs of all are hashed together."""
+    split = [text.split("\n") for _, text in rows]
+    hashed = Paragraphs(list(itertools.chain.from_iterable(split)))
+    ends = list(itertools.accumulate(map(len, split)))
+    return [_Text(*row, hashed, end - len(own), end) for row, own, end in zip(rows, split, ends)]
+
+
+def _groups(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
+    """Rows, whose last field is the text, in lists of about ``BLOCK`` characters."""
+    group, length = [], 0
+    for row in rows:
+        group.append(row)
+        length += len(row[-1])
+        if length >= BLOCK:
+            yield group
+            group, length = [], 0
+    if group:
+        yield group
+
+
+def _edit(text: str, following: str) -> tuple[int, list[str], int]:
+    """The number of paragraphs that the edit leaves whole, those it makes anew, and how many of the next text it ends.
+
+    Between the first new paragraph and the last one come the next text's paragraphs from its second one on.
+    """
+    cut = len(text) // 4
+    start = text.rfind("\n", 0, len(text) - cut) + 1
+    joint, taken = text[start:len(text) - cut], following[:cut]
+    breaks = taken.count("\n")
+    new = [joint + taken] if not breaks else [joint + taken[:taken.index("\n")], taken[taken.rindex("\n") + 1:]]
+    return text.count("\n", 0, start), new, breaks
 
 
 _COLUMNS = [
@@ -129,13 +216,21 @@ _REPORT = (
 )
 
 
-def _row(doc_id, text: str, own: Fingerprint, following: str, next_print: Fingerprint) -> tuple:
-    edited = edited_text(text, following)
-    changed = _edit(own, text, edited)
-    return (
-        doc_id, len(text), hashlib.sha256(edited.encode()).hexdigest(), str(own), str(changed),
-        own.likeness(changed), own.likeness(next_print),
-    )
+def _rows(pairs: list[tuple[_Text, _Text]]) -> Iterator[tuple]:
+    """A row of the report for each text and its next one: paragraphs go and come, only cut ones are hashed anew."""
+    edits = [_edit(own.text, following.text) for own, following in pairs]
+    made, at = Paragraphs([p for _, new, _ in edits for p in new]), 0
+    for (own, following), (whole, new, breaks) in zip(pairs, edits):
+        lanes = own.print.lanes - own.hashed.lanes(own.first + whole, own.last) + made.lanes(at, at + len(new))
+        if breaks > 1:
+            lanes += following.hashed.lanes(following.first + 1, following.first + breaks)
+        at += len(new)
+        changed = Fingerprint(lanes)
+        edited = edited_text(own.text, following.text)
+        yield (
+            own.doc_id, len(own.text), hashlib.sha256(edited.encode()).hexdigest(), str(own.print), str(changed),
+            own.print.likeness(changed), own.print.likeness(following.print),
+        )
 
 
 def _with_next(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -143,20 +238,24 @@ def _with_next(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     before = None
     for batch in batches:
         out = []
-        for span, guest, doc_id, text in batch.itertuples(index=False):
-            own = Fingerprint.of(text)
-            if before is not None:
-                out.append(_row(before[0], before[1], before[2], text, own))
-            # behind a guest, which ends its span, comes another span
-            before = None if guest else (doc_id, text, own)
+        for group in _groups(batch.itertuples(index=False, name=None)):
+            pairs = []
+            for (_, guest, _, _), here in zip(group, _texts([row[2:] for row in group])):
+                if before is not None:
+                    pairs.append((before, here))
+                # behind a guest, which ends its span, comes another span
+                before = None if guest else here
+            out += _rows(pairs)
         if out:
             yield pd.DataFrame(out, columns=_COLUMNS)
 
 
 def _alone(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    nothing = Fingerprint.of("")
+    nothing, = _texts([(None, "")])
     for batch in batches:
-        out = [_row(None, t, Fingerprint.of(t), "", nothing) for t in batch["text"]]
+        out = []
+        for group in _groups((None, text) for text in batch["text"]):
+            out += _rows([(own, nothing) for own in _texts(group)])
         if out:
             frame = pd.DataFrame(out, columns=_COLUMNS)
             yield frame.assign(doc_id=pd.array([None] * len(out), dtype="Int64"))
