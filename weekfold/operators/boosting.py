@@ -21,14 +21,18 @@ from dataclasses import asdict, dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from weekfold.operators.histograms import BINS, Forest, Rows
 from weekfold.session import settle, ship_package
 
-BINS = 32
-LOCAL_ROWS = 50_000
+#: Rows of a frame that one task may hold: some 250 bytes each with 47 features.
+LOCAL_ROWS = 1_000_000
+#: Tasks for each core that share out the models of one task each; nodes whose splits are sought at once.
+_SHARES, _SOUGHT = 3, 8
 #: Trees between two writings of the margins; histograms (of nodes) of one pass.
 KEPT_TREES, PASS_NODES = 16, 2_000
 _GRID = 24
@@ -143,10 +147,12 @@ def _weight(s: Settings, tree: int) -> float:
     return 1.0 if tree == 0 else s.rate
 
 
+def _forest(trees: list[np.ndarray], s: Settings) -> Forest:
+    return Forest(trees, [_weight(s, int(nodes["tree"][0])) for nodes in trees])
+
+
 def _add(margin: np.ndarray, bins: np.ndarray, trees: list[np.ndarray], s: Settings) -> np.ndarray:
-    for nodes in trees:
-        margin = margin + _weight(s, int(nodes["tree"][0])) * nodes["value"][reached(nodes, bins)]
-    return margin
+    return _forest(trees, s).add(margin, bins)
 
 
 def _gradients(label: np.ndarray, margin: np.ndarray, scale: float, s: Settings) -> tuple[np.ndarray, np.ndarray]:
@@ -231,31 +237,40 @@ def histograms(bins, slots, g, h, nodes: int) -> np.ndarray:
     return np.stack(sums, axis=-1).reshape(nodes, features, BINS, 3)
 
 
-def best_splits(sums: np.ndarray, s: Settings, tree: int) -> np.ndarray:
-    """The best split of each node; feature -1 where none is allowed. Ties go to the first feature and bin."""
-    left = np.cumsum(sums, axis=2)[:, :, :-1]
+def best_splits(sums: np.ndarray, s: Settings, tree: int, sizes: list[int] | None = None) -> np.ndarray:
+    """The best split of each node; feature -1 where none is allowed. Ties go to the first feature and bin.
+
+    ``sizes`` are the numbers of bins of the features; no row lies beyond them.
+    """
+    nodes, features = sums.shape[:2]
+    last = np.full(features, BINS) if sizes is None else np.asarray(sizes)
+    open_ = _columns(s, tree, features)[:, None] & (np.arange(BINS) < last[:, None] - 1)
+    places = np.flatnonzero(open_.ravel())
     total = sums[:, 0].sum(axis=1)
-    right = total[:, None, None] - left
+    out = np.zeros(nodes, dtype=BEST)
+    out["feature"] = -1
+    out["g"], out["h"], out["n"] = total.T
+    if not places.size:
+        return out
+    left = np.cumsum(np.ascontiguousarray(np.moveaxis(sums, -1, 0)), axis=-1).reshape(3, nodes, -1).take(places, axis=2)
+    whole = total.T[:, :, None]
+    right = whole - left
 
     def worth(x):
-        pull = np.maximum(np.abs(x[..., 0]) - s.alpha, 0.0)
-        under = x[..., 1] + s.penalty
+        pull = np.maximum(np.abs(x[0]) - s.alpha, 0.0)
+        under = x[1] + s.penalty
         return np.divide(pull * pull, under, out=np.zeros_like(pull), where=under > 0)
 
-    gain = 0.5 * (worth(left) + worth(right) - worth(total)[:, None, None]) - s.gamma
-    heavy = (left[..., 1] >= s.least_weight) & (right[..., 1] >= s.least_weight)
-    allowed = heavy & (left[..., 2] > 0) & (right[..., 2] > 0) & _columns(s, tree, sums.shape[1])[None, :, None]
-    gain = np.where(allowed, gain, -np.inf).reshape(len(sums), -1)
+    gain = 0.5 * (worth(left) + worth(right) - worth(whole)) - s.gamma
+    heavy = (left[1] >= s.least_weight) & (right[1] >= s.least_weight)
+    gain = np.where(heavy & (left[2] > 0) & (right[2] > 0), gain, -np.inf)
     at = gain.argmax(axis=1)
-    every = np.arange(len(sums))
-    out = np.zeros(len(sums), dtype=BEST)
+    every = np.arange(nodes)
     found = gain[every, at] > 1e-12
-    out["feature"] = np.where(found, at // (BINS - 1), -1)
-    out["bin"] = at % (BINS - 1)
+    out["feature"] = np.where(found, places[at] // BINS, -1)
+    out["bin"] = places[at] % BINS
     out["gain"] = np.where(found, gain[every, at], 0.0)
-    flat = left.reshape(len(sums), -1, 3)[every, at]
-    out["gl"], out["hl"], out["nl"] = flat.T
-    out["g"], out["h"], out["n"] = total.T
+    out["gl"], out["hl"], out["nl"] = left[:, every, at]
     return out
 
 
@@ -271,32 +286,131 @@ def _unpacked(packed: pd.Series, features: int) -> np.ndarray:
     return np.frombuffer(b"".join(packed), dtype=np.uint8).reshape(-1, features)
 
 
-def _local(specs: dict[str, Spec], frames: dict[str, Frame], grown: dict[str, np.ndarray]):
-    """All trees of one model, from all rows of its frame."""
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        # the order of rows does not matter: sums are exact
-        spec = specs[group["model"].iloc[0]]
-        frame, s = frames[spec.frame], spec.settings
-        bins = _unpacked(group["bins"], len(frame.cuts))
-        label, row, part = (group[c].to_numpy() for c in ("label", "row", "part"))
-        trees = split_trees(grown[spec.name])
-        margin = _add(np.full(len(group), spec.base), bins, trees, s)
-        for number in range(len(trees), s.trees):
-            growing = Growing(spec, number)
-            mine = _sampled(spec, number, row, part)
-            g, h = _gradients(label[mine], margin[mine], frame.scale, s)
-            own = bins[mine]
-            while growing.open:
-                slots = growing.slots(reached(growing.nodes, own))
-                best = best_splits(histograms(own, slots, g, h, len(growing.active)), s, number)
-                growing.advance(dict(zip(growing.active, best)))
-            trees.append(growing.nodes)
-            margin = _add(margin, bins, trees[-1:], s)
-        return pd.DataFrame({"model": [spec.name], "nodes": [np.concatenate(trees).tobytes()]})
+def _next_tree(spec: Spec, number: int, data: Rows, own: np.ndarray, frame: Frame, label, row, margin) -> np.ndarray:
+    """The next tree of a model whose rows are ``own``; their margins get its answers.
+
+    A split deals out the rows of its node. Of two children the one with fewer
+    rows is summed, the other one is the difference from their parent: sums are
+    exact, so it is the same.
+    """
+    s, growing = spec.settings, Growing(spec, number)
+    rows, n = own, len(own)
+    if s.rows < 1:
+        drawn = _chance(row[own].view(np.uint64), s.seed, number) < s.rows
+        # the drawn rows first, here and in every node
+        rows = np.concatenate([own[drawn], own[~drawn]])
+        n = int(drawn.sum())
+    first = rows[:n]
+    g, weights, scale = np.zeros(data.n), None, frame.scale
+    g[first], h = _gradients(label[first], margin[first], scale, s)
+    if s.task != "regression":
+        weights, scale = np.zeros(data.n), float(1 << _GRID)
+        weights[first] = h
+    least = max(2.0, 2 * s.least_weight) if weights is None else 2.0
+    held = {0: (rows, n)}
+    sums = {0: data.sums([first], g, weights, scale)[0]}
+    while growing.open:
+        best: dict[int, np.ndarray] = {}
+        sought = [node for node in growing.active if node in sums]
+        for k in range(0, len(sought), _SOUGHT):
+            some = sought[k:k + _SOUGHT]
+            best.update(zip(some, best_splits(np.stack([sums[node] for node in some]), s, number, data.sizes)))
+        split = growing.active
+        growing.advance(best)
+        nodes = growing.nodes
+        split = [node for node in split if nodes["feature"][node] >= 0]
+        pairs = []
+        for node in split:
+            rows, _ = held.pop(node)
+            left = int(nodes["left"][node])
+            right = data.columns[nodes["feature"][node]].take(rows) > nodes["bin"][node]
+            for child, some in ((left, np.flatnonzero(~right)), (left + 1, np.flatnonzero(right))):
+                held[child] = rows.take(some), int(nodes["rows"][child])
+            small, large = sorted((left, left + 1), key=lambda child: held[child][1])
+            if held[large][1] >= least:  # else neither can be split
+                pairs.append((node, small, large))
+        if growing.open:
+            found = data.sums([held[small][0][:held[small][1]] for _, small, _ in pairs], g, weights, scale)
+            sums = {
+                child: of for (node, small, large), one in zip(pairs, found)
+                for child, of in ((small, one), (large, sums[node] - one)) if held[child][1] >= least
+            }
+    for node, (rows, _) in held.items():
+        margin[rows] += _weight(s, number) * growing.nodes["value"][node]
+    return growing.nodes
+
+
+def _grown(spec: Spec, frame: Frame, data: Rows, label, row, part, grown: np.ndarray) -> np.ndarray:
+    """All trees of one model, from all rows of its frame, which may be in any order: sums are exact."""
+    trees, s = split_trees(grown), spec.settings
+    own = np.flatnonzero(np.isin(part, spec.parts))
+    margin = np.full(data.n, spec.base)
+    if trees:
+        margin[own] = _add(margin[own], data.bins[own], trees, s)
+    for number in range(len(trees), s.trees):
+        trees.append(_next_tree(spec, number, data, own, frame, label, row, margin))
+    return np.concatenate(trees) if trees else np.zeros(0, dtype=NODE)
+
+
+def _binary(column: pa.Array, width: int) -> np.ndarray:
+    """Rows of bytes of an Arrow column, each of the same width."""
+    column = column.cast(pa.binary())
+    ends = np.frombuffer(column.buffers()[1], dtype=np.int32)[column.offset:column.offset + len(column) + 1]
+    if len(column) and (np.diff(ends) != width).any():
+        raise ValueError(f"rows of bins are not all of {width} features")
+    return np.frombuffer(column.buffers()[2], dtype=np.uint8)[ends[0]:ends[-1]].reshape(-1, width) if len(column) else (
+        np.zeros((0, width), dtype=np.uint8)
+    )
+
+
+def _local(shares: list[list[Spec]], frames: dict[str, Frame], grown: dict[str, np.ndarray]):
+    """All trees of the models of a share, whose frame's rows are the rows of a task."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[tuple]] = {}
+        for batch in batches:
+            share = np.asarray(batch.column("share"))
+            for one in np.unique(share):
+                own = batch if (share == one).all() else batch.filter(pa.array(share == one))
+                width = len(frames[shares[one][0].frame].cuts)
+                held.setdefault(int(one), []).append((
+                    _binary(own.column("bins"), width).copy(),
+                    *[own.column(c).to_numpy(zero_copy_only=False) for c in ("label", "row", "part")],
+                ))
+        for one in list(held):
+            bins, label, row, part = (np.concatenate(x) for x in zip(*held.pop(one)))
+            frame = frames[shares[one][0].frame]
+            data = Rows(bins, [len(c) + 1 for c in frame.cuts])
+            for spec in shares[one]:
+                nodes = _grown(spec, frame, data, label, row, part, grown[spec.name])
+                yield pa.RecordBatch.from_pydict({"model": [spec.name], "nodes": [nodes.tobytes()]})
 
     return run
 
 
+def _shares(specs: list[Spec], frames: dict[str, Frame], trees: dict[str, int], most: int) -> list[list[Spec]]:
+    """Models in at most ``most`` shares (but one for each frame), each of one frame and all of about the same work."""
+    work = {
+        s.name: max(s.settings.trees - trees[s.name], 0) * s.settings.depth * frames[s.frame].rows(s.parts) + 1
+        for s in specs
+    }
+    by_frame: dict[str, list[Spec]] = {}
+    for s in specs:
+        by_frame.setdefault(s.frame, []).append(s)
+    total = sum(work.values())
+    out = []
+    for own in by_frame.values():
+        count = min(len(own), max(1, round(most * sum(work[s.name] for s in own) / total)))
+        parts: list[list[Spec]] = [[] for _ in range(count)]
+        loads = [0] * count
+        for s in sorted(own, key=lambda s: -work[s.name]):
+            k = loads.index(min(loads))
+            parts[k].append(s)
+            loads[k] += work[s.name]
+        out += zip(loads, parts)
+    # the longest first
+    return [part for _, part in sorted(out, key=lambda x: -x[0])]
+
+
 @dataclass
 class _State:
     """A model of many rows under way: trees in the stored margins, later ones, and the one that grows."""
@@ -448,14 +562,23 @@ def grow(
     out = {}
     if near:
         spark = rows.sparkSession
-        # spread: a model is grown in one task, so there are as many as models
-        names = spark.createDataFrame([(s.frame, s.name) for s in near], "frame string, model string")
+        done = {s.name: len(split_trees(grown[s.name])) for s in near}
+        shares = _shares(near, frames, done, _SHARES * spark.sparkContext.defaultParallelism)
+        # a row goes to each share of its frame: as often as there are tasks for it, not models
+        names = spark.createDataFrame([(own[0].frame, i) for i, own in enumerate(shares)], "frame string, share int")
         found = (
-            rows.join(F.broadcast(names), "frame").repartition(len(near), "model").groupBy("model")
-            .applyInPandas(_local({s.name: s for s in near}, frames, {s.name: grown[s.name] for s in near}),
-                           "model string, nodes binary")
+            rows.join(F.broadcast(names), "frame").select("share", "bins", "label", "row", "part")
+            .repartitionById(len(shares), "share")
+            .mapInArrow(_local(shares, frames, {s.name: grown[s.name] for s in near}), "model string, nodes binary")
         )
         out = {r.model: np.frombuffer(r.nodes, dtype=NODE) for r in found.collect()}
+        for s in near:
+            if s.name not in out:  # its frame has no rows here
+                none = np.zeros(0)
+                out[s.name] = _grown(
+                    s, frames[s.frame], Rows(np.zeros((0, len(frames[s.frame].cuts)), np.uint8), [1] * len(frames[s.frame].cuts)),
+                    none, none.astype(np.int64), none, grown[s.name],
+                )
     far = [s for s in specs if frames[s.frame].n > most]
     if far:
         out |= _grow_far(rows, far, frames, grown)
@@ -467,17 +590,32 @@ def _values(features: Column, kind: str) -> Column:
     return features if kind.startswith("array") else vector_to_array(features)
 
 
-def frames_of(df: DataFrame) -> dict[str, Frame]:
+def _cuts(df: DataFrame) -> list:
+    """(frame, at, cuts): the values below which a 32nd, two 32nds and so on of a feature's values lie.
+
+    Equal values are counted first. Their counts, not the rows, are sorted and
+    summed for each feature, so the cuts are exact, whatever the partitions.
+    """
+    values = df.select("frame", F.posexplode("values").alias("at", "value")).where("value is not null and not isnan(value)")
+    counts = values.groupBy("frame", "at", "value").agg(F.count(F.lit(1)).alias("n"))
+    feature = Window.partitionBy("frame", "at")
+    upto = F.sum("n").over(feature.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    total = F.sum("n").over(feature)
+    # the rank of a share is rounded up, so that it is first reached by whole 32nds
+    reached = counts.select("frame", "at", "value", "n", upto.alias("upto"), total.alias("total")).where(
+        F.expr(f"upto * {BINS} div total > (upto - n) * {BINS} div total")
+        & F.expr(f"(upto - n) * {BINS} < total * {BINS - 1}")
+    )
+    return reached.groupBy("frame", "at").agg(F.array_sort(F.collect_list("value")).alias("cuts")).collect()
+
+
+def frames_of(df: DataFrame, alike: Callable[[str], str] | None = None) -> dict[str, Frame]:
     """Cuts, scale and sums of each frame from its rows (frame, values array<double>, label, part).
 
     Frames, parts and features are configured names, so what the driver gets is
-    bounded by them.
+    bounded by them. Frames of the same ``alike`` have the same features in as
+    many rows, so their cuts are found once.
     """
-    probes = F.array(*[F.lit((i + 1) / BINS) for i in range(BINS - 1)])
-    cuts = (
-        df.select("frame", F.posexplode("values").alias("at", "value")).where("value is not null and not isnan(value)")
-        .groupBy("frame", "at").agg(F.percentile_approx("value", probes, F.lit(10_000)).alias("cuts")).collect()
-    )
     grid = float(1 << 20)
     about = df.groupBy("frame", "part").agg(
         F.count("*").alias("n"), F.max(F.abs("label")).alias("most"), F.max(F.size("values")).alias("width"),
@@ -493,8 +631,17 @@ def frames_of(df: DataFrame) -> dict[str, Frame]:
         most[r.frame] = max(most.get(r.frame, 0.0), r.most)
     for name, frame in out.items():
         frame.scale = 2.0 ** (_GRID - int(np.ceil(np.log2(2 * most[name] + 1))))
-    for r in cuts:
-        out[r.frame].cuts[r["at"]] = np.unique(np.array(r.cuts, dtype=np.float64))
+    if alike is None:
+        for r in _cuts(df):
+            out[r.frame].cuts[r["at"]] = np.array(r.cuts, dtype=np.float64)
+        return out
+    groups: dict[tuple, list[str]] = {}
+    for name, frame in out.items():
+        groups.setdefault((alike(name), len(frame.cuts), frozenset((p, n) for p, (n, _) in frame.parts.items())), []).append(name)
+    same = {names[0]: names for names in groups.values()}
+    for r in _cuts(df.where(F.col("frame").isin(list(same)))):
+        for name in same[r.frame]:
+            out[name].cuts[r["at"]] = np.array(r.cuts, dtype=np.float64)
     return out
 
 
@@ -504,22 +651,39 @@ def specified(frames: dict[str, Frame], name: str, frame: str, settings: Setting
 
 
 def _binned(frames: dict[str, Frame]):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, rows in _by_frame(batch):
-                bins = frames[name].bins(np.array(rows["values"].tolist(), dtype=np.float64))
-                yield rows.drop(columns="values").assign(bins=[b.tobytes() for b in bins])[
-                    ["frame", "row", "bins", "label", "part"]
-                ]
+            names = batch.column("frame").dictionary_encode()
+            codes = names.indices.to_numpy(zero_copy_only=False)
+            for code, name in enumerate(names.dictionary.to_pylist()):
+                own = batch.filter(pa.array(codes == code))
+                bins = frames[name].bins(_matrix(own.column("values"), len(frames[name].cuts)))
+                yield pa.RecordBatch.from_arrays([
+                    own.column("frame"), own.column("row"), _bytes(bins), own.column("label"), own.column("part")
+                ], names=["frame", "row", "bins", "label", "part"])
 
     return run
 
 
+def _matrix(column: pa.ListArray, width: int) -> np.ndarray:
+    """Rows of doubles of an Arrow column of lists, missing ones as NaN."""
+    if len(column) and set(np.unique(column.value_lengths().to_numpy())) != {width}:
+        raise ValueError(f"feature rows are not all of {width} values")
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(-1, width)
+
+
+def _bytes(bins: np.ndarray) -> pa.Array:
+    """Rows of bytes as an Arrow column."""
+    n, width = bins.shape
+    ends = np.arange(n + 1, dtype=np.int32) * np.int32(width)
+    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(bins))])
+
+
 def binned(df: DataFrame, frames: dict[str, Frame]) -> DataFrame:
     """A stored table of (frame, row, bins, label, part) from (frame, row, values, label, part)."""
     ship_package(df.sparkSession)
     rows = df.where(F.col("frame").isin(list(frames))).select("frame", "row", "values", "label", "part")
-    return settle(rows.mapInPandas(_binned(frames), _ROWS), "binned")
+    return settle(rows.mapInArrow(_binned(frames), _ROWS), "binned")
 
 
 # --- models -----------------------------------------------------------------------------
@@ -543,26 +707,34 @@ class Models:
         )
         return gain / gain.sum() if gain.sum() > 0 else gain
 
-    def scores(self, rows: DataFrame, keep: list[str], kinds: str) -> DataFrame:
-        """(model, ``keep``, margin) of ``binned`` rows for each model of their frame."""
+    def scores(self, rows: DataFrame, keep: list[str], kinds: str, only: dict[str, int] | None = None) -> DataFrame:
+        """(model, ``keep``, margin) of ``binned`` rows for each model of their frame.
+
+        ``only`` names the part of the rows that a model is asked about; the others are left out.
+        """
         by_frame: dict[str, list[str]] = {}
         for s in self.specs.values():
             by_frame.setdefault(s.frame, []).append(s.name)
         me = self
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            trees = {n: split_trees(v) for n, v in me.nodes.items()}
+            forests = me._forests()
             for batch in batches:
-                for name, own in _by_frame(batch):
-                    frame = me.frames[name]
-                    bins = _unpacked(own["bins"], len(frame.cuts))
+                for name, rows in _by_frame(batch):
+                    bins = _unpacked(rows["bins"], len(me.frames[name].cuts))
                     for model in by_frame.get(name, ()):
-                        spec = me.specs[model]
-                        margin = _add(np.full(len(own), spec.base), bins, trees[model], spec.settings)
+                        own, mine = rows, bins
+                        if only is not None:
+                            at = np.flatnonzero(rows["part"].to_numpy() == only[model])
+                            own, mine = rows.iloc[at], bins[at]
+                        margin = forests[model].add(np.full(len(own), me.specs[model].base), mine)
                         yield own[keep].assign(model=model, margin=margin)[["model", *keep, "margin"]]
 
         return rows.mapInPandas(run, f"model string, {kinds}, margin double")
 
+    def _forests(self) -> dict[str, Forest]:
+        return {n: _forest(split_trees(v), self.specs[n].settings) for n, v in self.nodes.items()}
+
     def transform(self, df: DataFrame, model: str = "model", features: str = "features") -> DataFrame:
         """``df`` with ``prediction`` (and ``probability`` of label 1) of the model that the row names.
 
@@ -572,6 +744,7 @@ class Models:
         ship_package(df.sparkSession)
         me = self
         kind = dict(df.dtypes)[features]
+        forests: dict[str, Forest] = {}  # made once a task
 
         @F.pandas_udf("double")
         def margin(name: pd.Series, values: pd.Series) -> pd.Series:
@@ -582,7 +755,9 @@ class Models:
                 at = np.flatnonzero((name == one).to_numpy())
                 spec = me.specs[one]
                 bins = me.frames[spec.frame].bins(np.array(values.iloc[at].tolist(), dtype=np.float64).reshape(len(at), -1))
-                out[at] = _add(np.full(len(at), spec.base), bins, split_trees(me.nodes[one]), spec.settings)
+                if one not in forests:
+                    forests[one] = _forest(split_trees(me.nodes[one]), spec.settings)
+                out[at] = forests[one].add(np.full(len(at), spec.base), bins)
             return pd.Series(out)
 
         scored = df.withColumn("_margin", F.nanvl(margin(F.col(model), _values(F.col(features), kind)), F.lit(None)))
@@ -630,6 +805,7 @@ class Models:
 def fit(
     df: DataFrame, chosen: Settings | Callable[[str], Settings], model: str = "model", features: str = "features",
     label: str = "label", key: str = "feature_id", least_rows: int = 1, local_rows: int | None = None,
+    alike: Callable[[str], str] | None = None,
 ) -> Models:
     """One model for each value of ``model``, all at once, each fitted on its rows.
 
@@ -637,10 +813,11 @@ def fit(
     with fewer than ``least_rows`` rows get no model. Rows are sampled for each
     tree by the hash of ``key`` (of the features, without such a column). Rows
     without label, features or model take no part; missing values of features
-    lie in the first bin.
+    lie in the first bin. Models of the same ``alike`` have the same features
+    and differ in their labels.
     """
     rows = frame_rows(df, model, features, label, key)
-    frames = {n: f for n, f in frames_of(rows).items() if f.n >= least_rows}
+    frames = {n: f for n, f in frames_of(rows, alike).items() if f.n >= least_rows}
     specs = [specified(frames, n, n, chosen(n) if callable(chosen) else chosen) for n in frames]
     if not specs:
         return Models({}, {}, {})
