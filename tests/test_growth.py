@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from weekfold.operators import boosting as bo
 from weekfold.operators import histograms as hi
+from weekfold.operators import selection as sel
+from weekfold.operators import training as tr
 
 
 def plain_sums(bins, rows, g, h):
@@ -123,3 +125,18 @@ def test_models_of_the_same_features_share_cuts(spark, monkeypatch):
     shared = bo.fit(df, bo.Settings(depth=2, trees=2), alike=lambda name: name.split("/")[0])
     assert len(seen[0]) == 3 and len(seen[1]) == 2 and "b/x" in seen[1]
     assert all(alone.nodes[m].tobytes() == shared.nodes[m].tobytes() for m in ("a/x", "a/y", "b/x"))
+
+
+def test_a_fold_is_asked_about_its_own_rows_only(spark, monkeypatch):
+    asked = []
+    given = bo.Models.scores
+
+    def scores(self, *args):
+        out = given(self, *args)
+        asked.append(out.count())
+        return out
+
+    monkeypatch.setattr(bo.Models, "scores", scores)
+    df = wide(spark, 300).withColumn("fold", (F.col("feature_id").cast("int") % 3).cast("int"))
+    got = sel.fold_scores(df, tr.tree_settings(trees=2, depth=2), folds=3).collect()
+    assert asked == [300] and sorted((r.fold, r.fitted, r.n) for r in got) == [(k, 200, 100) for k in range(3)]

@@ -153,12 +153,13 @@ def fold_scores(
         return spark.createDataFrame([], "model string, fold int, fitted long, n long, score double")
     stored = bo.binned(rows, frames)
     models = bo.Models({s.name: s for s in specs}, frames, bo.grow(stored, specs, frames, local_rows=local_rows))
-    judged = models.scores(stored, ["label", "part"], "label double, part int").withColumns(
+    own_fold = {s.name: int(s.name.rpartition("/")[2]) for s in specs}
+    judged = models.scores(stored, ["label", "part"], "label double, part int", own_fold).withColumns(
         {"fold": F.substring_index("model", "/", -1).cast("int"),
          "model": F.expr("left(model, length(model) - length(substring_index(model, '/', -1)) - 1)")}
-    ).where("fold = part")
+    )
     fitted = spark.createDataFrame(
-        [(s.frame, int(s.name.rpartition("/")[2]), frames[s.frame].rows(s.parts)) for s in specs],
+        [(s.frame, own_fold[s.name], frames[s.frame].rows(s.parts)) for s in specs],
         "model string, fold int, fitted long",
     )
     return scores(judged, scorer, ["model", "fold"]).join(F.broadcast(fitted), ["model", "fold"]).select(
