@@ -326,7 +326,7 @@ def train_all(df: DataFrame, pairs=None, models_path: str | None = None, **param
     rows = to_ml_frames(df, pairs)
     models = boosting.fit(
         rows.filter(F.col("split") == "train"), lambda name: tree_settings(task_of(name.split("/")[1]), **params),
-        least_rows=config.MIN_TRAINING_ROWS,
+        least_rows=config.MIN_TRAINING_ROWS, alike=lambda name: name.split("/")[0],
     )
     if models_path:
         keep(models, models_path)
