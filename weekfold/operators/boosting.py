@@ -32,7 +32,7 @@ from weekfold.session import settle, ship_package
 #: Rows of a frame that one task may hold: some 250 bytes each with 47 features.
 LOCAL_ROWS = 1_000_000
 #: Tasks for each core that share out the models of one task each; nodes whose splits are sought at once.
-_SHARES, _SOUGHT = 3, 8
+_SHARES, _SOUGHT = 6, 8
 #: Trees between two writings of the margins; histograms (of nodes) of one pass.
 KEPT_TREES, PASS_NODES = 16, 2_000
 _GRID = 24
@@ -390,7 +390,9 @@ def _local(shares: list[list[Spec]], frames: dict[str, Frame], grown: dict[str,
 def _shares(specs: list[Spec], frames: dict[str, Frame], trees: dict[str, int], most: int) -> list[list[Spec]]:
     """Models in at most ``most`` shares (but one for each frame), each of one frame and all of about the same work."""
     work = {
-        s.name: max(s.settings.trees - trees[s.name], 0) * s.settings.depth * frames[s.frame].rows(s.parts) + 1
+        # a node takes as long as a thousand rows on one level
+        s.name: max(s.settings.trees - trees[s.name], 0)
+        * (s.settings.depth * frames[s.frame].rows(s.parts) + 1_000 * 2 ** s.settings.depth) + 1
         for s in specs
     }
     by_frame: dict[str, list[Spec]] = {}
